@@ -234,3 +234,71 @@ def tree_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.array(F.col("p_type"), F.col("p_brand")).alias("stats"),
                     (F.col("p_size") >= KEYSTONE_MIN_SIZE).alias("is_keystone"))
     return part.select(F.to_json(node).alias("value"))
+
+
+# ------------------------------------------------------------ state family
+# Event type -> result outcome / items-call kind.
+EVENT_OUTCOME = {"purchase": "ok", "view": "private", "signup": "dead",
+                 "error": "retryable", "click": "retryable"}
+EVENT_ITEMS_KIND = {"purchase": "ok", "view": "private", "signup": "dead",
+                    "error": "retryable", "click": "rate_limited"}
+
+
+def _case(col: str, mapping: dict[str, str]) -> Column:
+    expr = None
+    for k, v in mapping.items():
+        expr = F.when(F.col(col) == k, v) if expr is None else expr.when(F.col(col) == k, v)
+    return expr
+
+
+def customer_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roster rows from ``customer``: identity (c_name, c_mktsegment)."""
+    c = table(spark, sf_dir, "customer")
+    return c.select(F.col("c_custkey").cast("int").alias("rank"),
+                    F.col("c_name").alias("account"), F.col("c_mktsegment").alias("character"),
+                    F.col("c_mktsegment").alias("class"), F.col("c_nationkey").alias("level"),
+                    F.col("c_acctbal"), F.col("c_custkey"))
+
+
+def event_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Worker result lines from ``events``: user_id -> customer identity;
+    two result files by event_id parity, line order = event_id."""
+    e = table(spark, sf_dir, "events")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    j = e.join(c, e["user_id"] == c["c_custkey"])
+    outcome = _case("event_type", EVENT_OUTCOME)
+    return j.select(
+        F.col("c_name").alias("account"), F.col("c_mktsegment").alias("character"),
+        outcome.alias("outcome"),
+        (F.lit(1) + F.floor("value").cast("int") % 3).cast("int").alias("attempts"),
+        F.when(outcome == "ok", iso_instant("ts")).alias("fetchedAt"),
+        F.concat(F.lit("w0"), (F.col("event_id") % 2).cast("string")).alias("file"),
+        F.col("event_id").alias("seq"))
+
+
+def event_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One resolution attempt per identity (its latest event): the items
+    call kind from the event type, the passives call from the value."""
+    e = table(spark, sf_dir, "events")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    j = e.join(c, e["user_id"] == c["c_custkey"])
+    return j.select(
+        F.col("c_name").alias("account"), F.col("c_mktsegment").alias("character"),
+        _case("event_type", EVENT_ITEMS_KIND).alias("items_kind"),
+        F.when(F.col("value") >= 50, "retryable").otherwise("ok").alias("passives_kind"),
+        "ts", "event_id")
+
+
+def ladder_entries(spark: SparkSession, sf_dir: str, first: bool) -> DataFrame:
+    """Ladder capture entries from ``orders``: capture 1 = orders before
+    1998-01-01, capture 2 = the rest; entry order = o_orderkey."""
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    cut = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    o = o.where(cut if first else ~cut)
+    j = o.join(c, o["o_custkey"] == c["c_custkey"])
+    return j.select(F.col("o_orderkey").alias("offset"), F.lit(0).alias("pos"),
+                    F.col("c_name").alias("account"), F.col("o_orderpriority").alias("character"),
+                    F.col("c_mktsegment").alias("class"),
+                    (F.col("o_orderkey") % 100).cast("int").alias("level"),
+                    F.col("o_custkey").cast("int").alias("rank"))

@@ -264,3 +264,209 @@ FROM pv, (SELECT count(*) AS total FROM ch) t
 WHERE is_keystone AND node_name IS NOT NULL GROUP BY node_name""")
 def q_keystone_usage(spark, sf_dir):
     return _snap(spark, sf_dir).aggregate("keystone_usage")
+
+
+# =====================================================================
+# State family (P5-P10, J3, A1-A3, P7) and roster
+# =====================================================================
+from quarry.operators import aggregates as AG  # noqa: E402
+from quarry.operators import roster as RO  # noqa: E402
+from quarry.operators import state as ST  # noqa: E402
+from quarry.plans import adapters as AD  # noqa: E402
+
+WORKERS = 15
+MAX_ATTEMPTS = 3
+NOW_1 = "2024-01-01T00:00:00.000Z"
+NOW_2 = "2024-02-01T00:00:00.000Z"
+
+
+def _seeded(spark, sf_dir):
+    """P7 over the customer roster, line 0 = highest balance."""
+    roster = AD.customer_roster(spark, sf_dir)
+    return ST.seed_state(roster, [F.col("c_acctbal").desc(), F.col("c_custkey").asc()])
+
+
+def _merged(spark, sf_dir):
+    return ST.merge_results(_seeded(spark, sf_dir), AD.event_results(spark, sf_dir))
+
+
+_STATE_CTE = """
+WITH st AS (
+  SELECT row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) - 1 AS ordinal,
+    CAST(c_custkey AS INTEGER) AS rank, c_name AS account, c_mktsegment AS "character",
+    c_mktsegment AS class, c_nationkey AS level, 'pending' AS outcome, 0 AS attempts,
+    CAST(NULL AS VARCHAR) AS fetchedAt
+  FROM customer
+),
+res AS (
+  SELECT c.c_name AS account, c.c_mktsegment AS "character",
+    CASE e.event_type WHEN 'purchase' THEN 'ok' WHEN 'view' THEN 'private'
+      WHEN 'signup' THEN 'dead' WHEN 'error' THEN 'retryable' WHEN 'click' THEN 'retryable' END
+      AS outcome,
+    CAST(1 + CAST(floor(e.value) AS INTEGER) % 3 AS INTEGER) AS attempts,
+    CASE WHEN e.event_type = 'purchase' THEN strftime(e.ts, '%Y-%m-%dT%H:%M:%S.%gZ') END AS fetchedAt,
+    'w0' || CAST(e.event_id % 2 AS VARCHAR) AS file, e.event_id AS seq
+  FROM events e JOIN customer c ON c.c_custkey = e.user_id
+),
+lastr AS (
+  SELECT * FROM res QUALIFY row_number() OVER (PARTITION BY account, "character"
+                                               ORDER BY file DESC, seq DESC) = 1
+),
+merged AS (
+  SELECT st.ordinal, st.rank, st.account, st."character", st.class, st.level,
+    CASE WHEN lastr.account IS NOT NULL THEN lastr.outcome ELSE st.outcome END AS outcome,
+    CASE WHEN lastr.account IS NOT NULL THEN lastr.attempts ELSE st.attempts END AS attempts,
+    CASE WHEN lastr.account IS NOT NULL THEN lastr.fetchedAt ELSE st.fetchedAt END AS fetchedAt
+  FROM st LEFT JOIN lastr ON st.account = lastr.account AND st."character" = lastr."character"
+)"""
+
+
+@register("seed_state", _STATE_CTE + """
+SELECT ordinal, rank, account, "character", class, level, outcome, attempts FROM st""")
+def q_seed_state(spark, sf_dir):
+    return _seeded(spark, sf_dir).select("ordinal", "rank", "account", "character", "class",
+                                         "level", "outcome", "attempts")
+
+
+@register("merge_results", _STATE_CTE + """
+SELECT ordinal, account, "character", outcome, attempts, fetchedAt FROM merged""")
+def q_merge_results(spark, sf_dir):
+    return _merged(spark, sf_dir).select("ordinal", "account", "character", "outcome",
+                                         "attempts", "fetchedAt")
+
+
+_TALLY_SQL = """
+SELECT count(*) FILTER (WHERE outcome = 'pending') AS pending,
+  count(*) FILTER (WHERE outcome = 'ok') AS ok,
+  count(*) FILTER (WHERE outcome = 'private') AS private,
+  count(*) FILTER (WHERE outcome = 'retryable') AS retryable,
+  count(*) FILTER (WHERE outcome = 'dead') AS dead,
+  count(*) FILTER (WHERE outcome = 'skipped') AS skipped,
+  count(*) FILTER (WHERE outcome IN ('pending', 'retryable')) AS pending_of,
+  count(*) AS total
+FROM {src}"""
+
+
+def _tally_with_coverage(state):
+    t = AG.tally_outcomes(state)
+    return t.select("*", (F.col("pending") + F.col("retryable")).alias("pending_of"),
+                    sum(F.col(k) for k in ("pending", "ok", "private", "retryable", "dead",
+                                           "skipped")).alias("total"))
+
+
+@register("state_tally", _STATE_CTE + _TALLY_SQL.format(src="merged"))
+def q_state_tally(spark, sf_dir):
+    return _tally_with_coverage(_merged(spark, sf_dir))
+
+
+@register("close_tally", _STATE_CTE + _TALLY_SQL.format(
+    src="(SELECT CASE WHEN outcome IN ('pending', 'retryable') THEN 'skipped' ELSE outcome END "
+        "AS outcome FROM merged) s"))
+def q_close_tally(spark, sf_dir):
+    return _tally_with_coverage(ST.mark_remaining_skipped(_merged(spark, sf_dir)))
+
+
+@register("worker_assignment", _STATE_CTE + f"""
+SELECT CAST(ordinal % {WORKERS} AS INTEGER) AS slot, count(*) AS identities,
+  min(ordinal) AS first_ordinal
+FROM merged WHERE outcome IN ('pending', 'retryable') GROUP BY 1""")
+def q_worker_assignment(spark, sf_dir):
+    pend = ST.assign(ST.pending_identities(_merged(spark, sf_dir)), WORKERS)
+    return pend.groupBy("slot").agg(F.count(F.lit(1)).alias("identities"),
+                                    F.min("ordinal").alias("first_ordinal"))
+
+
+@register("attempt_results", _STATE_CTE + f""",
+att AS (
+  SELECT c.c_name AS account, c.c_mktsegment AS "character",
+    CASE e.event_type WHEN 'purchase' THEN 'ok' WHEN 'view' THEN 'private'
+      WHEN 'signup' THEN 'dead' WHEN 'error' THEN 'retryable' WHEN 'click' THEN 'rate_limited' END
+      AS items_kind,
+    CASE WHEN e.value >= 50 THEN 'retryable' ELSE 'ok' END AS passives_kind
+  FROM events e JOIN customer c ON c.c_custkey = e.user_id
+  QUALIFY row_number() OVER (PARTITION BY c.c_name, c.c_mktsegment ORDER BY e.ts DESC, e.event_id DESC) = 1
+),
+run AS (
+  SELECT m.account, m."character", m.outcome AS before_outcome, m.attempts AS before_attempts,
+    CASE WHEN items_kind <> 'ok' THEN items_kind WHEN passives_kind <> 'ok' THEN passives_kind
+         ELSE 'ok' END AS kind
+  FROM merged m JOIN att ON m.account = att.account AND m."character" = att."character"
+  WHERE m.outcome IN ('pending', 'retryable')
+),
+nxt AS (
+  SELECT account, "character", before_outcome, before_attempts,
+    CASE WHEN kind = 'rate_limited' THEN before_outcome
+         WHEN kind = 'retryable' THEN CASE WHEN before_attempts + 1 >= {MAX_ATTEMPTS}
+                                           THEN 'dead' ELSE 'retryable' END
+         ELSE kind END AS outcome,
+    CAST(CASE WHEN kind = 'rate_limited' THEN before_attempts ELSE before_attempts + 1 END
+         AS INTEGER) AS attempts
+  FROM run
+)
+SELECT account, "character", outcome, attempts FROM nxt
+WHERE outcome IS DISTINCT FROM before_outcome OR attempts IS DISTINCT FROM before_attempts""")
+def q_attempt_results(spark, sf_dir):
+    merged = _merged(spark, sf_dir)
+    attempts = latest_per_key_attempts(AD.event_attempts(spark, sf_dir))
+    pend = ST.pending_identities(merged)
+    run = pend.join(attempts, ["account", "character"])
+    nxt = ST.next_outcome(run, MAX_ATTEMPTS)
+    after = nxt.select("account", "character", F.col("next_outcome").alias("outcome"),
+                       F.col("next_attempts").alias("attempts"))
+    return ST.result_lines(pend, after)
+
+
+def latest_per_key_attempts(att):
+    from quarry.operators.common import latest_per_key
+    return latest_per_key(att, ["account", "character"], ["ts", "event_id"]) \
+        .select("account", "character", "items_kind", "passives_kind")
+
+
+_ROSTER_CTE = f"""
+WITH ent AS (
+  SELECT o.o_orderkey AS pos, c.c_name AS account, o.o_orderpriority AS "character",
+    c.c_mktsegment AS class, CAST(o.o_orderkey % 100 AS INTEGER) AS level,
+    CAST(o.o_custkey AS INTEGER) AS rank, o.o_orderdate < TIMESTAMP '1998-01-01' AS first
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+),
+r1 AS (
+  SELECT account, "character", class, level, rank, '{NOW_1}' AS firstSeenAt, '{NOW_1}' AS lastSeenAt
+  FROM ent WHERE first
+  QUALIFY row_number() OVER (PARTITION BY account, "character" ORDER BY pos DESC) = 1
+),
+e2 AS (
+  SELECT * FROM ent WHERE NOT first
+  QUALIFY row_number() OVER (PARTITION BY account, "character" ORDER BY pos DESC) = 1
+),
+r2 AS (
+  SELECT coalesce(r1.account, e2.account) AS account,
+    coalesce(r1."character", e2."character") AS "character",
+    CASE WHEN e2.account IS NOT NULL THEN e2.class ELSE r1.class END AS class,
+    CASE WHEN e2.account IS NOT NULL THEN e2.level ELSE r1.level END AS level,
+    CASE WHEN e2.account IS NOT NULL THEN e2.rank ELSE r1.rank END AS rank,
+    coalesce(r1.firstSeenAt, '{NOW_2}') AS firstSeenAt,
+    CASE WHEN e2.account IS NOT NULL THEN '{NOW_2}' ELSE r1.lastSeenAt END AS lastSeenAt,
+    r1.account IS NULL AS is_new
+  FROM r1 FULL OUTER JOIN e2 ON r1.account = e2.account AND r1."character" = e2."character"
+)"""
+
+
+def _rosters(spark, sf_dir):
+    empty = spark.createDataFrame([], "account string, character string, class string, level int, "
+                                      "rank int, firstSeenAt string, lastSeenAt string")
+    r1, c1 = RO.merge_ladder(empty, AD.ladder_entries(spark, sf_dir, True), NOW_1)
+    r2, c2 = RO.merge_ladder(r1, AD.ladder_entries(spark, sf_dir, False), NOW_2)
+    return r2, c2
+
+
+@register("merge_ladder", _ROSTER_CTE + """
+SELECT account, "character", class, level, rank, firstSeenAt, lastSeenAt FROM r2""")
+def q_merge_ladder(spark, sf_dir):
+    return _rosters(spark, sf_dir)[0]
+
+
+@register("ladder_counts", _ROSTER_CTE + """
+SELECT (SELECT count(*) FROM r2 WHERE is_new) AS added,
+  (SELECT count(*) FROM ent WHERE NOT first) - (SELECT count(*) FROM r2 WHERE is_new) AS refreshed""")
+def q_ladder_counts(spark, sf_dir):
+    return _rosters(spark, sf_dir)[1]
