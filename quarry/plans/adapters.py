@@ -302,3 +302,73 @@ def ladder_entries(spark: SparkSession, sf_dir: str, first: bool) -> DataFrame:
                     F.col("c_mktsegment").alias("class"),
                     (F.col("o_orderkey") % 100).cast("int").alias("level"),
                     F.col("o_custkey").cast("int").alias("rank"))
+
+
+# ---------------------------------------------------------- storage family
+# League per document language; key kind per doc_id mod 16.
+LEAGUE_BY_LANG = {"en": "Mirage", "fr": "Hardcore Mirage", "de": "Standard", "es": "Mirage (PL1)"}
+LANG_POS = {"en": 0, "fr": 1, "de": 2, "es": 3}
+PHASE_BY_MOD5 = ["collecting", "published", "transforming", "aborted", "ladder_capture"]
+
+
+def _league_of(lang: str = "lang") -> Column:
+    return _case(lang, LEAGUE_BY_LANG)
+
+
+def object_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An object listing (doc_id, key, size) built from ``documents``:
+    league from the language, snapshot id = source, key kind by doc_id."""
+    from quarry.functions import keys as K
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    lg, s, i = _league_of(), F.col("source"), F.col("doc_id")
+    kind = i % 16
+    key = (F.when(kind == 0, K.detail_key(lg, s, F.concat(F.lit("part-"), i.cast("string"))))
+           .when(kind == 1, K.agg_key(lg, s, F.concat(F.lit("kind-"), i.cast("string"))))
+           .when(kind == 2, K.meta_key(lg, s))
+           .when(kind == 3, F.concat(K.raw_prefix(lg, s), i.cast("string"), F.lit(".json")))
+           .when(kind == 4, K.chunk_key(lg, s, i % 100000))
+           .when(kind == 5, K.snapshot_state_key(lg, s))
+           .when(kind == 6, K.worker_result_key(lg, s, i % 15))
+           .when(kind == 7, K.roster_key(lg))
+           .when(kind == 8, K.checkpoint_key(lg))
+           .when(kind == 9, K.worker_state_key(lg, F.concat(F.lit("w"), (i % 15).cast("string"))))
+           .when(kind == 10, K.ip_pace_key(lg, F.concat(F.lit("10.0.0."), (i % 255).cast("string"))))
+           .when(kind == 11, K.tree_cache_key(F.concat(F.lit("3."), (i % 5).cast("string"))))
+           .when(kind == 12, K.economy_key(lg))
+           .when(kind == 13, F.lit("index.json"))
+           .when(kind == 14, F.concat(F.lit("misc/"), i.cast("string"), F.lit(".bin")))
+           .otherwise(K.detail_key(lg, s, F.concat(F.lit("items-"), i.cast("string")))))
+    return d.select("doc_id", key.alias("key"), F.col("n_chars").alias("size"))
+
+
+def _snap_no() -> Column:
+    return F.substring("source", 4, 10).cast("int")
+
+
+def manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One manifest per (league, snapshot) seen in ``documents``."""
+    d = table(spark, sf_dir, "documents").select("lang", "source").distinct()
+    s = _snap_no()
+    day = lambda off: F.lpad((s + off).cast("string"), 2, "0")
+    phase = F.element_at(F.array(*[F.lit(p) for p in PHASE_BY_MOD5]), (s % 5 + 1).cast("int"))
+    return d.select(
+        _league_of().alias("league"), F.col("source").alias("snapshotId"),
+        F.when(s % 6 == 5, 5).otherwise(6).alias("schemaVersion"),
+        phase.alias("phase"),
+        F.concat(F.lit("2024-01-"), day(1), F.lit("T12:00:00.000Z")).alias("ladderCapturedAt"),
+        F.when(phase == "aborted", F.concat(F.lit("2024-01-"), day(2), F.lit("T00:00:00.000Z")))
+        .alias("abortedAt"),
+        (s * 10 + _case("lang", {k: str(v) for k, v in LANG_POS.items()}).cast("int")).alias("pos"))
+
+
+def snapshot_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published meta per snapshot (missing for s mod 7 = 6; an unparsable
+    updatedAt for s mod 7 = 5)."""
+    d = table(spark, sf_dir, "documents").select("lang", "source").distinct()
+    s = _snap_no()
+    day = F.lpad((s + 2).cast("string"), 2, "0")
+    return d.where(s % 7 != 6).select(
+        _league_of().alias("league"), F.col("source").alias("snapshot_id"),
+        F.when(s % 5 == 1, F.concat(F.lit("2024-01-"), day, F.lit("T00:00:00.000Z"))).alias("completedAt"),
+        F.when(s % 7 == 5, F.lit("not-a-date"))
+        .otherwise(F.concat(F.lit("2024-01-"), day, F.lit("T06:00:00.000Z"))).alias("updatedAt"))

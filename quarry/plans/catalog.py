@@ -470,3 +470,186 @@ SELECT (SELECT count(*) FROM r2 WHERE is_new) AS added,
   (SELECT count(*) FROM ent WHERE NOT first) - (SELECT count(*) FROM r2 WHERE is_new) AS refreshed""")
 def q_ladder_counts(spark, sf_dir):
     return _rosters(spark, sf_dir)[1]
+
+
+# =====================================================================
+# Storage family
+# =====================================================================
+from quarry.operators import storage as SO  # noqa: E402
+
+NOW_STORAGE = "2024-01-10T00:00:00.000Z"
+KEEP_NEWEST = 2
+
+_INV_CTE = """
+WITH inv AS (
+  SELECT doc_id, n_chars AS size, source AS snap, lang,
+    CASE lang WHEN 'en' THEN 'Mirage' WHEN 'fr' THEN 'Hardcore Mirage' WHEN 'de' THEN 'Standard'
+              WHEN 'es' THEN 'Mirage (PL1)' END AS league_name,
+    doc_id % 16 AS kind
+  FROM documents
+),
+cls AS (
+  SELECT doc_id, size, lang, snap,
+    CASE kind WHEN 0 THEN 'detail' WHEN 15 THEN 'detail' WHEN 1 THEN 'agg' WHEN 2 THEN 'meta'
+      WHEN 3 THEN 'raw' WHEN 4 THEN 'chunk' WHEN 5 THEN 'snapshot-state' WHEN 6 THEN 'worker-result'
+      WHEN 7 THEN 'roster' WHEN 8 THEN 'checkpoint' WHEN 9 THEN 'worker' WHEN 10 THEN 'ip'
+      WHEN 11 THEN 'tree' WHEN 12 THEN 'economy' WHEN 13 THEN 'index' ELSE 'other' END AS category,
+    CASE WHEN kind IN (0, 15, 3, 4, 5, 6) THEN league_name END AS league,
+    CASE WHEN kind IN (0, 15, 3, 4, 5, 6) THEN snap END AS snapshot_id,
+    league_name
+  FROM inv
+),
+man AS (
+  SELECT CASE lang WHEN 'en' THEN 'Mirage' WHEN 'fr' THEN 'Hardcore Mirage' WHEN 'de' THEN 'Standard'
+              WHEN 'es' THEN 'Mirage (PL1)' END AS league,
+    source AS snapshot_id, s,
+    CASE WHEN s % 6 = 5 THEN 5 ELSE 6 END AS schemaVersion,
+    CASE s % 5 WHEN 0 THEN 'collecting' WHEN 1 THEN 'published' WHEN 2 THEN 'transforming'
+               WHEN 3 THEN 'aborted' ELSE 'ladder_capture' END AS phase,
+    '2024-01-' || lpad(CAST(s + 1 AS VARCHAR), 2, '0') || 'T12:00:00.000Z' AS ladderCapturedAt,
+    CASE WHEN s % 5 = 3 THEN '2024-01-' || lpad(CAST(s + 2 AS VARCHAR), 2, '0') || 'T00:00:00.000Z' END
+      AS abortedAt,
+    s * 10 + CASE lang WHEN 'en' THEN 0 WHEN 'fr' THEN 1 WHEN 'de' THEN 2 ELSE 3 END AS pos
+  FROM (SELECT DISTINCT lang, source, CAST(substr(source, 4) AS INTEGER) AS s FROM documents)
+),
+meta AS (
+  SELECT league, snapshot_id,
+    CASE WHEN s % 5 = 1 THEN '2024-01-' || lpad(CAST(s + 2 AS VARCHAR), 2, '0') || 'T00:00:00.000Z' END
+      AS completedAt,
+    CASE WHEN s % 7 = 5 THEN 'not-a-date'
+         ELSE '2024-01-' || lpad(CAST(s + 2 AS VARCHAR), 2, '0') || 'T06:00:00.000Z' END AS updatedAt
+  FROM man WHERE s % 7 <> 6
+),
+inflight AS (
+  SELECT DISTINCT league, snapshot_id FROM man
+  WHERE phase IN ('ladder_capture', 'collecting', 'transforming')
+),
+orph AS (
+  SELECT * FROM cls
+  WHERE category IN ('raw', 'chunk', 'snapshot-state', 'worker-result')
+    AND NOT EXISTS (SELECT 1 FROM inflight i
+                    WHERE i.league = cls.league AND i.snapshot_id = cls.snapshot_id)
+)"""
+
+
+def _classified(spark, sf_dir):
+    return SO.classify_inventory(AD.object_inventory(spark, sf_dir))
+
+
+@register("key_parse", _INV_CTE + """
+SELECT doc_id, category, league, snapshot_id, size FROM cls""")
+def q_key_parse(spark, sf_dir):
+    return _classified(spark, sf_dir).select("doc_id", "category", "league", "snapshot_id", "size")
+
+
+@register("usage_by_category", _INV_CTE + """
+SELECT c.category, CAST(coalesce(sum(cls.size), 0) AS BIGINT) AS bytes,
+  CAST(count(cls.size) AS BIGINT) AS objects
+FROM (VALUES ('index'), ('economy'), ('raw'), ('tree'), ('roster'), ('snapshot-state'),
+  ('worker-result'), ('chunk'), ('worker'), ('ip'), ('checkpoint'), ('detail'), ('agg'), ('meta'),
+  ('other')) AS c(category)
+LEFT JOIN cls ON cls.category = c.category GROUP BY c.category""")
+def q_usage_by_category(spark, sf_dir):
+    return SO.usage_by_category(_classified(spark, sf_dir))
+
+
+@register("snapshot_groups", _INV_CTE + """
+SELECT league, snapshot_id, category, count(*) AS objects, CAST(sum(size) AS BIGINT) AS bytes
+FROM cls WHERE snapshot_id IS NOT NULL GROUP BY ALL""")
+def q_snapshot_groups(spark, sf_dir):
+    return SO.group_by_snapshot(_classified(spark, sf_dir))
+
+
+@register("orphan_sweep", _INV_CTE + """
+SELECT doc_id, category, league, snapshot_id, size FROM orph""")
+def q_orphan_sweep(spark, sf_dir):
+    o = SO.orphans(_classified(spark, sf_dir), AD.manifests(spark, sf_dir))
+    return o.select("doc_id", "category", "league", "snapshot_id", "size")
+
+
+@register("legacy_sweep_plan", _INV_CTE + """
+SELECT category, CASE WHEN i.league IS NULL THEN 'doomed' ELSE 'protected' END AS status,
+  count(*) AS objects, CAST(sum(size) AS BIGINT) AS bytes
+FROM cls LEFT JOIN inflight i ON i.league = cls.league AND i.snapshot_id = cls.snapshot_id
+WHERE category IN ('chunk', 'raw') GROUP BY ALL""")
+def q_legacy_sweep_plan(spark, sf_dir):
+    return SO.legacy_sweep_plan(_classified(spark, sf_dir), AD.manifests(spark, sf_dir))
+
+
+@register("discard_aborted", _INV_CTE + """
+SELECT cls.doc_id, cls.category, cls.size FROM cls
+JOIN man ON man.league = cls.league_name AND man.snapshot_id = cls.snap
+WHERE man.phase = 'aborted'
+  AND cls.category IN ('detail', 'agg', 'meta', 'raw', 'chunk', 'snapshot-state', 'worker-result')""")
+def q_discard_aborted(spark, sf_dir):
+    m = SO.aborted_checkpoints(AD.manifests(spark, sf_dir)) \
+        .select("league", F.col("snapshotId").alias("snapshot_id"))
+    plan = SO.discard_plan(_classified(spark, sf_dir), m)
+    return plan.select("doc_id", "category", "size")
+
+
+@register("manifest_flags", _INV_CTE + f"""
+SELECT league, snapshot_id AS "snapshotId",
+  phase IN ('ladder_capture', 'collecting', 'transforming') AS in_flight,
+  phase IN ('collecting', 'transforming') AS live,
+  epoch_ms(TIMESTAMPTZ '{NOW_STORAGE}') - epoch_ms(CAST(ladderCapturedAt AS TIMESTAMPTZ))
+    > 48 * 3600000 AS aged,
+  coalesce(epoch_ms(TIMESTAMPTZ '{NOW_STORAGE}') - epoch_ms(CAST(abortedAt AS TIMESTAMPTZ))
+    < 72 * 3600000, false) AS cooling_down,
+  (phase IN ('ladder_capture', 'collecting', 'transforming') AND schemaVersion <> 6) AS foreign_schema,
+  phase = 'aborted' AS aborted
+FROM man""")
+def q_manifest_flags(spark, sf_dir):
+    m = AD.manifests(spark, sf_dir)
+    inflight = F.col("phase").isin("ladder_capture", "collecting", "transforming")
+    foreign = SO.foreign_schema(m).select("league", "snapshotId").withColumn("__f", F.lit(True))
+    out = m.join(foreign, ["league", "snapshotId"], "left").select(
+        "league", "snapshotId", inflight.alias("in_flight"),
+        F.col("phase").isin("collecting", "transforming").alias("live"),
+        SO.aged(m, NOW_STORAGE, 48).alias("aged"),
+        F.coalesce(SO.cooldown(NOW_STORAGE, 72), F.lit(False)).alias("cooling_down"),
+        F.coalesce(F.col("__f"), F.lit(False)).alias("foreign_schema"),
+        (F.col("phase") == "aborted").alias("aborted"))
+    return out
+
+
+@register("pick_league", _INV_CTE + """
+SELECT coalesce((SELECT league FROM man WHERE phase IN ('ladder_capture', 'collecting', 'transforming')
+                 ORDER BY (league = 'Standard') DESC, pos LIMIT 1), 'Standard') AS league""")
+def q_pick_league(spark, sf_dir):
+    return SO.pick_league(AD.manifests(spark, sf_dir), "Standard")
+
+
+@register("trim_plan", _INV_CTE + f""",
+tot AS (SELECT CAST((SELECT sum(size) FROM cls) - coalesce((SELECT sum(size) FROM orph), 0) AS BIGINT)
+               AS total),
+det AS (SELECT league, snapshot_id, CAST(sum(size) AS BIGINT) AS bytes FROM cls
+        WHERE category = 'detail' GROUP BY ALL),
+aged AS (
+  SELECT det.*, coalesce(CAST(epoch_ms(TRY_CAST(coalesce(meta.completedAt, meta.updatedAt)
+                                                AS TIMESTAMPTZ)) AS DOUBLE), '-inf'::DOUBLE) AS age_ms
+  FROM det LEFT JOIN meta ON det.league = meta.league AND det.snapshot_id = meta.snapshot_id
+),
+prot AS (
+  SELECT *, row_number() OVER (PARTITION BY league ORDER BY age_ms DESC, snapshot_id)
+            <= {KEEP_NEWEST} AS protected
+  FROM aged
+)
+SELECT league, snapshot_id, bytes, age_ms, protected,
+  (SELECT total FROM tot) - coalesce(sum(bytes) OVER (ORDER BY age_ms, league, snapshot_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) > (SELECT total FROM tot) / 2.0 AS trimmed
+FROM prot WHERE NOT protected
+UNION ALL
+SELECT league, snapshot_id, bytes, age_ms, protected, false FROM prot WHERE protected""")
+def q_trim_plan(spark, sf_dir):
+    cls = _classified(spark, sf_dir)
+    swept = SO.orphans(cls, AD.manifests(spark, sf_dir))
+    total = cls.agg(F.sum("size").alias("__all")).crossJoin(
+        swept.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("__swept"))) \
+        .select((F.col("__all") - F.col("__swept")).alias("__total"))
+    details = (cls.where(F.col("category") == "detail")
+               .groupBy("league", "snapshot_id").agg(F.sum("size").alias("bytes")))
+    aged = SO.protect_newest(SO.snapshot_age(details, AD.snapshot_meta(spark, sf_dir)), KEEP_NEWEST)
+    with_total = aged.crossJoin(F.broadcast(total))
+    plan = SO.trim_plan(with_total, F.col("__total"), F.col("__total") / 2.0)
+    return plan.select("league", "snapshot_id", "bytes", "age_ms", "protected", "trimmed")
