@@ -372,3 +372,52 @@ def snapshot_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(s % 5 == 1, F.concat(F.lit("2024-01-"), day, F.lit("T00:00:00.000Z"))).alias("completedAt"),
         F.when(s % 7 == 5, F.lit("not-a-date"))
         .otherwise(F.concat(F.lit("2024-01-"), day, F.lit("T06:00:00.000Z"))).alias("updatedAt"))
+
+
+# ---------------------------------------------------------- request family
+# Status per event type; the advertised limit header.
+EVENT_STATUS = {"purchase": "200", "view": "403", "signup": "404", "error": "500", "click": "429"}
+LIMIT_HEADER = "2:3600:60,5:86400:600"
+
+
+def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HTTP responses from ``events``: ip = user, JSON body = props, rate
+    headers on every response, Retry-After (seconds) on 429s."""
+    e = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    state = F.concat((k % 5).cast("string"), F.lit(":3600:"),
+                     F.when(k % 3 == 0, F.lit("60")).otherwise(F.lit("0")), F.lit(","),
+                     (k % 7).cast("string"), F.lit(":86400:0"))
+    status = _case("event_type", EVENT_STATUS).cast("int")
+    base = F.create_map(F.lit("x-rate-limit-rules"), F.lit("Ip"),
+                        F.lit("x-rate-limit-ip"), F.lit(LIMIT_HEADER),
+                        F.lit("x-rate-limit-ip-state"), state)
+    retry = F.create_map(F.lit("retry-after"), F.floor("value").cast("string"))
+    headers = F.when(status == 429, F.map_concat(base, retry)).otherwise(base)
+    body = F.when(status == 500, F.lit("upstream failure")).otherwise(F.col("props"))
+    return e.select(F.col("user_id").cast("string").alias("ip"), F.col("event_id").alias("seq"),
+                    F.col("ts").cast("timestamp").alias("ts"),
+                    F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"),
+                    status.alias("status"), headers.alias("headers"), body.alias("body"))
+
+
+def response_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses with HTML (pages), prose (documents) and JSON (events)
+    bodies for the classifier."""
+    p = table(spark, sf_dir, "pages")
+    d = table(spark, sf_dir, "documents")
+    empty = F.create_map().cast("map<string,string>")
+    pages = p.select(F.lit("pages").alias("source"), F.col("page_id").alias("id"),
+                     F.element_at(F.array(*[F.lit(x) for x in (200, 403, 404, 503, 400)]),
+                                  (F.col("page_id") % 5 + 1).cast("int")).alias("status"),
+                     F.when(F.col("page_id") % 7 == 0,
+                            F.create_map(F.lit("cf-mitigated"), F.lit("challenge")))
+                     .otherwise(empty).alias("headers"),
+                     F.col("html").alias("body"))
+    docs = d.select(F.lit("documents").alias("source"), F.col("doc_id").alias("id"),
+                    F.element_at(F.array(*[F.lit(x) for x in (200, 403, 404, 418)]),
+                                 (F.col("doc_id") % 4 + 1).cast("int")).alias("status"),
+                    empty.alias("headers"), F.col("text").alias("body"))
+    ev = request_log(spark, sf_dir).select(F.lit("events").alias("source"), F.col("seq").alias("id"),
+                                           "status", "headers", "body")
+    return pages.unionByName(docs).unionByName(ev)

@@ -653,3 +653,151 @@ def q_trim_plan(spark, sf_dir):
     with_total = aged.crossJoin(F.broadcast(total))
     plan = SO.trim_plan(with_total, F.col("__total"), F.col("__total") / 2.0)
     return plan.select("league", "snapshot_id", "bytes", "age_ms", "protected", "trimmed")
+
+
+# =====================================================================
+# Request-log family
+# =====================================================================
+from quarry.operators import requests as RQ  # noqa: E402
+
+
+def _windows_from_header(header: str, headroom: float = RQ.HEADROOM) -> list[tuple[int, int]]:
+    """Pacing windows of a configured limit header (same rule as F14 +
+    windows_of, evaluated on the configuration string)."""
+    import math
+    out = []
+    for part in header.split(","):
+        hits, period, _pen = (int(x) for x in part.strip().split(":"))
+        if hits > 0 and period > 0:
+            out.append((max(1, math.floor(hits * headroom)), period * 1000))
+    return out
+
+
+_CLASSIFY_SQL = r"""
+WITH r AS (
+  SELECT 'pages' AS source, page_id AS id,
+    [200, 403, 404, 503, 400][page_id % 5 + 1] AS status,
+    page_id % 7 = 0 AS flagged, html AS body FROM pages
+  UNION ALL
+  SELECT 'documents', doc_id, [200, 403, 404, 418][doc_id % 4 + 1], false, text FROM documents
+  UNION ALL
+  SELECT 'events', event_id,
+    CASE event_type WHEN 'purchase' THEN 200 WHEN 'view' THEN 403 WHEN 'signup' THEN 404
+      WHEN 'error' THEN 500 WHEN 'click' THEN 429 END,
+    false, CASE WHEN event_type = 'error' THEN 'upstream failure' ELSE props END FROM events
+),
+h AS (
+  SELECT *, json_valid(body) AS is_json,
+    lower(substr(regexp_replace(body, '^\s+', ''), 1, 600)) AS h600,
+    lower(substr(regexp_replace(body, '^\s+', ''), 1, 400)) AS h400
+  FROM r
+),
+c AS (
+  SELECT source, id, status,
+    CASE WHEN status = 429 THEN 'rate_limited'
+         WHEN status >= 500 THEN 'server_error'
+         WHEN is_json THEN CASE WHEN status = 404 THEN 'dead' WHEN status = 403 THEN 'private'
+                                WHEN status >= 400 THEN 'client_error' ELSE 'json' END
+         WHEN flagged OR contains(h600, 'just a moment') OR contains(h600, '/cdn-cgi/challenge-platform')
+              OR contains(h600, 'cf-challenge') OR contains(h600, '__cf_chl') THEN 'challenge'
+         WHEN status = 404 THEN 'dead'
+         WHEN status = 403 THEN 'private'
+         WHEN starts_with(h400, '<') OR contains(h400, '<!doctype html') OR contains(h400, 'cloudflare')
+              OR contains(h400, 'just a moment') THEN 'challenge'
+         ELSE 'server_error' END AS category
+  FROM h
+)
+SELECT source, id, status, category,
+  CASE WHEN category = 'json' THEN 'ok' WHEN category IN ('private', 'dead', 'rate_limited')
+       THEN category ELSE 'retryable' END AS kind,
+  CASE WHEN category = 'rate_limited' THEN 'throttled' WHEN category = 'challenge' THEN 'challenge'
+       WHEN category IN ('server_error', 'client_error') THEN 'error' ELSE 'ok' END AS signal
+FROM c"""
+
+
+@register("response_categories", _CLASSIFY_SQL)
+def q_response_categories(spark, sf_dir):
+    c = RQ.classify_response(AD.response_bodies(spark, sf_dir))
+    return c.select("source", "id", "status", "category", RQ.result_kind().alias("kind"),
+                    RQ.signal().alias("signal"))
+
+
+_WINDOWS = _windows_from_header(AD.LIMIT_HEADER)
+
+
+def _quota_oracle() -> str:
+    parts = []
+    for cap, period in _WINDOWS:
+        parts.append(f"""
+  SELECT ip, seq, {cap} AS cap, CAST({period} AS BIGINT) AS period_ms,
+    count(*) OVER (PARTITION BY ip ORDER BY ts_ms RANGE BETWEEN {period - 1} PRECEDING
+                   AND CURRENT ROW) AS hits,
+    lag(ts_ms, {cap}) OVER (PARTITION BY ip ORDER BY ts_ms, seq) + {period} AS e, ts_ms
+  FROM lg""")
+    return ("WITH lg AS (SELECT CAST(user_id AS VARCHAR) AS ip, event_id AS seq, epoch_us(ts) // 1000 AS ts_ms "
+            "FROM events), q AS (" + " UNION ALL ".join(parts) + """)
+SELECT ip, seq, cap, period_ms, hits, coalesce(e > ts_ms, false) AS violation,
+  CASE WHEN e > ts_ms THEN e END AS earliest_ms
+FROM q""")
+
+
+@register("quota_audit", _quota_oracle())
+def q_quota_audit(spark, sf_dir):
+    log = AD.request_log(spark, sf_dir).select("ip", "seq", "ts_ms")
+    a = RQ.quota_audit(log, _WINDOWS)
+    return a.select("ip", "seq", "cap", "period_ms", "hits", "violation", "earliest_ms")
+
+
+@register("danger_streaks", """
+WITH lg AS (
+  SELECT CAST(user_id AS VARCHAR) AS ip, event_id AS seq, epoch_us(ts) // 1000 AS ts_ms,
+    CASE event_type WHEN 'error' THEN 'error' WHEN 'click' THEN 'throttled' ELSE 'ok' END AS sig,
+    CASE WHEN event_type = 'click' THEN CAST(floor(value) AS BIGINT) * 1000 END AS retry_ms
+  FROM events
+),
+isl AS (
+  SELECT *,
+    sum(CASE WHEN sig IN ('throttled', 'challenge') THEN 0 ELSE 1 END)
+      OVER (PARTITION BY ip ORDER BY ts_ms, seq ROWS UNBOUNDED PRECEDING) AS ti,
+    sum(CASE WHEN sig = 'error' THEN 0 ELSE 1 END)
+      OVER (PARTITION BY ip ORDER BY ts_ms, seq ROWS UNBOUNDED PRECEDING) AS ei
+  FROM lg
+),
+st AS (
+  SELECT *,
+    CAST(CASE WHEN sig IN ('throttled', 'challenge') THEN
+      sum(CASE WHEN sig IN ('throttled', 'challenge') THEN 1 ELSE 0 END)
+        OVER (PARTITION BY ip, ti ORDER BY ts_ms, seq ROWS UNBOUNDED PRECEDING) ELSE 0 END AS BIGINT)
+      AS throttle_streak,
+    CAST(CASE WHEN sig = 'error' THEN
+      sum(CASE WHEN sig = 'error' THEN 1 ELSE 0 END)
+        OVER (PARTITION BY ip, ei ORDER BY ts_ms, seq ROWS UNBOUNDED PRECEDING) ELSE 0 END AS BIGINT)
+      AS error_streak
+  FROM isl
+)
+SELECT ip, seq, sig AS signal, throttle_streak, error_streak,
+  CASE WHEN sig IN ('throttled', 'challenge')
+         THEN CAST(least(300000.0, coalesce(CAST(retry_ms AS DOUBLE), 5000 * pow(2, throttle_streak - 1))) AS BIGINT)
+       WHEN sig = 'error'
+         THEN CAST(least(300000.0, coalesce(CAST(retry_ms AS DOUBLE), 2000 * pow(2, error_streak - 1))) AS BIGINT)
+  END AS backoff_ms,
+  throttle_streak >= 3 OR error_streak >= 8 AS abort
+FROM st""")
+def q_danger_streaks(spark, sf_dir):
+    log = RQ.classify_response(AD.request_log(spark, sf_dir))
+    log = log.select("ip", "seq", "ts_ms", RQ.signal().alias("signal"),
+                     RQ.retry_after_ms(F.col("headers"), F.col("ts")).alias("retry_ms"))
+    s = RQ.danger_streaks(log)
+    return s.select("ip", "seq", "signal", "throttle_streak", "error_streak", "backoff_ms", "abort")
+
+
+@register("rate_rule_summary", f"""
+WITH st AS (
+  SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
+)
+SELECT 'Ip' AS rule, t.hits, t.period_sec, t.penalty_sec, (SELECT count(*) FROM events) AS responses,
+  (SELECT CAST(coalesce(max(CASE WHEN k % 5 > 0 AND k % 3 = 0 THEN 60 ELSE 0 END), 0) AS INTEGER)
+   FROM st) AS max_restriction_sec
+FROM (VALUES (2, 3600, 60), (5, 86400, 600)) AS t(hits, period_sec, penalty_sec)""")
+def q_rate_rule_summary(spark, sf_dir):
+    return RQ.rate_rule_summary(AD.request_log(spark, sf_dir))
