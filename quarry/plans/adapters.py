@@ -421,3 +421,41 @@ def response_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = request_log(spark, sf_dir).select(F.lit("events").alias("source"), F.col("seq").alias("id"),
                                            "status", "headers", "body")
     return pages.unionByName(docs).unionByName(ev)
+
+
+# ---------------------------------------------------------- economy family
+def league_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """League rows from ``nation``: region 0 nations are permanent; start
+    and end dates from the nation key, some missing or unparsable."""
+    n = table(spark, sf_dir, "nation")
+    k = F.col("n_nationkey")
+    day = lambda off: F.lpad(((k + off) % 28 + 1).cast("string"), 2, "0")
+    return n.select(
+        F.col("n_name").alias("id"),
+        F.when(F.col("n_regionkey") == 0, F.lit("Standard"))
+        .otherwise(F.concat(F.lit("cat"), F.col("n_regionkey").cast("string"))).alias("category_id"),
+        F.when(k % 6 == 5, F.lit(None).cast("string"))
+        .when(k % 6 == 4, F.lit("soon"))
+        .otherwise(F.concat(F.lit("2024-01-"), day(0), F.lit("T00:00:00Z"))).alias("start_at"),
+        F.when(k % 4 == 0, F.lit(None).cast("string"))
+        .when(k % 4 == 3, F.lit("garbage"))
+        .otherwise(F.concat(F.lit("2024-02-"), day(3), F.lit("T00:00:00Z"))).alias("end_at"),
+        k.alias("pos"))
+
+
+def economy_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category fetches from ``events``: league = the user's nation, pair =
+    event_id mod 43 in catalogue order, status by event type."""
+    from quarry.operators.economy import CATALOGUE_PAIRS
+    e = table(spark, sf_dir, "events")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    cat = spark.createDataFrame([(i, ep, t) for i, (ep, t) in enumerate(CATALOGUE_PAIRS)],
+                                "pair_pos int, endpoint string, type string")
+    j = (e.join(c, e["user_id"] == c["c_custkey"]).join(n, c["c_nationkey"] == n["n_nationkey"])
+         .withColumn("pair_pos", (F.col("event_id") % len(CATALOGUE_PAIRS)).cast("int"))
+         .join(F.broadcast(cat), "pair_pos"))
+    status = F.when(F.col("event_type") == "error", 500).when(F.col("event_type") == "click", 429) \
+        .otherwise(200)
+    return j.select(F.col("n_name").alias("league"), "endpoint", "type", status.alias("status"),
+                    "ts", F.col("event_id").alias("seq"))

@@ -801,3 +801,175 @@ SELECT 'Ip' AS rule, t.hits, t.period_sec, t.penalty_sec, (SELECT count(*) FROM
 FROM (VALUES (2, 3600, 60), (5, 86400, 600)) AS t(hits, period_sec, penalty_sec)""")
 def q_rate_rule_summary(spark, sf_dir):
     return RQ.rate_rule_summary(AD.request_log(spark, sf_dir))
+
+
+# =====================================================================
+# Economy (P15, U4, J8, A16, V4) and quality gates
+# =====================================================================
+from quarry.operators import economy as EC  # noqa: E402
+from quarry.operators import normalize as NZ  # noqa: E402
+from quarry.operators import quality as QA  # noqa: E402
+
+NOW_ECONOMY = "2024-01-20T00:00:00.000Z"
+
+_LEAGUES_CTE = f"""
+WITH lr AS (
+  SELECT n_name AS id,
+    CASE WHEN n_regionkey = 0 THEN 'Standard' ELSE 'cat' || n_regionkey END AS category_id,
+    CASE WHEN n_nationkey % 6 = 5 THEN NULL WHEN n_nationkey % 6 = 4 THEN 'soon'
+         ELSE '2024-01-' || lpad(CAST(n_nationkey % 28 + 1 AS VARCHAR), 2, '0') || 'T00:00:00Z' END
+      AS start_at,
+    CASE WHEN n_nationkey % 4 = 0 THEN NULL WHEN n_nationkey % 4 = 3 THEN 'garbage'
+         ELSE '2024-02-' || lpad(CAST((n_nationkey + 3) % 28 + 1 AS VARCHAR), 2, '0') || 'T00:00:00Z' END
+      AS end_at,
+    n_nationkey AS pos
+  FROM nation
+),
+kept AS (
+  SELECT id, min(pos) AS pos FROM lr
+  WHERE coalesce(category_id, '') <> 'Standard' AND start_at IS NOT NULL
+    AND NOT coalesce(TRY_CAST(start_at AS TIMESTAMPTZ) > TIMESTAMPTZ '{NOW_ECONOMY}', false)
+    AND NOT (end_at IS NOT NULL
+             AND coalesce(TRY_CAST(end_at AS TIMESTAMPTZ) <= TIMESTAMPTZ '{NOW_ECONOMY}', false))
+  GROUP BY id
+),
+act AS (
+  SELECT id, row_number() OVER (ORDER BY pos NULLS LAST, id) - 1 AS position FROM (
+    SELECT id, pos FROM kept
+    UNION ALL SELECT 'Standard', NULL WHERE NOT EXISTS (SELECT 1 FROM kept WHERE id = 'Standard'))
+)"""
+
+
+@register("active_leagues", _LEAGUES_CTE + "\nSELECT id, position FROM act")
+def q_active_leagues(spark, sf_dir):
+    return EC.active_leagues(AD.league_rows(spark, sf_dir), NOW_ECONOMY)
+
+
+_PAIRS_VALUES = ", ".join(f"({i}, '{ep}', '{t}')" for i, (ep, t) in enumerate(EC.CATALOGUE_PAIRS))
+_ECON_CTE = _LEAGUES_CTE + f""",
+cat AS (SELECT * FROM (VALUES {_PAIRS_VALUES}) AS v(pair_pos, endpoint, type)),
+resp AS (
+  SELECT n.n_name AS league, cat.endpoint, cat.type,
+    CASE WHEN e.event_type = 'error' THEN 500 WHEN e.event_type = 'click' THEN 429 ELSE 200 END
+      AS status, e.ts, e.event_id AS seq
+  FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN cat ON cat.pair_pos = e.event_id % {len(EC.CATALOGUE_PAIRS)}
+),
+seen AS (
+  SELECT league, endpoint, type, bool_or(status = 200) AS fetched,
+    arg_max(status, (ts, seq)) AS last_status
+  FROM resp GROUP BY ALL
+),
+comp AS (
+  SELECT act.id AS league, cat.pair_pos, cat.endpoint, cat.type,
+    coalesce(seen.fetched, false) AS fetched,
+    CASE WHEN coalesce(seen.fetched, false) THEN NULL
+         WHEN seen.last_status IS NULL THEN 'not fetched'
+         ELSE 'http-' || seen.last_status END AS reason
+  FROM act CROSS JOIN cat
+  LEFT JOIN seen ON seen.league = act.id AND seen.endpoint = cat.endpoint AND seen.type = cat.type
+)"""
+
+
+def _completeness(spark, sf_dir):
+    leagues = EC.active_leagues(AD.league_rows(spark, sf_dir), NOW_ECONOMY)
+    return EC.economy_completeness(leagues, AD.economy_responses(spark, sf_dir))
+
+
+@register("economy_completeness", _ECON_CTE + """
+SELECT league, pair_pos, endpoint, type, fetched, reason FROM comp""")
+def q_economy_completeness(spark, sf_dir):
+    return _completeness(spark, sf_dir)
+
+
+@register("economy_report", _ECON_CTE + """
+SELECT league, count(*) FILTER (WHERE fetched) AS categories_fetched,
+  coalesce(string_agg(pair_pos || ':' || endpoint || '/' || type || '=' || reason, ';'
+                      ORDER BY pair_pos) FILTER (WHERE NOT fetched), '') AS failures,
+  count(*) FILTER (WHERE NOT fetched) = 0 AS written
+FROM comp GROUP BY league""")
+def q_economy_report(spark, sf_dir):
+    rep = EC.economy_league_report(_completeness(spark, sf_dir))
+    text = F.array_join(F.transform("failures", lambda f: F.concat(
+        f["pair_pos"].cast("string"), F.lit(":"), f["endpoint"], F.lit("/"), f["type"], F.lit("="),
+        f["reason"])), ";")
+    return rep.select("league", "categories_fetched", text.alias("failures"), "written")
+
+
+@register("tree_coverage", _PASSIVES_CTE + """
+, tc AS (
+  SELECT ta.character_key, ta.node_hash, p.p_partkey IS NOT NULL AS resolved
+  FROM ta LEFT JOIN part p ON p.p_partkey = ta.node_hash
+)
+SELECT h.distinct_allocated, h.distinct_resolved, c.characters_with_passives,
+  c.fully_resolved_characters,
+  CASE WHEN h.distinct_allocated = 0 THEN 0.0
+       ELSE h.distinct_resolved / h.distinct_allocated END AS resolve_rate,
+  (CASE WHEN h.distinct_allocated = 0 THEN 0.0 ELSE h.distinct_resolved / h.distinct_allocated END) >= 0.9
+    AND c.characters_with_passives > 0 AS passes
+FROM (SELECT count(*) AS distinct_allocated, count(*) FILTER (WHERE r) AS distinct_resolved
+      FROM (SELECT node_hash, bool_or(resolved) AS r FROM tc GROUP BY node_hash)) h,
+     (SELECT count(*) AS characters_with_passives, count(*) FILTER (WHERE f) AS fully_resolved_characters
+      FROM (SELECT character_key, bool_and(resolved) AS f FROM tc GROUP BY character_key)) c""")
+def q_tree_coverage(spark, sf_dir):
+    s = _snap(spark, sf_dir)
+    return QA.tree_gate(AG.coverage_rate(NZ.tree_allocations(s.chars), s.tree))
+
+
+@register("unresolved_topk", _PASSIVES_CTE + """
+SELECT node_hash, count(*) AS occurrences FROM ta
+WHERE NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = ta.node_hash)
+GROUP BY node_hash ORDER BY occurrences DESC, node_hash LIMIT 20""")
+def q_unresolved_topk(spark, sf_dir):
+    s = _snap(spark, sf_dir)
+    return AG.unresolved_topk(NZ.tree_allocations(s.chars), s.tree, 20)
+
+
+def _gate_metrics(spark, sf_dir):
+    s = _snap(spark, sf_dir)
+    state = AD.snapshot_state(spark, sf_dir)
+    tally = AG.tally_outcomes(state)
+    rows = s.chars.agg(F.count(F.lit(1)).alias("character_rows"))
+    cls = AG.class_distribution(s.table("characters")).agg(
+        F.count(F.lit(1)).alias("class_rows"), F.coalesce(F.sum("count"), F.lit(0)).alias("class_total"))
+    m = tally.crossJoin(rows).crossJoin(cls)
+    return m.select(
+        F.lit(6).alias("schema_version"), F.lit(NOW_1).alias("ladder_captured_at"),
+        ((F.col("pending") + F.col("retryable")) == 0).alias("complete"),
+        F.lit(None).cast("string").alias("completed_at"),
+        (F.col("pending") + F.col("retryable")).alias("pending"), F.col("skipped"),
+        (F.col("pending") + F.col("retryable")).alias("meta_pending"), F.col("skipped").alias("meta_skipped"),
+        "ok", "private", "dead",
+        sum(F.col(k) for k in ("pending", "ok", "private", "retryable", "dead", "skipped"))
+        .alias("total_characters"),
+        "character_rows", F.col("character_rows").alias("meta_character_count"),
+        "class_rows", "class_total",
+        F.array(*[F.struct(F.lit(k).alias("kind"), F.col("character_rows").alias("total"))
+                  for k in ("class_distribution", "skill_popularity", "unique_usage",
+                            "keystone_usage")]).alias("agg_totals"))
+
+
+@register("snapshot_gate", _SNAP_CTE + """,
+t AS (
+  SELECT count(*) FILTER (WHERE o_orderstatus = 'F') AS ok,
+    count(*) FILTER (WHERE o_orderstatus = 'P') AS private, 0 AS dead,
+    count(*) FILTER (WHERE o_orderstatus = 'O') AS pending, 0 AS skipped, count(*) AS total
+  FROM orders
+),
+m AS (SELECT t.*, (SELECT count(*) FROM ch) AS rows,
+             (SELECT count(DISTINCT c_mktsegment) FROM ch) AS class_rows FROM t)
+SELECT pending = 0 AS complete, ok, rows AS character_rows,
+  array_to_string(list_filter([
+    CASE WHEN pending = 0 THEN 'complete snapshot without completion time' END,
+    CASE WHEN pending = 0 THEN 'incomplete snapshot owes no characters' END,
+    CASE WHEN ok + private + dead + pending + skipped <> total THEN 'coverage mismatch' END,
+    CASE WHEN rows <> ok THEN 'characters rows ' || rows || ' differ from ok coverage ' || ok END,
+    CASE WHEN ok > 0 AND rows = 0 THEN 'ok coverage but no character rows' END,
+    CASE WHEN ok > 0 AND class_rows = 0 THEN 'class distribution is empty' END,
+    CASE WHEN ok <= 0 THEN 'zero collected characters' END], lambda x: x IS NOT NULL), '; ') AS errors,
+  rows = ok AND ok > 0 AND pending > 0 AS ok_to_publish
+FROM m""")
+def q_snapshot_gate(spark, sf_dir):
+    v = QA.validate_snapshot(_gate_metrics(spark, sf_dir))
+    return v.select("complete", "ok", "character_rows", F.array_join("errors", "; ").alias("errors"),
+                    "ok_to_publish")
