@@ -973,3 +973,57 @@ def q_snapshot_gate(spark, sf_dir):
     v = QA.validate_snapshot(_gate_metrics(spark, sf_dir))
     return v.select("complete", "ok", "character_rows", F.array_join("errors", "; ").alias("errors"),
                     "ok_to_publish")
+
+
+# =====================================================================
+# Streaming (R1, R3, R4, R5): file streams staged under the shared
+# checkpoint folder, run with availableNow, read back as tables.
+# =====================================================================
+from quarry.session import checkpoint_root  # noqa: E402
+from quarry.streaming import incremental as SM  # noqa: E402
+
+
+@register("stream_merge_results", _STATE_CTE + """
+SELECT ordinal, account, "character", outcome, attempts, fetchedAt FROM merged""")
+def q_stream_merge_results(spark, sf_dir):
+    """The batch merge (J3) re-done as a file stream of result files."""
+    root = checkpoint_root(spark, "stream-merge", unique=True)
+    results = AD.event_results(spark, sf_dir)
+    src = SM.stage_files(results, f"{root}/results", 4, ["seq"])
+    seed = _seeded(spark, sf_dir).select(
+        "ordinal", "account", "character", "outcome", "attempts", "fetchedAt",
+        F.lit(None).cast("string").alias("file"), F.lit(None).cast("long").alias("seq"))
+    schema = spark.read.parquet(src).schema
+    final = SM.incremental_merge(spark, seed, src, schema, root)
+    return spark.read.parquet(final).select("ordinal", "account", "character", "outcome",
+                                            "attempts", "fetchedAt")
+
+
+@register("stream_latest_event", """
+SELECT user_id, event_id, event_type, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def q_stream_latest_event(spark, sf_dir):
+    """Latest event per user, as keyed streaming state."""
+    root = checkpoint_root(spark, "stream-latest", unique=True)
+    ev = AD.table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    src = SM.stage_files(ev, f"{root}/events", 4, ["ts", "event_id"])
+    table = SM.latest_state(spark, src, spark.read.parquet(src).schema, root,
+                            ["user_id"], ["ts", "event_id"])
+    return SM.read_latest(spark, table, ["user_id"]).select("user_id", "event_id", "event_type", "value")
+
+
+@register("stream_hourly_quota", """
+SELECT CAST(user_id AS VARCHAR) AS ip,
+  strftime(time_bucket(INTERVAL 1 hour, ts), '%Y-%m-%dT%H:%M:%S') AS window_start,
+  count(*) AS hits
+FROM events GROUP BY ALL""")
+def q_stream_hourly_quota(spark, sf_dir):
+    """Hits per ip per hour with a watermark for late log lines."""
+    root = checkpoint_root(spark, "stream-quota", unique=True)
+    log = AD.request_log(spark, sf_dir).select("ip", "ts", "seq")
+    src = SM.stage_files(log, f"{root}/log", 4, ["ts", "seq"])
+    table = SM.streaming_quota(spark, src, spark.read.parquet(src).schema, root,
+                               "ip", "ts", "1 hour", "2 hours")
+    latest = SM.read_latest(spark, table, ["ip", "window_start"])
+    return latest.select("ip", F.date_format("window_start", "yyyy-MM-dd'T'HH:mm:ss").alias("window_start"),
+                         "hits")
