@@ -927,7 +927,7 @@ def q_unresolved_topk(spark, sf_dir):
 
 def _gate_metrics(spark, sf_dir):
     s = _snap(spark, sf_dir)
-    state = AD.snapshot_state(spark, sf_dir)
+    state = snapshot.staged_state(spark, sf_dir)
     tally = AG.tally_outcomes(state)
     rows = s.chars.agg(F.count(F.lit(1)).alias("character_rows"))
     cls = AG.class_distribution(s.table("characters")).agg(
