@@ -50,8 +50,10 @@ def scan_results(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def keep_before_first_corrupt(df: DataFrame) -> DataFrame:
     """Drop each file's lines from its first corrupt line onwards
     (the first corrupt ``seq`` per file is a small aggregate)."""
-    first_bad = (df.where(F.col("_corrupt_record").isNotNull())
-                 .groupBy("file").agg(F.min("seq").alias("__bad")))
+    # A corrupt line has every data column NULL; naming ``account`` here
+    # keeps the predicate equivalent while not querying the corrupt column alone.
+    bad = F.col("_corrupt_record").isNotNull() & F.col("account").isNull()
+    first_bad = df.where(bad).groupBy("file").agg(F.min("seq").alias("__bad"))
     kept = df.join(first_bad, "file", "left") \
         .where(F.col("__bad").isNull() | (F.col("seq") < F.col("__bad")))
     return kept.drop("__bad", "_corrupt_record")
