@@ -179,34 +179,55 @@ def quota_audit(log: DataFrame, windows: Sequence[tuple[int, int]], by: str = "i
 
 
 # ------------------------------------------------------------------ W7
+def _streak(df: DataFrame, by: str, ts_ms: str, seq: str, hit: Column, name: str,
+            bucket_ms: int) -> DataFrame:
+    """Length of the current run of ``hit`` rows per key (0 on other rows).
+
+    streak = idx - (index of the last non-hit row at or before it), with
+    both prefix quantities computed in two passes: window functions per
+    (key, time bucket), then per-bucket carries from a small table of one
+    row per (key, bucket). A hot key spreads over its buckets."""
+    b = F.floor(F.col(ts_ms) / F.lit(bucket_ms))
+    w_local = Window.partitionBy(by, "__b").orderBy(F.col(ts_ms), F.col(seq))
+    w_run = w_local.rowsBetween(Window.unboundedPreceding, 0)
+    local = (df.withColumn("__b", b)
+             .withColumn("__hit", hit)
+             .withColumn("__i", F.row_number().over(w_local))
+             .withColumn("__r", F.max(F.when(~F.col("__hit"), F.col("__i"))).over(w_run)))
+    per_bucket = local.groupBy(by, "__b").agg(
+        F.count(F.lit(1)).alias("__n"), F.max(F.when(~F.col("__hit"), F.col("__i"))).alias("__lr"))
+    w_prev = Window.partitionBy(by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carries = (per_bucket
+               .withColumn("__off", F.coalesce(F.sum("__n").over(w_prev), F.lit(0)))
+               .withColumn("__abs_lr", F.col("__off") + F.col("__lr"))
+               .withColumn("__carry", F.coalesce(F.max("__abs_lr").over(w_prev), F.lit(0)))
+               .select(by, "__b", "__off", "__carry"))
+    j = local.join(carries, [by, "__b"])
+    last_reset = F.coalesce(F.col("__off") + F.col("__r"), F.col("__carry"))
+    streak = F.when(F.col("__hit"), F.col("__off") + F.col("__i") - last_reset).otherwise(F.lit(0))
+    return j.withColumn(name, streak.cast("long")).drop("__b", "__hit", "__i", "__r", "__off", "__carry")
+
+
 def danger_streaks(log: DataFrame, by: str = "ip", ts_ms: str = "ts_ms", seq: str = "seq",
-                   signal_col: str = "signal", retry_col: str = "retry_ms") -> DataFrame:
+                   signal_col: str = "signal", retry_col: str = "retry_ms",
+                   bucket_ms: int = 3_600_000) -> DataFrame:
     """Consecutive throttle/challenge run (reset by ok or error) and
     consecutive error run (reset by ok or throttle), the back-off each
     response earns (Retry-After, else base * 2^(n-1), capped) and the abort
-    flags at 3 throttles / 8 errors. Gaps-and-islands: an island id is the
-    running count of resets, the streak is the running count inside it."""
+    flags at 3 throttles / 8 errors. Runs are measured with skew-safe
+    two-pass prefix computations (see ``_streak``)."""
     sig = F.col(signal_col)
     thr = sig.isin("throttled", "challenge")
     err = sig == "error"
-    w = Window.partitionBy(by).orderBy(F.col(ts_ms), F.col(seq)) \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    df = (log.withColumn("__t_island", F.sum((~thr).cast("int")).over(w))
-          .withColumn("__e_island", F.sum((~err).cast("int")).over(w)))
-    wt = Window.partitionBy(by, "__t_island").orderBy(F.col(ts_ms), F.col(seq)) \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    we = Window.partitionBy(by, "__e_island").orderBy(F.col(ts_ms), F.col(seq)) \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    df = (df.withColumn("throttle_streak", F.when(thr, F.sum(thr.cast("int")).over(wt)).otherwise(0))
-          .withColumn("error_streak", F.when(err, F.sum(err.cast("int")).over(we)).otherwise(0)))
+    df = _streak(log, by, ts_ms, seq, thr, "throttle_streak", bucket_ms)
+    df = _streak(df, by, ts_ms, seq, err, "error_streak", bucket_ms)
     escalated = (F.when(thr, F.lit(THROTTLE_BACKOFF_MS) * F.pow(F.lit(2), F.col("throttle_streak") - 1))
                  .when(err, F.lit(ERROR_BACKOFF_MS) * F.pow(F.lit(2), F.col("error_streak") - 1)))
     backoff = F.least(F.lit(MAX_BACKOFF_MS).cast("double"),
                       F.coalesce(F.col(retry_col).cast("double"), escalated))
     return (df.withColumn("backoff_ms", F.when(thr | err, backoff.cast("long")))
             .withColumn("abort", (F.col("throttle_streak") >= THROTTLE_ABORT)
-                        | (F.col("error_streak") >= ERROR_ABORT))
-            .drop("__t_island", "__e_island"))
+                        | (F.col("error_streak") >= ERROR_ABORT)))
 
 
 # ------------------------------------------------------------------ A18
