@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry import schemas
 
@@ -30,7 +31,9 @@ def scan_results(spark: SparkSession, path: str | list[str]) -> DataFrame:
     undecodable line are kept. Adds ``file`` and ``seq`` (the line number
     within the file, derived from the byte offset order).
     """
-    schema = schemas.STATE_LINE.add("_corrupt_record", schemas.S)
+    # StructType.add mutates in place: build new schemas, never touch the shared one.
+    schema = T.StructType(list(schemas.STATE_LINE.fields)
+                          + [T.StructField("_corrupt_record", schemas.S)])
     try:
         df = (spark.read.schema(schema)
               .option("mode", "PERMISSIVE")
@@ -41,7 +44,9 @@ def scan_results(spark: SparkSession, path: str | list[str]) -> DataFrame:
     except Exception as exc:  # PATH_NOT_FOUND: a missing prefix is an empty result
         if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
             raise
-        return spark.createDataFrame([], schemas.STATE_LINE.add("file", schemas.S).add("seq", schemas.L))
+        return spark.createDataFrame([], T.StructType(
+            list(schemas.STATE_LINE.fields)
+            + [T.StructField("file", schemas.S), T.StructField("seq", schemas.L)]))
     df = df.withColumn("file", F.col("_metadata.file_path")) \
            .withColumn("seq", F.monotonically_increasing_id())
     return keep_before_first_corrupt(df)
