@@ -59,9 +59,10 @@ def with_global_ordinal(df: DataFrame, order: Sequence[Column | str], name: str
     """Add a 0-based ``name`` column following the total order ``order``.
 
     Two passes instead of an unpartitioned window: range-partition and sort
-    by the order, count rows per partition (a tiny table, one row per
-    partition), then offset each partition's local row index by the running
-    count of the partitions before it. ``order`` must be a total order
+    by the order, number rows within each partition, checkpoint that once,
+    count rows per partition (a tiny table, one row per partition), then
+    offset each partition's local row index by the running count of the
+    partitions before it. ``order`` must be a total order
     (include a unique tie-break) for the result to be deterministic.
     """
     order_cols = _order_key(order)
@@ -72,6 +73,10 @@ def with_global_ordinal(df: DataFrame, order: Sequence[Column | str], name: str
               .withColumn("__mid", F.monotonically_increasing_id()))
     # monotonically_increasing_id = (partition id << 33) + row index in partition
     ranged = ranged.withColumn("__local", F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33))
+    # Both passes must see the same partitions: two range exchanges sample
+    # independently and may cut different boundaries. A reliable checkpoint
+    # (shared checkpoint folder) materialises the numbered rows once.
+    ranged = ranged.checkpoint(eager=True)
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
