@@ -50,7 +50,11 @@ def flag(text: Column | str) -> Column:
 def first_value(named: Column | str, name: str) -> Column:
     """First entry of an array<struct<name, values>> whose name matches,
     then ``values[0][0]``; NULL when there is none (no error under ANSI)."""
-    hit = F.get(F.filter(_c(named), lambda e: e["name"] == F.lit(name)), 0)
+    arr = _c(named)
+    # array_position over the extracted names (1-based, 0 when absent) keeps
+    # this a compiled expression instead of a per-element lambda.
+    pos = F.array_position(arr["name"], F.lit(name))
+    hit = F.get(arr, (pos - 1).cast("int"))
     return F.get(F.get(hit["values"], 0), 0)
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +36,7 @@ def _order_key(order: Sequence[Column | str]) -> list[Column]:
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
+                   row_id: str | None = None, max_broadcast_rows: int = BROADCAST_MAX_ROWS,
                    ) -> DataFrame:
     """Keep, per ``keys``, the row with the greatest ``order`` tuple.
 

@@ -21,7 +21,7 @@ Snapshot documents (one state line per order):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.scalars import iso_instant
@@ -61,30 +61,32 @@ def _gear_item() -> Column:
     r = F.round(F.col("l_tax") * 1000).cast("int")
     size = F.col("p_size")
 
-    def socket(i: Column) -> Column:
+    # Sockets and gems are built per literal index 0..6 and sliced to n:
+    # plain expressions compile to code, unlike per-element lambdas.
+    def socket(i: int) -> Column:
         return F.struct(
-            (i % g).alias("group"),
-            F.when(i % 3 == 0, "S").when(i % 3 == 1, "D").otherwise("I").alias("attr"),
-            F.when(i % 3 == 0, "R").when(i % 3 == 1, "G").otherwise("B").alias("sColour"))
+            (F.lit(i) % g).alias("group"),
+            F.lit("SDI"[i % 3]).alias("attr"),
+            F.lit("RGB"[i % 3]).alias("sColour"))
 
-    def gem(i: Column) -> Column:
-        lvl = F.lit(1) + (i + F.col("l_linenumber")) % 20
+    def gem(i: int) -> Column:
+        lvl = F.lit(1) + (F.col("l_linenumber") + i) % 20
+        suffix = ["Strike", "Slam"][i] if i < 2 else "Nova"
         active_name = F.when(size % 7 == 0, F.lit(None).cast("string")).otherwise(
-            F.concat(F.col("p_type"), F.lit(" "),
-                     F.when(i == 0, "Strike").when(i == 1, "Slam").otherwise("Nova")))
+            F.concat(F.col("p_type"), F.lit(" " + suffix)))
+        support = (F.when(F.lit(i) < g, F.lit(False)).otherwise(F.lit(True)) if i != 5
+                   else F.when(F.lit(i) < g, F.lit(False)).otherwise(F.lit(None).cast("boolean")))
         return F.struct(
-            i.alias("socket"),
-            F.when(i < g, F.lit(False)).when(i == 5, F.lit(None).cast("boolean"))
-             .otherwise(F.lit(True)).alias("support"),
-            F.when(i < g, active_name)
+            F.lit(i).alias("socket"),
+            support.alias("support"),
+            F.when(F.lit(i) < g, active_name)
              .otherwise(F.concat(F.col("p_brand"), F.lit(" Support"))).alias("typeLine"),
             F.array(
                 _named("Level", F.when(lvl == 20, F.lit("20 (Max)")).otherwise(lvl.cast("string"))),
-                _named("Quality", F.concat(F.lit("+"), ((i * 3 + F.col("l_partkey")) % 21).cast("string"),
+                _named("Quality", F.concat(F.lit("+"), ((F.col("l_partkey") + 3 * i) % 21).cast("string"),
                                            F.lit("%"))),
             ).alias("properties"))
 
-    seq = F.array_repeat(F.lit(0), n)
     quality_prop = F.when(q > 0, F.array(_named("Quality", F.concat(F.lit("+"), q.cast("string"), F.lit("%")))))
     props = F.concat(F.array(_named("Armour", (size * 10).cast("string"))),
                      F.coalesce(quality_prop, F.array().cast("array<struct<name:string,values:array<array<string>>>>")))
@@ -103,7 +105,7 @@ def _gear_item() -> Column:
         F.when(F.col("l_suppkey") % 4 == 0, F.lit("true")).alias("synthesised"),
         F.when(size > 40, F.col("l_linenumber") % 2 == 0).alias("split"),
         F.when(size % 5 == 0, F.struct(F.lit(True).alias("shaper"))).alias("influences"),
-        F.transform(seq, lambda _x, i: socket(i)).alias("sockets"),
+        F.slice(F.array(*[socket(i) for i in range(7)]), 1, n).alias("sockets"),
         props.alias("properties"),
         F.array(_named("Str", F.lit("10")),
                 _named("Level", F.concat(r.cast("string"), F.lit(" (gem)")))).alias("requirements"),
@@ -121,7 +123,7 @@ def _gear_item() -> Column:
         F.when(F.col("l_suppkey") % 10 == 3, F.array(F.lit("Veiled"))).alias("veiledMods"),
         F.array().cast("array<string>").alias("scourgeMods"),
         F.when(_slot() == "Flask", F.array(F.lit("Utility flask"))).otherwise(none_s).alias("utilityMods"),
-        F.transform(seq, lambda _x, i: gem(i)).alias("socketedItems"),
+        F.slice(F.array(*[gem(i) for i in range(7)]), 1, n).alias("socketedItems"),
     )
 
 
@@ -146,10 +148,8 @@ def _cluster_nodes() -> Column:
             F.concat(F.col("p_name"), F.lit(f" node {m}")).alias("name"),
             F.lit(m == 0).alias("isNotable"),
             F.array(F.lit(f"Stat {m}"), F.col("p_type")).alias("stats")).alias("value"))
-    entries = F.array(node(0), node(1), node(2))
-    keep = F.filter(entries, lambda e: (e["key"] != (F.lit(CLUSTER_BASE) + F.col("l_partkey") * 10 + 1)
-                                        .cast("string")) | (F.col("l_suppkey") % 3 != 0))
-    return keep
+    return F.when(F.col("l_suppkey") % 3 != 0, F.array(node(0), node(1), node(2))) \
+        .otherwise(F.array(node(0), node(2)))
 
 
 def snapshot_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,40 +160,45 @@ def snapshot_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
 
     li = lineitem.join(part, lineitem["l_partkey"] == part["p_partkey"])
+    # Position of each line in its order (k) and of each jewel among the
+    # order's jewels (j). The window's partitioning on l_orderkey is reused
+    # by the grouping below, so the lines shuffle once.
+    is_jewel = F.col("p_size") > JEWEL_MIN_SIZE
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    li = (li.withColumn("k", F.row_number().over(w) - 1)
+          .withColumn("j", F.when(is_jewel, F.sum(is_jewel.cast("int")).over(
+              w.rowsBetween(Window.unboundedPreceding, 0)) - 1)))
     node_hash = F.when(F.col("l_suppkey") % 10 == 0, F.col("l_partkey") + UNRESOLVED_OFFSET) \
         .otherwise(F.col("l_partkey"))
-    entry = F.struct(
-        F.col("l_linenumber").alias("k1"), F.col("l_partkey").alias("k2"),
-        F.col("l_suppkey").alias("k3"),
-        _gear_item().alias("item"),
-        node_hash.alias("node"),
-        (F.col("p_size") > JEWEL_MIN_SIZE).alias("is_jewel"),
+    cluster_h = lambda m: F.lit(CLUSTER_BASE) + F.col("l_partkey") * 10 + m
+    jewel = F.struct(
+        F.col("j").alias("j"),
         _jewel_item().alias("jewel"),
-        _cluster_nodes().alias("cluster"),
-        (F.col("l_linestatus") == "F").alias("has_mastery"),
-        F.col("l_suppkey").alias("effect"),
-    )
-    # An order is one document: its lineitems are packed into one array.
-    per_order = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(entry)).alias("lines"))
-
-    lines = F.col("lines")
-    jewels = F.filter(lines, lambda e: e["is_jewel"])
-    cluster_h = lambda e, m: F.lit(CLUSTER_BASE) + e["k2"] * 10 + m
-    mastery = F.filter(F.transform(lines, lambda e, k: F.struct(
-        (e["k2"] * 100 + k).cast("string").alias("key"), e["effect"].alias("value"),
-        e["has_mastery"].alias("keep"))), lambda e: e["keep"])
+        F.array(cluster_h(0), cluster_h(1)).alias("pair"),
+        F.struct(F.col("j").cast("string").alias("key"),
+                 F.struct(F.lit("JewelPassiveTreeExpansionLarge").alias("type"),
+                          F.struct(F.map_from_entries(_cluster_nodes()).alias("nodes")).alias("subgraph"))
+                 .alias("value")).alias("jd"))
+    mastery = F.struct(F.col("k").alias("k"), F.struct(
+        (F.col("l_partkey") * 100 + F.col("k")).cast("string").alias("key"),
+        F.col("l_suppkey").alias("value")).alias("e"))
+    # An order is one document: its lines are packed into arrays sorted by
+    # position; fields are then read off the sorted arrays without lambdas.
+    per_order = li.groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.struct("k", _gear_item().alias("item"),
+                                             node_hash.alias("node")))).alias("lines"),
+        F.array_sort(F.collect_list(F.when(is_jewel, jewel)),
+                     lambda a, b: F.when(a["j"] < b["j"], -1).when(a["j"] > b["j"], 1).otherwise(0))
+        .alias("jw"),
+        F.array_sort(F.collect_list(F.when(F.col("l_linestatus") == "F", mastery))).alias("ms"))
+
+    lines, jw, ms = F.col("lines"), F.col("jw"), F.col("ms")
     passives = F.struct(
-        F.transform(lines, lambda e: e["node"]).alias("hashes"),
-        F.flatten(F.transform(jewels, lambda e: F.array(cluster_h(e, 0), cluster_h(e, 1)))).alias("hashes_ex"),
-        F.transform(jewels, lambda e: e["jewel"]).alias("items"),
-        F.map_from_entries(F.transform(jewels, lambda e, j: F.struct(
-            j.cast("string").alias("key"),
-            F.struct(F.lit("JewelPassiveTreeExpansionLarge").alias("type"),
-                     F.struct(F.map_from_entries(e["cluster"]).alias("nodes")).alias("subgraph"))
-            .alias("value")))
-        ).alias("jewel_data"),
-        F.map_from_entries(F.transform(mastery, lambda e: F.struct(e["key"], e["value"])))
-        .alias("mastery_effects"),
+        lines["node"].alias("hashes"),
+        F.flatten(jw["pair"]).alias("hashes_ex"),
+        jw["jewel"].alias("items"),
+        F.map_from_entries(jw["jd"]).alias("jewel_data"),
+        F.map_from_entries(ms["e"]).alias("mastery_effects"),
     )
     character = F.struct(
         F.col("o_orderpriority").alias("name"),
@@ -208,8 +213,9 @@ def snapshot_state(spark: SparkSession, sf_dir: str) -> DataFrame:
                .when(F.col("o_orderstatus") == "O", "pending").otherwise("private"))
     is_ok = outcome == "ok"
     docs = (orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
-            .join(per_order, orders["o_orderkey"] == per_order["l_orderkey"], "left")
-            .withColumn("lines", F.coalesce(lines, F.array().cast(per_order.schema["lines"].dataType))))
+            .join(per_order, orders["o_orderkey"] == per_order["l_orderkey"], "left"))
+    for c in ("lines", "jw", "ms"):
+        docs = docs.withColumn(c, F.coalesce(F.col(c), F.array().cast(per_order.schema[c].dataType)))
     return docs.select(
         F.col("o_orderkey").alias("ordinal"),
         F.col("o_custkey").cast("int").alias("rank"),
@@ -220,8 +226,7 @@ def snapshot_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         outcome.alias("outcome"),
         F.when(outcome == "pending", 0).otherwise(1).alias("attempts"),
         F.when(is_ok, iso_instant("o_orderdate")).alias("fetchedAt"),
-        F.when(is_ok, F.to_json(F.struct(character.alias("character"),
-                                         F.transform(lines, lambda e: e["item"]).alias("items"))))
+        F.when(is_ok, F.to_json(F.struct(character.alias("character"), lines["item"].alias("items"))))
         .alias("characterData"),
         F.when(is_ok, F.to_json(passives)).alias("passiveTree"),
     )
