@@ -85,3 +85,8 @@ def character_key(account: Column | str = "account", character: Column | str = "
 def iso_instant(ts: Column | str) -> Column:
     """Render a timestamp as ISO-8601 UTC with milliseconds (session TZ UTC)."""
     return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+
+
+def snapshot_id(instant_iso: Column | str) -> Column:
+    """snapshot id from an ISO instant (``:`` and ``.`` -> ``-``)."""
+    return F.regexp_replace(_c(instant_iso), r"[:.]", "-")

@@ -4,7 +4,7 @@ and the all-or-nothing publish filter (V4)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The economy endpoint groups and their category types
@@ -66,13 +66,31 @@ def economy_completeness(leagues: DataFrame, responses: DataFrame) -> DataFrame:
         F.max_by("status", F.struct("ts", "seq")).alias("last_status"))
     j = pairs.join(seen, ["league", "endpoint", "type"], "left")
     fetched = F.coalesce(F.col("fetched"), F.lit(False))
-    reason = F.when(fetched, F.lit(None).cast("string")).when(
-        F.col("last_status").isNull(), "not fetched").otherwise(
-        F.concat(F.lit("http-"), F.col("last_status").cast("string")))
+    st = F.col("last_status")
+    reason = (F.when(fetched, F.lit(None).cast("string"))
+              .when(st.isNull(), F.lit("not fetched"))
+              .when(st == 429, F.lit("throttled (429)"))
+              .when(st >= 500, F.concat(F.lit("server error ("), st.cast("string"), F.lit(")")))
+              .otherwise(F.concat(F.lit("unexpected status "), st.cast("string"))))
     return j.select("league", "pair_pos", "endpoint", "type", fetched.alias("fetched"),
                     reason.alias("reason"))
 
 
+# Longest Retry-After honoured for a category fetch (ms).
+MAX_RETRY_WAIT_MS = 60_000
+
+
+def economy_backoff_ms(status: Column, attempt: Column, retry_after: Column) -> Column:
+    """wait before the next attempt of a category fetch: on 429 the
+    Retry-After seconds (capped at 60 s) or 2^attempt s; on 5xx 2^attempt s;
+    NULL when no retry follows (ok or another 4xx)."""
+    exp = F.pow(F.lit(2.0), attempt.cast("double")) * 1000
+    ra = retry_after.try_cast("double")
+    on_429 = F.when(ra.isNotNull() & ~F.isnan(ra), F.least(ra * 1000, F.lit(float(MAX_RETRY_WAIT_MS)))) \
+        .otherwise(exp)
+    return (F.when(status == 429, on_429).when(status >= 500, exp)).cast("long")
+
+
 def economy_league_report(completeness: DataFrame) -> DataFrame:
     """A16 + V4: per league, categories fetched, failures (sorted by
     catalogue position) and whether the document may be written (no

@@ -3,7 +3,9 @@ upsert of a capture into the roster (J4) and the roster order (O3)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.common import latest_per_key
@@ -14,48 +16,73 @@ _PAGE = ("struct<total:int,entries:array<struct<rank:int,"
          "character:struct<name:string,level:int,class:string>,account:struct<name:string>>>>")
 
 
-def scan_ladder_pages(pages: DataFrame, offset: str = "offset", doc: str = "doc") -> DataFrame:
-    """Explode captured pages into entries (offset, pos, ...).
+def _parse_pages(pages: DataFrame, by: Sequence[str], offset: str, doc: str) -> DataFrame:
+    return pages.select(*by, F.col(offset).cast("long").alias("offset"),
+                        F.from_json(F.col(doc), _PAGE).alias("p"),
+                        F.get_json_object(F.col(doc), "$.entries").isNull().alias("malformed"))
+
+
+def scan_ladder_pages(pages: DataFrame, by: Sequence[str] = (), offset: str = "offset",
+                      doc: str = "doc") -> DataFrame:
+    """Explode captured pages into entries (by..., offset, pos, ...).
 
     Entries without a string account or character name are dropped;
     defaults: rank 0, class 'Unknown', level 0; ``total`` defaults to the
     number of kept entries of the page. A page without ``entries`` is
-    flagged ``malformed`` (and yields no entries)."""
-    parsed = pages.select(F.col(offset).alias("offset"), F.from_json(F.col(doc), _PAGE).alias("p"),
-                          F.get_json_object(F.col(doc), "$.entries").isNull().alias("malformed"))
-    ex = parsed.select("offset", "malformed", F.col("p.total").alias("total_raw"),
-                       F.posexplode_outer("p.entries").alias("pos", "e"))
+    malformed and yields no entries."""
+    by = list(by)
+    parsed = _parse_pages(pages, by, offset, doc)
+    ex = parsed.select(*by, "offset", F.col("p.total").alias("total_raw"),
+                       F.posexplode("p.entries").alias("pos", "e"))
     kept = ex.where(F.col("e.account.name").isNotNull() & F.col("e.character.name").isNotNull())
-    per_page = kept.groupBy("offset").agg(F.count(F.lit(1)).alias("__kept"))
-    return (kept.join(per_page, "offset").select(
-        "offset", "pos",
+    n_kept = F.count(F.lit(1)).over(Window.partitionBy(*by, "offset"))
+    return kept.select(
+        *by, "offset", "pos",
         F.coalesce(F.col("e.rank"), F.lit(0)).alias("rank"),
         F.col("e.account.name").alias("account"),
         F.col("e.character.name").alias("character"),
         F.coalesce(F.col("e.character.class"), F.lit("Unknown")).alias("class"),
         F.coalesce(F.col("e.character.level"), F.lit(0)).alias("level"),
-        F.coalesce(F.col("total_raw"), F.col("__kept")).cast("int").alias("total")))
-
-
-def ladder_window(entries: DataFrame, pages: DataFrame, depth: int, page_size: int) -> DataFrame:
-    """Stitch pages in offset order up to ``depth`` entries; all or
-    nothing: if any expected page (``0, page, 2*page ...`` below depth) is
-    missing the whole capture is empty. Pages after the first empty page
-    or after ``total`` entries are not needed and are ignored."""
-    spark = entries.sparkSession
-    expected = spark.range(0, depth, page_size).select(F.col("id").alias("offset"))
-    present = pages.select(F.col("offset").cast("long").alias("offset")).distinct()
-    sizes = entries.groupBy("offset").agg(F.count(F.lit(1)).alias("n"), F.max("total").alias("total"))
-    # The stitched prefix ends at the first empty page or once total is reached.
-    exp = expected.join(sizes, "offset", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    stop = exp.where((F.col("n") == 0) | (F.col("offset") + F.col("n") >= F.col("total"))) \
-        .agg(F.min("offset").alias("stop"))
-    needed = expected.crossJoin(stop).where(F.col("stop").isNull() | (F.col("offset") <= F.col("stop")))
-    missing = needed.join(present, "offset", "left_anti").agg(F.count(F.lit(1)).alias("missing"))
-    ok = entries.crossJoin(F.broadcast(stop)).crossJoin(F.broadcast(missing)) \
-        .where((F.col("missing") == 0)
-               & (F.col("stop").isNull() | (F.col("offset") <= F.col("stop"))))
-    return ok.where(F.col("offset") + F.col("pos") < depth).drop("stop", "missing")
+        F.coalesce(F.col("total_raw"), n_kept).cast("long").alias("total"))
+
+
+def ladder_window(pages: DataFrame, depth: int, page_size: int, by: Sequence[str] = (),
+                  offset: str = "offset", doc: str = "doc") -> DataFrame:
+    """Stitch each capture's pages (offsets 0, page, 2*page ... below
+    ``depth``) in offset order. After a page, the capture stops if the page
+    kept no entry or the entries gathered so far reach that page's total.
+    All or nothing: a missing or malformed page among the needed ones voids
+    the whole capture. Returns the entries of complete captures.
+
+    Page bookkeeping is one row per (capture, offset): depth/page rows per
+    capture, so its ordered frame stays tiny whatever the data size."""
+    by = list(by)
+    spark = pages.sparkSession
+    entries = scan_ladder_pages(pages, by, offset, doc)
+    parsed = _parse_pages(pages, by, offset, doc)
+    n_kept = F.size(F.filter(F.coalesce(F.col("p.entries"), F.array().cast(
+        parsed.schema["p"].dataType["entries"].dataType)),
+        lambda e: e["account"]["name"].isNotNull() & e["character"]["name"].isNotNull()))
+    summary = parsed.select(*by, "offset", "malformed", n_kept.alias("n"),
+                            F.coalesce(F.col("p.total").cast("long"), n_kept.cast("long")).alias("total"),
+                            F.lit(True).alias("present"))
+    captures = pages.select(*by).distinct()
+    expected = captures.crossJoin(
+        F.broadcast(spark.range(0, depth, page_size).select(F.col("id").alias("offset"))))
+    st = (expected.join(summary, [*by, "offset"], "left")
+          .select(*by, "offset", F.coalesce("n", F.lit(0)).alias("n"), "total",
+                  (F.col("present").isNull() | F.coalesce(F.col("malformed"), F.lit(False))).alias("bad")))
+    w = Window.partitionBy(*by).orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
+    st = st.withColumn("cum", F.sum("n").over(w))
+    stops = st.groupBy(*by).agg(F.min(F.when((F.col("n") == 0) | (F.col("cum") >= F.col("total")),
+                                             F.col("offset"))).alias("stop"))
+    needed = st.join(stops, by, "inner") if by else st.crossJoin(stops)
+    needed = needed.where(F.col("stop").isNull() | (F.col("offset") <= F.col("stop")))
+    void = needed.groupBy(*by).agg(F.max(F.col("bad").cast("int")).alias("void"))
+    ok = (stops.join(void, by, "inner") if by else stops.crossJoin(void)).where(F.col("void") == 0)
+    joined = entries.join(ok, by, "inner") if by else entries.crossJoin(ok)
+    return joined.where(F.col("stop").isNull() | (F.col("offset") <= F.col("stop"))) \
+        .drop("stop", "void")
 
 
 def merge_ladder(roster: DataFrame, entries: DataFrame, now: str,

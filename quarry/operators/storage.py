@@ -181,3 +181,22 @@ def mark_trimmed(catalogue: DataFrame, trimmed: DataFrame) -> DataFrame:
     j = catalogue.join(t, ["league", "snapshot_id"], "left")
     return j.withColumn("hasDetail", F.when(F.col("__t"), F.lit(False)).otherwise(F.col("hasDetail"))) \
         .drop("__t")
+
+
+# ------------------------------------------------------------ O4 / A17
+def order_catalogue(catalogue: DataFrame) -> DataFrame:
+    """Newest first by ladderCapturedAt, leagues A-Z, the freshly
+    written row first on ties; ``position`` numbers the result. The
+    catalogue holds one row per snapshot, so one ordered frame is fine."""
+    w = Window.orderBy(F.desc("ladderCapturedAt"), F.asc("league"), F.desc("is_new"),
+                       F.asc("snapshot_id"))
+    return catalogue.withColumn("position", F.row_number().over(w) - 1)
+
+
+def observed_write(df: DataFrame, path: str, name: str) -> dict:
+    """Write ``df`` (Parquet) while collecting run counters with
+    ``observe`` in the same pass; returns the metrics (a few numbers)."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+    return obs.get

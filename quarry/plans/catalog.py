@@ -620,7 +620,7 @@ def q_pick_league(spark, sf_dir):
     return SO.pick_league(AD.manifests(spark, sf_dir), "Standard")
 
 
-@register("trim_plan", _INV_CTE + f""",
+_TRIM_CTE = _INV_CTE + f""",
 tot AS (SELECT CAST((SELECT sum(size) FROM cls) - coalesce((SELECT sum(size) FROM orph), 0) AS BIGINT)
                AS total),
 det AS (SELECT league, snapshot_id, CAST(sum(size) AS BIGINT) AS bytes FROM cls
@@ -634,13 +634,19 @@ prot AS (
   SELECT *, row_number() OVER (PARTITION BY league ORDER BY age_ms DESC, snapshot_id)
             <= {KEEP_NEWEST} AS protected
   FROM aged
-)
-SELECT league, snapshot_id, bytes, age_ms, protected,
-  (SELECT total FROM tot) - coalesce(sum(bytes) OVER (ORDER BY age_ms, league, snapshot_id
-      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) > (SELECT total FROM tot) / 2.0 AS trimmed
-FROM prot WHERE NOT protected
-UNION ALL
-SELECT league, snapshot_id, bytes, age_ms, protected, false FROM prot WHERE protected""")
+),
+plan AS (
+  SELECT league, snapshot_id, bytes, age_ms, protected,
+    (SELECT total FROM tot) - coalesce(sum(bytes) OVER (ORDER BY age_ms, league, snapshot_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) > (SELECT total FROM tot) / 2.0 AS trimmed
+  FROM prot WHERE NOT protected
+  UNION ALL
+  SELECT league, snapshot_id, bytes, age_ms, protected, false FROM prot WHERE protected
+)"""
+
+
+@register("trim_plan", _TRIM_CTE + """
+SELECT league, snapshot_id, bytes, age_ms, protected, trimmed FROM plan""")
 def q_trim_plan(spark, sf_dir):
     cls = _classified(spark, sf_dir)
     swept = SO.orphans(cls, AD.manifests(spark, sf_dir))
@@ -865,7 +871,9 @@ comp AS (
     coalesce(seen.fetched, false) AS fetched,
     CASE WHEN coalesce(seen.fetched, false) THEN NULL
          WHEN seen.last_status IS NULL THEN 'not fetched'
-         ELSE 'http-' || seen.last_status END AS reason
+         WHEN seen.last_status = 429 THEN 'throttled (429)'
+         WHEN seen.last_status >= 500 THEN 'server error (' || seen.last_status || ')'
+         ELSE 'unexpected status ' || seen.last_status END AS reason
   FROM act CROSS JOIN cat
   LEFT JOIN seen ON seen.league = act.id AND seen.endpoint = cat.endpoint AND seen.type = cat.type
 )"""
@@ -1027,3 +1035,194 @@ def q_stream_hourly_quota(spark, sf_dir):
     latest = SM.read_latest(spark, table, ["ip", "window_start"])
     return latest.select("ip", F.date_format("window_start", "yyyy-MM-dd'T'HH:mm:ss").alias("window_start"),
                          "hits")
+
+
+# =====================================================================
+# Ladder capture (S11, S12) feeding the roster merge
+# =====================================================================
+_LADDER_CTE = f"""
+WITH j AS (
+  SELECT o.*, c.c_name, c.c_mktsegment, r.r_regionkey, r.r_name
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+),
+tot AS (SELECT r_regionkey, count(*) AS total FROM j GROUP BY r_regionkey),
+top AS (
+  SELECT *, row_number() OVER (PARTITION BY r_regionkey ORDER BY o_totalprice DESC, o_orderkey) AS rk
+  FROM j QUALIFY rk <= {AD.LADDER_DEPTH}
+),
+ent AS (
+  SELECT r_name AS capture, r_regionkey, ((rk - 1) // {AD.LADDER_PAGE}) * {AD.LADDER_PAGE} AS "offset",
+    CAST(rk AS INTEGER) AS rank,
+    CASE WHEN o_orderkey % 53 <> 0 THEN c_name END AS account, 'c' || o_orderkey AS "character",
+    coalesce(CASE WHEN o_orderpriority <> '5-LOW' THEN c_mktsegment END, 'Unknown') AS class,
+    coalesce(CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderkey % 100 AS INTEGER) END, 0) AS level,
+    (rk - 1) % {AD.LADDER_PAGE} AS rawpos
+  FROM top
+),
+exp AS (
+  SELECT r.r_regionkey, r.r_name AS capture, e.off
+  FROM region r CROSS JOIN (SELECT unnest(range(0, {AD.LADDER_DEPTH}, {AD.LADDER_PAGE})) AS off) e
+),
+st AS (
+  SELECT exp.capture, exp.off,
+    CASE WHEN (exp.r_regionkey = 4 AND exp.off = 400) THEN 0
+         ELSE (SELECT count(*) FROM ent WHERE ent.r_regionkey = exp.r_regionkey
+               AND ent."offset" = exp.off AND ent.account IS NOT NULL) END AS n,
+    coalesce(tot.total, 0) AS total,
+    (exp.r_regionkey = 3 AND exp.off = 200) OR (exp.r_regionkey = 4 AND exp.off = 400) AS bad
+  FROM exp LEFT JOIN tot ON tot.r_regionkey = exp.r_regionkey
+),
+cum AS (SELECT *, sum(n) OVER (PARTITION BY capture ORDER BY off ROWS UNBOUNDED PRECEDING) AS c FROM st),
+stops AS (SELECT capture, min(off) FILTER (WHERE n = 0 OR c >= total) AS stop FROM cum GROUP BY capture),
+void AS (
+  SELECT cum.capture, max(CAST(bad AS INTEGER)) AS v FROM cum JOIN stops USING (capture)
+  WHERE stops.stop IS NULL OR cum.off <= stops.stop GROUP BY cum.capture
+)"""
+
+
+@register("ladder_capture", _LADDER_CTE + """
+SELECT ent.capture, ent."offset", rank, account, "character", class, level
+FROM ent JOIN stops USING (capture) JOIN void USING (capture)
+WHERE void.v = 0 AND ent.account IS NOT NULL AND (stops.stop IS NULL OR ent."offset" <= stops.stop)""")
+def q_ladder_capture(spark, sf_dir):
+    e = RO.ladder_window(AD.ladder_pages(spark, sf_dir), AD.LADDER_DEPTH, AD.LADDER_PAGE, by=["capture"])
+    return e.select("capture", "offset", "rank", "account", "character", "class", "level")
+
+
+# =====================================================================
+# Catalogue (J10, O4, S22 rows), mod attribution (J7), stale pace (P14),
+# unmapped leagues (V6), rolled-up tallies (A2), run report
+# =====================================================================
+@register("catalogue_refresh", _TRIM_CTE + """,
+cat0 AS (
+  SELECT league, snapshot_id, ladderCapturedAt, schemaVersion, true AS hasDetail, false AS is_new
+  FROM man WHERE phase = 'published'
+),
+newrows AS (
+  SELECT league, snapshot_id, ladderCapturedAt, 6 AS schemaVersion, true AS hasDetail, true AS is_new
+  FROM man WHERE phase = 'transforming'
+),
+up AS (
+  SELECT * FROM cat0 WHERE NOT EXISTS (
+    SELECT 1 FROM newrows n WHERE n.league = cat0.league AND n.snapshot_id = cat0.snapshot_id)
+  UNION ALL SELECT * FROM newrows
+),
+marked AS (
+  SELECT up.league, up.snapshot_id, up.ladderCapturedAt, up.schemaVersion, up.is_new,
+    CASE WHEN t.league IS NOT NULL THEN false ELSE up.hasDetail END AS hasDetail
+  FROM up LEFT JOIN (SELECT DISTINCT league, snapshot_id FROM plan WHERE trimmed) t
+    ON t.league = up.league AND t.snapshot_id = up.snapshot_id
+)
+SELECT league, snapshot_id, ladderCapturedAt, schemaVersion, hasDetail,
+  row_number() OVER (ORDER BY ladderCapturedAt DESC, league, is_new DESC, snapshot_id) - 1 AS position
+FROM marked""")
+def q_catalogue_refresh(spark, sf_dir):
+    m = AD.manifests(spark, sf_dir).withColumnRenamed("snapshotId", "snapshot_id")
+    cat0 = (m.where(F.col("phase") == "published")
+            .select("league", "snapshot_id", "ladderCapturedAt", "schemaVersion",
+                    F.lit(True).alias("hasDetail"), F.lit(False).alias("is_new")))
+    new = (m.where(F.col("phase") == "transforming")
+           .select("league", "snapshot_id", "ladderCapturedAt", F.lit(6).alias("schemaVersion"),
+                   F.lit(True).alias("hasDetail"), F.lit(True).alias("is_new")))
+    trimmed = q_trim_plan(spark, sf_dir).where("trimmed")
+    cat = SO.mark_trimmed(SO.catalogue_upsert(cat0, new), trimmed)
+    return SO.order_catalogue(cat).select("league", "snapshot_id", "ladderCapturedAt", "schemaVersion",
+                                          "hasDetail", "position")
+
+
+_ITEMS_MODS_CTE = _SNAP_CTE + """,
+im AS (
+  SELECT character_key || '#' || k AS item_key, 'implicit' AS mod_domain FROM li WHERE l_linenumber % 2 = 1
+  UNION ALL SELECT character_key || '#' || k, 'explicit' FROM li
+  UNION ALL SELECT character_key || '#' || k, 'explicit' FROM li
+  UNION ALL SELECT character_key || '#' || k, 'crafted' FROM li WHERE l_returnflag = 'R'
+  UNION ALL SELECT character_key || '#' || k, 'enchant' FROM li WHERE p_size > 45
+  UNION ALL SELECT character_key || '#' || k, 'fractured' FROM li WHERE l_linenumber = 1
+  UNION ALL SELECT character_key || '#' || k, 'veiled' FROM li WHERE l_suppkey % 10 = 3
+  UNION ALL SELECT character_key || '#' || k, 'utility' FROM li WHERE slot = 'Flask'
+  UNION ALL SELECT character_key || '#p' || j, 'explicit' FROM jw
+),
+it AS (
+  SELECT character_key || '#' || k AS item_id, slot,
+    CASE p_size % 4 WHEN 0 THEN 'Unique' WHEN 1 THEN 'Rare' WHEN 2 THEN 'Magic' ELSE 'Normal' END AS rarity
+  FROM li WHERE slot IS NOT NULL
+  UNION ALL SELECT character_key || '#p' || j, 'PassiveJewels', 'Magic' FROM jw
+)"""
+
+
+@register("mod_attribution", _ITEMS_MODS_CTE + """
+SELECT it.slot, it.rarity, im.mod_domain, count(*) AS mods, count(DISTINCT it.item_id) AS items
+FROM im JOIN it ON im.item_key = it.item_id GROUP BY ALL""")
+def q_mod_attribution(spark, sf_dir):
+    s = _snap(spark, sf_dir)
+    j = NZ.attribute_mods(s.table("item_mods"), s.table("items"))
+    return j.groupBy("slot", "rarity", "mod_domain").agg(
+        F.count(F.lit(1)).alias("mods"), F.count_distinct("item_key").alias("items"))
+
+
+PACE_TTL_MS = 3 * 24 * 3600 * 1000
+
+
+@register("stale_pace", _INV_CTE + f"""
+SELECT doc_id, stale FROM (
+  SELECT doc_id, NOT (doc_id % 9 <> 0) OR coalesce(
+    epoch_ms(TIMESTAMPTZ '{NOW_STORAGE}') - epoch_ms(TRY_CAST(
+      CASE WHEN doc_id % 4 = 0 THEN 'garbage'
+           ELSE '2024-01-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || 'T00:00:00.000Z' END
+      AS TIMESTAMPTZ)) > {PACE_TTL_MS}, false) AS stale
+  FROM cls WHERE category = 'ip')""")
+def q_stale_pace(spark, sf_dir):
+    ips = _classified(spark, sf_dir).where(F.col("category") == "ip")
+    i = F.col("doc_id")
+    entries = ips.select("doc_id", (i % 9 != 0).alias("readable"),
+                         F.when(i % 4 == 0, F.lit("garbage")).otherwise(F.concat(
+                             F.lit("2024-01-"), F.lpad((i % 28 + 1).cast("string"), 2, "0"),
+                             F.lit("T00:00:00.000Z"))).alias("updatedAt"))
+    return SO.stale_pace(entries, NOW_STORAGE, PACE_TTL_MS).select("doc_id", "stale")
+
+
+@register("unmapped_leagues", _LEAGUES_CTE + """
+SELECT id FROM act WHERE id <> 'Standard'
+  AND id NOT IN (SELECT n_name FROM nation WHERE n_regionkey <= 2)""")
+def q_unmapped_leagues(spark, sf_dir):
+    active = EC.active_leagues(AD.league_rows(spark, sf_dir), NOW_ECONOMY)
+    n = AD.table(spark, sf_dir, "nation")
+    versions = (n.where(F.col("n_regionkey") <= 2)
+                .select(F.col("n_name").alias("league"),
+                        F.concat(F.lit("3."), F.col("n_regionkey").cast("string")).alias("version"))
+                .unionByName(spark.range(1).select(F.lit(EC.PERMANENT_LEAGUE).alias("league"),
+                                                   F.lit("3.0").alias("version"))))
+    return QA.unmapped_leagues(active, versions).select("id")
+
+
+@register("rolled_tally", _STATE_CTE + """
+SELECT count(*) FILTER (WHERE outcome = 'pending') AS pending,
+  count(*) FILTER (WHERE outcome = 'ok') AS ok,
+  count(*) FILTER (WHERE outcome = 'private') AS private,
+  count(*) FILTER (WHERE outcome = 'retryable') AS retryable,
+  count(*) FILTER (WHERE outcome = 'dead') AS dead,
+  count(*) FILTER (WHERE outcome = 'skipped') AS skipped,
+  count(DISTINCT ordinal % 15) AS slots
+FROM merged""")
+def q_rolled_tally(spark, sf_dir):
+    """A2: per-worker-slot tallies (A1 per slot) rolled into one."""
+    slotted = ST.assign(_merged(spark, sf_dir), WORKERS)
+    per_slot = slotted.groupBy("slot").agg(
+        *[F.count_if(F.col("outcome") == k).alias(k) for k in ("pending", "ok", "private", "retryable",
+                                                              "dead", "skipped")])
+    rolled = AG.add_tallies(per_slot)
+    return rolled.crossJoin(per_slot.agg(F.count(F.lit(1)).alias("slots")))
+
+
+@register("run_report", _ROSTER_CTE + """
+SELECT (SELECT count(*) FROM r2 WHERE is_new) AS added,
+  (SELECT count(*) FROM ent WHERE NOT first) - (SELECT count(*) FROM r2 WHERE is_new) AS refreshed,
+  (SELECT count(*) FROM r2) AS roster_size""")
+def q_run_report(spark, sf_dir):
+    """Run counters gathered with ``observe()`` on the job that writes
+    the roster (no extra pass), returned as a one-row table."""
+    roster, counts = _rosters(spark, sf_dir)
+    out = checkpoint_root(spark, "run-report", unique=True)
+    report = SO.observed_write(roster, out, "roster")
+    return counts.crossJoin(spark.createDataFrame([(report["rows"],)], "roster_size long"))
