@@ -97,3 +97,37 @@ def test_publish_only_after_gate(spark):
     gate = sinks.publish_snapshot(snapshot.normalise(state, tree, "s"), bad_tally, bad,
                                   "Mirage", "2024-01-01T00:00:00.000Z")
     assert not gate["ok_to_publish"] and not os.path.exists(bad)
+
+
+def test_incremental_then_final(spark):
+    tree = spark.createDataFrame([(1, "n", [], False)], schemas.TREE_NODE)
+
+    def state(outcomes):
+        rows = [dict(_line(f"c{i}", "X" if i % 2 else "Y", outcome=o), ordinal=i)
+                for i, o in enumerate(outcomes)]
+        return spark.createDataFrame(rows, schemas.STATE_LINE)
+
+    root = tempfile.mkdtemp(prefix="quarry-publish-")
+    path = os.path.join(root, "snap")
+    s1 = state(["ok"] * 3 + ["pending"] * 4 + ["private"])
+    g1 = sinks.publish_snapshot(snapshot.normalise(s1, tree, "s"), sinks.tally_for(s1), path,
+                                "Mirage", "t0", now="t1")
+    assert g1["ok_to_publish"] and g1["complete"] is False
+    m1 = spark.read.json(f"{path}/meta").first()
+    assert (m1["pendingCount"], m1["totalCharacters"], m1["coverage"]["ok"]) == (4, 8, 3)
+    assert "completedAt" not in m1.asDict()
+    s2 = state(["ok"] * 5 + ["private"] + ["dead"] * 2)
+    assert sinks.final_publish(snapshot.normalise(s1, tree, "s"), sinks.tally_for(s1), path,
+                               "Mirage", "t0", "t2")["ok_to_publish"] is False
+    g2 = sinks.publish_snapshot(snapshot.normalise(s2, tree, "s"), sinks.tally_for(s2), path,
+                                "Mirage", "t0", now="t2")
+    assert g2["ok_to_publish"] and g2["complete"] is True
+    m2 = spark.read.json(f"{path}/meta").first()
+    assert (m2["completedAt"], m2["characterCount"]) == ("t2", 5)
+    final = os.path.join(root, "final")
+    assert sinks.final_publish(snapshot.normalise(s2, tree, "s"), sinks.tally_for(s2), final,
+                               "Mirage", "t0", "t3")["ok_to_publish"]
+    import pytest
+    with pytest.raises(FileExistsError):
+        sinks.final_publish(snapshot.normalise(s2, tree, "s"), sinks.tally_for(s2), final,
+                            "Mirage", "t0", "t4")
