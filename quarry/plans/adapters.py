@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.scalars import iso_instant
+from quarry.operators.common import sized_broadcast
 
 # Fixed values used by the mapping (mirrored by the oracle SQL).
 UNRESOLVED_OFFSET = 1_000_000_000
@@ -483,7 +484,7 @@ def ladder_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     j = (o.join(c, o["o_custkey"] == c["c_custkey"]).join(n, c["c_nationkey"] == n["n_nationkey"])
-         .join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"]))
+         .join(sized_broadcast(r), n["n_regionkey"] == r["r_regionkey"]))
     totals = j.groupBy("r_regionkey").agg(F.count(F.lit(1)).alias("total"))
     w = Window.partitionBy("r_regionkey").orderBy(F.desc("o_totalprice"), F.asc("o_orderkey"))
     # row_number() <= k is planned as a per-partition group limit before the

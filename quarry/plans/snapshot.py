@@ -49,9 +49,11 @@ class Normalised:
             return N.raw(self.chars)
         raise KeyError(name)
 
-    def aggregate(self, kind: str) -> DataFrame:
+    def aggregate(self, kind: str, source_table: DataFrame | None = None) -> DataFrame:
+        """One aggregate kind; ``source_table`` lets the publish step read
+        the already written detail table instead of recomputing it."""
         source, build = A.AGGREGATES[kind]
-        counts = build(self.table(source))
+        counts = build(self.table(source) if source_table is None else source_table)
         total = self.chars.agg(F.count(F.lit(1)).alias("total"))
         return (counts.crossJoin(F.broadcast(total))
                 .select(F.lit(kind).alias("kind"), "name", "count",
