@@ -15,7 +15,7 @@ def _c(col: Column | str) -> Column:
 
 
 def percentage(count: Column | str, total: Column | str, decimals: int = 2) -> Column:
-    """``count / total`` as a 0-100 share rounded half-up to ``decimals``.
+    """``count / total`` as a 0-100 share rounded half-up to ``decimals``.
 
     Same arithmetic order as the published helper: ((c / t) * 100) * 10^d,
     then floor(x + 0.5) / 10^d; a zero total gives 0.
@@ -33,22 +33,22 @@ def _rounded_decimal(text: Column) -> Column:
 
 
 def json_int(text: Column | str) -> Column:
-    """TRY_CAST of JSON scalar text to INT with rounding of fractional text."""
+    """TRY_CAST of JSON scalar text to INT with rounding of fractional text."""
     return _rounded_decimal(_c(text)).try_cast("int")
 
 
 def json_long(text: Column | str) -> Column:
-    """TRY_CAST of JSON scalar text to BIGINT with rounding of fractional text."""
+    """TRY_CAST of JSON scalar text to BIGINT with rounding of fractional text."""
     return _rounded_decimal(_c(text)).try_cast("bigint")
 
 
 def flag(text: Column | str) -> Column:
-    """Item flag: boolean text, absent or unparsable -> false."""
+    """Item flag: boolean text, absent or unparsable -> false."""
     return F.coalesce(_c(text).try_cast("boolean"), F.lit(False))
 
 
 def first_value(named: Column | str, name: str) -> Column:
-    """First entry of an array<struct<name, values>> whose name matches,
+    """First entry of an array<struct<name, values>> whose name matches,
     then ``values[0][0]``; NULL when there is none (no error under ANSI)."""
     arr = _c(named)
     # array_position over the extracted names (1-based, 0 when absent) keeps
@@ -59,13 +59,13 @@ def first_value(named: Column | str, name: str) -> Column:
 
 
 def first_digits_int(text: Column | str) -> Column:
-    """First run of digits as INT (sign dropped); no digits -> NULL."""
+    """first run of digits as INT (sign dropped); no digits -> NULL."""
     digits = F.regexp_extract(_c(text), r"\d+", 0)
     return digits.try_cast("int")
 
 
 def links(sockets_text: Column | str) -> Column:
-    """Size of the largest socket link group (a missing group is its own
+    """Size of the largest socket link group (a missing group is its own
     group); no sockets -> 0. Evaluated per row with higher-order functions,
     so it never needs a join or a shuffle."""
     groups = F.transform(F.from_json(_c(sockets_text), "array<struct<group:string>>"),
@@ -78,12 +78,12 @@ def links(sockets_text: Column | str) -> Column:
 
 
 def character_key(account: Column | str = "account", character: Column | str = "character") -> Column:
-    """Display key ``account/character``; NULL if either side is NULL."""
+    """F8: display key ``account || '/' || character``; NULL if either side is NULL."""
     return F.concat(_c(account), F.lit("/"), _c(character))
 
 
 def iso_instant(ts: Column | str) -> Column:
-    """Render a timestamp as ISO-8601 UTC with milliseconds (session TZ UTC)."""
+    """render a timestamp as ISO-8601 UTC with milliseconds (session TZ UTC)."""
     return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 

@@ -65,7 +65,11 @@ def latest_per_identity(raw: DataFrame, keys: Sequence[str] = ("account", "chara
 
 
 def parse_payloads(chars: DataFrame) -> DataFrame:
-    """Parse both payloads once (declared schemas, STRING leaves)."""
+    """Parse both payloads once (declared schemas, STRING
+    leaves). JSON paths become struct fields, JSON arrays typed arrays, and
+    objects used as maps (jewel_data, mastery_effects) ``map<string,..>``,
+    whose explode replaces the key listing. F3 is not needed: exploding a
+    NULL or empty array yields no rows."""
     return (chars
             .withColumn("items_doc", F.from_json("items", schemas.ITEMS_DOC))
             .withColumn("passives_doc", F.from_json("passives", schemas.PASSIVES_DOC)))
@@ -150,7 +154,8 @@ def item_mods(rows: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------- U6 / A10 / W2
 def gems(rows: DataFrame) -> DataFrame:
-    """One row per socketed gem with its link group (socket -> group)."""
+    """One row per socketed gem with its link group (socket -> group);
+    F7: ``get`` is NULL out of range instead of raising."""
     it = F.col("item")
     socketed = (rows.where(F.size(it["socketedItems"]) > 0)
                 .select("character_key", it["inventoryId"].alias("slot"),
@@ -267,7 +272,8 @@ def passives(parsed: DataFrame, tree: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------------- U5
 def masteries(parsed: DataFrame) -> DataFrame:
-    """One row per chosen mastery (node -> effect); stats left empty."""
+    """One row per chosen mastery (node -> effect); stats left empty
+    (F9: a typed empty ``array<string>``)."""
     m = parsed.select("character_key",
                       F.explode("passives_doc.mastery_effects").alias("node_key", "effect"))
     return m.select("character_key", json_long("node_key").alias("node_hash"),

@@ -41,6 +41,7 @@ def is_json(body: Column) -> Column:
 
 
 def looks_like_challenge(headers: Column, body: Column) -> Column:
+    """edge challenge: flagged by header or by a marker in the head."""
     head = _head(body, 600)
     marker = F.lit(False)
     for m in CHALLENGE_MARKERS:
@@ -50,6 +51,7 @@ def looks_like_challenge(headers: Column, body: Column) -> Column:
 
 
 def looks_like_html(body: Column) -> Column:
+    """HTML sniffing on the first 400 characters (lower-cased)."""
     head = _head(body, 400)
     hit = head.startswith("<")
     for m in HTML_MARKERS:

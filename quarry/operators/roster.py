@@ -115,7 +115,7 @@ def merge_ladder(roster: DataFrame, entries: DataFrame, now: str,
 
 def order_roster(roster: DataFrame) -> DataFrame:
     """O3: rank ascending, then firstSeenAt, then the identity key, with
-    locale-aware (UNICODE collation) string comparison."""
+    locale-aware string comparison (F13: UNICODE collation)."""
     key = F.concat(F.col("account"), F.lit("\u0000"), F.col("character"))
     return roster.orderBy(F.col("rank").asc(),
                           F.collate(F.col("firstSeenAt"), "UNICODE"),

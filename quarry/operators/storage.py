@@ -143,13 +143,13 @@ def snapshot_age(details: DataFrame, meta: DataFrame) -> DataFrame:
 
 
 def protect_newest(df: DataFrame, n: int, by: str = "league") -> DataFrame:
-    """The newest ``n`` snapshots per league are never trimmed."""
+    """The newest ``n`` snapshots per league are never trimmed."""
     w = Window.partitionBy(by).orderBy(F.desc("age_ms"), F.asc("snapshot_id"))
     return df.withColumn("protected", F.row_number().over(w) <= n)
 
 
 def trim_plan(snapshots: DataFrame, total_bytes: Column, budget: Column) -> DataFrame:
-    """Oldest first across leagues (ties by league, snapshot), whole
+    """Oldest first across leagues (ties by league, snapshot), whole
     snapshots, trimming while the running total is above budget (checked
     before each trim). The rows are snapshots, not objects, so the single
     ordered frame stays small."""

@@ -2,7 +2,9 @@
 driver's whole tables (through the adapters), paired with an oracle SQL
 string that DuckDB evaluates straight from the flat tables.
 
-Column names and types are aligned on both sides; arrays are rendered as
+No SQL is built from data (F10): operators use column expressions and
+literals; the oracle strings are fixed text. Column names and types are
+aligned on both sides; arrays are rendered as
 ``|``-joined text (sorted where the source order is not defined).
 """
 
