@@ -1004,9 +1004,8 @@ def q_stream_merge_results(spark, sf_dir):
         "ordinal", "account", "character", "outcome", "attempts", "fetchedAt",
         F.lit(None).cast("string").alias("file"), F.lit(None).cast("long").alias("seq"))
     schema = spark.read.parquet(src).schema
-    final = SM.incremental_merge(spark, seed, src, schema, root)
-    return spark.read.parquet(final).select("ordinal", "account", "character", "outcome",
-                                            "attempts", "fetchedAt")
+    final = SM.incremental_merge(spark, seed, src, schema, root, buckets=8)
+    return final.select("ordinal", "account", "character", "outcome", "attempts", "fetchedAt")
 
 
 @register("stream_latest_event", """

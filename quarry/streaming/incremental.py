@@ -1,8 +1,9 @@
 """Structured Streaming re-expressions of the periodic republish:
 
 * R1 ``incremental_merge``: result files arriving in a folder are merged
-  into the state (last write per identity wins, by (file, seq)), one new
-  state version per micro-batch, via ``foreachBatch``.
+  into the state (last write per identity wins, by (file, seq)) via
+  ``foreachBatch``; each micro-batch rewrites only the identity buckets it
+  touches.
 * R3 idempotence: a batch id already written is skipped, and re-merging
   the same result lines cannot change the state (max of (file, seq)).
 * R4 ``latest_state``: keyed last-write-wins as a streaming aggregate
@@ -47,29 +48,72 @@ def _merge_versions(current: DataFrame, batch: DataFrame, keys: Sequence[str],
     return latest_per_key(cand, keys, list(order))
 
 
+def _bucket(keys: Sequence[str], buckets: int):
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def _list_versions(spark: SparkSession, base: str) -> list[str]:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(base)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)
+                  if st.getPath().getName().startswith("v-0"))
+
+
 def incremental_merge(spark: SparkSession, state: DataFrame, results_dir: str,
                       results_schema: T.StructType, out_dir: str,
                       keys: Sequence[str] = ("account", "character"),
                       order: Sequence[str] = ("file", "seq"),
-                      files_per_trigger: int = 1) -> str:
-    """R1 + R3: stream result files into state versions; returns the path
-    of the final state version. The seed ``state`` must carry ``order``
-    columns (NULL for never-written lines, which any result beats)."""
+                      files_per_trigger: int = 1, buckets: int = 64) -> DataFrame:
+    """R1 + R3: stream result files into the state and return the final
+    state. The seed ``state`` must carry ``order`` columns (NULL for lines
+    never written, which any result beats).
+
+    The state is laid out in ``buckets`` folders by a hash of the identity;
+    a micro-batch rewrites only the buckets its lines touch (new versioned
+    folders, never the ones being read) and then commits a small pointer
+    table (bucket -> folder). A restarted stream resumes from the last
+    committed pointer table, and a replayed batch whose pointer is already
+    committed is skipped."""
+    keys = list(keys)
     base = f"{out_dir.rstrip('/')}/state"
-    seed_path = f"{base}/v-seed"
-    if not _exists(spark, seed_path):
-        state.write.mode("errorifexists").parquet(seed_path)
-    pointer = {"path": seed_path}
+    seed = f"{base}/seed"
+    if not _exists(spark, f"{seed}/_SUCCESS"):
+        state.withColumn("__bucket", _bucket(keys, buckets)) \
+            .write.mode("overwrite").partitionBy("__bucket").parquet(seed)
+    pointers = {b: f"{seed}/__bucket={b}" for b in range(buckets)}
+    committed = [v for v in _list_versions(spark, base) if _exists(spark, f"{base}/{v}/_pointer/_SUCCESS")]
+    if committed:  # resume after a restart
+        for r in spark.read.parquet(f"{base}/{committed[-1]}/_pointer").collect():  # `buckets` rows
+            pointers[r["bucket"]] = r["path"]
+
+    def read(paths: list[str]) -> DataFrame:
+        live = [p for p in paths if _exists(spark, p)]
+        if not live:
+            return spark.createDataFrame([], state.schema)
+        return spark.read.schema(state.schema).parquet(*live)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        target = f"{base}/v-{batch_id:08d}"
-        if _exists(spark, f"{target}/_SUCCESS"):  # replayed batch: already durable
-            pointer["path"] = target
+        target = f"{base}/v-{batch_id:010d}"
+        if _exists(spark, f"{target}/_pointer/_SUCCESS"):  # replayed batch: already durable
+            for r in spark.read.parquet(f"{target}/_pointer").collect():
+                pointers[r["bucket"]] = r["path"]
+            return
+        tagged = batch.withColumn("__bucket", _bucket(keys, buckets))
+        # at most `buckets` small integers reach the driver
+        touched = sorted(r[0] for r in tagged.select("__bucket").distinct().collect())
+        if not touched:
             return
-        current = spark.read.parquet(pointer["path"])
+        current = read([pointers[b] for b in touched])
         merged = _merge_versions(current, batch, keys, order)
-        merged.write.mode("overwrite").parquet(target)
-        pointer["path"] = target
+        merged.withColumn("__bucket", _bucket(keys, buckets)) \
+            .write.mode("overwrite").partitionBy("__bucket").parquet(f"{target}/data")
+        for b in touched:
+            pointers[b] = f"{target}/data/__bucket={b}"
+        spark.createDataFrame(sorted(pointers.items()), "bucket int, path string") \
+            .coalesce(1).write.mode("overwrite").parquet(f"{target}/_pointer")
 
     stream = (spark.readStream.schema(results_schema)
               .option("maxFilesPerTrigger", files_per_trigger)
@@ -78,7 +122,7 @@ def incremental_merge(spark: SparkSession, state: DataFrame, results_dir: str,
          .option("checkpointLocation", f"{out_dir.rstrip('/')}/_checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return pointer["path"]
+    return read([pointers[b] for b in range(buckets)])
 
 
 def latest_state(spark: SparkSession, source_dir: str, schema: T.StructType, out_dir: str,

@@ -87,3 +87,31 @@ def test_merge_results_idempotent_and_order_insensitive(spark):
     key = lambda d: sorted((r["ordinal"], r["outcome"], r["attempts"]) for r in d.collect())
     assert key(once) == key(twice) == key(shuffled)
     assert once.count() == 20
+
+
+def test_stream_merge_resumes_and_is_idempotent(spark):
+    import tempfile
+
+    from quarry.streaming import incremental as SM
+    rnd = random.Random(9)
+    state = spark.createDataFrame(
+        [(i, f"a{i}", "X", "pending", 0, None, None) for i in range(30)],
+        "ordinal long, account string, character string, outcome string, attempts int, "
+        "file string, seq long")
+    rows = [(f"a{rnd.randrange(35)}", "X", rnd.choice(["ok", "dead", "retryable"]), rnd.randrange(3),
+             f"w0{rnd.randrange(2)}", i) for i in range(120)]
+    schema = "account string, character string, outcome string, attempts int, file string, seq long"
+    root = tempfile.mkdtemp(prefix="quarry-stream-")
+    src = f"{root}/results"
+    spark.createDataFrame(rows[:60], schema).repartition(2).write.parquet(f"{src}/part1")
+    first = SM.incremental_merge(spark, state, f"{src}/*", spark.createDataFrame([], schema).schema,
+                                 root, buckets=4)
+    assert first.count() == 30
+    spark.createDataFrame(rows[60:], schema).repartition(2).write.parquet(f"{src}/part2")
+    resumed = SM.incremental_merge(spark, state, f"{src}/*", spark.createDataFrame([], schema).schema,
+                                   root, buckets=4)
+    again = SM.incremental_merge(spark, state, f"{src}/*", spark.createDataFrame([], schema).schema,
+                                 root, buckets=4)
+    batch = ST.merge_results(state, spark.createDataFrame(rows, schema))
+    key = lambda d: sorted((r["ordinal"], r["outcome"], r["attempts"]) for r in d.collect())
+    assert key(resumed) == key(batch) == key(again)
