@@ -28,8 +28,8 @@ def scan_results(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     A missing prefix gives an empty table; a truncated gzip keeps the lines
     read before the fault; inside a file, only the lines before its first
-    undecodable line are kept. Adds ``file`` and ``seq`` (the line number
-    within the file, derived from the byte offset order).
+    undecodable line are kept. Adds ``file`` and ``seq``, a struct
+    (split offset, line within the split) that orders a file's lines.
     """
     # StructType.add mutates in place: build new schemas, never touch the shared one.
     schema = T.StructType(list(schemas.STATE_LINE.fields)
@@ -44,11 +44,17 @@ def scan_results(spark: SparkSession, path: str | list[str]) -> DataFrame:
     except Exception as exc:  # PATH_NOT_FOUND: a missing prefix is an empty result
         if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
             raise
+        seq_t = T.StructType([T.StructField("block", schemas.L), T.StructField("line", schemas.L)])
         return spark.createDataFrame([], T.StructType(
             list(schemas.STATE_LINE.fields)
-            + [T.StructField("file", schemas.S), T.StructField("seq", schemas.L)]))
-    df = df.withColumn("file", F.col("_metadata.file_path")) \
-           .withColumn("seq", F.monotonically_increasing_id())
+            + [T.StructField("file", schemas.S), T.StructField("seq", seq_t)]))
+    # Line order within a file: (start offset of the split, index within the
+    # split). A gzip file is one split; a large plain file may be several,
+    # and their partitions are not in offset order, so the split offset leads.
+    idx = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
+    df = (df.withColumn("file", F.col("_metadata.file_path"))
+          .withColumn("seq", F.struct(F.col("_metadata.file_block_start").alias("block"),
+                                      idx.alias("line"))))
     return keep_before_first_corrupt(df)
 
 
