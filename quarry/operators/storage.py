@@ -200,3 +200,32 @@ def observed_write(df: DataFrame, path: str, name: str) -> dict:
     obs = Observation(name)
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
     return obs.get
+
+
+def retention_plan(classified: DataFrame, manifests: DataFrame, meta: DataFrame,
+                   keep_newest: int, budget_fraction: float | None = None,
+                   budget_bytes: int | None = None) -> DataFrame:
+    """J5 + J6 + W3 + W4 in one pass over the listing: the objects are
+    aggregated once per (category, league, snapshot); the grand total, the
+    bytes swept as orphans and each detail snapshot's size are read off
+    that small table (one scan, one shuffle reused by every branch). The
+    budget is absolute (``budget_bytes``) or a fraction of the post-sweep
+    total."""
+    # One row per (category, league, snapshot): tiny next to the listing.
+    # Checkpointed (shared checkpoint folder) so the three branches below
+    # read it instead of each re-scanning the listing.
+    groups = classified.groupBy("category", "league", "snapshot_id").agg(
+        F.sum("size").alias("bytes")).checkpoint(eager=True)
+    live = in_flight(manifests).select("league", F.col("snapshotId").alias("snapshot_id")).distinct()
+    swept = (groups.where(F.col("category").isin(*K.TRANSIENT))
+             .join(live, ["league", "snapshot_id"], "left_anti"))
+    total = groups.agg(F.sum("bytes").alias("__all")).crossJoin(
+        swept.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("__swept"))) \
+        .select((F.col("__all") - F.col("__swept")).alias("__total"))
+    details = (groups.where(F.col("category") == "detail")
+               .groupBy("league", "snapshot_id").agg(F.sum("bytes").alias("bytes")))
+    aged_ = protect_newest(snapshot_age(details, meta), keep_newest)
+    with_total = aged_.crossJoin(F.broadcast(total))  # one row
+    budget = (F.lit(budget_bytes) if budget_bytes is not None
+              else F.col("__total") * F.lit(float(budget_fraction)))
+    return trim_plan(with_total, F.col("__total"), budget).drop("__total")

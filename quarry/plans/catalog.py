@@ -650,16 +650,8 @@ plan AS (
 @register("trim_plan", _TRIM_CTE + """
 SELECT league, snapshot_id, bytes, age_ms, protected, trimmed FROM plan""")
 def q_trim_plan(spark, sf_dir):
-    cls = _classified(spark, sf_dir)
-    swept = SO.orphans(cls, AD.manifests(spark, sf_dir))
-    total = cls.agg(F.sum("size").alias("__all")).crossJoin(
-        swept.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("__swept"))) \
-        .select((F.col("__all") - F.col("__swept")).alias("__total"))
-    details = (cls.where(F.col("category") == "detail")
-               .groupBy("league", "snapshot_id").agg(F.sum("size").alias("bytes")))
-    aged = SO.protect_newest(SO.snapshot_age(details, AD.snapshot_meta(spark, sf_dir)), KEEP_NEWEST)
-    with_total = aged.crossJoin(F.broadcast(total))
-    plan = SO.trim_plan(with_total, F.col("__total"), F.col("__total") / 2.0)
+    plan = SO.retention_plan(_classified(spark, sf_dir), AD.manifests(spark, sf_dir),
+                             AD.snapshot_meta(spark, sf_dir), KEEP_NEWEST, budget_fraction=0.5)
     return plan.select("league", "snapshot_id", "bytes", "age_ms", "protected", "trimmed")
 
 
