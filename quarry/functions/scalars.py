@@ -90,3 +90,14 @@ def iso_instant(ts: Column | str) -> Column:
 def snapshot_id(instant_iso: Column | str) -> Column:
     """snapshot id from an ISO instant (``:`` and ``.`` -> ``-``)."""
     return F.regexp_replace(_c(instant_iso), r"[:.]", "-")
+
+
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def epoch_ms_utc(ntz: Column | str) -> Column:
+    """Milliseconds since the epoch of a zone-less timestamp read as UTC,
+    whatever the session time zone (a difference of two zone-less values
+    involves no zone)."""
+    return F.timestamp_diff("MILLISECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"),
+                            _c(ntz).cast("timestamp_ntz"))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.scalars import iso_instant
+from quarry.functions.scalars import epoch_ms_utc, iso_instant
 from quarry.operators.common import sized_broadcast
 
 # Fixed values used by the mapping (mirrored by the oracle SQL).
@@ -402,9 +402,9 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     retry = F.create_map(F.lit("retry-after"), F.floor("value").cast("string"))
     headers = F.when(status == 429, F.map_concat(base, retry)).otherwise(base)
     body = F.when(status == 500, F.lit("upstream failure")).otherwise(F.col("props"))
+    ts_ms = epoch_ms_utc("ts")  # zone-less event time read as UTC
     return e.select(F.col("user_id").cast("string").alias("ip"), F.col("event_id").alias("seq"),
-                    F.col("ts").cast("timestamp").alias("ts"),
-                    F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"),
+                    F.timestamp_millis(ts_ms).alias("ts"), ts_ms.alias("ts_ms"),
                     status.alias("status"), headers.alias("headers"), body.alias("body"))
 
 

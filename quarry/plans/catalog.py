@@ -1015,7 +1015,7 @@ def q_stream_latest_event(spark, sf_dir):
 
 @register("stream_hourly_quota", """
 SELECT CAST(user_id AS VARCHAR) AS ip,
-  strftime(time_bucket(INTERVAL 1 hour, ts), '%Y-%m-%dT%H:%M:%S') AS window_start,
+  epoch_ms(time_bucket(INTERVAL 1 hour, ts)) AS window_start_ms,
   count(*) AS hits
 FROM events GROUP BY ALL""")
 def q_stream_hourly_quota(spark, sf_dir):
@@ -1026,8 +1026,8 @@ def q_stream_hourly_quota(spark, sf_dir):
     table = SM.streaming_quota(spark, src, spark.read.parquet(src).schema, root,
                                "ip", "ts", "1 hour", "2 hours")
     latest = SM.read_latest(spark, table, ["ip", "window_start"])
-    return latest.select("ip", F.date_format("window_start", "yyyy-MM-dd'T'HH:mm:ss").alias("window_start"),
-                         "hits")
+    # epoch milliseconds: no session time zone is involved in the output
+    return latest.select("ip", F.unix_millis("window_start").alias("window_start_ms"), "hits")
 
 
 # =====================================================================
