@@ -15,6 +15,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import ensure_checkpoint_dir
+
 # Default row bound for a dimension we are willing to broadcast.
 BROADCAST_MAX_ROWS = 2_000_000
 
@@ -78,6 +80,7 @@ def with_global_ordinal(df: DataFrame, order: Sequence[Column | str], name: str
     # Both passes must see the same partitions: two range exchanges sample
     # independently and may cut different boundaries. A reliable checkpoint
     # (shared checkpoint folder) materialises the numbered rows once.
+    ensure_checkpoint_dir(df.sparkSession)
     ranged = ranged.checkpoint(eager=True)
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)

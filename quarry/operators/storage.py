@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import keys as K
+from quarry.session import ensure_checkpoint_dir
 from quarry.schemas import IN_FLIGHT_PHASES, LIVE_PHASES, SCHEMA_VERSION
 
 
@@ -214,6 +215,7 @@ def retention_plan(classified: DataFrame, manifests: DataFrame, meta: DataFrame,
     # One row per (category, league, snapshot): tiny next to the listing.
     # Checkpointed (shared checkpoint folder) so the three branches below
     # read it instead of each re-scanning the listing.
+    ensure_checkpoint_dir(classified.sparkSession)
     groups = classified.groupBy("category", "league", "snapshot_id").agg(
         F.sum("size").alias("bytes")).checkpoint(eager=True)
     live = in_flight(manifests).select("league", F.col("snapshotId").alias("snapshot_id")).distinct()
