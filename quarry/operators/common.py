@@ -17,20 +17,31 @@ from pyspark.sql import functions as F
 
 from quarry.session import ensure_checkpoint_dir
 
-# Default row bound for a dimension we are willing to broadcast.
+# Default bounds for a side we are willing to broadcast: rows and bytes
+# (serialized JSON size, a conservative stand-in for the in-memory size).
 BROADCAST_MAX_ROWS = 2_000_000
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Return ``df`` with a broadcast hint when its row count is proven small,
-    else unchanged (the join then shuffles; AQE may still pick a broadcast
-    from runtime statistics)."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+
+def fits(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and, if given, at most
+    ``max_bytes`` of row data. One job that reads at most ``max_rows + 1``
+    rows."""
+    head = df.limit(max_rows + 1)
+    if max_bytes is None:
+        return head.count() <= max_rows
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))),
+                      F.lit(0))
+    row = head.agg(F.count(F.lit(1)).alias("n"), size.alias("b")).first()
+    return row["n"] <= max_rows and row["b"] <= max_bytes
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                    max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Return ``df`` with a broadcast hint when its rows and bytes are proven
+    small, else unchanged (the join then shuffles; AQE may still pick a
+    broadcast from runtime statistics)."""
+    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df
 
 
 def _order_key(order: Sequence[Column | str]) -> list[Column]:
