@@ -250,24 +250,65 @@ def resolve_tree(alloc: DataFrame, tree: DataFrame, max_broadcast_rows: int | No
         F.lit("tree").alias("source"), F.lit(False).alias("is_notable"))
 
 
+def _cluster_entries(parsed_doc: Column) -> Column:
+    """U7 within one row: every sub-graph node of every jewel socket as
+    (node_hash, node); nodes whose key is not a number never match."""
+    sockets = F.map_values(parsed_doc["jewel_data"])
+    per_socket = F.transform(sockets, lambda sock: F.transform(
+        F.map_entries(sock["subgraph"]["nodes"]),
+        lambda e: F.struct(json_long(e["key"]).alias("node_hash"), e["value"].alias("node"))))
+    return F.filter(F.flatten(per_socket), lambda m: m["node"].isNotNull())
+
+
 def resolve_cluster(parsed: DataFrame) -> DataFrame:
     """Cluster allocations LEFT JOIN the cluster map on (character,
-    hash). A node present in two sockets yields two rows, as in the source."""
-    alloc = (parsed.select("character_key", F.explode("passives_doc.hashes_ex").alias("h"))
-             .select("character_key", F.col("h").cast("bigint").alias("node_hash")))
-    cmap = cluster_map(parsed).where(F.col("node").isNotNull())
-    j = alloc.join(cmap, ["character_key", "node_hash"], "left")
-    return j.select(
-        "character_key", "node_hash",
-        F.col("node.name").alias("node_name"),
-        F.coalesce(F.col("node.stats"), F.array().cast("array<string>")).alias("node_stats"),
+    hash). Both sides come from the same document row, so the join is done
+    inside the row (a lookup in that row's sub-graph entries): no shuffle.
+    A node present in two sockets yields two rows, as in the source."""
+    rows = parsed.select("character_key", F.explode(_cluster_rows(F.col("passives_doc"))).alias("a"))
+    return _cluster_columns(rows)
+
+
+def _cluster_rows(doc: Column) -> Column:
+    entries = _cluster_entries(doc)
+
+    def resolve(h: Column) -> Column:
+        hv = h.cast("bigint")
+        hits = F.filter(entries, lambda m: m["node_hash"] == hv)
+        none = F.array(F.struct(hv.alias("node_hash"),
+                                F.lit(None).cast(schemas.CLUSTER_NODE).alias("node")))
+        return F.when(F.size(hits) > 0, F.transform(hits, lambda m: F.struct(
+            hv.alias("node_hash"), m["node"].alias("node")))).otherwise(none)
+    return F.flatten(F.transform(F.coalesce(doc["hashes_ex"], F.array().cast("array<string>")), resolve))
+
+
+def _cluster_columns(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        "character_key", F.col("a.node_hash").alias("node_hash"),
+        F.col("a.node.name").alias("node_name"),
+        F.coalesce(F.col("a.node.stats"), F.array().cast("array<string>")).alias("node_stats"),
         F.lit(False).alias("is_keystone"), F.lit("cluster").alias("source"),
-        flag(F.col("node.isNotable")).alias("is_notable"))
+        flag(F.col("a.node.isNotable")).alias("is_notable"))
 
 
 def passives(parsed: DataFrame, tree: DataFrame) -> DataFrame:
-    """Tree passives UNION ALL cluster passives."""
-    return resolve_tree(tree_allocations(parsed), tree).unionByName(resolve_cluster(parsed))
+    """Tree passives UNION ALL cluster passives, from one explode of
+    each document: tree allocations carry no node and are resolved by the
+    tree join (J1); cluster allocations are resolved inside the row (J2)."""
+    doc = F.col("passives_doc")
+    tree_items = F.transform(F.coalesce(doc["hashes"], F.array().cast("array<string>")),
+                             lambda h: F.struct(F.lit("tree").alias("source"),
+                                                F.struct(h.cast("bigint").alias("node_hash"),
+                                                         F.lit(None).cast(schemas.CLUSTER_NODE).alias("node"))
+                                                .alias("a")))
+    cluster_items = F.transform(_cluster_rows(doc), lambda a: F.struct(
+        F.lit("cluster").alias("source"), a.alias("a")))
+    rows = parsed.select("character_key", F.explode(F.concat(tree_items, cluster_items)).alias("r")) \
+        .select("character_key", F.col("r.source").alias("source"), F.col("r.a").alias("a"))
+    tree_rows = resolve_tree(rows.where(F.col("source") == "tree")
+                             .select("character_key", F.col("a.node_hash").alias("node_hash")), tree)
+    cluster_rows = _cluster_columns(rows.where(F.col("source") == "cluster"))
+    return tree_rows.unionByName(cluster_rows)
 
 
 # ---------------------------------------------------------------------- U5
