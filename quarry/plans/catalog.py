@@ -221,10 +221,19 @@ def q_masteries(spark, sf_dir):
     return m.withColumn("effect_stats", F.array_join("effect_stats", "|"))
 
 
-@register("raw_payloads")
+@register("raw_payloads", _SNAP_CTE + """
+SELECT ch.character_key, CAST(count(l.l_orderkey) AS INTEGER) AS n_items,
+  CAST(count(l.l_orderkey) AS INTEGER) AS n_hashes
+FROM ch LEFT JOIN lineitem l ON l.l_orderkey = ch.o_orderkey
+GROUP BY ch.character_key""")
 def q_raw(spark, sf_dir):
-    """P4 (no oracle: the payload text is the adapter's own JSON rendering)."""
-    return _snap(spark, sf_dir).table("raw")
+    """The verbatim payload text per character. The text itself is the
+    adapter's JSON rendering, so the check reads it back: every character's
+    raw items and passives hold one entry per lineitem of its order."""
+    raw = _snap(spark, sf_dir).table("raw")
+    return raw.select("character_key",
+                      F.json_array_length(F.get_json_object("items", "$.items")).alias("n_items"),
+                      F.json_array_length(F.get_json_object("passives", "$.hashes")).alias("n_hashes"))
 
 
 _PCT = "floor(count(*) / max(t.total) * 100 * 100 + 0.5) / 100"
