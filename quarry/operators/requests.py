@@ -181,33 +181,38 @@ def quota_audit(log: DataFrame, windows: Sequence[tuple[int, int]], by: str = "i
 
 
 # ------------------------------------------------------------------ W7
-def _streak(df: DataFrame, by: str, ts_ms: str, seq: str, hit: Column, name: str,
-            bucket_ms: int) -> DataFrame:
-    """Length of the current run of ``hit`` rows per key (0 on other rows).
-
-    streak = idx - (index of the last non-hit row at or before it), with
-    both prefix quantities computed in two passes: window functions per
-    (key, time bucket), then per-bucket carries from a small table of one
-    row per (key, bucket). A hot key spreads over its buckets."""
+def _streaks(df: DataFrame, by: str, ts_ms: str, seq: str, hits: dict[str, Column],
+             bucket_ms: int) -> DataFrame:
+    """Length of the current run of each ``hits`` condition per key (0 on
+    other rows), all runs in one sweep.
+
+    run = idx - (index of the last row not meeting the condition), with both
+    prefix quantities computed in two passes: window functions per (key,
+    time bucket), then per-bucket carries from a small table of one row per
+    (key, bucket). A hot key spreads over its buckets."""
     b = F.floor(F.col(ts_ms) / F.lit(bucket_ms))
     w_local = Window.partitionBy(by, "__b").orderBy(F.col(ts_ms), F.col(seq))
     w_run = w_local.rowsBetween(Window.unboundedPreceding, 0)
-    local = (df.withColumn("__b", b)
-             .withColumn("__hit", hit)
-             .withColumn("__i", F.row_number().over(w_local))
-             .withColumn("__r", F.max(F.when(~F.col("__hit"), F.col("__i"))).over(w_run)))
+    local = df.withColumn("__b", b).withColumn("__i", F.row_number().over(w_local))
+    names = list(hits)
+    for n in names:
+        local = local.withColumn(f"__h_{n}", hits[n])
+        local = local.withColumn(f"__r_{n}", F.max(F.when(~F.col(f"__h_{n}"), F.col("__i"))).over(w_run))
     per_bucket = local.groupBy(by, "__b").agg(
-        F.count(F.lit(1)).alias("__n"), F.max(F.when(~F.col("__hit"), F.col("__i"))).alias("__lr"))
+        F.count(F.lit(1)).alias("__n"),
+        *[F.max(F.when(~F.col(f"__h_{n}"), F.col("__i"))).alias(f"__lr_{n}") for n in names])
     w_prev = Window.partitionBy(by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carries = (per_bucket
-               .withColumn("__off", F.coalesce(F.sum("__n").over(w_prev), F.lit(0)))
-               .withColumn("__abs_lr", F.col("__off") + F.col("__lr"))
-               .withColumn("__carry", F.coalesce(F.max("__abs_lr").over(w_prev), F.lit(0)))
-               .select(by, "__b", "__off", "__carry"))
+    carries = per_bucket.withColumn("__off", F.coalesce(F.sum("__n").over(w_prev), F.lit(0)))
+    for n in names:
+        carries = carries.withColumn(
+            f"__c_{n}", F.coalesce(F.max(F.col("__off") + F.col(f"__lr_{n}")).over(w_prev), F.lit(0)))
+    carries = carries.select(by, "__b", "__off", *[f"__c_{n}" for n in names])
     j = local.join(carries, [by, "__b"])
-    last_reset = F.coalesce(F.col("__off") + F.col("__r"), F.col("__carry"))
-    streak = F.when(F.col("__hit"), F.col("__off") + F.col("__i") - last_reset).otherwise(F.lit(0))
-    return j.withColumn(name, streak.cast("long")).drop("__b", "__hit", "__i", "__r", "__off", "__carry")
+    for n in names:
+        last_reset = F.coalesce(F.col("__off") + F.col(f"__r_{n}"), F.col(f"__c_{n}"))
+        run = F.when(F.col(f"__h_{n}"), F.col("__off") + F.col("__i") - last_reset).otherwise(F.lit(0))
+        j = j.withColumn(n, run.cast("long"))
+    return j.drop("__b", "__i", "__off", *[f"__{x}_{n}" for n in names for x in ("h", "r", "c")])
 
 
 def danger_streaks(log: DataFrame, by: str = "ip", ts_ms: str = "ts_ms", seq: str = "seq",
@@ -217,12 +222,11 @@ def danger_streaks(log: DataFrame, by: str = "ip", ts_ms: str = "ts_ms", seq: st
     consecutive error run (reset by ok or throttle), the back-off each
     response earns (Retry-After, else base * 2^(n-1), capped) and the abort
     flags at 3 throttles / 8 errors. Runs are measured with skew-safe
-    two-pass prefix computations (see ``_streak``)."""
+    two-pass prefix computations (see ``_streaks``)."""
     sig = F.col(signal_col)
     thr = sig.isin("throttled", "challenge")
     err = sig == "error"
-    df = _streak(log, by, ts_ms, seq, thr, "throttle_streak", bucket_ms)
-    df = _streak(df, by, ts_ms, seq, err, "error_streak", bucket_ms)
+    df = _streaks(log, by, ts_ms, seq, {"throttle_streak": thr, "error_streak": err}, bucket_ms)
     escalated = (F.when(thr, F.lit(THROTTLE_BACKOFF_MS) * F.pow(F.lit(2), F.col("throttle_streak") - 1))
                  .when(err, F.lit(ERROR_BACKOFF_MS) * F.pow(F.lit(2), F.col("error_streak") - 1)))
     backoff = F.least(F.lit(MAX_BACKOFF_MS).cast("double"),
