@@ -42,7 +42,10 @@ def run(fn) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = get_spark(f"local[{cpus}]", app="quarry-bench", shuffle_partitions=int(cpus) * 2)
+    # Local mode: the driver heap is all the memory the jobs get (default 1 GB).
+    memory = os.environ.get("BENCH_DRIVER_MEMORY", "4g")
+    spark = get_spark(f"local[{cpus}]", app="quarry-bench", shuffle_partitions=int(cpus) * 2,
+                      driver_memory=memory)
     spark.sparkContext.setLogLevel("ERROR")
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
     times: dict[str, float] = {}

@@ -20,11 +20,17 @@ _DEFAULTS = {
 
 
 def get_spark(master: str | None = None, app: str = "quarry",
-              shuffle_partitions: int | None = None) -> SparkSession:
-    """Return the active session, creating a local one when none exists."""
+              shuffle_partitions: int | None = None,
+              driver_memory: str | None = None) -> SparkSession:
+    """Return the active session, creating a local one when none exists.
+
+    ``driver_memory`` only takes effect when this call starts the JVM; in
+    local mode the driver heap is the executors' memory too."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     for key, value in _DEFAULTS.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
