@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,8 +56,26 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     with a map-side partial step, so a key holding a third of all rows is
     reduced to one row per input partition before the shuffle. NULL order
     values sort lowest (a non-NULL instant beats a missing one).
+
+    With ``row_id`` (a column unique per row) the wide rows are not carried
+    through the aggregate: the winning ids are found on a narrow projection
+    (same skew-safe aggregate), checkpointed to the shared folder, and the
+    rows are semi-joined on the id (no skew: ids are unique). The id list is
+    broadcast only when its rows and bytes are proven small.
     """
     keys = list(keys)
+    if row_id is not None:
+        order_cols = _order_key(order)
+        packed = F.struct(*[c.alias(f"__o{i}") for i, c in enumerate(order_cols)],
+                          F.col(row_id).alias("__id"))
+        winners = (df.select(*keys, packed.alias("__p"))
+                   .groupBy(*keys).agg(F.max("__p").alias("__best"))
+                   .select(F.col("__best.__id").alias(row_id)))
+        ensure_checkpoint_dir(df.sparkSession)
+        winners = winners.checkpoint(eager=True)
+        if fits(winners, max_broadcast_rows, BROADCAST_MAX_BYTES):
+            winners = F.broadcast(winners)
+        return df.join(winners, row_id, "left_semi")
     payload = [c for c in df.columns if c not in keys]
     order_cols = _order_key(order)
     packed = F.struct(
