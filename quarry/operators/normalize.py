@@ -10,10 +10,10 @@ Pipeline (all lazy; the plan layer persists ``chars`` and ``item_rows``):
 
 Each payload is parsed exactly once with a declared schema whose leaves are
 STRING (JSON text semantics), and every per-item lookup (first matching
-property, link groups) is a higher-order function evaluated inside the row:
-no correlated subquery, no join, no shuffle. Shuffles happen only where the
+property, link groups) is an expression evaluated inside the row: no
+correlated subquery, no join, no shuffle. Shuffles happen only where the
 semantics need them: the identity dedupe, the skill grouping and main-skill
-pick, and the two passive joins.
+pick, and the tree-dimension join (cluster passives resolve inside the row).
 """
 
 from __future__ import annotations
