@@ -91,3 +91,16 @@ def test_active_leagues(spark):
     got = [r["id"] for r in EC.active_leagues(rows, "2024-06-01T00:00:00Z").orderBy("position").collect()]
     assert got == ["Mirage", "Hardcore Mirage", "Standard"]
     assert len(EC.CATALOGUE_PAIRS) == 43
+
+
+def test_tally_coverage_and_rollup(spark):
+    from quarry.operators import aggregates as AG
+    outcomes = ["ok", "ok", "pending", "private", "retryable", "dead", "skipped"]
+    state = _state(spark, [(f"a{i}", "X", o, 0) for i, o in enumerate(outcomes)])
+    tally = AG.tally_outcomes(state)
+    assert tally.first().asDict() == {"pending": 1, "ok": 2, "private": 1, "retryable": 1, "dead": 1,
+                                      "skipped": 1}
+    cov = AG.coverage(tally).first()
+    assert (cov["ok"], cov["private"], cov["dead"], cov["pending_of"], cov["total"]) == (2, 1, 1, 2, 7)
+    rolled = AG.add_tallies(tally.unionByName(tally)).first()
+    assert (rolled["ok"], rolled["skipped"]) == (4, 2)
