@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.common import latest_per_key
+from quarry.session import ensure_checkpoint_dir
 
 IDENTITY = ["account", "character"]
 
@@ -22,16 +23,7 @@ def _parse_pages(pages: DataFrame, by: Sequence[str], offset: str, doc: str) ->
                         F.get_json_object(F.col(doc), "$.entries").isNull().alias("malformed"))
 
 
-def scan_ladder_pages(pages: DataFrame, by: Sequence[str] = (), offset: str = "offset",
-                      doc: str = "doc") -> DataFrame:
-    """Explode captured pages into entries (by..., offset, pos, ...).
-
-    Entries without a string account or character name are dropped;
-    defaults: rank 0, class 'Unknown', level 0; ``total`` defaults to the
-    number of kept entries of the page. A page without ``entries`` is
-    malformed and yields no entries."""
-    by = list(by)
-    parsed = _parse_pages(pages, by, offset, doc)
+def _entries(parsed: DataFrame, by: list[str]) -> DataFrame:
     ex = parsed.select(*by, "offset", F.col("p.total").alias("total_raw"),
                        F.posexplode("p.entries").alias("pos", "e"))
     kept = ex.where(F.col("e.account.name").isNotNull() & F.col("e.character.name").isNotNull())
@@ -46,6 +38,18 @@ def scan_ladder_pages(pages: DataFrame, by: Sequence[str] = (), offset: str = "o
         F.coalesce(F.col("total_raw"), n_kept).cast("long").alias("total"))
 
 
+def scan_ladder_pages(pages: DataFrame, by: Sequence[str] = (), offset: str = "offset",
+                      doc: str = "doc") -> DataFrame:
+    """Explode captured pages into entries (by..., offset, pos, ...).
+
+    Entries without a string account or character name are dropped;
+    defaults: rank 0, class 'Unknown', level 0; ``total`` defaults to the
+    number of kept entries of the page. A page without ``entries`` is
+    malformed and yields no entries."""
+    by = list(by)
+    return _entries(_parse_pages(pages, by, offset, doc), by)
+
+
 def ladder_window(pages: DataFrame, depth: int, page_size: int, by: Sequence[str] = (),
                   offset: str = "offset", doc: str = "doc") -> DataFrame:
     """Stitch each capture's pages (offsets 0, page, 2*page ... below
@@ -58,15 +62,19 @@ def ladder_window(pages: DataFrame, depth: int, page_size: int, by: Sequence[str
     capture, so its ordered frame stays tiny whatever the data size."""
     by = list(by)
     spark = pages.sparkSession
-    entries = scan_ladder_pages(pages, by, offset, doc)
-    parsed = _parse_pages(pages, by, offset, doc)
+    # The page table is small (captures x depth/page rows) and feeds three
+    # branches below: parse it once and checkpoint it (shared folder) so the
+    # upstream that produced the pages runs once.
+    ensure_checkpoint_dir(spark)
+    parsed = _parse_pages(pages, by, offset, doc).checkpoint(eager=True)
+    entries = _entries(parsed, by)
     n_kept = F.size(F.filter(F.coalesce(F.col("p.entries"), F.array().cast(
         parsed.schema["p"].dataType["entries"].dataType)),
         lambda e: e["account"]["name"].isNotNull() & e["character"]["name"].isNotNull()))
     summary = parsed.select(*by, "offset", "malformed", n_kept.alias("n"),
                             F.coalesce(F.col("p.total").cast("long"), n_kept.cast("long")).alias("total"),
                             F.lit(True).alias("present"))
-    captures = pages.select(*by).distinct()
+    captures = parsed.select(*by).distinct()
     expected = captures.crossJoin(
         F.broadcast(spark.range(0, depth, page_size).select(F.col("id").alias("offset"))))
     st = (expected.join(summary, [*by, "offset"], "left")
