@@ -99,3 +99,16 @@ def test_results_line_order_survives_file_splits(spark):
         assert merged["attempts"] == 1999  # the last line before the fault wins
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_truncated_gzip_strict_fails_lenient_keeps_prefix(spark):
+    d = tempfile.mkdtemp(prefix="quarry-test-")
+    lines = [json.dumps({"ordinal": i, "account": "a", "character": str(i), "outcome": "ok",
+                         "pad": "x" * 50}) for i in range(2000)]
+    data = gzip.compress(("\n".join(lines) + "\n").encode())
+    with open(os.path.join(d, "w00.ndjson.gz"), "wb") as f:
+        f.write(data[: len(data) // 2])  # cut mid-stream
+    with pytest.raises(Exception):
+        scan_state(spark, d).count()
+    kept = scan_results(spark, d).count()
+    assert 0 < kept < 2000
