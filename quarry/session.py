@@ -42,14 +42,19 @@ def get_spark(master: str | None = None, app: str = "quarry",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; set one only if unset.
+    """Use the cluster's shared ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared folder every executor can reach;
-    a local fallback is only chosen when nothing is configured (tests).
+    On a cluster the setting names a shared folder every executor can reach,
+    and its absence is an error: a machine-local folder would scatter the
+    staged tables. Only a session whose executors are threads of the driver
+    (``local[...]``) falls back to a temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = os.path.join(os.environ.get("TMPDIR", "/tmp"), "quarry-checkpoints")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:
