@@ -56,3 +56,63 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * n_removed_words <= 30 * n_words AS kept
 FROM joined
 """
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_B = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+ORACLES["op4_decontamination"] = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_B}') AS ws FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_B}') AS ws FROM benchmark
+), starts AS (
+  SELECT item_id, ws, least(10, len(ws)) AS k, unnest(generate_series(1, len(ws) - least(10, len(ws)) + 1)) AS a
+  FROM items WHERE len(ws) > 0
+), windows AS (
+  SELECT DISTINCT item_id, k, array_to_string(ws[a:a + k - 1], ' ') AS w FROM starts
+), places AS (
+  SELECT rid, k, unnest(generate_series(1, len(ws) - k + 1)) AS a, ws
+  FROM docs, (SELECT DISTINCT k FROM windows) WHERE len(ws) >= k
+), pieces AS (
+  SELECT rid, k, a, array_to_string(ws[a:a + k - 1], ' ') AS w FROM places
+), hits AS (
+  SELECT rid, a, item_id, k FROM pieces JOIN windows USING (k, w)
+), covered AS (
+  SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(generate_series(a, a + k - 1)) AS p FROM hits) GROUP BY rid
+), named AS (
+  SELECT rid, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+  FROM (SELECT DISTINCT rid, item_id::VARCHAR AS i FROM hits) GROUP BY rid
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (rid) LEFT JOIN named USING (rid)
+"""
+
+ORACLES["op5_mixing"] = f"""
+WITH sizes AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{_W}')), 0) AS size FROM documents
+), per AS (
+  SELECT source, count(*) AS n_docs, sum(size)::BIGINT AS source_size FROM sizes GROUP BY source
+), named AS (
+  SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM per
+), weighed AS (
+  SELECT *, [3.0, 1.0, 2.0][place % 3 + 1]::DOUBLE AS weight, source_size * 2.0::DOUBLE AS lim,
+    sum(source_size) OVER () * 1.5::DOUBLE AS all_words FROM named
+), levels AS (
+  SELECT *, (all_words - (sum(lim) OVER f - lim)) / sum(weight) OVER (ORDER BY lim / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed WINDOW f AS (ORDER BY lim / weight, place ROWS UNBOUNDED PRECEDING)
+), targets AS (
+  SELECT source, source_size, least(lim, max(level) OVER () * weight) AS target,
+    ('0x' || substr(md5('mix:' || coalesce('=' || source, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM levels
+), ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY source ORDER BY size, doc_id NULLS FIRST) - 1 AS k FROM sizes s
+), rated AS (
+  SELECT r.doc_id, r.size, t.source_size, t.target, u, k,
+    CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0::DOUBLE END AS rate
+  FROM ranked r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target, (floor(u + rate * (k + 1)) - floor(u + rate * k))::BIGINT AS copies,
+  (floor(u + rate * (k + 1)) - floor(u + rate * k))::BIGINT * size AS taken
+FROM rated
+"""
