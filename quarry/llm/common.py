@@ -36,15 +36,16 @@ def planned_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
 
 
-def text_chunks(batches: Iterator[pa.RecordBatch], column: str, chars: int) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches into slices holding about ``chars`` bytes of text
-    (a longer text is a slice of its own), so a worker's memory does not
-    depend on how many rows Spark packs into a batch."""
+def text_chunks(batches: Iterator[pa.RecordBatch], column: str, chars: int,
+                rows: int = 100_000) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches into slices of about ``chars`` bytes of text (a longer
+    text is a slice of its own) and at most ``rows`` rows, so a worker's
+    memory does not depend on how many rows Spark packs into a batch."""
     for batch in batches:
         sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
         start, held = 0, 0
         for i, n in enumerate(sizes):
-            if held and held + n > chars:
+            if i > start and (held + n > chars or i - start >= rows):
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += n

@@ -116,3 +116,20 @@ SELECT doc_id, size, source_size, target, (floor(u + rate * (k + 1)) - floor(u +
   (floor(u + rate * (k + 1)) - floor(u + rate * k))::BIGINT * size AS taken
 FROM rated
 """
+
+ORACLES["op2_chat_format"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, role AS r0, text AS t0 FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]', 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]', 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+  SELECT *, length('<s>[INST]  [/INST] </s>') + length(role) + length(text)
+    + len(regexp_extract_all(role, '\\|</?s>|\[/?INST\]')) + len(regexp_extract_all(text, '\\|</?s>|\[/?INST\]')) AS chars FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, r0 NULLS FIRST, t0 NULLS FIRST)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, r0 NULLS FIRST, t0 NULLS FIRST) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
