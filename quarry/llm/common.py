@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.session import checkpoint_root
@@ -42,7 +43,7 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str, chars: int,
     text is a slice of its own) and at most ``rows`` rows, so a worker's
     memory does not depend on how many rows Spark packs into a batch."""
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start, held = 0, 0
         for i, n in enumerate(sizes):
             if i > start and (held + n > chars or i - start >= rows):

@@ -133,3 +133,60 @@ SELECT conv_id, count(*) AS n_turns,
   sum(chars)::BIGINT AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+ORACLES["op8_url_filters"] = r"""
+WITH RECURSIVE rules(h, p, v) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), pages_ AS (
+  SELECT row_number() OVER () AS rid, page_id, url, html, contains(coalesce(url, ''), '://') AS ok FROM pages
+), tags AS (
+  SELECT url, regexp_extract(unnest(regexp_extract_all(html, '(?i)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>')), '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS t FROM pages_
+  UNION ALL
+  SELECT url, regexp_extract(unnest(regexp_extract_all(html, '(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>')), '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1) FROM pages_
+), resolved AS (
+  SELECT url AS a, CASE WHEN contains(t, '://') THEN t
+    WHEN starts_with(t, '//') THEN regexp_extract(url, '(?s)^(.*?:)//', 1) || t
+    WHEN starts_with(t, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || t
+    WHEN length(regexp_extract(url, '(?s)^(.*?://[^?#]*/)', 1)) > length(regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1))
+      THEN regexp_extract(url, '(?s)^(.*?://[^?#]*/)', 1) || t
+    ELSE regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || '/' || t END AS b
+  FROM (SELECT url, replace(t, '&amp;', '&') AS t FROM tags) WHERE t <> '' AND contains(url, '://')
+), edges AS (
+  SELECT DISTINCT norm(a) AS a, norm(b) AS b FROM resolved WHERE contains(b, '://')
+), sym AS (
+  SELECT a, b FROM edges UNION SELECT b, a FROM edges
+), reach(a, b) AS (
+  SELECT a, b FROM sym UNION SELECT r.a, e.b FROM reach r JOIN sym e ON r.b = e.a
+), urls AS (
+  SELECT DISTINCT url FROM pages_ WHERE ok UNION SELECT a FROM sym
+), parts AS (
+  SELECT url, lower_(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1)) AS host, regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM urls
+), ruled AS (
+  SELECT url, host, path, max({'n': length(h || p), 'v': v, 'rule': h || p}) AS best
+  FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY ALL
+), inherited AS (
+  SELECT r.a, min(best.v) AS v FROM reach r JOIN ruled u ON u.url = r.b WHERE best.v IS NOT NULL GROUP BY r.a
+)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, best.rule AS rule, coalesce(best.v, i.v, 'allow') AS verdict
+FROM pages_ p LEFT JOIN ruled u ON p.ok AND u.url = p.url LEFT JOIN inherited i ON p.ok AND i.a = norm(p.url)
+"""
+_norm = (r"(" + _LOWER.format(r"regexp_extract({0}, '(?s)^(.*?://[^/?#]*)', 1)") + r" || regexp_extract({0}, '(?s)^.*?://[^/?#]*([^#]*)', 1))")
+for _x in ("p.url", "a", "b"):
+    ORACLES["op8_url_filters"] = ORACLES["op8_url_filters"].replace(f"norm({_x})", _norm.format(_x))
+ORACLES["op8_url_filters"] = ORACLES["op8_url_filters"].replace(
+    "lower_(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1))", _LOWER.format("regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1)"))
+
+ORACLES["op10_warc"] = """
+WITH bodies AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), sums AS (
+  SELECT *, max(page_id) OVER (PARTITION BY hex) AS original,
+    list_transform(range(0, 8), lambda g: ('0x' || substr(hex, (g * 5 + 1)::INT, 5))::BIGINT) AS parts FROM bodies
+)
+SELECT page_id, payload_bytes,
+  array_to_string(flatten(list_transform(parts, lambda x: list_transform([15, 10, 5, 0],
+    lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((x >> s::INT) & 31) + 1)::INT, 1)))), '') AS payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM original THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS NOT DISTINCT FROM original THEN NULL ELSE original END AS refers_to
+FROM sums
+"""

@@ -16,7 +16,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 
 from quarry.llm.common import WORD_RE, text_chunks

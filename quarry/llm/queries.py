@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat_format, decontamination, language_id, mixing, quality_rules
-from quarry.llm.common import table
+from quarry.llm import chat_format, decontamination, language_id, mixing, quality_rules, url_filters, warc
+from quarry.llm.common import scratch, table
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +31,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(url_filters.RULES, "host string, path string, verdict string")
+    return url_filters.url_filter(table(spark, sf_dir, "pages"), rules)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     out = language_id.held_out(F.col("doc_id"))
@@ -38,10 +43,19 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, prototypes).select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    found = warc.read_archives(spark, path, with_payload=False)
+    return found.filter(F.col("kind") == "record").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_chat_format": op2_chat_format,
     "op4_decontamination": op4_decontamination,
     "op5_mixing": op5_mixing,
+    "op8_url_filters": op8_url_filters,
     "op9_language_id": op9_language_id,
+    "op10_warc": op10_warc,
 }
