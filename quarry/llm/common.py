@@ -34,7 +34,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 def planned_bytes(df: DataFrame) -> int:
     """Size of ``df`` as the optimizer estimates it (file sizes for a scan);
     runs no job. Used to choose partition counts, never what is computed."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str, chars: int,

@@ -190,3 +190,27 @@ SELECT page_id, payload_bytes,
   CASE WHEN page_id IS NOT DISTINCT FROM original THEN NULL ELSE original END AS refers_to
 FROM sums
 """
+
+ORACLES["op7_ngram_join"] = f"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_W}') AS ws FROM documents
+), places AS (
+  SELECT rid, ws, unnest(generate_series(1, greatest(1, len(ws) - 4))) AS a FROM docs WHERE len(ws) > 0
+), shingles AS (
+  SELECT DISTINCT rid, array_to_string(ws[a:a + 4], ' ') AS s FROM places
+), sizes AS (
+  SELECT rid, count(*) AS n FROM shingles GROUP BY rid
+), shared AS (
+  SELECT x.rid AS a, y.rid AS b, count(*) AS m FROM shingles x JOIN shingles y ON x.s = y.s AND x.rid < y.rid GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.rid = a JOIN sizes q ON q.rid = b WHERE 100 * m >= 80 * (p.n + q.n - m)
+), sym AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(a, b) AS (
+  SELECT a, b FROM sym UNION SELECT r.a, e.b FROM reach r JOIN sym e ON r.b = e.a
+), least_ AS (
+  SELECT a AS rid, min(doc_id) AS c FROM reach JOIN docs ON docs.rid = reach.b GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(least(doc_id, c), doc_id) AS component_id
+FROM docs LEFT JOIN sizes USING (rid) LEFT JOIN least_ USING (rid)
+"""

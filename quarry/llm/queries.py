@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat_format, decontamination, language_id, mixing, quality_rules, url_filters, warc
+from quarry.llm import chat_format, decontamination, language_id, mixing, ngram_join, quality_rules, url_filters, warc
 from quarry.llm.common import scratch, table
 
 
@@ -31,6 +31,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(url_filters.RULES, "host string, path string, verdict string")
     return url_filters.url_filter(table(spark, sf_dir, "pages"), rules)
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_format": op2_chat_format,
     "op4_decontamination": op4_decontamination,
     "op5_mixing": op5_mixing,
+    "op7_ngram_join": op7_ngram_join,
     "op8_url_filters": op8_url_filters,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
