@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat_format, decontamination, language_id, mixing, ngram_join, quality_rules, url_filters, warc
-from quarry.llm.common import scratch, table
+from quarry.llm import chat_format, decontamination, html_extract, language_id, mixing, ngram_join, quality_rules, url_filters, warc
+from quarry.llm.common import scratch, ship, table
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_conversations(turns))
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"), html_extract.train(spark))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("item_ids")
 
@@ -54,13 +58,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.filter(F.col("kind") == "record").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+def _shipping(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: query(ship(spark), sf_dir)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _shipping(query) for name, query in {
     "op1_quality_rules": op1_quality_rules,
     "op2_chat_format": op2_chat_format,
+    "op3_html_extract": op3_html_extract,
     "op4_decontamination": op4_decontamination,
     "op5_mixing": op5_mixing,
     "op7_ngram_join": op7_ngram_join,
     "op8_url_filters": op8_url_filters,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
-}
+}.items()}
