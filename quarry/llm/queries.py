@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat_format, decontamination, html_extract, language_id, mixing, ngram_join, quality_rules, url_filters, warc
+from quarry.llm import chat_format, decontamination, html_extract, language_id, lm_scoring, mixing, ngram_join, quality_rules, url_filters, warc
 from quarry.llm.common import scratch, ship, table
 
 
@@ -35,6 +35,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _shipping(
     "op3_html_extract": op3_html_extract,
     "op4_decontamination": op4_decontamination,
     "op5_mixing": op5_mixing,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_ngram_join": op7_ngram_join,
     "op8_url_filters": op8_url_filters,
     "op9_language_id": op9_language_id,
