@@ -140,13 +140,14 @@ def predict(docs: DataFrame, prototypes: Prototypes, keep: tuple[str, ...] = ("d
     are not read."""
     languages, vectors = prototypes.languages, prototypes.vectors
     dimensions = vectors.shape[1]
+    column = text if text in keep else "__text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_chunks(batches, "__text", SLICE_BYTES, SLICE_ROWS):
+        for batch in text_chunks(batches, column, SLICE_BYTES, SLICE_ROWS):
             names: list[str] = [UNKNOWN] * batch.num_rows
             scores = np.zeros(batch.num_rows)
             if languages:
-                t = bundle(*trigrams(batch.column("__text").to_pylist()), dimensions)
+                t = bundle(*trigrams(batch.column(column).to_pylist()), dimensions)
                 norm = np.linalg.norm(t, axis=1)
                 cosine = (t @ vectors.T) / np.maximum(norm, 1e-9)[:, None]
                 best = cosine.argmax(1)
@@ -156,7 +157,8 @@ def predict(docs: DataFrame, prototypes: Prototypes, keep: tuple[str, ...] = ("d
                                              names=[*keep, "lang_pred", "score"])
 
     keys = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return docs.select(*keep, docs[text].alias("__text")).mapInArrow(run, f"{keys}, lang_pred string, score double")
+    source = docs.select(*keep) if column in keep else docs.select(*keep, docs[text].alias(column))
+    return source.mapInArrow(run, f"{keys}, lang_pred string, score double")
 
 
 def held_out(doc_id: Column) -> Column:
