@@ -52,10 +52,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """Size of ``df`` as the optimizer estimates it (file sizes for a scan);
-    runs no job. Used to choose partition counts, never what is computed."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def planned_parts(df: DataFrame, each: int = 8_000_000) -> int:
+    """How many parts of about ``each`` bytes ``df`` makes, by the optimizer's
+    size estimate (file sizes for a scan; runs no job), and no fewer than
+    ``spark.sql.shuffle.partitions``, which alone decides where the size is
+    unknown. It only says how the work is cut, never what is computed."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return least if size >= 1 << 60 else max(least, size // each + 1)
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str, chars: int,

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import planned_bytes, saved, text_chunks
+from quarry.llm.common import planned_parts, saved, text_chunks
 from quarry.llm.tokens import mixed, word_hashes
 
 ORDER = 2
@@ -95,8 +95,8 @@ def grams(words: np.ndarray, lengths: np.ndarray, order: int) -> tuple[list[np.n
     token[place] = words | np.uint64(1)
     found = [token]
     for k in range(2, order + 1):
-        longer = token.copy()
-        longer[1:] = mixed(found[-1][:-1] * _FACTOR + token[1:] + np.uint64(k))
+        shorter = np.concatenate([[END], found[-1][:-1]])  # the first position stands like the others behind an end
+        longer = mixed(shorter * _FACTOR + token + np.uint64(k))
         found.append(longer & ~np.uint64(1))
     used = ~begin
     if pads:
@@ -280,8 +280,7 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     A null doc_id counts as the id of an empty text. Without training
     documents every estimate is uniform. An empty table gives no rows. Other
     columns are not read. 64-bit hashes stand for n-grams."""
-    spark = docs.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), planned_bytes(docs) // 8_000_000 + 1)
+    parts = planned_parts(docs)
     flag = F.when(deleted(F.col("doc_id")), F.lit(2)).when(in_training(F.col("doc_id")), F.lit(1)).otherwise(F.lit(0))
     flagged = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), flag.alias("flag"))
     out, rest = flagged.filter(F.col("flag") == 2), flagged.filter(F.col("flag") < 2)

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import planned_bytes, saved, text_chunks
+from quarry.llm.common import planned_parts, saved, text_chunks
 from quarry.llm.components import connected_components
 from quarry.llm.tokens import mixed, word_hashes
 
@@ -285,8 +285,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     component whose ids are all null has a null id. An empty table gives no
     rows. Other columns are not read. 64-bit hashes stand for shingles and
     sets."""
-    spark = docs.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), planned_bytes(docs) // 8_000_000 + 1)
+    parts = planned_parts(docs)
     rows = saved(signatures(docs, words, percent, text), "jaccard-signatures")
     some = rows.filter(F.col("n") > 0)
     chosen = some.groupBy("node").agg(F.min("row").alias("row"), F.min("doc_id").alias("least_id"))
