@@ -29,6 +29,7 @@ from quarry.llm.common import text_chunks
 VERSION = b"WARC/1.1"
 MEMBER = b"\x1f\x8b\x08"
 _candidate = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
+_name = re.compile(rb"[!#$%&'*+.^_`|~0-9A-Za-z-]+")
 _PIECE = 65_536
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
@@ -125,8 +126,8 @@ def _parse(data: bytes | memoryview, start: int) -> tuple[dict[str, str], bytes,
     headers: dict[str, str] = {}
     for line in window[:edge].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
-        if not colon:
-            raise Damaged("header line without a colon")
+        if not colon or not _name.fullmatch(name):
+            raise Damaged("malformed header line")
         headers[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
     if not headers.get("content-length", "").isdigit():
         raise Damaged("no content length")

@@ -3,7 +3,7 @@ from plain import base_measures
 from quarry.llm import quality_rules as Q
 
 SENTENCE = "The old house by the river was sold to a young family last week."
-CLEAN = "\n".join(f"Line {i}: {SENTENCE} It took them {i} days to move in." for i in range(8))
+CLEAN = "\n".join(f"On day{i} the team{i} met near gate{i}, and then road{i} led them{i} home{i} again{i}." for i in range(12))
 
 
 def results(frame, texts):
@@ -31,7 +31,7 @@ def test_lines_fail_by_rule_and_documents_by_loss(frame):
     assert Q.failed_rule("a heading", ["a", "heading"], Q.Rules()) == "punctuation"
     assert Q.failed_rule(SENTENCE, SENTENCE.split(), Q.Rules()) is None
     assert Q.failed_rule('He said "yes."', 'He said "yes."'.split(), Q.Rules()) is None
-    light, heavy = f"{menu}\n{CLEAN}\n{cookie}", CLEAN + f"\n{shout}" * 40
+    light, heavy = f"{menu}\n{CLEAN}\n{cookie}", CLEAN + "".join(f"\nBUY{i}!! NOW{i}!! CHEAP{i}!!" for i in range(40))
     a, b, c = results(frame, [light, heavy, CLEAN])
     assert a.kept and a.clean_text == CLEAN and a.n_removed_lines == 2
     assert not b.kept
