@@ -6,8 +6,10 @@ threshold; classes are the components of the links.
 
 * Documents with equal sets are one node from the start.
 * Sets that link share one of their smallest hashes (as many as may be
-  missing, and one more). Nodes with such a hash in common form a tile, in
-  order of set size; only pairs whose sizes fit the threshold are looked at.
+  missing, and one more). Nodes with such a hash in common belong together,
+  and groups with the same first (smallest) node are put together as one: a
+  tile, in order of set size, in which only pairs whose sizes fit the
+  threshold are looked at. A large tile is cut into blocks by size.
 * Every node carries a bitmap signature: the parity of its hashes per bit, the
   width growing with the set. Bits that differ count elements that are in one
   set only, which bounds the overlap from above, and most pairs end here.
@@ -23,12 +25,13 @@ link between two classes is left out.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import planned_parts, saved, text_chunks
@@ -36,11 +39,11 @@ from quarry.llm.components import connected_components
 from quarry.llm.tokens import mixed, word_hashes
 
 WORDS, PERCENT = 5, 80
-#: Tiles up to this size emit their pairs; a larger one is worked on in blocks.
-SMALL_TILE = 8
+#: Tiles up to this size emit all pairs that the bitmaps allow; larger ones are worked on in two rounds.
+SMALL_TILE = 64
 #: Members of a block: two blocks and their bitmaps are what a task holds.
 BLOCK = 4096
-#: Candidate classes up to which their ids are broadcast (16 bytes each).
+#: Rows of ids up to which they are broadcast (8 or 16 bytes each).
 BROADCAST_ROWS = 2_000_000
 _FACTORS = mixed(np.arange(1, 65, dtype=np.uint64))
 
@@ -78,8 +81,8 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def bitmap(own: np.ndarray) -> bytes:
-    """Parity bitmap, four bits or more for each element."""
-    width = max(64, 1 << (4 * len(own) - 1).bit_length())
+    """Parity bitmap, two to four bits for each element."""
+    width = max(64, 1 << (2 * len(own) - 1).bit_length())
     odd = np.bincount(own.view(np.uint64) & np.uint64(width - 1), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -116,59 +119,44 @@ def signatures(docs: DataFrame, words: int, percent: int, text: str) -> DataFram
             .mapInArrow(run, f"doc_id {kind}, row long, n long, node long, prefix array<long>, bits binary"))
 
 
-_TILE = "token long, place long, a long, b long, n long"
-
-
-def _tiles(percent: int, small: int):
-    """Over rows (token, n, node) in that order: a small tile's pairs as rows
-    (place -1, a, b); the members of a larger tile, numbered, as (place, a, n).
-    Only tiles of two or more come out; of a tile, ``small`` rows are held."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, count = None, 0
-        held: list[tuple[int, int]] = []
-        out: list[tuple] = []
-
-        def close() -> None:
-            if 1 < count <= small:
-                for i, (n, a) in enumerate(held):
-                    for m, b in held[i + 1:]:
-                        if 100 * n >= percent * m:
-                            out.append((None, -1, min(a, b), max(a, b), None))
-
-        def batch_of() -> pa.RecordBatch:
-            rows = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)],
-                                              names=["token", "place", "a", "b", "n"])
-            out.clear()
-            return rows
-
-        for batch in batches:
-            tokens, sizes, nodes = (batch.column(c).to_numpy() for c in ("token", "n", "node"))
-            # A row whose token differs from both neighbours is a tile of one; the batch's ends are kept for the next.
-            alike = np.zeros(len(tokens), bool)
-            if len(tokens):
-                same = tokens[1:] == tokens[:-1]
-                alike[1:] |= same
-                alike[:-1] |= same
-                alike[[0, -1]] = True
-            for t, n, node in zip(tokens[alike].tolist(), sizes[alike].tolist(), nodes[alike].tolist(), strict=True):
-                if t != token:
-                    close()
-                    token, count, held = t, 0, []
-                count += 1
-                if count <= small:
-                    held.append((n, node))
-                else:
-                    if held:
-                        out += [(token, i, a, None, m) for i, (m, a) in enumerate(held)]
-                        held = []
-                    out.append((token, count - 1, node, None, n))
-                if len(out) >= 20_000:
-                    yield batch_of()
-        close()
-        if out:
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows (token, n, node) in that order: (lead, node, n) for the nodes
+    of each token that has two or more, ``lead`` being the first of them. Of a
+    token, one row is held."""
+    token = lead = None
+    last, waiting = None, False
+    out: list[tuple[int, int, int]] = []
+
+    def batch_of() -> pa.RecordBatch:
+        rows = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["lead", "node", "n"])
+        out.clear()
+        return rows
+
+    first = (0, 0, 0)
+    for batch in batches:
+        tokens, sizes, nodes = (batch.column(c).to_numpy() for c in ("token", "n", "node"))
+        if not len(tokens):
+            continue
+        # A row whose token differs from both neighbours is alone; the batch's ends are kept for the next.
+        alike = np.zeros(len(tokens), bool)
+        same = tokens[1:] == tokens[:-1]
+        alike[1:] |= same
+        alike[:-1] |= same
+        alike[[0, -1]] = True
+        for t, n, node in zip(tokens[alike].tolist(), sizes[alike].tolist(), nodes[alike].tolist(), strict=True):
+            if t != token:
+                token, lead, last, waiting = t, node, node, True
+                first = (node, node, n)
+            elif node != last:
+                if waiting:
+                    out.append(first)
+                    waiting = False
+                out.append((lead, node, n))
+                last = node
+        if len(out) >= 20_000:
             yield batch_of()
-
-    return run
+    if out:
+        yield batch_of()
 
 
 class Block:
@@ -225,6 +213,14 @@ def leader_pairs(block: Block, percent: int) -> list[tuple[int, int]]:
     return pairs
 
 
+def tile_pairs(block: Block, percent: int, small: int) -> list[tuple[int, int]]:
+    """First round: of a small tile all pairs that may link, else the leaders' pairs."""
+    if len(block.nodes) > small:
+        return leader_pairs(block, percent)
+    rest = np.arange(len(block.nodes))
+    return [(int(block.nodes[i]), int(block.nodes[j])) for i in rest for j in block.near(i, block, rest[i + 1:], percent)]
+
+
 def class_pairs(a: Block, b: Block, same: bool, percent: int) -> list[tuple[int, int]]:
     """Pairs of members of different groups that may link."""
     pairs = []
@@ -241,31 +237,76 @@ def _pair_frame(pairs: list[tuple[int, int]]) -> pa.Table:
     return pa.table({"a": a.min(1) if len(a) else a[:, 0], "b": a.max(1) if len(a) else a[:, 0]})
 
 
-def _block_of(t: pa.Table) -> Block:
-    return Block(t.column("a").to_numpy(), t.column("n").to_numpy(), t.column("bits").to_pylist(), t.column("class").to_numpy())
+def _pairs_of_tiles(percent: int, small: int):
+    """First round over rows (lead, block, node, n, bits) sorted by lead and block; one block is held."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        pairs: list[tuple[int, int]] = []
+
+        def close() -> None:
+            if len(held) > 1:
+                pairs.extend(tile_pairs(_block_of(held), percent, small))
+            held.clear()
+
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("lead", "block", "node", "n", "bits")), strict=True):
+                if held and row[:2] != held[0][:2]:
+                    close()
+                held.append(row)
+            if len(pairs) >= 20_000:
+                yield from _pair_frame(pairs).to_batches()
+                pairs.clear()
+        close()
+        yield from _pair_frame(pairs).to_batches()
+
+    return run
+
+
+def _block_of(rows: list[tuple], groups: list[int] | None = None) -> Block:
+    nodes, sizes = np.array([r[2] for r in rows], np.int64), np.array([r[3] for r in rows], np.int64)
+    return Block(nodes, sizes, [r[4] for r in rows], nodes if groups is None else np.array(groups, np.int64))
+
+
+def _facing_pairs(percent: int):
+    """Second round for two blocks of a tile (or one with itself)."""
+    def run(t: pa.Table) -> pa.Table:
+        rows = list(zip(*(t.column(c).to_pylist() for c in ("lead", "block", "node", "n", "bits", "class", "right")), strict=True))
+        a, b = ([r for r in rows if r[6] is side] for side in (False, True))
+        left = _block_of(a, [r[5] for r in a])
+        return _pair_frame(class_pairs(left, _block_of(b, [r[5] for r in b]) if b else left, not b, percent))
+
+    return run
+
+
+def _small(side: DataFrame, counted: DataFrame) -> DataFrame:
+    """``side`` with a broadcast hint if ``counted``, a written table of as
+    many narrow rows, is within the bound; beyond it the join shuffles."""
+    return F.broadcast(side) if counted.count() <= BROADCAST_ROWS else side
 
 
 def texts_of(wanted: DataFrame, docs: DataFrame, words: int, text: str) -> DataFrame:
     """(node, text) for each of ``wanted`` (node, doc_id): the texts of that id
-    are read again and the one with the node's set is taken."""
+    are read again and the one with the node's set is taken, deflated."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches, "text", 2_000_000):
             own = pa.array([set_id(s) for s in shingle_sets(batch.column("text"), words)], pa.int64())
-            yield batch.select(["node", "text"]).filter(pc.equal(own, batch.column("node")))
+            found = batch.select(["node", "text"]).filter(pc.equal(own, batch.column("node")))
+            packed = [zlib.compress(t.encode(), 1) for t in found.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([found.column("node"), pa.array(packed, pa.binary())], names=["node", "text"])
 
-    side = wanted.withColumnRenamed("doc_id", "__id")
-    side = F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
+    side = _small(wanted.withColumnRenamed("doc_id", "__id"), wanted)
     found = docs.select("doc_id", docs[text].alias("text")).join(side, F.col("doc_id").eqNullSafe(F.col("__id")))
-    return (found.select("node", "text").mapInArrow(run, "node long, text string")
+    return (found.select("node", "text").mapInArrow(run, "node long, text binary")
             .groupBy("node").agg(F.first("text").alias("text")))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets, taken from ``texts`` (node, text), link: exact intersection of sorted arrays."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_chunks(batches, "text_a", 1_000_000):
+        for batch in text_chunks(batches, "text_a", 500_000):
             keep = []
-            for x, y in zip(shingle_sets(batch.column("text_a"), words), shingle_sets(batch.column("text_b"), words), strict=True):
+            sides = ([zlib.decompress(t).decode() for t in batch.column(c).to_pylist()] for c in ("text_a", "text_b"))
+            for x, y in zip(*(shingle_sets(pa.array(side, pa.string()), words) for side in sides), strict=True):
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -288,64 +329,36 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     parts = planned_parts(docs)
     rows = saved(signatures(docs, words, percent, text), "jaccard-signatures")
     some = rows.filter(F.col("n") > 0)
-    chosen = some.groupBy("node").agg(F.min("row").alias("row"), F.min("doc_id").alias("least_id"))
-    nodes = saved(some.select("row", "doc_id", "node", "n", "prefix", "bits").join(chosen.select("row"), "row", "left_semi"), "jaccard-nodes")
+    chosen = saved(some.groupBy("node").agg(F.min("row").alias("row"), F.min("doc_id").alias("least_id")), "jaccard-nodes")
+    nodes = some.join(_small(chosen.select("row"), chosen), "row", "left_semi")
 
     posted = nodes.select(F.explode("prefix").alias("token"), "n", "node")
-    tiled = saved(posted.repartition(parts, "token").sortWithinPartitions("token", "n", "node")
-                  .mapInArrow(_tiles(percent, SMALL_TILE), _TILE), "jaccard-tiles")
-    small = tiled.filter(F.col("place") == -1).select("a", "b").distinct()
-    members = tiled.filter(F.col("place") >= 0).select("token", (F.col("place") / BLOCK).cast("long").alias("block"), "a", "n")
-    bits = nodes.select(F.col("node").alias("a"), "bits")
-    members = saved(members.join(bits, "a"), "jaccard-members")
-
-    # Bitmaps of the small tiles' pairs.
-    sized = nodes.select("node", "n", "bits")
-    signed = (small.join(sized.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa")), "a")
-              .join(sized.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb")), "b"))
-
-    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            differ = []
-            for x, y in zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist(), strict=True):
-                k = min(len(x), len(y)) // 8
-                u, v = folded(np.frombuffer(x, np.uint64), k), folded(np.frombuffer(y, np.uint64), k)
-                differ.append(int(np.bitwise_count(u ^ v).sum()))
-            ok = may_link(np.array(differ, np.int64), batch.column("na").to_numpy(), batch.column("nb").to_numpy(), percent)
-            yield batch.select(["a", "b"]).filter(pa.array(ok))
-
-    def lead(t: pa.Table) -> pa.Table:
-        return _pair_frame(leader_pairs(_block_of(t), percent))
-
-    first = (signed.mapInArrow(bounded, "a long, b long")
-             .unionByName(members.withColumn("class", F.lit(0).cast("long")).groupBy("token", "block").applyInArrow(lead, "a long, b long"))
-             .distinct())
-    first = saved(first, "jaccard-candidates")
-
-    wanted = first.select(F.col("a").alias("node")).unionByName(first.select(F.col("b").alias("node"))).unionByName(
-        members.select(F.col("a").alias("node"))).distinct()
+    members = (posted.repartition(parts, "token").sortWithinPartitions("token", "n", "node")
+               .mapInArrow(_tiles, "lead long, node long, n long").distinct())
+    by_size = Window.partitionBy("lead").orderBy("n", "node")
+    members = saved(members.withColumn("block", F.floor((F.row_number().over(by_size) - 1) / BLOCK)), "jaccard-tiles")
+    bits = nodes.select("node", "bits")
+    first = saved(members.join(bits, "node").select("lead", "block", "node", "n", "bits").repartition(parts, "lead", "block")
+                  .sortWithinPartitions("lead", "block", "n", "node").mapInArrow(_pairs_of_tiles(percent, SMALL_TILE), "a long, b long")
+                  .distinct(), "jaccard-candidates")
+
+    large = members.join(members.groupBy("lead").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > SMALL_TILE), "lead", "left_semi")
+    wanted = first.select(F.col("a").alias("node")).unionByName(first.select(F.col("b").alias("node"))).unionByName(large.select("node")).distinct()
     wanted = saved(nodes.select("node", "doc_id").join(wanted, "node", "left_semi"), "jaccard-wanted")
     texts = saved(texts_of(wanted, docs, words, text), "jaccard-texts")
     links = saved(verified(first, texts, words, percent), "jaccard-links")
 
     # Large tiles once more: pairs between the classes found so far.
-    found = connected_components(links, "jaccard-classes").select(F.col("node").alias("a"), F.col("component").alias("class"))
-    grouped = saved(members.join(found, "a", "left").withColumn("class", F.coalesce("class", "a")), "jaccard-grouped")
-    ranges = grouped.groupBy("token", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    left, right = ranges.select("token", F.col("block").alias("i"), F.col("high").alias("high_i")), ranges.select("token", F.col("block").alias("j"), "low")
-    facing = (left.join(right, "token").filter((F.col("i") <= F.col("j")) & (100 * F.col("high_i") >= percent * F.col("low"))).select("token", "i", "j"))
-    sided = (grouped.join(facing, (grouped["token"] == facing["token"]) & (grouped["block"] == facing["i"])).drop(facing["token"]).withColumn("right", F.lit(False))
-             .unionByName(grouped.join(facing, (grouped["token"] == facing["token"]) & (grouped["block"] == facing["j"]) & (facing["i"] < facing["j"]))
-                          .drop(facing["token"]).withColumn("right", F.lit(True))))
-
-    def across(t: pa.Table) -> pa.Table:
-        mask = np.array(t.column("right").to_pylist(), bool)
-        a = _block_of(t.filter(pa.array(~mask)))
-        same = not mask.any()
-        return _pair_frame(class_pairs(a, a if same else _block_of(t.filter(pa.array(mask))), same, percent))
-
-    more = saved(sided.select("token", "i", "j", "a", "n", "bits", "class", "right").groupBy("token", "i", "j")
-                 .applyInArrow(across, "a long, b long").distinct().join(first, ["a", "b"], "left_anti"), "jaccard-candidates")
+    found = connected_components(links, "jaccard-classes").select("node", F.col("component").alias("class"))
+    grouped = saved(large.join(found, "node", "left").withColumn("class", F.coalesce("class", "node")), "jaccard-grouped")
+    ranges = grouped.groupBy("lead", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    left, right = ranges.select("lead", F.col("block").alias("i"), F.col("high").alias("high_i")), ranges.select("lead", F.col("block").alias("j"), "low")
+    facing = (left.join(right, "lead").filter((F.col("i") <= F.col("j")) & (100 * F.col("high_i") >= percent * F.col("low"))).select("lead", "i", "j"))
+    sided = (grouped.join(facing.withColumn("block", F.col("i")), ["lead", "block"]).withColumn("right", F.lit(False))
+             .unionByName(grouped.join(facing.filter(F.col("i") < F.col("j")).withColumn("block", F.col("j")), ["lead", "block"])
+                          .withColumn("right", F.lit(True))))
+    more = saved(sided.join(bits, "node").groupBy("lead", "i", "j").applyInArrow(_facing_pairs(percent), "a long, b long").distinct()
+                 .join(first, ["a", "b"], "left_anti"), "jaccard-candidates")
     every = links.unionByName(verified(more, texts, words, percent))
     linked = connected_components(every, "jaccard-components")
 
