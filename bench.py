@@ -63,9 +63,13 @@ def main() -> None:
 
     def publish():
         norm = snapshot.from_tables(spark, sf_dir)
-        state = snapshot.staged_state(spark, sf_dir)
+        state = snapshot.identity_state(spark, sf_dir)
+        manifest_total = snapshot.claimed_total(spark, sf_dir).first()["total_characters"]
         out = checkpoint_root(spark, "bench-publish", unique=True)
-        sinks.publish_snapshot(norm, sinks.tally_for(state), out, "Standard", catalog.NOW_1)
+        gate = sinks.publish_snapshot(norm, sinks.tally_for(state), out, "Standard", catalog.NOW_1,
+                                      now=catalog.NOW_2, total_characters=manifest_total)
+        if not gate["ok_to_publish"]:
+            raise SystemExit(f"the gate refused the bench's snapshot: {gate['errors']}")
 
     times["snapshot_publish"] = run(publish)
     total = round(sum(times.values()), 3)

@@ -54,11 +54,19 @@ def encode_segment(x: Column | str) -> Column:
     return enc
 
 
+# Text whose percent escapes are all well-formed UTF-8.
+_T = "%[89ab][0-9a-f]"
+WELL_ESCAPED = (r"(?is)^(?:[^%]|%[0-7][0-9a-f]|%(?:c[2-9a-f]|d[0-9a-f])" + _T + "|%e0%[ab][0-9a-f]" + _T
+                + "|%e[1-9a-cef](?:" + _T + "){2}|%ed%[89][0-9a-f]" + _T + "|%f0%[9ab][0-9a-f](?:" + _T + "){2}"
+                + "|%f[1-3](?:" + _T + "){3}|%f4%8[0-9a-f](?:" + _T + "){2})*+$")
+
+
 def decode_segment(x: Column | str) -> Column:
-    """URI-component decoding; a malformed escape leaves the text as is.
-    ``+`` is protected first because form decoding would turn it into a space."""
+    """URI-component decoding; an escape that is malformed or not UTF-8
+    leaves the text as is. ``+`` is protected first because form decoding
+    would turn it into a space."""
     raw = _c(x)
-    return F.coalesce(F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))), raw)
+    return F.when(raw.rlike(WELL_ESCAPED), F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))).otherwise(raw)
 
 
 # ------------------------------------------------------------------- P20

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.scalars import percentage
@@ -27,9 +27,8 @@ def add_tallies(tallies: DataFrame, domain: Sequence[str] = OUTCOMES) -> DataFra
 
 
 def coverage(tally: DataFrame) -> DataFrame:
-    """A3: coverage (ok / private / dead) and pending_of (pending + retryable)."""
-    return tally.select("ok", "private", "dead",
-                        (F.col("pending") + F.col("retryable")).alias("pending_of"),
+    """A3: the tally with pending_of (pending + retryable) and the total."""
+    return tally.select("*", (F.col("pending") + F.col("retryable")).alias("pending_of"),
                         (F.col("ok") + F.col("private") + F.col("dead") + F.col("pending")
                          + F.col("retryable") + F.col("skipped")).alias("total"))
 
@@ -51,6 +50,12 @@ def order_count(df: DataFrame) -> DataFrame:
     return df.orderBy(F.desc("count"), F.asc("name"))
 
 
+def count_positions(df: DataFrame, by: str = "kind") -> DataFrame:
+    """O2 as a column: the row's place in its kind's order."""
+    w = Window.partitionBy(by).orderBy(F.desc("count"), F.asc("name"))
+    return df.withColumn("position", F.row_number().over(w) - 1)
+
+
 def with_percentage(df: DataFrame, total: Column | int, decimals: int = 2) -> DataFrame:
     """Add ``percentage`` = count / total (the character count, not the
     aggregate's own sum), rounded half-up; total 0 gives 0."""
@@ -89,14 +94,6 @@ AGGREGATES = {
 }
 
 
-def aggregate_with_total(counts: DataFrame, characters: DataFrame) -> DataFrame:
-    """A8 against the character count, computed as a one-row aggregate and
-    attached with a cross join of that single row (no driver round trip)."""
-    total = characters.agg(F.count(F.lit(1)).alias("total"))
-    return (counts.crossJoin(F.broadcast(total))
-            .withColumn("percentage", percentage(F.col("count"), F.col("total"))))
-
-
 # ------------------------------------------------------------------ A13 - A15
 def coverage_rate(alloc: DataFrame, tree: DataFrame, floor: float = 0.9) -> DataFrame:
     """A13 + V5: distinct resolved / distinct allocated hashes; characters
@@ -104,13 +101,15 @@ def coverage_rate(alloc: DataFrame, tree: DataFrame, floor: float = 0.9) -> Data
     the hash rate >= ``floor`` and some character has passives."""
     t = tree.select(F.col("hash").alias("node_hash")).distinct().withColumn("__hit", F.lit(True))
     marked = alloc.join(t, "node_hash", "left").withColumn("resolved", F.coalesce("__hit", F.lit(False)))
-    per_char = marked.groupBy("character_key").agg(F.bool_and("resolved").alias("full"))
-    hashes = marked.groupBy("node_hash").agg(F.max("resolved").alias("resolved"))
-    h = hashes.agg(F.count(F.lit(1)).alias("distinct_allocated"),
-                   F.count_if("resolved").alias("distinct_resolved"))
-    c = per_char.agg(F.count(F.lit(1)).alias("characters_with_passives"),
-                     F.count_if("full").alias("fully_resolved_characters"))
-    out = h.crossJoin(c)
+    # Both groupings in one pass: each allocation counts for its hash and its character.
+    keyed = marked.select("resolved", F.explode(F.array(
+        F.struct(F.lit("hash").alias("of"), F.col("node_hash").cast("string").alias("key")),
+        F.struct(F.lit("character").alias("of"), F.col("character_key").alias("key")))).alias("g")).select("resolved", "g.*")
+    full = keyed.groupBy("of", "key").agg(F.bool_and("resolved").alias("full"))
+    is_hash = F.col("of") == "hash"
+    out = full.agg(F.count_if(is_hash).alias("distinct_allocated"), F.count_if(is_hash & F.col("full")).alias("distinct_resolved"),
+                   F.count_if(~is_hash).alias("characters_with_passives"),
+                   F.count_if(~is_hash & F.col("full")).alias("fully_resolved_characters"))
     rate = F.when(F.col("distinct_allocated") == 0, F.lit(0.0)).otherwise(
         F.col("distinct_resolved") / F.col("distinct_allocated"))
     return (out.withColumn("resolve_rate", rate)
@@ -123,8 +122,8 @@ def unresolved_topk(alloc: DataFrame, tree: DataFrame, k: int = 20) -> DataFrame
     ties by hash. ``limit`` here is the feature (a top-k report): Spark runs
     it as TakeOrderedAndProject, a per-partition top-k then a merge."""
     t = tree.select(F.col("hash").alias("node_hash"))
-    missed = alloc.join(t, "node_hash", "left_anti")
-    return (missed.groupBy("node_hash").agg(F.count(F.lit(1)).alias("occurrences"))
+    counted = alloc.groupBy("node_hash").agg(F.count(F.lit(1)).alias("occurrences"))
+    return (counted.join(t, "node_hash", "left_anti")
             .orderBy(F.desc("occurrences"), F.asc("node_hash")).limit(k))
 
 

@@ -1,6 +1,5 @@
 """Building blocks shared by several operators.
 
-* ``sized_broadcast``: broadcast hint only behind a proven row bound.
 * ``latest_per_key``: last-write-wins per key as an aggregate (partial
   aggregation map-side, so one hot key never lands in a single task).
 * ``with_global_ordinal``: a dense 0-based ordinal over a total order without
@@ -16,40 +15,12 @@ from pyspark.sql import functions as F
 
 from quarry.session import ensure_checkpoint_dir
 
-# Default bounds for a side we are willing to broadcast: rows and bytes
-# (serialized JSON size, a conservative stand-in for the in-memory size).
-BROADCAST_MAX_ROWS = 2_000_000
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-
-
-def fits(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and, if given, at most
-    ``max_bytes`` of row data. One job that reads at most ``max_rows + 1``
-    rows."""
-    head = df.limit(max_rows + 1)
-    if max_bytes is None:
-        return head.count() <= max_rows
-    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))),
-                      F.lit(0))
-    row = head.agg(F.count(F.lit(1)).alias("n"), size.alias("b")).first()
-    return row["n"] <= max_rows and row["b"] <= max_bytes
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                    max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Return ``df`` with a broadcast hint when its rows and bytes are proven
-    small, else unchanged (the join then shuffles; AQE may still pick a
-    broadcast from runtime statistics)."""
-    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df
-
-
 def _order_key(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
-                   row_id: str | None = None, max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-                   ) -> DataFrame:
+                   row_id: str | None = None) -> DataFrame:
     """Keep, per ``keys``, the row with the greatest ``order`` tuple.
 
     Implemented as ``max(struct(order..., row))``: a declarative aggregate
@@ -59,9 +30,9 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
 
     With ``row_id`` (a column unique per row) the wide rows are not carried
     through the aggregate: the winning ids are found on a narrow projection
-    (same skew-safe aggregate), checkpointed to the shared folder, and the
-    rows are semi-joined on the id (no skew: ids are unique). The id list is
-    broadcast only when its rows and bytes are proven small.
+    (same skew-safe aggregate) and the rows are semi-joined on the id (no
+    skew: ids are unique). Adaptive execution turns that into a broadcast
+    join when the ids turn out small.
     """
     keys = list(keys)
     if row_id is not None:
@@ -71,10 +42,6 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
         winners = (df.select(*keys, packed.alias("__p"))
                    .groupBy(*keys).agg(F.max("__p").alias("__best"))
                    .select(F.col("__best.__id").alias(row_id)))
-        ensure_checkpoint_dir(df.sparkSession)
-        winners = winners.checkpoint(eager=True)
-        if fits(winners, max_broadcast_rows, BROADCAST_MAX_BYTES):
-            winners = F.broadcast(winners)
         return df.join(winners, row_id, "left_semi")
     payload = [c for c in df.columns if c not in keys]
     order_cols = _order_key(order)

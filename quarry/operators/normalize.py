@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +34,7 @@ from quarry.functions.scalars import (
     json_long,
     links,
 )
-from quarry.operators.common import latest_per_key, sized_broadcast
+from quarry.operators.common import latest_per_key
 
 # Slots whose largest link group can be a character's main skill.
 MAIN_SKILL_SLOTS = ["Weapon", "Weapon2", "BodyArmour"]
@@ -203,19 +203,20 @@ def _main_rank_key(slots: Sequence[str]) -> Column:
 def main_skill(grouped: DataFrame, slots: Sequence[str] = MAIN_SKILL_SLOTS) -> DataFrame:
     """Flag each character's main skill: the first group under the rank
     key, and only if its slot is a main-skill slot (a character may have
-    none). The winner is found with a min-aggregate per character (partial
-    aggregation, skew-safe) and joined back on the character key."""
-    keyed = grouped.withColumn("__k", _main_rank_key(slots))
-    best = keyed.groupBy("character_key").agg(F.min("__k").alias("__best"))
-    joined = keyed.join(best, "character_key")
-    is_first = F.col("__k") == F.col("__best")
-    return joined.select(
+    none). A character's groups are a handful of rows; the window reuses the
+    partitioning on ``character_key`` that ``skills`` gives its gems."""
+    w = Window.partitionBy("character_key").orderBy(_main_rank_key(slots))
+    ranked = grouped.withColumn("__k", F.row_number().over(w))
+    is_first = F.col("__k") == 1
+    return ranked.select(
         "character_key", "slot", "link_group", "gem", "level", "quality", "supports",
         "link_count", (is_first & F.col("slot").isin(*slots)).alias("is_main"))
 
 
 def skills(rows: DataFrame, slots: Sequence[str] = MAIN_SKILL_SLOTS) -> DataFrame:
-    return main_skill(skills_grouped(gems(rows)), slots)
+    """U6 + A10 + W2 from one scan and one exchange: gems are hashed by
+    character, which serves the grouping and the ranking."""
+    return main_skill(skills_grouped(gems(rows).repartition("character_key")), slots)
 
 
 # ------------------------------------------------------- J1 / J2 / U3 / U7
@@ -234,14 +235,17 @@ def cluster_map(parsed: DataFrame) -> DataFrame:
     return nodes.select("character_key", json_long("node_key").alias("node_hash"), "node")
 
 
-def resolve_tree(alloc: DataFrame, tree: DataFrame, max_broadcast_rows: int | None = None
-                 ) -> DataFrame:
+def _tree_side(tree: DataFrame) -> DataFrame:
+    return tree.select(F.col("hash"), F.col("name").alias("node_name"),
+                       F.col("stats").alias("t_stats"), F.col("is_keystone").alias("t_key"))
+
+
+def resolve_tree(alloc: DataFrame, tree: DataFrame) -> DataFrame:
     """Allocations LEFT JOIN the tree dimension on the node hash.
-    Unresolved hashes stay with NULL name, [] stats, false keystone. The
-    dimension is broadcast only when its row count is proven small."""
-    t = tree.select(F.col("hash"), F.col("name").alias("node_name"),
-                    F.col("stats").alias("t_stats"), F.col("is_keystone").alias("t_key"))
-    t = sized_broadcast(t) if max_broadcast_rows is None else sized_broadcast(t, max_broadcast_rows)
+    Unresolved hashes stay with NULL name, [] stats, false keystone. Adaptive
+    execution broadcasts a small dimension and splits popular nodes of a
+    large one (the tree side has one row per hash)."""
+    t = _tree_side(tree)
     j = alloc.join(t, alloc["node_hash"] == t["hash"], "left")
     return j.select(
         "character_key", "node_hash", "node_name",
@@ -260,15 +264,6 @@ def _cluster_entries(parsed_doc: Column) -> Column:
     return F.filter(F.flatten(per_socket), lambda m: m["node"].isNotNull())
 
 
-def resolve_cluster(parsed: DataFrame) -> DataFrame:
-    """Cluster allocations LEFT JOIN the cluster map on (character,
-    hash). Both sides come from the same document row, so the join is done
-    inside the row (a lookup in that row's sub-graph entries): no shuffle.
-    A node present in two sockets yields two rows, as in the source."""
-    rows = parsed.select("character_key", F.explode(_cluster_rows(F.col("passives_doc"))).alias("a"))
-    return _cluster_columns(rows)
-
-
 def _cluster_rows(doc: Column) -> Column:
     entries = _cluster_entries(doc)
 
@@ -282,19 +277,11 @@ def _cluster_rows(doc: Column) -> Column:
     return F.flatten(F.transform(F.coalesce(doc["hashes_ex"], F.array().cast("array<string>")), resolve))
 
 
-def _cluster_columns(rows: DataFrame) -> DataFrame:
-    return rows.select(
-        "character_key", F.col("a.node_hash").alias("node_hash"),
-        F.col("a.node.name").alias("node_name"),
-        F.coalesce(F.col("a.node.stats"), F.array().cast("array<string>")).alias("node_stats"),
-        F.lit(False).alias("is_keystone"), F.lit("cluster").alias("source"),
-        flag(F.col("a.node.isNotable")).alias("is_notable"))
-
-
 def passives(parsed: DataFrame, tree: DataFrame) -> DataFrame:
     """Tree passives UNION ALL cluster passives, from one explode of
-    each document: tree allocations carry no node and are resolved by the
-    tree join (J1); cluster allocations are resolved inside the row (J2)."""
+    each document and one join: tree allocations carry no node and are
+    resolved by the tree join (J1), which cluster allocations, resolved inside
+    the row (J2), pass through unmatched."""
     doc = F.col("passives_doc")
     tree_items = F.transform(F.coalesce(doc["hashes"], F.array().cast("array<string>")),
                              lambda h: F.struct(F.lit("tree").alias("source"),
@@ -305,10 +292,17 @@ def passives(parsed: DataFrame, tree: DataFrame) -> DataFrame:
         F.lit("cluster").alias("source"), a.alias("a")))
     rows = parsed.select("character_key", F.explode(F.concat(tree_items, cluster_items)).alias("r")) \
         .select("character_key", F.col("r.source").alias("source"), F.col("r.a").alias("a"))
-    tree_rows = resolve_tree(rows.where(F.col("source") == "tree")
-                             .select("character_key", F.col("a.node_hash").alias("node_hash")), tree)
-    cluster_rows = _cluster_columns(rows.where(F.col("source") == "cluster"))
-    return tree_rows.unionByName(cluster_rows)
+    rows = rows.select("character_key", "source", F.col("a.node_hash").alias("node_hash"), F.col("a.node").alias("node"))
+    t = _tree_side(tree)
+    j = rows.join(t, (rows["node_hash"] == t["hash"]) & (rows["source"] == "tree"), "left")
+    own = F.col("source") == "cluster"
+    no_stats = F.array().cast("array<string>")
+    return j.select(
+        "character_key", "node_hash",
+        F.when(own, F.col("node.name")).otherwise(F.col("node_name")).alias("node_name"),
+        F.coalesce(F.when(own, F.col("node.stats")).otherwise(F.col("t_stats")), no_stats).alias("node_stats"),
+        (~own & F.coalesce(F.col("t_key"), F.lit(False))).alias("is_keystone"), "source",
+        (own & flag(F.col("node.isNotable"))).alias("is_notable"))
 
 
 # ---------------------------------------------------------------------- U5
@@ -329,7 +323,20 @@ def raw(chars: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------- J7
+def attributed_mods(rows: DataFrame) -> DataFrame:
+    """J7 while flattening: the mods of items with an ``inventoryId``, with
+    their item's slot, name and rarity carried through the same explode."""
+    it = F.col("item")
+    domains = F.array(*[F.struct(F.lit(label).alias("mod_domain"), it[field].alias("mods"))
+                        for field, label in schemas.MOD_FIELDS])
+    return (rows.where(it["inventoryId"].isNotNull())
+            .select("character_key", F.col("item_id").alias("item_key"), it["inventoryId"].alias("slot"),
+                    it["name"].alias("item_name"), it["rarity"].alias("rarity"), F.inline(domains))
+            .withColumn("mod_text", F.explode("mods")).drop("mods"))
+
+
 def attribute_mods(mods: DataFrame, item_table: DataFrame) -> DataFrame:
-    """Attach each mod to its exact item (item_key = item_id)."""
+    """J7 over published tables: attach each mod to its exact item
+    (item_key = item_id)."""
     it = item_table.select("item_id", "slot", F.col("name").alias("item_name"), "rarity")
     return mods.join(it, mods["item_key"] == it["item_id"], "inner").drop("item_id")

@@ -24,6 +24,8 @@ MAX_BACKOFF_MS = 300_000
 THROTTLE_ABORT = 3
 ERROR_ABORT = 8
 HEADROOM = 0.9
+_MARK = "end-of-body-7c41f0"
+_LONG_MAX = (1 << 63) - 1
 
 
 # ------------------------------------------------------------------ P21
@@ -32,12 +34,13 @@ def _head(body: Column, n: int) -> Column:
 
 
 def is_json(body: Column) -> Column:
-    """Whole-body JSON validity (scalars count). Spark's parser accepts
-    trailing text after a value, so the trimmed body must also end like a
-    JSON value."""
-    trimmed = F.regexp_replace(F.regexp_replace(body, r"^\s+", ""), r"\s+$", "")
-    ends = trimmed.rlike(r'([}\]"0-9]|true|false|null)$')
-    return F.coalesce(F.try_parse_json(body).isNotNull() & ends, F.lit(False))
+    """Whole-body JSON validity (scalars count, repeated keys do too). The
+    body is parsed as the first element of an array that a mark closes: a
+    second value, trailing text or a bracket of its own leaves no array of
+    just the value and the mark."""
+    wrapped = F.from_json(F.concat(F.lit("["), body, F.lit(f',"{_MARK}"]')), "array<string>",
+                          {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"})
+    return F.coalesce((F.size(wrapped) == 2) & (F.get(wrapped, F.lit(1)) == _MARK), F.lit(False))
 
 
 def looks_like_challenge(headers: Column, body: Column) -> Column:
@@ -125,9 +128,11 @@ def rate_rules(headers: Column) -> Column:
 
 def retry_after_ms(headers: Column, now: Column) -> Column:
     """``Retry-After`` as delta-seconds or HTTP date -> ms to wait
-    from ``now`` (a timestamp); absent, unparsable or past -> NULL."""
+    from ``now`` (a timestamp); absent, unparsable or past -> NULL. Seconds
+    beyond the range of a long are the longest wait, not an error."""
     raw = F.trim(headers["retry-after"])
-    secs = F.when(raw.rlike(r"^\d+$"), raw.try_cast("long") * 1000)
+    secs = F.when(raw.rlike(r"^\d+$"), F.coalesce(F.try_multiply(raw.try_cast("long"), F.lit(1000).cast("long")),
+                                                  F.lit(_LONG_MAX)))
     date = F.try_to_timestamp(F.regexp_replace(raw, r"^[A-Za-z]+, ", ""),
                               F.lit("dd MMM yyyy HH:mm:ss zzz"))
     delta = F.unix_millis(date) - F.unix_millis(now)
@@ -142,42 +147,55 @@ def windows_of(rules: Column, headroom: float = HEADROOM) -> Column:
 
 
 # ------------------------------------------------------------------ W6
-def quota_audit(log: DataFrame, windows: Sequence[tuple[int, int]], by: str = "ip",
-                ts_ms: str = "ts_ms", seq: str = "seq") -> DataFrame:
+def quota_audit(log: DataFrame, windows: Sequence[tuple[int, int]] | Column, by: str = "ip",
+                ts_ms: str = "ts_ms", seq: str = "seq", bucket_ms: int = 60_000) -> DataFrame:
     """For each request and window (cap hits per period): ``hits`` =
     requests of the same key in (ts - period, ts] (peers included), and
     ``violation`` when the cap-th earlier request (order ts, seq) is less
     than a period old, with ``earliest_ms`` = when it should have been sent.
 
-    Skew-safe: time is cut into buckets one period wide; each request is
-    also copied into the next bucket as a halo, so the window functions run
-    per (key, period, bucket) and a hot key spreads over many tasks. Both
-    the frame and the cap-th predecessor of a violating request always lie
-    within the halo, so the result is exact.
+    ``windows`` is a fixed list or, per request, a column of
+    array<struct<cap, period_ms>> such as ``windows_of(rate_rules(headers))``;
+    the log is read once either way. ``seq`` is unique within a key.
+
+    Skew-safe: a request's rank and the number of requests up to any instant
+    are a count inside a short time bucket plus what the key had before the
+    bucket (one row per key and bucket), so a hot key spreads over its
+    buckets whatever the period; the cap-th earlier request is found by its
+    rank, which no two requests of a key share.
     """
-    spark = log.sparkSession
-    wins = spark.createDataFrame([(int(c), int(p)) for c, p in windows], "cap int, period_ms long")
-    rows = log.crossJoin(F.broadcast(wins))
-    home = F.floor(F.col(ts_ms) / F.col("period_ms"))
-    rows = rows.withColumn("__home", home).withColumn(
-        "__bucket", F.explode(F.array(F.col("__home"), F.col("__home") + 1)))
-    part = [by, "period_ms", "__bucket"]
-    outs = []
-    for cap, period in sorted(set(windows)):
-        sub = rows.where((F.col("cap") == cap) & (F.col("period_ms") == period))
-        w_order = Window.partitionBy(*part).orderBy(F.col(ts_ms), F.col(seq))
-        w_range = Window.partitionBy(*part).orderBy(F.col(ts_ms)).rangeBetween(-(period - 1), 0)
-        prev = F.lag(F.col(ts_ms), cap).over(w_order)
-        sub = (sub.withColumn("hits", F.count(F.lit(1)).over(w_range))
-               .withColumn("__earliest", prev + F.col("period_ms")))
-        outs.append(sub.where(F.col("__bucket") == F.col("__home")))
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
-    violation = F.coalesce(F.col("__earliest") > F.col(ts_ms), F.lit(False))
-    return (out.withColumn("violation", violation)
-            .withColumn("earliest_ms", F.when(violation, F.col("__earliest")))
-            .drop("__home", "__bucket", "__earliest"))
+    wins = windows if isinstance(windows, Column) else F.array(*[
+        F.struct(F.lit(int(c)).alias("cap"), F.lit(int(p)).cast("long").alias("period_ms"))
+        for c, p in sorted(set(windows))])
+    # Requests (no cap), and for each window the instant one period earlier.
+    own = F.struct(F.col(ts_ms).cast("long").alias("at"), F.lit(None).cast("int").alias("cap"),
+                   F.lit(None).cast("long").alias("period_ms"))
+    instants = F.transform("__w", lambda w: F.struct(
+        (F.col(ts_ms) - w["period_ms"]).cast("long").alias("at"), w["cap"].cast("int").alias("cap"),
+        w["period_ms"].cast("long").alias("period_ms")))
+    marks = (log.withColumn("__w", F.array_distinct(wins))
+             .withColumn("__m", F.explode(F.concat(F.array(own), instants))).select("*", "__m.*")
+             .withColumn("__b", F.floor(F.col("at") / F.lit(bucket_ms))).drop("__m", "__w"))
+    is_row = F.col("cap").isNull()
+    n_rows = F.sum(is_row.cast("long"))
+    up_to = Window.partitionBy(by, "__b").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
+    ranked = (Window.partitionBy(by, "__b").orderBy("at", (~is_row).cast("int"), seq)
+              .rowsBetween(Window.unboundedPreceding, 0))
+    counted = marks.withColumn("__upto", n_rows.over(up_to)).withColumn("__i", n_rows.over(ranked))
+    before = Window.partitionBy(by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (marks.groupBy(by, "__b").agg(n_rows.alias("__n"))
+             .withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n"))
+    placed = (counted.join(carry, [by, "__b"]).withColumn("__upto", F.col("__upto") + F.col("__off"))
+              .withColumn("__i", F.col("__i") + F.col("__off")).drop("__off", "__b"))
+    requests = placed.where(is_row).select(by, seq, "__i", F.col("at").alias("__prev"), F.col("__upto").alias("__now"))
+    past = placed.where(~is_row).drop("at", "__i").join(requests.drop("__prev"), [by, seq])
+    earlier = requests.select(by, F.col("__i").alias("__j"), "__prev")
+    found = past.withColumn("__j", F.col("__i") - F.col("cap")).join(earlier, [by, "__j"], "left")
+    earliest = F.col("__prev") + F.col("period_ms")
+    violation = F.coalesce(earliest > F.col(ts_ms), F.lit(False))
+    return (found.withColumn("hits", F.col("__now") - F.col("__upto")).withColumn("violation", violation)
+            .withColumn("earliest_ms", F.when(violation, earliest))
+            .drop("__upto", "__now", "__i", "__j", "__prev"))
 
 
 # ------------------------------------------------------------------ W7

@@ -5,47 +5,64 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.common import latest_per_key
-from quarry.session import ensure_checkpoint_dir
 
 IDENTITY = ["account", "character"]
 
-_PAGE = ("struct<total:int,entries:array<struct<rank:int,"
-         "character:struct<name:string,level:int,class:string>,account:struct<name:string>>>>")
+_PAGE = ("struct<total:variant,entries:array<struct<rank:variant,"
+         "character:struct<name:variant,level:variant,class:variant>,account:struct<name:variant>>>>")
+
+
+def _text(v: Column) -> Column:
+    """A JSON string, else NULL."""
+    return F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))
+
+
+def _number(v: Column) -> Column:
+    """A JSON number as int, else NULL."""
+    numeric = F.schema_of_variant(v).rlike("^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)")
+    return F.when(numeric, F.try_variant_get(v, "$", "int"))
+
+
+def _kept(e: Column) -> Column:
+    return (F.coalesce(F.schema_of_variant(e["account"]["name"]) == "STRING", F.lit(False))
+            & F.coalesce(F.schema_of_variant(e["character"]["name"]) == "STRING", F.lit(False)))
 
 
 def _parse_pages(pages: DataFrame, by: Sequence[str], offset: str, doc: str) -> DataFrame:
     return pages.select(*by, F.col(offset).cast("long").alias("offset"),
                         F.from_json(F.col(doc), _PAGE).alias("p"),
-                        F.get_json_object(F.col(doc), "$.entries").isNull().alias("malformed"))
+                        F.try_variant_get(F.try_parse_json(F.col(doc)), "$.entries", "variant").isNull()
+                        .alias("malformed"))
 
 
 def _entries(parsed: DataFrame, by: list[str]) -> DataFrame:
-    ex = parsed.select(*by, "offset", F.col("p.total").alias("total_raw"),
+    ex = parsed.select(*by, "offset", _number(F.col("p.total")).alias("total_raw"),
+                       F.size(F.filter("p.entries", _kept)).alias("n_kept"),
                        F.posexplode("p.entries").alias("pos", "e"))
-    kept = ex.where(F.col("e.account.name").isNotNull() & F.col("e.character.name").isNotNull())
-    n_kept = F.count(F.lit(1)).over(Window.partitionBy(*by, "offset"))
+    kept = ex.where(_kept(F.col("e")))
     return kept.select(
         *by, "offset", "pos",
-        F.coalesce(F.col("e.rank"), F.lit(0)).alias("rank"),
-        F.col("e.account.name").alias("account"),
-        F.col("e.character.name").alias("character"),
-        F.coalesce(F.col("e.character.class"), F.lit("Unknown")).alias("class"),
-        F.coalesce(F.col("e.character.level"), F.lit(0)).alias("level"),
-        F.coalesce(F.col("total_raw"), n_kept).cast("long").alias("total"))
+        F.coalesce(_number(F.col("e.rank")), F.lit(0)).alias("rank"),
+        _text(F.col("e.account.name")).alias("account"),
+        _text(F.col("e.character.name")).alias("character"),
+        F.coalesce(_text(F.col("e.character.class")), F.lit("Unknown")).alias("class"),
+        F.coalesce(_number(F.col("e.character.level")), F.lit(0)).alias("level"),
+        F.coalesce(F.col("total_raw"), F.col("n_kept")).cast("long").alias("total"))
 
 
 def scan_ladder_pages(pages: DataFrame, by: Sequence[str] = (), offset: str = "offset",
                       doc: str = "doc") -> DataFrame:
     """Explode captured pages into entries (by..., offset, pos, ...).
 
-    Entries without a string account or character name are dropped;
-    defaults: rank 0, class 'Unknown', level 0; ``total`` defaults to the
-    number of kept entries of the page. A page without ``entries`` is
-    malformed and yields no entries."""
+    Entries whose account or character name is not a JSON string are dropped;
+    defaults: rank 0, class 'Unknown', level 0, also for values of another
+    JSON kind; ``total`` defaults to the number of kept entries of the page.
+    A page without ``entries`` is malformed; ``entries`` of another kind than
+    an array are none."""
     by = list(by)
     return _entries(_parse_pages(pages, by, offset, doc), by)
 
@@ -56,25 +73,25 @@ def ladder_window(pages: DataFrame, depth: int, page_size: int, by: Sequence[str
     ``depth``) in offset order. After a page, the capture stops if the page
     kept no entry or the entries gathered so far reach that page's total.
     All or nothing: a missing or malformed page among the needed ones voids
-    the whole capture. Returns the entries of complete captures.
+    the whole capture. Pages at other offsets, or at ``depth`` and beyond,
+    were never asked for and are left out; of the last page the first
+    ``depth - offset`` entries count. Returns the entries of complete captures.
 
     Page bookkeeping is one row per (capture, offset): depth/page rows per
     capture, so its ordered frame stays tiny whatever the data size."""
     by = list(by)
     spark = pages.sparkSession
-    # The page table is small (captures x depth/page rows) and feeds three
-    # branches below: parse it once and checkpoint it (shared folder) so the
-    # upstream that produced the pages runs once.
-    ensure_checkpoint_dir(spark)
-    parsed = _parse_pages(pages, by, offset, doc).checkpoint(eager=True)
+    at = F.col(offset)
+    asked = pages.where((at >= 0) & (at < depth) & (at % page_size == 0))
+    limit = (F.lit(depth) - F.col("offset")).cast("int")
+    parsed = _parse_pages(asked, by, offset, doc).withColumn("p", F.when(F.col("p").isNotNull(), F.struct(
+        F.col("p.total").alias("total"), F.slice("p.entries", F.lit(1), limit).alias("entries"))))
     entries = _entries(parsed, by)
-    n_kept = F.size(F.filter(F.coalesce(F.col("p.entries"), F.array().cast(
-        parsed.schema["p"].dataType["entries"].dataType)),
-        lambda e: e["account"]["name"].isNotNull() & e["character"]["name"].isNotNull()))
+    n_kept = F.greatest(F.coalesce(F.size(F.filter("p.entries", _kept)), F.lit(0)), F.lit(0))
     summary = parsed.select(*by, "offset", "malformed", n_kept.alias("n"),
-                            F.coalesce(F.col("p.total").cast("long"), n_kept.cast("long")).alias("total"),
+                            F.coalesce(_number(F.col("p.total")), n_kept).cast("long").alias("total"),
                             F.lit(True).alias("present"))
-    captures = parsed.select(*by).distinct()
+    captures = pages.select(*by).distinct()
     expected = captures.crossJoin(
         F.broadcast(spark.range(0, depth, page_size).select(F.col("id").alias("offset"))))
     st = (expected.join(summary, [*by, "offset"], "left")
@@ -124,7 +141,10 @@ def merge_ladder(roster: DataFrame, entries: DataFrame, now: str,
 def order_roster(roster: DataFrame) -> DataFrame:
     """O3: rank ascending, then firstSeenAt, then the identity key, with
     locale-aware string comparison (F13: UNICODE collation)."""
+    return roster.orderBy(*roster_keys())
+
+
+def roster_keys() -> list[Column]:
+    """The sort keys of O3."""
     key = F.concat(F.col("account"), F.lit("\u0000"), F.col("character"))
-    return roster.orderBy(F.col("rank").asc(),
-                          F.collate(F.col("firstSeenAt"), "UNICODE"),
-                          F.collate(key, "UNICODE"))
+    return [F.col("rank").asc(), F.collate(F.col("firstSeenAt"), "UNICODE"), F.collate(key, "UNICODE")]

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.common import latest_per_key, sized_broadcast, with_global_ordinal
+from quarry.operators.common import latest_per_key, with_global_ordinal
 
 IDENTITY = ("account", "character")
 # Outcomes still awaiting a terminal result, and terminal ones.
@@ -96,8 +96,8 @@ def merge_results(state: DataFrame, results: DataFrame, keys: Sequence[str] = ID
     for unknown identities are ignored; line order (ordinal) is kept.
 
     Results are reduced to one line per identity with a skew-safe aggregate,
-    then joined to the state. The reduced side is broadcast only when its
-    row count is proven small; otherwise both sides shuffle on the identity.
+    then joined to the state on the identity; adaptive execution makes it a
+    broadcast join when the reduced side turns out small.
     Re-merging the same results is a no-op (idempotent).
     """
     keys = list(keys)
@@ -106,7 +106,7 @@ def merge_results(state: DataFrame, results: DataFrame, keys: Sequence[str] = ID
         .drop(*order)
     r = latest.select(*keys, *[F.col(c).alias(f"__r_{c}") for c in payload],
                       F.lit(True).alias("__hit"))
-    j = state.join(sized_broadcast(r), keys, "left")
+    j = state.join(r, keys, "left")
     cols = []
     for c in state.columns:
         if c in payload:

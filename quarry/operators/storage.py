@@ -61,7 +61,7 @@ def pick_league(manifests: DataFrame, configured: str) -> DataFrame:
 def foreign_schema(manifests: DataFrame, version: int = SCHEMA_VERSION) -> DataFrame:
     """In-flight manifests written by another schema version (discard);
     published foreign ones are left alone."""
-    return in_flight(manifests).where(F.col("schemaVersion") != version)
+    return in_flight(manifests).where(~F.col("schemaVersion").eqNullSafe(F.lit(version)))
 
 
 def aborted_checkpoints(manifests: DataFrame) -> DataFrame:
@@ -89,8 +89,18 @@ def usage_by_category(classified: DataFrame) -> DataFrame:
                     F.coalesce("objects", F.lit(0)).cast("long").alias("objects")))
 
 
+def snapshot_keys(classified: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """The keys behind the groups of ``snapshots`` (league,
+    snapshot_id[, category]): what a sweep or trim plan deletes. One row per
+    key, so no list of a big snapshot is ever gathered."""
+    on = [c for c in ("league", "snapshot_id", "category") if c in snapshots.columns]
+    return (classified.where(F.col("snapshot_id").isNotNull())
+            .join(snapshots.select(*on).distinct(), on, "left_semi").select("league", "snapshot_id", "category", "key", "size"))
+
+
 def group_by_snapshot(classified: DataFrame) -> DataFrame:
-    """Objects and bytes per (league, snapshot, category)."""
+    """Objects and bytes per (league, snapshot, category); their keys
+    are ``snapshot_keys``."""
     return (classified.where(F.col("snapshot_id").isNotNull())
             .groupBy("league", "snapshot_id", "category")
             .agg(F.count(F.lit(1)).alias("objects"), F.sum("size").alias("bytes")))
@@ -118,6 +128,11 @@ def discard_plan(classified: DataFrame, snapshots: DataFrame) -> DataFrame:
     return scoped.join(targets, ["league", "snapshot_id"], "left_semi")
 
 
+def discard(classified: DataFrame, snapshots: DataFrame, catalogue: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """J11 whole: (keys to delete, catalogue without the discarded rows)."""
+    return discard_plan(classified, snapshots), catalogue_remove(catalogue, snapshots)
+
+
 def legacy_sweep_plan(classified: DataFrame, manifests: DataFrame) -> DataFrame:
     """Legacy chunk and raw keys: doomed (not in flight) vs protected
     (in flight), with objects and bytes per category."""

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.scalars import epoch_ms_utc, iso_instant
-from quarry.operators.common import sized_broadcast
+from quarry.operators.common import with_global_ordinal
 
 # Fixed values used by the mapping (mirrored by the oracle SQL).
 UNRESOLVED_OFFSET = 1_000_000_000
@@ -475,38 +475,45 @@ LADDER_PAGE = 200
 
 
 def ladder_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Captured ladder pages, one capture per region: orders ranked by total
-    price (top ``LADDER_DEPTH``), ``LADDER_PAGE`` entries per page. Region 3
-    lost its page at offset 200; region 4's page at offset 400 is malformed
-    (no ``entries``). Some entries lack an account name (dropped on scan)."""
+    """Captured ladder pages, one capture per region: all orders ranked by
+    total price, ``LADDER_PAGE`` entries per page (the operator applies the
+    depth). Region 3 lost its page at offset 200; region 4's page at offset
+    400 is malformed (no ``entries``). Some entries lack an account name or
+    have a number for it (dropped on scan)."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     j = (o.join(c, o["o_custkey"] == c["c_custkey"]).join(n, c["c_nationkey"] == n["n_nationkey"])
-         .join(sized_broadcast(r), n["n_regionkey"] == r["r_regionkey"]))
+         .join(r, n["n_regionkey"] == r["r_regionkey"]))
     totals = j.groupBy("r_regionkey").agg(F.count(F.lit(1)).alias("total"))
-    w = Window.partitionBy("r_regionkey").orderBy(F.desc("o_totalprice"), F.asc("o_orderkey"))
-    # row_number() <= k is planned as a per-partition group limit before the
-    # shuffle, so a large region never ships all its rows.
-    top = j.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= LADDER_DEPTH)
+    # Rank within the region: a global ordinal by (region, price) less the
+    # orders of the regions before it, so a large region is not one task.
+    first = totals.withColumn("first", F.sum("total").over(Window.orderBy("r_regionkey")) - F.col("total")) \
+        .select("r_regionkey", "first")
+    top = (with_global_ordinal(j, ["r_regionkey", F.desc("o_totalprice"), F.asc("o_orderkey")])
+           .join(F.broadcast(first), "r_regionkey")  # a row per region, and regions are five
+           .withColumn("rk", (F.col("ordinal") - F.col("first") + 1).cast("int")))
     entry = F.struct(
         F.col("rk").alias("rank"),
         F.struct(F.concat(F.lit("c"), F.col("o_orderkey").cast("string")).alias("name"),
                  F.when(F.col("o_orderstatus") != "P", (F.col("o_orderkey") % 100).cast("int")).alias("level"),
                  F.when(F.col("o_orderpriority") != "5-LOW", F.col("c_mktsegment")).alias("class"))
         .alias("character"),
-        F.struct(F.when(F.col("o_orderkey") % 53 != 0, F.col("c_name")).alias("name")).alias("account"))
-    top = top.select("r_regionkey", "r_name",
+        F.when(F.col("o_orderkey") % 59 == 0, F.parse_json(F.concat(F.lit('{"name":'), F.col("o_orderkey").cast("string"), F.lit("}"))))
+        .otherwise(F.parse_json(F.to_json(F.struct(F.when(F.col("o_orderkey") % 53 != 0, F.col("c_name")).alias("name")))))
+        .alias("account"))
+    top = top.select("r_regionkey",
                      (F.floor((F.col("rk") - 1) / LADDER_PAGE) * LADDER_PAGE).cast("long").alias("offset"),
                      F.struct(((F.col("rk") - 1) % LADDER_PAGE).alias("pos"), entry.alias("e")).alias("pe"))
-    grouped = top.groupBy("r_regionkey", "offset").agg(F.array_sort(F.collect_list("pe")).alias("pes"))
-    expected = r.crossJoin(spark.range(0, LADDER_DEPTH, LADDER_PAGE).select(F.col("id").alias("offset")))
+    grouped = top.groupBy("r_regionkey", "offset").agg(F.array_sort(F.collect_list("pe"), lambda a, b: a["pos"] - b["pos"])
+                                                        .alias("pes"))
+    expected = (r.join(totals, "r_regionkey", "left").withColumn("offset", F.explode(F.expr(
+        f"sequence(0L, greatest({LADDER_DEPTH} - 1, coalesce(total, 0) - 1), {LADDER_PAGE}L)"))))
     pages = (expected.join(grouped, ["r_regionkey", "offset"], "left")
-             .join(totals, "r_regionkey", "left")
              .withColumn("total", F.coalesce("total", F.lit(0)).cast("int")))
-    entries = F.coalesce(F.col("pes")["e"], F.array().cast(
-        T.ArrayType(grouped.schema["pes"].dataType.elementType["e"].dataType)))
+    entries = F.coalesce(F.col("pes")["e"], F.from_json(F.lit("[]"), T.ArrayType(
+        grouped.schema["pes"].dataType.elementType["e"].dataType)))
     lost = (F.col("r_regionkey") == 3) & (F.col("offset") == 200)
     malformed = (F.col("r_regionkey") == 4) & (F.col("offset") == 400)
     doc = F.when(malformed, F.to_json(F.struct("total"))) \

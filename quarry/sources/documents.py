@@ -86,7 +86,26 @@ def scan_manifests(spark: SparkSession, path: str, version: int = schemas.SCHEMA
         & _is(F.col("v"), "$.totalCharacters", *NUMBER) & _is(F.col("v"), "$.outcomes", "OBJECT"))
     return shaped.select(*[
         F.try_variant_get("v", f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
-        for f in schemas.MANIFEST.fields], "file")
+        for f in schemas.MANIFEST.fields], "file", F.col("file").alias("pos"))
+
+
+def peek_manifests(spark: SparkSession, path: str) -> DataFrame:
+    """S9, light: (snapshotId, schemaVersion, phase, league, file, pos) of
+    every document that has a snapshot id and a phase, whatever its schema
+    version; never enough to resume a snapshot, but what finding foreign ones
+    takes (P16). ``league`` comes from the object key."""
+    docs = _read_docs(spark, path)
+    if docs is None:
+        return spark.createDataFrame([], "snapshotId string, schemaVersion int, phase string, league string, file string, pos string")
+    v = F.try_parse_json("text")
+    shaped = docs.select("file", v.alias("v")).where(
+        F.col("v").isNotNull() & _is(F.col("v"), "$.snapshotId", "STRING") & _is(F.col("v"), "$.phase", "STRING"))
+    named = K.decode_segment(F.regexp_extract("file", r"/state/([^/]+)/[^/]+$", 1))
+    return shaped.select(
+        F.try_variant_get("v", "$.snapshotId", "string").alias("snapshotId"),
+        F.try_variant_get("v", "$.schemaVersion", "int").alias("schemaVersion"),
+        F.try_variant_get("v", "$.phase", "string").alias("phase"),
+        F.coalesce(F.try_variant_get("v", "$.league", "string"), named).alias("league"), "file", F.col("file").alias("pos"))
 
 
 # ---------------------------------------------------------------------- S10
@@ -138,7 +157,7 @@ def scan_catalogue(spark: SparkSession, path: str) -> DataFrame:
     schema versions are kept, and each entry's full JSON is kept verbatim in
     ``entry`` so unknown fields survive a rewrite."""
     docs = _read_docs(spark, path)
-    out_t = T.StructType([T.StructField("league", T.StringType()),
+    out_t = T.StructType([T.StructField("league", T.StringType()), T.StructField("snapshot_id", T.StringType()),
                           *SNAPSHOT_ENTRY.fields, T.StructField("entry", T.StringType())])
     if docs is None:
         return spark.createDataFrame([], out_t)
@@ -147,7 +166,7 @@ def scan_catalogue(spark: SparkSession, path: str) -> DataFrame:
     leagues = parsed.select(F.explode("lg").alias("l"))
     entries = leagues.select(F.col("l.league").alias("league"), F.explode("l.snapshots").alias("entry"))
     return entries.select("league", F.from_json("entry", SNAPSHOT_ENTRY).alias("s"), "entry") \
-        .select("league", "s.*", "entry")
+        .select("league", F.col("s.snapshotId").alias("snapshot_id"), "s.*", "entry")
 
 
 # ---------------------------------------------------------------------- S21

@@ -90,7 +90,7 @@ def test_publish_only_after_gate(spark):
     gate = sinks.publish_snapshot(snapshot.normalise(state, tree, "s"), sinks.tally_for(state),
                                   good, "Mirage", "2024-01-01T00:00:00.000Z")
     assert gate["ok_to_publish"], gate["errors"]
-    assert spark.read.parquet(f"{good}/detail/characters").count() == 2
+    assert spark.read.parquet(f"{sinks.current(spark, good)}/detail/characters").count() == 2
     # A tally that disagrees with the rows (coverage mismatch) blocks the publish.
     bad_tally = sinks.tally_for(state.withColumn("outcome", F.lit("pending")))
     bad = os.path.join(root, "bad")
@@ -113,7 +113,7 @@ def test_incremental_then_final(spark):
     g1 = sinks.publish_snapshot(snapshot.normalise(s1, tree, "s"), sinks.tally_for(s1), path,
                                 "Mirage", "t0", now="t1")
     assert g1["ok_to_publish"] and g1["complete"] is False
-    m1 = spark.read.json(f"{path}/meta").first()
+    m1 = spark.read.json(f"{sinks.current(spark, path)}/meta").first()
     assert (m1["pendingCount"], m1["totalCharacters"], m1["coverage"]["ok"]) == (4, 8, 3)
     assert "completedAt" not in m1.asDict()
     s2 = state(["ok"] * 5 + ["private"] + ["dead"] * 2)
@@ -122,7 +122,7 @@ def test_incremental_then_final(spark):
     g2 = sinks.publish_snapshot(snapshot.normalise(s2, tree, "s"), sinks.tally_for(s2), path,
                                 "Mirage", "t0", now="t2")
     assert g2["ok_to_publish"] and g2["complete"] is True
-    m2 = spark.read.json(f"{path}/meta").first()
+    m2 = spark.read.json(f"{sinks.current(spark, path)}/meta").first()
     assert (m2["completedAt"], m2["characterCount"]) == ("t2", 5)
     final = os.path.join(root, "final")
     assert sinks.final_publish(snapshot.normalise(s2, tree, "s"), sinks.tally_for(s2), final,

@@ -41,7 +41,8 @@ def test_write_catalogue_stamps_updated_at(spark):
     out = os.path.join(tempfile.mkdtemp(prefix="quarry-cat-"), "catalogue")
     sinks.write_catalogue(cat, out, "2024-01-02T00:00:00.000Z")
     sinks.write_catalogue(cat, out, "2024-01-03T00:00:00.000Z")  # replaces the table
-    rows = spark.read.parquet(out).collect()
+    sinks.write_catalogue(sinks.read_catalogue(spark, out), out, "2024-01-03T00:00:00.000Z")  # from itself
+    rows = sinks.read_catalogue(spark, out).collect()
     assert [(r["snapshot_id"], r["updatedAt"]) for r in rows] == [("s1", "2024-01-03T00:00:00.000Z")]
 
 
