@@ -203,3 +203,110 @@ def q_tree_documents(spark, sf_dir):
         one = TR.pin_tree(scanned, f"3.{v}").withColumn("version", F.lit(f"3.{v}"))
         out = one if out is None else out.unionByName(one)
     return out.select("version", "hash", "name", F.array_join("stats", "|").alias("stats"), "is_keystone")
+
+
+@C.register("incremental_publish", C._STATE_CTE + """,
+t AS (SELECT count(*) AS total, count(*) FILTER (WHERE outcome = 'ok') AS ok,
+  count(*) FILTER (WHERE outcome IN ('pending', 'retryable')) AS pending FROM merged)
+SELECT total, ok, pending, ok AS characters, pending = 0 AS complete, true AS "replayed_same" FROM t""")
+def q_incremental_publish(spark, sf_dir):
+    """R1 as a flow: per batch of result files merge, tally and publish what
+    there is; the last publication holds every ok character. The stream is
+    then replayed from the start into the same publication."""
+    root = checkpoint_root(spark, "incremental-publish", unique=True)
+    doc = F.to_json(F.struct(F.struct(F.col("account").alias("class")).alias("character"), F.array().cast("array<string>").alias("items")))
+    is_ok = F.col("outcome") == "ok"
+    results = AD.event_results(spark, sf_dir).withColumn("characterData", F.when(is_ok, doc)) \
+        .withColumn("passiveTree", F.when(is_ok, F.lit('{"hashes":[]}')))
+    src = C.SM.stage_files(results, f"{root}/results", 2, ["seq"])
+    schema = spark.read.parquet(src).schema
+    seed = C._seeded(spark, sf_dir)
+    claimed = AD.table(spark, sf_dir, "customer").count()
+    tree = TR.parse_tree_lines(AD.tree_lines(spark, sf_dir))
+
+    def publish(merged, batch):
+        gate = sinks.publish_snapshot(snapshot.normalise(merged, tree), AG.tally_outcomes(merged), f"{root}/published", "Standard",
+                                      C.NOW_1, now=C.NOW_2, total_characters=claimed)
+        if not gate["ok_to_publish"]:
+            raise RuntimeError(f"refused: {gate['errors']}")
+
+    def published():
+        at = sinks.current(spark, f"{root}/published")
+        meta = spark.read.json(f"{at}/meta").select(F.col("totalCharacters").alias("total"), F.col("coverage.ok").alias("ok"),
+                                                    F.col("pendingCount").alias("pending"), "complete")
+        return meta.crossJoin(sinks.read_detail(spark, f"{at}/detail/characters", "characters")
+                              .agg(F.count(F.lit(1)).alias("characters")))  # one row each
+
+    C.SM.incremental_merge(spark, seed, src, schema, f"{root}/first", on_batch=publish)
+    once = published().first()
+    C.SM.incremental_merge(spark, seed, src, schema, f"{root}/again", files_per_trigger=2, on_batch=publish)
+    return published().withColumn("replayed_same", F.struct("total", "ok", "pending", "complete", "characters") == F.struct(
+        *[F.lit(once[c]).alias(c) for c in ("total", "ok", "pending", "complete", "characters")]))
+
+
+@C.register("source_documents", C._ROSTER_CTE + """,
+ev AS (SELECT count(*) AS n FROM events)
+SELECT 'roster' AS source, count(*) AS rows, CAST(sum(rank) AS BIGINT) AS check_sum FROM r2
+UNION ALL SELECT 'leagues', count(*), CAST(sum(n_nationkey) AS BIGINT) FROM nation
+UNION ALL SELECT 'meta', count(*), CAST(sum(s) AS BIGINT) FROM (
+  SELECT DISTINCT lang, source, CAST(substr(source, 4) AS INTEGER) AS s FROM documents) WHERE s % 7 <> 6
+UNION ALL SELECT 'inventory', 4, 4 * 7
+UNION ALL SELECT 'raw', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F'
+UNION ALL SELECT 'empty', 0, NULL""")
+def q_source_documents(spark, sf_dir):
+    """Documents staged from the tables and read
+    back by their scans."""
+    root = checkpoint_root(spark, "documents", unique=True)
+    # The roster as production keeps it is a table; a league document is the import form.
+    roster = C._rosters(spark, sf_dir)[0]
+    doc = roster.agg(F.collect_list(F.struct(*roster.columns)).alias("characters")).select(
+        F.to_json(F.struct(F.lit(schemas.SCHEMA_VERSION).alias("schemaVersion"), "characters")).alias("value"))
+    doc.write.text(f"{root}/roster")
+    leagues = AD.league_rows(spark, sf_dir)
+    leagues.agg(F.to_json(F.sort_array(F.collect_list(F.struct("pos", *[c for c in leagues.columns if c != "pos"])))).alias("value")) \
+        .write.text(f"{root}/leagues")
+    meta = AD.snapshot_meta(spark, sf_dir)
+    meta.select(F.to_json(F.struct("completedAt", "updatedAt")).alias("value"), F.col("league").alias("l"), F.col("snapshot_id").alias("s")) \
+        .write.partitionBy("l", "s").text(f"{root}/meta")
+    for i in range(4):
+        sinks._write_text(spark, f"{root}/bucket/a b/file-{i}%20.json", "1234567")
+    raw = snapshot.staged_state(spark, sf_dir).where(F.col("outcome") == "ok").select(
+        "ordinal", "rank", "account", "character", "class", "level", "fetchedAt", F.col("characterData").alias("items"), F.col("passiveTree").alias("passives"))
+    raw.write.option("compression", "gzip").json(f"{root}/raw")
+    got = [("roster", D.scan_roster(spark, f"{root}/roster/part-*"), F.col("rank")),
+           ("leagues", D.scan_leagues(spark, f"{root}/leagues/part-*"), F.col("pos")),
+           ("meta", D.scan_meta(spark, f"{root}/meta/*/*/part-*"), F.regexp_extract("file", r"/s=src(\d+)/", 1).cast("long")),
+           ("inventory", D.scan_inventory(spark, f"{root}/bucket"), F.col("size")),
+           ("raw", SS.scan_raw(spark, f"{root}/raw"), F.col("ordinal")), ("empty", SS.empty_chars(spark), F.col("ordinal"))]
+    out = None
+    for name, df, check in got:
+        one = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(check).cast("long").alias("check_sum")).select(
+            F.lit(name).alias("source"), "rows", "check_sum")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@C.register("request_edge_cases", """
+WITH e AS (SELECT event_id, props, event_id % 8 AS k FROM events),
+b AS (SELECT event_id, k, CASE k WHEN 0 THEN props || ' ' || props WHEN 1 THEN props || ' trailing"' WHEN 2 THEN '{"a":1,"a":' || event_id || '}'
+  WHEN 3 THEN event_id || '],[2' WHEN 4 THEN ' ' || props || chr(10) WHEN 5 THEN chr(39) || 'x' || chr(39) WHEN 6 THEN event_id || '' ELSE 'NaN' END AS body FROM e)
+SELECT event_id, k IN (2, 4, 6) AS is_json,
+  CASE k WHEN 0 THEN event_id * 1000 WHEN 1 THEN 9223372036854775807 WHEN 2 THEN 9223372036854775807 END AS retry_ms,
+  CASE k WHEN 0 THEN 'a%FFb' WHEN 1 THEN '%E0%A4' WHEN 2 THEN 'é' WHEN 3 THEN 'a%' WHEN 4 THEN 'a+b c' WHEN 5 THEN '%C0%80' WHEN 6 THEN chr(65533) ELSE '€' END AS segment
+FROM b""")
+def q_request_edge_cases(spark, sf_dir):
+    """P21, F15, P19/F16 on hostile input: second values, repeated keys, huge
+    Retry-After seconds, escapes that are not UTF-8."""
+    from quarry.functions import keys as K
+    from quarry.operators import requests as RQ
+    i, props = F.col("event_id"), F.col("props")
+    pick = lambda *xs: F.element_at(F.array(*xs), (i % 8 + 1).cast("int"))
+    text = i.cast("string")
+    body = pick(F.concat(props, F.lit(" "), props), F.concat(props, F.lit(' trailing"')), F.concat(F.lit('{"a":1,"a":'), text, F.lit("}")),
+                F.concat(text, F.lit("],[2")), F.concat(F.lit(" "), props, F.lit("\n")), F.lit("'x'"), text, F.lit("NaN"))
+    retry = pick(text, F.lit("99999999999999999"), F.lit("9" * 40), F.lit("soon"), F.lit(""), F.lit("-5"), F.lit("1.5"), F.lit(None).cast("string"))
+    segment = pick(*[F.lit(x) for x in ("a%FFb", "%E0%A4", "%c3%A9", "a%", "a+b%20c", "%C0%80", "%EF%BF%BD", "%E2%82%AC")])
+    e = AD.table(spark, sf_dir, "events")
+    return e.select("event_id", RQ.is_json(body).alias("is_json"),
+                    RQ.retry_after_ms(F.create_map(F.lit("retry-after"), retry), F.lit("2024-01-01").cast("timestamp")).alias("retry_ms"),
+                    K.decode_segment(segment).alias("segment"))

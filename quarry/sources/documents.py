@@ -175,7 +175,7 @@ def scan_meta(spark: SparkSession, path: str) -> DataFrame:
     the identity taken from the object key; a corrupt document gives NULL
     values rather than an error."""
     docs = _read_docs(spark, path)
-    out_t = "league string, snapshot_id string, completedAt string, updatedAt string"
+    out_t = "league string, snapshot_id string, completedAt string, updatedAt string, file string"
     if docs is None:
         return spark.createDataFrame([], out_t)
     key = F.regexp_extract("file", r"(snapshots/[^/]+/[^/]+/meta\.json)$", 1)
@@ -184,5 +184,5 @@ def scan_meta(spark: SparkSession, path: str) -> DataFrame:
     return docs.select(
         K.decode_segment(F.regexp_extract(key, pattern, 1)).alias("league"),
         F.regexp_extract(key, pattern, 2).alias("snapshot_id"),
-        F.from_json("text", meta_t).alias("m")).select("league", "snapshot_id", "m.completedAt",
-                                                      "m.updatedAt")
+        F.from_json("text", meta_t).alias("m"), "file").select("league", "snapshot_id", "m.completedAt",
+                                                              "m.updatedAt", "file")

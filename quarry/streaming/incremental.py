@@ -1,11 +1,12 @@
 """Structured Streaming re-expressions of the periodic republish:
 
-* R1 ``incremental_merge``: result files arriving in a folder are merged
-  into the state (last write per identity wins, by (file, seq)) via
-  ``foreachBatch``; each micro-batch rewrites only the identity buckets it
-  touches.
-* R3 idempotence: a batch id already written is skipped, and re-merging
-  the same result lines cannot change the state (max of (file, seq)).
+* R1 ``incremental_merge``: result files arriving in a folder are appended
+  to a log, one folder per micro-batch; the state is the batch merge (J3:
+  last write per identity wins, by (file, seq)) of the seed and the log, read
+  when it is needed. ``on_batch`` gets it after every batch: tally, publish
+  an incomplete snapshot, and so on; its failure only warns.
+* R3 idempotence: a replayed batch replaces its own folder of the log, and
+  re-merging the same result lines cannot change the state.
 * R4 ``latest_state``: keyed last-write-wins as a streaming aggregate
   (``max(struct(seq, row))``) in update mode, upserted per batch.
 * R5 ``streaming_quota``: hits per key per event-time window with a
@@ -18,102 +19,43 @@ cluster's shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import warnings
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.operators.common import latest_per_key
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
-def _merge_versions(current: DataFrame, batch: DataFrame, keys: Sequence[str],
-                    order: Sequence[str]) -> DataFrame:
-    """Merge a batch into the current state: per identity keep the line with
-    the greatest (file, seq) seen so far; unknown identities are ignored."""
-    keys = list(keys)
-    cols = [c for c in current.columns if c in batch.columns]
-    latest = latest_per_key(batch.select(*cols), keys, list(order))
-    # Known identities only; the line keeps its ordinal (and other state-only columns).
-    extra = [c for c in current.columns if c not in batch.columns]
-    known = latest.join(current.select(*keys, *extra), keys, "inner")
-    cand = current.unionByName(known.select(*current.columns))
-    return latest_per_key(cand, keys, list(order))
-
-
-def _bucket(keys: Sequence[str], buckets: int):
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
-
-
-def _list_versions(spark: SparkSession, base: str) -> list[str]:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(base)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    return sorted(st.getPath().getName() for st in fs.listStatus(p)
-                  if st.getPath().getName().startswith("v-0"))
+from quarry.operators.state import merge_results
 
 
 def incremental_merge(spark: SparkSession, state: DataFrame, results_dir: str,
                       results_schema: T.StructType, out_dir: str,
                       keys: Sequence[str] = ("account", "character"),
-                      order: Sequence[str] = ("file", "seq"),
-                      files_per_trigger: int = 1, buckets: int = 64) -> DataFrame:
-    """R1 + R3: stream result files into the state and return the final
-    state. The seed ``state`` must carry ``order`` columns (NULL for lines
-    never written, which any result beats).
-
-    The state is laid out in ``buckets`` folders by a hash of the identity;
-    a micro-batch rewrites only the buckets its lines touch (new versioned
-    folders, never the ones being read) and then commits a small pointer
-    table (bucket -> folder). A restarted stream resumes from the last
-    committed pointer table, and a replayed batch whose pointer is already
-    committed is skipped."""
-    keys = list(keys)
-    base = f"{out_dir.rstrip('/')}/state"
-    seed = f"{base}/seed"
-    if not _exists(spark, f"{seed}/_SUCCESS"):
-        state.withColumn("__bucket", _bucket(keys, buckets)) \
-            .write.mode("overwrite").partitionBy("__bucket").parquet(seed)
-    pointers = {b: f"{seed}/__bucket={b}" for b in range(buckets)}
-    committed = [v for v in _list_versions(spark, base) if _exists(spark, f"{base}/{v}/_pointer/_SUCCESS")]
-    if committed:  # resume after a restart
-        for r in spark.read.parquet(f"{base}/{committed[-1]}/_pointer").collect():  # `buckets` rows
-            pointers[r["bucket"]] = r["path"]
-
-    def read(paths: list[str]) -> DataFrame:
-        live = [p for p in paths if _exists(spark, p)]
-        if not live:
-            return spark.createDataFrame([], state.schema)
-        return spark.read.schema(state.schema).parquet(*live)
+                      order: Sequence[str] = ("file", "seq"), files_per_trigger: int = 1,
+                      on_batch: Callable[[DataFrame, int], object] | None = None) -> DataFrame:
+    """R1 + R3: stream result files into a log under ``out_dir`` and return
+    the merged state. A restarted stream goes on behind the last committed
+    batch; a batch replayed after a crash rewrites the same folder.
+
+    Nothing of the state is rewritten per batch: a batch costs its own lines,
+    and the merge runs where its result is read. ``on_batch(merged, batch)``
+    is called after each batch is durable; an exception from it is reported
+    as a warning, and the stream goes on."""
+    log = f"{out_dir.rstrip('/')}/log"
+    schema = T.StructType([*results_schema.fields, T.StructField("batch", T.LongType())])
+
+    def merged() -> DataFrame:
+        return merge_results(state, spark.read.schema(schema).parquet(log), keys, order)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        target = f"{base}/v-{batch_id:010d}"
-        if _exists(spark, f"{target}/_pointer/_SUCCESS"):  # replayed batch: already durable
-            for r in spark.read.parquet(f"{target}/_pointer").collect():
-                pointers[r["bucket"]] = r["path"]
-            return
-        tagged = batch.withColumn("__bucket", _bucket(keys, buckets))
-        # at most `buckets` small integers reach the driver
-        touched = sorted(r[0] for r in tagged.select("__bucket").distinct().collect())
-        if not touched:
-            return
-        current = read([pointers[b] for b in touched])
-        merged = _merge_versions(current, batch, keys, order)
-        merged.withColumn("__bucket", _bucket(keys, buckets)) \
-            .write.mode("overwrite").partitionBy("__bucket").parquet(f"{target}/data")
-        for b in touched:
-            pointers[b] = f"{target}/data/__bucket={b}"
-        spark.createDataFrame(sorted(pointers.items()), "bucket int, path string") \
-            .coalesce(1).write.mode("overwrite").parquet(f"{target}/_pointer")
+        batch.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
+        if on_batch is not None:
+            try:
+                on_batch(merged(), batch_id)
+            except Exception as failed:  # noqa: BLE001 - the next batch tries again
+                warnings.warn(f"batch {batch_id}: {failed}", stacklevel=1)
 
     stream = (spark.readStream.schema(results_schema)
               .option("maxFilesPerTrigger", files_per_trigger)
@@ -122,7 +64,7 @@ def incremental_merge(spark: SparkSession, state: DataFrame, results_dir: str,
          .option("checkpointLocation", f"{out_dir.rstrip('/')}/_checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return read([pointers[b] for b in range(buckets)])
+    return merged()
 
 
 def latest_state(spark: SparkSession, source_dir: str, schema: T.StructType, out_dir: str,
@@ -140,7 +82,7 @@ def latest_state(spark: SparkSession, source_dir: str, schema: T.StructType, out
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         (batch.select(*keys, "best.row.*", F.lit(batch_id).alias("batch_id"))
-         .write.mode("append").parquet(f"{table}/batch={batch_id}"))
+         .write.mode("overwrite").parquet(f"{table}/batch={batch_id}"))
 
     q = (agg.writeStream.outputMode("update").foreachBatch(upsert)
          .option("checkpointLocation", f"{out_dir.rstrip('/')}/_checkpoint")
@@ -156,29 +98,33 @@ def read_latest(spark: SparkSession, table: str, keys: Sequence[str]) -> DataFra
 
 
 def streaming_quota(spark: SparkSession, source_dir: str, schema: T.StructType, out_dir: str,
-                    by: str, ts: str, period: str, lateness: str,
-                    files_per_trigger: int = 1000) -> str:
-    """Requests per key per tumbling event-time window of ``period``;
-    the watermark (``lateness``) bounds how late a line may arrive and how
-    long window state is kept. Update mode with a batch-id-keyed upsert log
-    so the final counts are complete when the input is exhausted."""
+                    by: str, ts: str, period: str, lateness: str, slide: str | None = None,
+                    cap: int | None = None, files_per_trigger: int = 1) -> tuple[str, int]:
+    """Requests per key per event-time window of ``period`` (sliding by
+    ``slide``; tumbling without it), flagged ``over`` when above ``cap``. The
+    watermark (``lateness``) bounds how late a line may arrive and how long
+    window state is kept. Update mode with a batch-id-keyed upsert log, so
+    the final counts are complete when the input is exhausted. Returns the
+    log's path and how many lines came too late and were not counted."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
               .parquet(source_dir))
-    counts = (stream.withWatermark(ts, lateness)
-              .groupBy(F.col(by), F.window(F.col(ts), period).alias("w"))
+    window = F.window(F.col(ts), period, slide) if slide else F.window(F.col(ts), period)
+    counts = (stream.withWatermark(ts, lateness).groupBy(F.col(by), window.alias("w"))
               .agg(F.count(F.lit(1)).alias("hits")))
     table = f"{out_dir.rstrip('/')}/updates"
+    over = F.lit(False) if cap is None else F.col("hits") > cap
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        (batch.select(by, F.col("w.start").alias("window_start"), "hits",
+        (batch.select(by, F.col("w.start").alias("window_start"), "hits", over.alias("over"),
                       F.lit(batch_id).alias("batch_id"))
-         .write.mode("append").parquet(f"{table}/batch={batch_id}"))
+         .write.mode("overwrite").parquet(f"{table}/batch={batch_id}"))
 
     q = (counts.writeStream.outputMode("update").foreachBatch(upsert)
          .option("checkpointLocation", f"{out_dir.rstrip('/')}/_checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return table
+    late = sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"])
+    return table, late
 
 
 def stage_files(df: DataFrame, path: str, files: int, sort_by: Sequence[str]) -> str:

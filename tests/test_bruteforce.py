@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from quarry import schemas
@@ -95,9 +97,8 @@ def test_stream_merge_resumes_and_is_idempotent(spark):
     from quarry.streaming import incremental as SM
     rnd = random.Random(9)
     state = spark.createDataFrame(
-        [(i, f"a{i}", "X", "pending", 0, None, None) for i in range(30)],
-        "ordinal long, account string, character string, outcome string, attempts int, "
-        "file string, seq long")
+        [(i, f"a{i}", "X", "pending", 0) for i in range(30)],
+        "ordinal long, account string, character string, outcome string, attempts int")
     rows = [(f"a{rnd.randrange(35)}", "X", rnd.choice(["ok", "dead", "retryable"]), rnd.randrange(3),
              f"w0{rnd.randrange(2)}", i) for i in range(120)]
     schema = "account string, character string, outcome string, attempts int, file string, seq long"
@@ -105,13 +106,38 @@ def test_stream_merge_resumes_and_is_idempotent(spark):
     src = f"{root}/results"
     spark.createDataFrame(rows[:60], schema).repartition(2).write.parquet(f"{src}/part1")
     first = SM.incremental_merge(spark, state, f"{src}/*", spark.createDataFrame([], schema).schema,
-                                 root, buckets=4)
+                                 root)
     assert first.count() == 30
     spark.createDataFrame(rows[60:], schema).repartition(2).write.parquet(f"{src}/part2")
+    seen = []
     resumed = SM.incremental_merge(spark, state, f"{src}/*", spark.createDataFrame([], schema).schema,
-                                   root, buckets=4)
+                                   root, on_batch=lambda merged, batch: seen.append((batch, merged.count())))
     again = SM.incremental_merge(spark, state, f"{src}/*", spark.createDataFrame([], schema).schema,
-                                 root, buckets=4)
+                                 root)
     batch = ST.merge_results(state, spark.createDataFrame(rows, schema))
     key = lambda d: sorted((r["ordinal"], r["outcome"], r["attempts"]) for r in d.collect())
     assert key(resumed) == key(batch) == key(again)
+    assert seen and all(n == 30 for _, n in seen)
+
+    def fails(merged, batch_id):
+        raise ValueError("no publish")
+    with pytest.warns(UserWarning, match="no publish"):
+        failing = SM.incremental_merge(spark, state, f"{src}/*", spark.createDataFrame([], schema).schema,
+                                       f"{root}/other", on_batch=fails)
+    assert key(failing) == key(batch)
+
+
+def test_streaming_quota_counts_what_came_too_late(spark):
+    import tempfile
+
+    from quarry.streaming import incremental as SM
+    root = tempfile.mkdtemp(prefix="quarry-stream-")
+    at = lambda h: f"2024-01-01 {h:02d}:30:00"
+    for name, hours in (("a", [1, 20]), ("b", [2, 20])):  # the second file's first line is 18 hours late
+        df = spark.createDataFrame([("ip", at(h)) for h in hours], "ip string, t string").select(
+            "ip", F.to_timestamp("t").alias("ts"))
+        df.coalesce(1).write.parquet(f"{root}/in/{name}")
+        schema = df.schema
+        table, late = SM.streaming_quota(spark, f"{root}/in/*", schema, root, "ip", "ts", "1 hour", "2 hours", cap=1)
+    rows = {r["window_start"].hour: (r["hits"], r["over"]) for r in SM.read_latest(spark, table, ["ip", "window_start"]).collect()}
+    assert rows == {1: (1, False), 20: (2, True)} and late == 1
