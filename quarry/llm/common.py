@@ -10,6 +10,7 @@ from pathlib import Path
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.session import checkpoint_root
 
@@ -52,6 +53,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of ids and numbers up to which a table is broadcast (some 100 MB in memory).
+BROADCAST_ROWS = 2_000_000
+
+
+def small_side(side: DataFrame, counted: DataFrame) -> DataFrame:
+    """``side`` with a broadcast hint if ``counted``, a written table of as
+    many narrow rows, is within the bound; beyond it the join shuffles."""
+    return F.broadcast(side) if counted.count() <= BROADCAST_ROWS else side
+
+
 def planned_parts(df: DataFrame, each: int = 8_000_000) -> int:
     """How many parts of about ``each`` bytes ``df`` makes, by the optimizer's
     size estimate (file sizes for a scan; runs no job), and no fewer than

@@ -7,8 +7,8 @@ threshold; classes are the components of the links.
 * Documents with equal sets are one node from the start.
 * Sets that link share one of their smallest hashes (as many as may be
   missing, and one more). Nodes with such a hash in common belong together,
-  and groups with the same first (smallest) node are put together as one: a
-  tile, in order of set size, in which only pairs whose sizes fit the
+  and groups with the same first node are put together as one: a tile, in
+  order of set size, in which only pairs whose sizes fit the
   threshold are looked at. A large tile is cut into blocks by size.
 * Every node carries a bitmap signature: the parity of its hashes per bit, the
   width growing with the set. Bits that differ count elements that are in one
@@ -30,11 +30,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import planned_parts, saved, text_chunks
+from quarry.llm.common import planned_parts, saved, small_side, text_chunks
 from quarry.llm.components import connected_components
 from quarry.llm.tokens import mixed, word_hashes
 
@@ -42,9 +41,7 @@ WORDS, PERCENT = 5, 80
 #: Tiles up to this size emit all pairs that the bitmaps allow; larger ones are worked on in two rounds.
 SMALL_TILE = 64
 #: Members of a block: two blocks and their bitmaps are what a task holds.
-BLOCK = 4096
-#: Rows of ids up to which they are broadcast (8 or 16 bytes each).
-BROADCAST_ROWS = 2_000_000
+BLOCK = 1024
 _FACTORS = mixed(np.arange(1, 65, dtype=np.uint64))
 
 
@@ -81,8 +78,8 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def bitmap(own: np.ndarray) -> bytes:
-    """Parity bitmap, two to four bits for each element."""
-    width = max(64, 1 << (2 * len(own) - 1).bit_length())
+    """Parity bitmap, one to two bits for each element."""
+    width = max(64, 1 << (len(own) - 1).bit_length())
     odd = np.bincount(own.view(np.uint64) & np.uint64(width - 1), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -120,21 +117,20 @@ def signatures(docs: DataFrame, words: int, percent: int, text: str) -> DataFram
 
 
 def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows (token, n, node) in that order: (lead, node, n) for the nodes
-    of each token that has two or more, ``lead`` being the first of them. Of a
-    token, one row is held."""
+    """Over rows (token, node) in that order: (lead, node) for the nodes of each
+    token that has two or more, ``lead`` being the first of them. Of a token,
+    one row is held."""
     token = lead = None
     last, waiting = None, False
-    out: list[tuple[int, int, int]] = []
+    out: list[tuple[int, int]] = []
 
     def batch_of() -> pa.RecordBatch:
-        rows = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["lead", "node", "n"])
+        rows = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["lead", "node"])
         out.clear()
         return rows
 
-    first = (0, 0, 0)
     for batch in batches:
-        tokens, sizes, nodes = (batch.column(c).to_numpy() for c in ("token", "n", "node"))
+        tokens, nodes = (batch.column(c).to_numpy() for c in ("token", "node"))
         if not len(tokens):
             continue
         # A row whose token differs from both neighbours is alone; the batch's ends are kept for the next.
@@ -143,15 +139,14 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alike[1:] |= same
         alike[:-1] |= same
         alike[[0, -1]] = True
-        for t, n, node in zip(tokens[alike].tolist(), sizes[alike].tolist(), nodes[alike].tolist(), strict=True):
+        for t, node in zip(tokens[alike].tolist(), nodes[alike].tolist(), strict=True):
             if t != token:
                 token, lead, last, waiting = t, node, node, True
-                first = (node, node, n)
             elif node != last:
                 if waiting:
-                    out.append(first)
+                    out.append((lead, lead))
                     waiting = False
-                out.append((lead, node, n))
+                out.append((lead, node))
                 last = node
         if len(out) >= 20_000:
             yield batch_of()
@@ -278,30 +273,38 @@ def _facing_pairs(percent: int):
     return run
 
 
-def _small(side: DataFrame, counted: DataFrame) -> DataFrame:
-    """``side`` with a broadcast hint if ``counted``, a written table of as
-    many narrow rows, is within the bound; beyond it the join shuffles."""
-    return F.broadcast(side) if counted.count() <= BROADCAST_ROWS else side
+def linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int, text: str) -> DataFrame:
+    """The pairs (a, b), a written table, that link, verified on the texts."""
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = saved(nodes.select("node", "doc_id").join(ends, "node", "left_semi"), "jaccard-wanted")
+    texts = saved(texts_of(wanted, docs, words, text), "jaccard-texts")
+    return saved(verified(pairs, texts, words, percent).distinct(), "jaccard-links")
 
 
 def texts_of(wanted: DataFrame, docs: DataFrame, words: int, text: str) -> DataFrame:
     """(node, text) for each of ``wanted`` (node, doc_id): the texts of that id
-    are read again and the one with the node's set is taken, deflated."""
+    are read again and the one with the node's set is taken, deflated. Of
+    repeated rows a task gives one; a text given by two tasks does no harm."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in text_chunks(batches, "text", 2_000_000):
-            own = pa.array([set_id(s) for s in shingle_sets(batch.column("text"), words)], pa.int64())
-            found = batch.select(["node", "text"]).filter(pc.equal(own, batch.column("node")))
+            own = [set_id(s) for s in shingle_sets(batch.column("text"), words)]
+            keep = []
+            for got, node in zip(own, batch.column("node").to_pylist(), strict=True):
+                keep.append(got == node and node not in seen)
+                seen.update([node] if keep[-1] else [])
+            found = batch.select(["node", "text"]).filter(pa.array(keep, pa.bool_()))
             packed = [zlib.compress(t.encode(), 1) for t in found.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([found.column("node"), pa.array(packed, pa.binary())], names=["node", "text"])
 
-    side = _small(wanted.withColumnRenamed("doc_id", "__id"), wanted)
+    side = small_side(wanted.withColumnRenamed("doc_id", "__id"), wanted)
     found = docs.select("doc_id", docs[text].alias("text")).join(side, F.col("doc_id").eqNullSafe(F.col("__id")))
-    return (found.select("node", "text").mapInArrow(run, "node long, text binary")
-            .groupBy("node").agg(F.first("text").alias("text")))
+    return found.select("node", "text").mapInArrow(run, "node long, text binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets, taken from ``texts`` (node, text), link: exact intersection of sorted arrays."""
+    """The pairs (a, b), a written table, whose sets, taken from ``texts``
+    (node, text), link: exact intersection of sorted arrays."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches, "text_a", 500_000):
             keep = []
@@ -311,7 +314,8 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
                 keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    # Pairs are ids: sent to the texts of their first side where they are few enough.
+    both = (texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")).join(small_side(pairs, pairs), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
@@ -329,12 +333,13 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     parts = planned_parts(docs)
     rows = saved(signatures(docs, words, percent, text), "jaccard-signatures")
     some = rows.filter(F.col("n") > 0)
-    chosen = saved(some.groupBy("node").agg(F.min("row").alias("row"), F.min("doc_id").alias("least_id")), "jaccard-nodes")
-    nodes = some.join(_small(chosen.select("row"), chosen), "row", "left_semi")
+    chosen = saved(some.groupBy("node").agg(F.min("row").alias("row"), F.min("doc_id").alias("least_id"),
+                                                   F.min("n").alias("n")), "jaccard-nodes")
+    nodes = some.join(small_side(chosen.select("row"), chosen), "row", "left_semi")
 
-    posted = nodes.select(F.explode("prefix").alias("token"), "n", "node")
-    members = (posted.repartition(parts, "token").sortWithinPartitions("token", "n", "node")
-               .mapInArrow(_tiles, "lead long, node long, n long").distinct())
+    posted = nodes.select(F.explode("prefix").alias("token"), "node")
+    members = (posted.repartition(parts, "token").sortWithinPartitions("token", "node")
+               .mapInArrow(_tiles, "lead long, node long").distinct().join(chosen.select("node", "n"), "node"))
     by_size = Window.partitionBy("lead").orderBy("n", "node")
     members = saved(members.withColumn("block", F.floor((F.row_number().over(by_size) - 1) / BLOCK)), "jaccard-tiles")
     bits = nodes.select("node", "bits")
@@ -343,10 +348,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                   .distinct(), "jaccard-candidates")
 
     large = members.join(members.groupBy("lead").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > SMALL_TILE), "lead", "left_semi")
-    wanted = first.select(F.col("a").alias("node")).unionByName(first.select(F.col("b").alias("node"))).unionByName(large.select("node")).distinct()
-    wanted = saved(nodes.select("node", "doc_id").join(wanted, "node", "left_semi"), "jaccard-wanted")
-    texts = saved(texts_of(wanted, docs, words, text), "jaccard-texts")
-    links = saved(verified(first, texts, words, percent), "jaccard-links")
+    links = linked(first, nodes, docs, words, percent, text)
 
     # Large tiles once more: pairs between the classes found so far.
     found = connected_components(links, "jaccard-classes").select("node", F.col("component").alias("class"))
@@ -359,10 +361,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                           .withColumn("right", F.lit(True))))
     more = saved(sided.join(bits, "node").groupBy("lead", "i", "j").applyInArrow(_facing_pairs(percent), "a long, b long").distinct()
                  .join(first, ["a", "b"], "left_anti"), "jaccard-candidates")
-    every = links.unionByName(verified(more, texts, words, percent))
-    linked = connected_components(every, "jaccard-components")
+    every = links.unionByName(linked(more, nodes, docs, words, percent, text))
+    joined = connected_components(every, "jaccard-components")
 
-    named = (chosen.select("node", "least_id").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    named = (chosen.select("node", "least_id").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     ids = saved(named.join(least, "component").select("node", "component_id"), "jaccard-ids")
     return (rows.select("doc_id", "n", "node").join(ids, "node", "left")
