@@ -38,7 +38,7 @@ from quarry.llm.common import planned_parts, saved, text_chunks
 from quarry.llm.tokens import mixed, word_hashes
 
 ORDER = 2
-BATCH_TOKENS, BATCH_DOCS = 1_200_000, 50_000
+BATCH_TOKENS, BATCH_DOCS = 600_000, 50_000
 #: One in so many training documents is deleted for learning the weights.
 DELETED_IN = 10
 #: Ratios of estimates to the uniform one are sorted into quarters of an octave for learning.
