@@ -8,6 +8,7 @@ import pytest
 
 import corpus_pipeline as P
 from quarry.llm import language_id as G
+from quarry.llm import mixing
 from quarry.llm import quality_rules as Q
 from quarry.llm.common import saved
 
@@ -72,3 +73,23 @@ def test_odd_documents_pass_every_stage(spark, frame):
             assert n == 0 if df is not docs else n >= 0
     assert {r.doc_id for r in P.near_duplicates(spark, docs, SF).collect()} == {1, 2, 3, 4}
     assert P.near_duplicates(spark, docs, SF).count() == 4
+
+
+def test_rows_of_one_id_or_without_id_are_judged_apart(spark, frame):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    story = lambda name: " ".join(f"Word number {i} of the {name} story comes here." for i in range(20))
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    texts = lambda rows: [(i, t, "en", s, len(t)) for i, t, s in rows]
+    for written in (False, True):
+        make = lambda rows: saved(frame(schema, texts(rows)), "pipeline-test") if written else frame(schema, texts(rows))  # noqa: B023, E731
+        docs = make([(None, story("old"), "a"), (None, story("new"), "a"), (None, f"{story('red')} {item}", "a"), (7, story("blue"), "a"), (7, item, "b")])
+        assert sorted(r.text for r in P.decontaminated(spark, docs, SF).collect()) == sorted(map(story, ("old", "new", "blue")))
+        docs = make([(None, story("old"), "a"), (None, story("old") + " End.", "a"), (None, story("new"), "b"), (5, story("blue"), "a"),
+                     (5, story("blue") + " End.", "a"), (5, story("red"), "a"), (4, story("red") + " End.", "a"), (9, "", "a"), (9, "", "a"), (None, "", "a"), (None, "", "b")])
+        got = [(r.doc_id, r.text.removesuffix(" End.")) for r in P.near_duplicates(spark, docs, SF).collect()]
+        assert sorted(got, key=str) == sorted([(None, story("old")), (None, story("new")), (5, story("blue")), (4, story("red")), (9, ""), (None, ""), (None, "")], key=str)
+        docs = make([(None, " ".join(["word"] * n), s) for n in range(1, 15) for s in "abc"] + [(1, "one more text", "a")] * 5)
+        taken, want = {}, {r.source: r.words for r in mixing.mix(docs).groupBy("source").agg({"taken": "sum"}).withColumnRenamed("sum(taken)", "words").collect()}
+        for r in P.mixed(spark, docs, SF).collect():
+            taken[r.source] = taken.get(r.source, 0) + len(r.text.split())
+        assert taken == want
