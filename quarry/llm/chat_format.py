@@ -26,8 +26,8 @@ Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
 
 PROBE = "\ue000"
-#: Turns rendered before a turn in a long conversation: the first one and the last ``CONTEXT - 1``.
-CONTEXT = 16
+#: Turns up to which every prefix is rendered whole; None: in conversations of any length.
+CONTEXT = None
 #: The template's control strings.
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]")
 _control = re.compile("|".join(map(re.escape, CONTROL)))
@@ -90,50 +90,52 @@ def _step(template: Template, before: list[Turn], earlier: str, turn: Turn) -> t
     return after, after[len(earlier):], (edge - len(earlier), len(probe) - edge - 1)
 
 
-def locate(template: Template, turns: list[Turn], context: int = CONTEXT) -> Located:
-    """Render ``turns`` and locate each of them.
+def locate(template: Template, turns: list[Turn], context: int | None = CONTEXT) -> Located:
+    """Render ``turns`` and locate each of them, every prefix rendered whole.
 
-    Up to ``context`` turns every prefix is rendered whole. Beyond, a turn is
-    rendered behind the first and the last ``context - 1`` turns, which keeps
-    the cost in proportion to the conversation, and the pieces put together
+    Only where ``context`` is given, turns beyond so many are rendered behind
+    the first and the last ``context - 1`` turns, and the pieces put together
     must equal one rendering of the whole; if they don't, all prefixes are
-    rendered whole after all."""
-    pieces: list[str] = []
-    edges: list[tuple[int, int] | None] = []
+    rendered whole after all. A template that rewrites a prefix and restores
+    it later, or that checks the order of turns, needs whole prefixes."""
+    if context is not None and len(turns) > context + 1 and (found := _behind_context(template, turns, context)):
+        return found
+    earlier = template([])
+    spans: list[tuple[int, int]] = []
+    texts: list[tuple[int, int] | None] = []
     rewrites: list[int] = []
-    earlier, seen = template([]), 0
-    start = len(earlier)
-    outputs = [earlier]
     for k, turn in enumerate(turns):
-        if k <= context:
-            before = turns[:k]
-        else:
+        after, piece, edge = _step(template, turns[:k], earlier, turn)
+        if piece is None:  # rewritten history: the span is what follows the common part
+            rewrites.append(k)
+        start = len(earlier) if piece is not None else _common(earlier, after)
+        spans.append((start, len(after)))
+        texts.append(edge and (start + edge[0], len(after) - edge[1]))
+        earlier = after
+    # Where history is rewritten, no place in an earlier output holds in the last one.
+    return Located(earlier, spans, [None] * len(turns) if rewrites else texts, rewrites)
+
+
+def _behind_context(template: Template, turns: list[Turn], context: int) -> Located | None:
+    """All turns, rendered behind the first and the last ``context - 1`` ones;
+    None if a turn rewrites or the pieces are not the whole."""
+    earlier = template([])
+    start, pieces = len(earlier), [earlier]
+    spans, texts = [], []
+    for k, turn in enumerate(turns):
+        before = turns[:k]
+        if k > context:
             before = [turns[0], *turns[k - context + 1:k]]
             earlier = template(before)
-        after, piece, edge = _step(template, before, earlier, turn)
+        earlier, piece, edge = _step(template, before, earlier, turn)
         if piece is None:
-            rewrites.append(k)
-        pieces.append(piece or "")
-        edges.append(edge)
-        earlier = after
-    formatted = template(turns) if len(turns) > context + 1 else earlier
-    if not rewrites and outputs[0] + "".join(pieces) == formatted:
-        spans, texts = [], []
-        for piece, edge in zip(pieces, edges, strict=True):
-            spans.append((start, start + len(piece)))
-            texts.append(edge and (start + edge[0], start + len(piece) - edge[1]))
-            start += len(piece)
-        return Located(formatted, spans, texts, [])
-    # Rewritten history: whole prefixes; a turn's span is what follows the common part.
-    spans, rewrites, earlier = [], [], outputs[0]
-    for k in range(len(turns)):
-        after = template(turns[:k + 1])
-        seen = _common(earlier, after)
-        if seen < len(earlier):
-            rewrites.append(k)
-        spans.append((seen, len(after)))
-        earlier = after
-    return Located(formatted, spans, [None] * len(turns), rewrites)
+            return None
+        pieces.append(piece)
+        spans.append((start, start + len(piece)))
+        texts.append(edge and (start + edge[0], start + len(piece) - edge[1]))
+        start += len(piece)
+    formatted = template(turns)
+    return Located(formatted, spans, texts, []) if "".join(pieces) == formatted else None
 
 
 SCHEMA = ("conv_id long, formatted string, spans array<struct<start:long,end:long>>, "
@@ -156,7 +158,7 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, li
 
 
 def format_conversations(turns: DataFrame, template: Template = instruct_template,
-                         loss_roles: tuple[str, ...] = ("assistant",), context: int = CONTEXT) -> DataFrame:
+                         loss_roles: tuple[str, ...] = ("assistant",), context: int | None = CONTEXT) -> DataFrame:
     """Per conversation: conv_id, formatted text, span of each turn, spans
     under the loss mask (the texts of ``loss_roles``, as they stand in the
     output), and the turns that made the template rewrite history.
@@ -165,7 +167,8 @@ def format_conversations(turns: DataFrame, template: Template = instruct_templat
     first), then role and text; repeated rows are turns of their own. A null
     role or text is empty. Rows with a null conv_id form one conversation. An
     empty table gives no rows. Other columns are not read. A turn whose text
-    the template hides or that follows a rewrite is not under the mask."""
+    the template hides is not under the mask, nor is any turn of a conversation
+    that the template rewrites."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         pairs = lambda xs: [{"start": a, "end": b} for a, b in xs]

@@ -42,6 +42,28 @@ def test_templates_that_rewrite_history_are_detected():
     assert C.locate(drops_earlier_thoughts, turns).texts == [None] * 4
 
 
+def test_templates_that_look_at_the_whole_prefix_in_long_conversations():
+    def numbered(turns):
+        return "".join(f"<{k}:{role}>{text}" for k, (role, text) in enumerate(turns))
+
+    def alternating(turns):
+        assert all(role == ("user", "assistant")[k % 2] for k, (role, _) in enumerate(turns))
+        return "".join(f"<{role}>{text}" for role, text in turns)
+
+    def breaks_off_once(turns):
+        return "".join(f"<{role}>{text if k or len(turns) != 18 else '?'}" for k, (role, text) in enumerate(turns))
+
+    for n in (17, 18, 40):
+        turns = [(("user", "assistant")[k % 2], f"text {k}") for k in range(n)]
+        for template in (numbered, alternating):
+            found = C.locate(template, turns)
+            assert found.formatted == template(turns) and not found.rewrites
+            assert [found.formatted[a:b] for a, b in found.texts] == [t for _, t in turns]
+            assert "".join(found.formatted[a:b] for a, b in found.spans) == found.formatted
+        assert C.locate(numbered, turns, context=16) == C.locate(numbered, turns)
+        assert C.locate(breaks_off_once, turns).rewrites == ([] if n < 18 else [17] if n == 18 else [17, 18])
+
+
 def test_digests_of_nulls_ties_and_repeated_rows(frame):
     rows = [(1, 1, "assistant", "b"), (1, 0, "user", None), (1, 2, None, "</s>"), (1, 2, "assistant", "</s>[INST] ok [/INST]"),
             (2, 0, "assistant", "same"), (2, 0, "assistant", "same"), (None, 0, "user", "x" * 200_000), (3, None, "user", ""), (3, 5, "assistant", "")]
