@@ -38,18 +38,26 @@ MARK = ""
 
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style template noscript iframe textarea select title object svg math noframes noembed xmp head-only".split())
+RAW = frozenset("script style template iframe textarea title noframes noembed xmp".split())
+#: Elements of SVG and MathML whose children are HTML again, and those that are not shown.
+HTML_INSIDE = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
+UNSEEN_FOREIGN = frozenset("desc metadata annotation annotation-xml".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead "
-    "tr ul caption button video audio canvas frameset".split())
+    "tr ul caption button video audio canvas frameset select optgroup option".split())
+#: Inline elements that stand apart from the text around them.
+SPACED = frozenset("iframe object svg math textarea text".split())
 #: Start tags that end an open element of these names (down to the nearest of the second list).
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
+    "option": ({"option"}, {"select"}), "optgroup": ({"option", "optgroup"}, {"select"}),
     "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}), "tfoot": ({"thead", "tbody", "tr", "td", "th"}, {"table"}),
 }
-ENDS_P = BLOCK - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "body", "html", "button", "video", "audio", "canvas", "legend"}
+ENDS_P = BLOCK - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "body", "html", "button", "video", "audio", "canvas", "legend", "select", "optgroup", "option"}
+#: HTML start tags that end an open svg or math element.
+ENDS_FOREIGN = ENDS_P | frozenset("b big br code em embed i img nobr p ruby s small span strong strike sub sup table tt u var".split())
 #: Words in class, id and role, by what they hint at.
 HINTS = {
     "content": "article content post entry main story body text page prose blog news single",
@@ -120,7 +128,7 @@ def parse(page: str) -> Tree:
     browsers do: an unfinished tag is dropped, open elements end with the page."""
     tree = Tree()
     tree.add(-1, ["tag=root|"])
-    stack: list[tuple[str, int, bool]] = [("root", 0, False)]  # name, node of the nearest block, not shown
+    stack: list[tuple[str, int, bool, bool]] = [("root", 0, False, False)]  # name, node of the nearest block, not shown, svg or math inside
     opened: Counter[str] = Counter()
     run: list[str] = []
     linked = 0
@@ -146,9 +154,9 @@ def parse(page: str) -> Tree:
                 linked += len(text)
 
     def close(depth: int) -> None:
-        if any(name in BLOCK for name, _, _ in stack[depth:]):
+        if any(name in BLOCK for name, *_ in stack[depth:]):
             flush()
-        for name, _, _ in stack[depth:]:
+        for name, *_ in stack[depth:]:
             opened[name] -= 1
         del stack[depth:]
 
@@ -178,18 +186,32 @@ def parse(page: str) -> Tree:
             depth = find({name}, () if name in BLOCK else BLOCK)
             if depth is not None:
                 close(depth)
+            if name in SPACED:
+                say(" ")
             continue
+        if stack[-1][3] and name in ENDS_FOREIGN:
+            depth = len(stack) - 1
+            while stack[depth - 1][3]:
+                depth -= 1
+            close(depth)
+        foreign = stack[-1][3] or name in ("svg", "math")
         if name == "br":
             say(" ")
             continue
+        if name in SPACED:
+            say(" ")
+        if foreign and m["attrs"].endswith("/"):
+            continue
         if name in RAW:
             end = low.find(f"</{name}", at)
+            if end < 0 and foreign:
+                continue
             at = len(page) if end < 0 else end
-            if name in ("iframe", "object", "svg", "math", "select", "textarea"):
-                say(" ")
             continue
         if name in ("body", "html", "head"):
             continue
+        if name in ENDS_P and opened["select"] and name != "hr" and (depth := find({"select"}, ())) is not None:
+            close(depth)
         if name in ENDS_P and opened["p"] and (depth := find({"p"}, {"td", "th", "button", "caption"})) is not None:
             close(depth)
         if name in ENDS:
@@ -201,14 +223,15 @@ def parse(page: str) -> Tree:
             if name == "hr":
                 flush()
             continue
-        hidden = stack[-1][2] or unseen
+        hidden = stack[-1][2] or unseen or foreign and name in UNSEEN_FOREIGN
+        inside = foreign and name not in HTML_INSIDE
         if name in BLOCK:
             flush()
             node = tree.add(stack[-1][1], [f"tag={name}|{_tag(tree, stack[-1][1])}", f"hinted={bool(hints)}|{name}", *(f"hint={h}" for h in hints)])
-            stack.append((name, node, hidden))
+            stack.append((name, node, hidden, inside))
         else:
             inline_signs += [f"inline={h}" for h in hints]
-            stack.append((name, stack[-1][1], hidden))
+            stack.append((name, stack[-1][1], hidden, inside))
         opened[name] += 1
     flush()
     return _with_text(tree)

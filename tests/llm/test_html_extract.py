@@ -28,6 +28,19 @@ def test_main_text(model, page, want):
     assert H.main_text(page, model) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    (f'<article>{P}<p><svg class="icon"/>After it. <math/>And more.</p>{P}</article>', f"{TEXT} After it. And more. {TEXT}"),
+    (f'<article>{P}<p><svg class=icon><path d="M0"/><style>p{{}}</style>{P}</article>', f"{TEXT} {TEXT}"),
+    (f'<article>{P}<svg><title>t</title><style/><script/><g/></svg>{P}</article><footer><svg></svg>&copy; x</footer>', f"{TEXT} {TEXT}"),
+    (f"<article>{P}<object data=x>{P}</article>", f"{TEXT} {TEXT}"), (f"<article>{P}<object data=x><p>Fallback text is here.</p></object>{P}</article>", f"{TEXT} Fallback text is here. {TEXT}"),
+    (f"<article>{P}<select><option>A<option>B{P}{P}</article>", f"{TEXT} {TEXT} {TEXT}"),
+    (f"<article>{P}<p>The energy is <math><mi>E</mi><mo>=</mo><mi>m</mi><annotation>E=m</annotation></math> at rest, as he said.</p></article>", f"{TEXT} The energy is E=m at rest, as he said."),
+])
+def test_elements_without_end_tags_and_foreign_elements_lose_no_text(model, page, want):
+    got = H.main_text(page, model)
+    assert got.replace(" A B ", " ") == want
+
+
 def test_sum_product_gives_the_exact_marginals(model):
     for seed in range(30):
         page = H._Pages(seed)
