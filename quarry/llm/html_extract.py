@@ -77,6 +77,7 @@ _markup = re.compile(
     r"<!--(?:.*?--!?>|.*\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>=\"']|=\s*\"[^\"]*\"|=\s*'[^']*'|[=\"'])*+)(?:>|\Z)", re.DOTALL)
 _attr = re.compile(r"(?<![^\s\"'/])(class|id|role|hidden|style|aria-label)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|\Z)", re.IGNORECASE)
+_raw_end = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE | re.ASCII) for name in RAW}
 _token = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _unseen = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
@@ -133,7 +134,7 @@ def parse(page: str) -> Tree:
     run: list[str] = []
     linked = 0
     inline_signs: list[str] = []
-    at, low = 0, page.lower()
+    at = 0
 
     def flush() -> None:
         nonlocal linked
@@ -203,10 +204,10 @@ def parse(page: str) -> Tree:
         if foreign and m["attrs"].endswith("/"):
             continue
         if name in RAW:
-            end = low.find(f"</{name}", at)
-            if end < 0 and foreign:
+            end = _raw_end[name].search(page, at)
+            if end is None and foreign:
                 continue
-            at = len(page) if end < 0 else end
+            at = len(page) if end is None else end.start()
             continue
         if name in ("body", "html", "head"):
             continue

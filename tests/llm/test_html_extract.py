@@ -41,6 +41,13 @@ def test_elements_without_end_tags_and_foreign_elements_lose_no_text(model, page
     assert got.replace(" A B ", " ") == want
 
 
+def test_letters_that_grow_in_lower_case_shift_no_end_tag(model):
+    for k in (1, 5, 12, 60):
+        name = "\u0130" * k
+        page = f"<article>{P}<p>{name} is where it was.</p><SCRIPT>var a = 1</Script>{P}<style>p</scripty></style>{P}</article>"
+        assert H.main_text(page, model) == f"{TEXT} {name} is where it was. {TEXT} {TEXT}"
+
+
 def test_sum_product_gives_the_exact_marginals(model):
     for seed in range(30):
         page = H._Pages(seed)
