@@ -30,6 +30,7 @@ VERSION = b"WARC/1.1"
 MEMBER = b"\x1f\x8b\x08"
 _candidate = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 _name = re.compile(rb"[!#$%&'*+.^_`|~0-9A-Za-z-]+")
+_named = re.compile(_name.pattern + rb":")
 _PIECE = 65_536
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
@@ -37,6 +38,17 @@ HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nConten
 RECORDS_PER_FILE = 5_000
 
 
+def _agrees(said: str, data: bytes) -> bool:
+    """Whether a labelled digest, in base 32 or 16, is that of ``data``; one of
+    an unknown algorithm can't be checked and counts as right."""
+    name, _, value = said.partition(":")
+    name = name.lower().replace("-", "")
+    if name not in ("md5", "sha1", "sha256", "sha512"):
+        return True
+    digest = hashlib.new(name, data).digest()
+    return value.rstrip("=").upper() == base64.b32encode(digest).decode().rstrip("=") or value.lower() == digest.hex()
+
+
 def member(data: bytes) -> bytes:
     z = zlib.compressobj(6, zlib.DEFLATED, 31)
     return z.compress(data) + z.flush()
@@ -50,11 +62,13 @@ def _uri(page_id: int | None) -> str:
     return f"<urn:page:{'null' if page_id is None else page_id}>"
 
 
+_own = re.compile(r"<urn:page:(-?\d+|null)>")
+
+
 def _page_id(uri: str) -> int | None:
-    found = re.fullmatch(r"<urn:page:(-?\d+|null)>", uri)
-    if not found:
-        raise ValueError(f"record id {uri!r}")
-    return None if found[1] == "null" else int(found[1])
+    """The page id in a record id of this writer; None in any other."""
+    found = _own.fullmatch(uri)
+    return None if not found or found[1] == "null" else int(found[1])
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
@@ -119,9 +133,14 @@ def _inflate(data: memoryview, start: int) -> tuple[bytes, int]:
 
 def _parse(data: bytes | memoryview, start: int) -> tuple[dict[str, str], bytes, int]:
     """(headers, block, end) of the record whose version line is at ``start``."""
-    window = bytes(data[start:start + _PIECE])
-    edge = window.find(b"\r\n\r\n")
-    if not re.match(rb"WARC/1\.[01]\r\n", window) or edge < 0:
+    size, window = _PIECE, bytes(data[start:start + _PIECE])
+    sound = re.match(rb"WARC/1\.[01]\r\n", window)
+    while sound and (edge := window.find(b"\r\n\r\n")) < 0 and start + size < len(data):
+        # Whatever its length, a header is lines of a name and a value: other bytes are not searched on.
+        sound = all(_named.match(line) for line in window.split(b"\r\n")[1:-1])
+        size *= 4
+        window = bytes(data[start:start + size])
+    if not sound or edge < 0:
         raise Damaged("no version line or header end")
     headers: dict[str, str] = {}
     for line in window[:edge].split(b"\r\n")[1:]:
@@ -136,7 +155,7 @@ def _parse(data: bytes | memoryview, start: int) -> tuple[dict[str, str], bytes,
     block = bytes(data[first:end])
     if bytes(data[end:end + 4]) != b"\r\n\r\n":
         raise Damaged("record does not end where its length says")
-    if (said := headers.get("warc-block-digest")) and said != "sha1:" + sha1_base32(block):
+    if (said := headers.get("warc-block-digest")) and not _agrees(said, block):
         raise Damaged("block digest")
     return headers, block, end + 4
 
@@ -182,24 +201,38 @@ def salvage(content: bytes) -> Iterator[tuple]:
 
 
 _SCHEMA = ("path string, kind string, start long, end long, reason string, page_id long, url string, record_type string, "
-           "payload_bytes long, payload_digest string, refers_to long, payload binary")
+           "payload_bytes long, payload_digest string, refers_to long, record_id string, payload binary")
 
 
 def _described(headers: dict[str, str], block: bytes) -> tuple:
-    """(reason, page_id, url, type, bytes, digest, refers_to, payload); a
-    record whose headers contradict its payload is a gap with that reason."""
+    """(reason, page_id, url, type, bytes, digest, refers_to, record_id,
+    payload); a record whose headers contradict its payload is a gap with that
+    reason. Records of other writers have no page_id; of their types all are
+    taken, with what their headers say."""
     try:
-        kind = headers["warc-type"]
-        page, said = _page_id(headers["warc-record-id"]), headers["warc-payload-digest"].removeprefix("sha1:")
+        kind, name, url = headers["warc-type"], headers["warc-record-id"], headers.get("warc-target-uri")
+        page, own = _page_id(name), _own.fullmatch(name)
+        said = headers["warc-payload-digest"] if own else headers.get("warc-payload-digest")
+        shown = said and said.removeprefix("sha1:")
         if kind == "revisit":
-            return (None, page, headers.get("warc-target-uri"), kind, int(headers["x-payload-length"]), said,
-                    _page_id(headers["warc-refers-to"]), None)
-        payload = block[block.index(b"\r\n\r\n") + 4:]
-        if sha1_base32(payload) != said:
+            refers = headers["warc-refers-to"] if own else headers.get("warc-refers-to", "")
+            if own and not _own.fullmatch(refers):
+                raise ValueError(f"record id {refers!r}")
+            size = headers["x-payload-length"] if own else headers.get("x-payload-length", "")
+            return None, page, url, kind, int(size) if own or size.isdigit() else None, shown, _page_id(refers), name, None
+        http = own or kind in ("response", "request") and headers.get("content-type", "").lower().startswith("application/http")
+        head, edge, payload = block.partition(b"\r\n\r\n") if http else (b"", b"", block)
+        if own and not edge:
+            raise ValueError("no end of the HTTP head")
+        if http and not edge:
+            payload = b""
+        # A digest may be that of the payload without its transfer coding.
+        coded = not own and b"\r\ntransfer-encoding:" in head.lower()
+        if said and not coded and not _agrees(said, payload):
             raise ValueError("payload digest")
-        return None, page, headers.get("warc-target-uri"), kind, len(payload), said, None, payload
+        return None, page, url, kind, len(payload), shown, None, name, payload
     except (KeyError, ValueError) as wrong:
-        return (f"unusable record: {wrong}", *[None] * 7)
+        return (f"unusable record: {wrong}", *[None] * 8)
 
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
@@ -219,7 +252,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
                 rows: list[tuple] = []
                 file = batch.column("path")[i].as_py()
                 for kind, start, end, what, block in salvage(batch.column("content")[i].as_py()):
-                    reason, *rest = (what, *[None] * 7) if kind == "gap" else _described(what, block)
+                    reason, *rest = (what, *[None] * 8) if kind == "gap" else _described(what, block)
                     if not with_payload:
                         rest[-1] = None
                     rows.append((file, "record" if reason is None else "gap", start, end, reason, *rest))

@@ -63,3 +63,30 @@ def test_salvage_recovers_what_is_sound_and_logs_the_rest():
         assert edge == len(content)
         assert bool(junk) <= any(x[0] == "gap" for x in found)
     assert list(W.salvage(b"")) == [] and [x[0] for x in W.salvage(b"nothing")] == ["gap"]
+
+
+def test_query_keeps_pages_with_very_long_urls(spark, frame):
+    from quarry.llm import queries
+    folder = scratch(spark, "warc-test")
+    rows = [(1, "http://a/" + "x" * 100_000, "<p>a</p>"), (2, "http://b/" + "y" * 1_000_000, "<p>b</p>"), (3, "u", "<p>b</p>")]
+    frame("page_id long, url string, html string", rows, clashing=()).write.parquet(f"{folder}/pages.parquet")
+    assert queries.QUERIES["op10_warc"](spark, folder).count() == len(rows)
+    assert [x[0] for x in W.salvage(b"WARC/1.1\r\n" + b"no header \r\n" * 20_000)] == ["gap"]
+
+
+def _foreign(kind, block, *more):
+    head = [f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:92283950-ef2f-4d72-b224-f54c6ec90bb0>", f"Content-Length: {len(block)}", *more]
+    return b"WARC/1.0\r\n" + "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_sound_records_of_other_archives_are_records():
+    http = b"HTTP/1.1 200 OK\r\nA: b\r\n\r\nbody"
+    digest = f"WARC-Payload-Digest: sha256:{hashlib.sha256(b'body').hexdigest()}"
+    kind = "Content-Type: application/http; msgtype=response"
+    parts = [_foreign("warcinfo", b"software: x"), _foreign("request", b"GET / HTTP/1.1\r\n\r\n", "Content-Type: application/http; msgtype=request"),
+             _foreign("response", http, kind, digest), _foreign("metadata", b"a: b", f"WARC-Block-Digest: sha1:{W.sha1_base32(b'a: b')}"),
+             _foreign("revisit", b"", "WARC-Refers-To: <urn:uuid:1>"), _foreign("response", http + b"!", kind, digest)]
+    found = [W._described(x[3], x[4]) for x in W.salvage(b"".join(map(W.member, parts))) if x[0] == "record"]
+    assert [x[3] for x in found] == ["warcinfo", "request", "response", "metadata", "revisit", None] and "payload digest" in found[-1][0]
+    assert {x[1] for x in found} == {None} and all(x[7].startswith("<urn:uuid:") for x in found[:-1])
+    assert [x[8] for x in found[:-1]] == [b"software: x", b"", b"body", b"a: b", None] and found[4][4] is None
