@@ -214,3 +214,94 @@ WITH RECURSIVE docs AS (
 SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(least(doc_id, c), doc_id) AS component_id
 FROM docs LEFT JOIN sizes USING (rid) LEFT JOIN least_ USING (rid)
 """
+
+_T = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+
+ORACLES["op11_source_divergence"] = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_T}') AS ts FROM documents
+), uses AS (
+  SELECT rid, lang, source, unnest(ts) AS t FROM docs
+), kept AS (
+  SELECT lang, t FROM uses GROUP BY ALL HAVING count(DISTINCT rid) >= 10
+), sizes AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), counts AS (
+  SELECT lang, source, t, count(*) AS c FROM uses JOIN kept USING (lang, t) GROUP BY ALL
+), every AS (
+  SELECT g.lang, g.source, k.t, coalesce(c, 0)::HUGEINT AS c
+  FROM groups g JOIN kept k ON k.lang = g.lang LEFT JOIN counts o ON o.lang = g.lang AND o.source = g.source AND o.t = k.t
+), summed AS (
+  SELECT *, sum(c) OVER (PARTITION BY lang, source)::HUGEINT AS n, sum(c) OVER (PARTITION BY lang, t)::HUGEINT AS lc,
+    sum(c) OVER (PARTITION BY lang)::HUGEINT AS ln FROM every
+), shares AS (
+  SELECT lang, source, t, c, 1 + 1000000000::HUGEINT * (c + 2) // (n + 2 * v) AS p, 1 + 1000000000::HUGEINT * (lc + 2) // (ln + 2 * v) AS q
+  FROM summed JOIN sizes USING (lang)
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p))::BIGINT AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY ALL
+), parts AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(value, 0) AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source AND s.item = h.source
+  UNION ALL
+  SELECT lang, source, 'term', t, ((p - q) * (p - q) // (p + q))::BIGINT FROM shares WHERE c > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM parts
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+# States: 0 nothing put out, 1 the system turn, 2 a user turn, 3 an assistant turn. Each round takes one row of every
+# conversation: none to two inserts, then the row's own edit; the last round's edits are inserts alone.
+ORACLES["op12_conversation_repair"] = r"""
+WITH RECURSIVE source_ AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(list_concat([4294967295::BIGINT],
+    list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, c: list_reduce(list_concat([xor(a, c)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 AS k
+  FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN k = 1 THEN '' WHEN k = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy FROM source_ WHERE k <> 0
+), placed AS (
+  SELECT *, row_number() OVER o AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, role, text, copy) AS again,
+    right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS ending, left(role, 1) AS r, lag(left(role, 1)) OVER o AS before
+  FROM damaged WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)
+), rows_ AS (
+  SELECT *, CASE WHEN ending = '' THEN 'b' WHEN again > 1 THEN 'd' WHEN ending NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault FROM placed
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+    count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM rows_ GROUP BY conv_id
+), inserts(s, s2, ins, said) AS (
+  SELECT s, s, '', []::VARCHAR[] FROM (VALUES (0), (1), (2), (3)) t(s)
+  UNION ALL VALUES (0, 2, 'I', ['user:']), (1, 2, 'I', ['user:']), (2, 3, 'I', ['assistant:']), (3, 2, 'I', ['user:']),
+    (0, 3, 'II', ['user:', 'assistant:']), (1, 3, 'II', ['user:', 'assistant:']), (2, 2, 'II', ['assistant:', 'user:']), (3, 3, 'II', ['user:', 'assistant:'])
+), best AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS s, {'cost': 0::BIGINT, 'audit': '', 'said': []::VARCHAR[]} AS b FROM counts
+  UNION ALL
+  SELECT conv_id, i, s, min(b) AS b FROM (
+    SELECT w.conv_id, w.i + 1 AS i, e.s3 AS s,
+      {'cost': b.cost + 3 * length(ins) + e.price + CASE WHEN e.edit <> 'D' AND fault = 't' THEN 3 ELSE 0 END, 'audit': b.audit || ins || e.edit,
+       'said': list_concat(b.said, x.said, CASE e.edit WHEN 'D' THEN []::VARCHAR[] WHEN 'K' THEN [role || ':' || text]
+         ELSE [CASE WHEN e.s3 = 2 THEN 'user:' ELSE 'assistant:' END || text] END)} AS b
+    FROM best w JOIN inserts x ON x.s = w.s JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1
+    JOIN (VALUES (0, 'D', 4, '', 0), (1, 'D', 4, '', 1), (2, 'D', 4, '', 2), (3, 'D', 4, '', 3), (0, 'K', 0, 's', 1), (0, 'K', 0, 'u', 2),
+      (1, 'K', 0, 'u', 2), (2, 'K', 0, 'a', 3), (3, 'K', 0, 'u', 2), (0, 'R', 3, '', 2), (1, 'R', 3, '', 2), (2, 'R', 3, '', 3), (3, 'R', 3, '', 2)
+    ) e(s2, edit, price, wants, s3) ON e.s2 = x.s2 AND (e.wants = '' OR e.wants = r.r) AND (e.edit = 'D' OR r.fault NOT IN ('b', 'd'))
+  ) GROUP BY conv_id, i, s
+), ends AS (
+  SELECT w.conv_id, min({'cost': b.cost + 3 * length(ins), 'audit': b.audit || ins, 'said': list_concat(b.said, x.said)}) AS b
+  FROM best w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.i JOIN inserts x ON x.s = w.s WHERE x.s2 IN (0, 3) GROUP BY w.conv_id
+)
+SELECT v.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(b.cost, 0)::BIGINT AS cost, coalesce(b.audit, '') AS audit,
+  sha256(coalesce(array_to_string(b.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) v LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM v.conv_id
+LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM v.conv_id
+"""

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat_format, decontamination, html_extract, language_id, lm_scoring, mixing, ngram_join, quality_rules, url_filters, warc
+from quarry.llm import (chat_format, conversation_repair, decontamination, html_extract, language_id, lm_scoring, mixing, ngram_join,
+                        quality_rules, source_divergence, token_store, url_filters, warc)
 from quarry.llm.common import scratch, ship, table
 
 
@@ -62,6 +64,27 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.filter(F.col("kind") == "record").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.audit_conversations(table(spark, sf_dir, "conversations"))
+
+
+#: The id that the query puts behind each document.
+END_ID = 2
+
+
+def op13_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch(spark, "tokens")
+    tokenizer = Path(public_tokenizers.path("word_bpe_49k.json")).read_text(encoding="utf-8")
+    token_store.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer, END_ID)
+    return token_store.read_documents(spark, path)
+
+
 def _shipping(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: query(ship(spark), sf_dir)
 
@@ -77,4 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _shipping(
     "op8_url_filters": op8_url_filters,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_token_ids": op13_token_ids,
 }.items()}

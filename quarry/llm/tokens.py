@@ -60,3 +60,13 @@ def word_hashes(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     sums = np.cumsum(_lower[data] * power[:len(data)], dtype=np.uint64)
     before = np.where(first > 0, sums[first - 1], np.uint64(0))
     return mixed((sums[last] - before) * inverse[first]), np.searchsorted(first, ends).astype(np.int64)
+
+
+def digests_of(words: pa.StringArray) -> np.ndarray:
+    """A 64-bit digest of each of ``words`` (none null or empty), polynomial over its bytes and mixed."""
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2], np.uint8)[ends[0]:ends[-1]]
+    ends = ends - ends[0]
+    power, inverse = _power(len(data))
+    sums = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:len(data)], dtype=np.uint64)])
+    return mixed((sums[ends[1:]] - sums[ends[:-1]]) * inverse[ends[:-1]]).view(np.int64)
