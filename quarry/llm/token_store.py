@@ -21,6 +21,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 from typing import Any
 
 import numpy as np
@@ -43,7 +44,7 @@ SEGMENT_TOKENS = 1 << 22
 #: Chunks that are packed at a time, a multiple of 8.
 _SLICE = 1 << 17
 #: Pieces of text whose ids a task keeps at a time.
-CACHED_PIECES = 400_000
+CACHED_PIECES = 600_000
 
 
 def chunk_widths(ids: np.ndarray) -> list[int]:
@@ -179,43 +180,69 @@ class Segment:
         return out.astype("<u4")
 
 
+#: A split rule under which a run of these marks at the end of a word is split off anyway.
+_WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_TAIL = r"([A-Za-z])([.,!?;:]+)([ \t\n\r]|\z)"
+
+
 class Encoder:
     """Ids of texts by a tokenizer that treats what stands between white space
-    by itself: each distinct piece is encoded once and its ids are kept. With
-    ``whole`` every text is encoded as it is."""
+    by itself: each distinct piece is encoded once and its ids are kept. Where
+    the tokenizer's rules are known to lower-case and to split marks off, that
+    is done beforehand, so that more pieces are alike. With ``whole`` every text
+    is encoded as it is."""
 
     def __init__(self, tokenizer: str, end_id: int | None, whole: bool = False):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task is one core
         self.tokenizer, self.end, self.whole = Tokenizer.from_str(tokenizer), end_id, whole
-        self.known: dict[str, np.ndarray] = {}
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        rules = json.loads(tokenizer)
+        self.folds = any(n.get("type") == "Lowercase" for n in (rules.get("normalizer") or {}).get("normalizers", []))
+        self.splits = any(n.get("pattern", {}).get("Regex") == _WORD_SPLIT for n in (rules.get("pre_tokenizer") or {}).get("pretokenizers", []))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.starts, self.sizes, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def _learn(self, texts: list[str]) -> None:
+        """Put the ids of ``texts`` behind those in the pool."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+        self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
+        self.sizes, self.pool = np.concatenate([self.sizes, sizes]), np.concatenate([self.pool, flat])
+
+    def _alike(self, texts: pa.StringArray) -> pa.StringArray:
+        """``texts`` in lower case and with split marks, where all their letters are in composed form."""
+        if not self.folds or not self.splits:
+            return texts
+        plain = pc.replace_substring_regex(pc.ascii_lower(texts), _TAIL, r"\1 \2\3")
+        return pc.if_else(pc.match_substring_regex(texts, "[^\\x{0}-\\x{2FF}]|<"), texts, plain)
 
     def __call__(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids of each text), with the end id after each text."""
         texts = texts.fill_null("")
         if self.whole:
-            each = self._ids(texts.to_pylist())
-            codes, bounds = np.arange(len(each)), np.arange(len(each) + 1)
+            self._forget()
+            self._learn(texts.to_pylist())
+            places, bounds = np.arange(len(texts)), np.arange(len(texts) + 1)
         else:
-            pieces = pc.ascii_split_whitespace(texts)
+            pieces = pc.ascii_split_whitespace(self._alike(texts))
             bounds = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
             coded = pieces.flatten().dictionary_encode()
-            codes, names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+            names = coded.dictionary.to_pylist()
             if len(self.known) + len(names) > CACHED_PIECES:
-                self.known = {}
+                self._forget()
             new = [n for n in names if n not in self.known]
-            self.known.update(zip(new, self._ids(new), strict=True))
-            each = [self.known[n] for n in names]
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+            self._learn(new)
+            places = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))[coded.indices.to_numpy()]
+        # One run of the pool for each piece, and for each text's end.
         end = [] if self.end is None else [self.end]
-        # Ids of all distinct pieces in a row, the end id last; then one run of them for each piece and text end.
-        pool = np.concatenate([*each, np.array(end, np.uint32)])
-        sizes = np.array([len(x) for x in each] + [len(end)], np.int64)
-        starts = np.cumsum(sizes) - sizes
-        runs = np.insert(codes.astype(np.int64), bounds[1:], len(each))
+        pool, starts, sizes = np.append(self.pool, np.array(end, np.uint32)), np.append(self.starts, len(self.pool)), np.append(self.sizes, len(end))
+        runs = np.insert(places, bounds[1:], len(self.starts))
         lengths = sizes[runs]
         where = np.repeat(starts[runs] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
         closing = bounds[1:] + np.arange(len(texts))

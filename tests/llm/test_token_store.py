@@ -54,7 +54,7 @@ def test_damage_is_an_error():
 
 
 ODD = ["", " ", "It's  A\tTest.\r\nÉTÉ ＡＢ é ́x  y z\x0bq\x1cr", "<|endoftext|> a<|startoftext|>b", "İstanbul ΟΔΟΣ ΣΑΣ.", "''s 'll can't x" * 40,
-       "日本語 テスト 123 4.5", "á ́ a ́", "가 ᆨ", "x" * 5000, "😀 😀👍 end\n\n"]
+       "日本語 テスト 123 4.5", "á ́ a ́", "가 ᆨ", "x" * 5000, "H\u0331a. K\u0327! e\u0301. A.\u0301 b.,c. D.\u00a0e. F.\x1c g.\u0327", "Wort. Été.. ÉTÉ! L'AN. (a.) b.) It'S.", "😀 😀👍 end\n\n"]
 
 
 def test_pieces_have_the_ids_of_the_whole_text():
