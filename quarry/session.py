@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -68,3 +71,21 @@ def checkpoint_root(spark: SparkSession, *parts: str, unique: bool = False) -> s
     if unique:
         parts = parts + (uuid.uuid4().hex,)
     return "/".join((root,) + tuple(p.strip("/") for p in parts))
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package's code to the executors, once per application, for
+    operators that run Python there."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = Path(__file__).resolve().parent
+        target = Path(tempfile.mkdtemp(prefix="quarry-")) / f"{package.name}-code.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for file in sorted(package.rglob("*.py")):
+                z.write(file, file.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(target))
+        _shipped.add(app)
+    return spark

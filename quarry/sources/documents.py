@@ -1,18 +1,22 @@
 """Document-style sources: object listings (S8), manifests (S9), rosters
 (S10), league rows (S13), the snapshot catalogue (S20) and snapshot meta
-(S21). Each JSON document is one file; files are read whole (one row per
-file) and parsed on the executors, so a folder of many documents is read
-in parallel and nothing passes through the driver.
+(S21). Each JSON document is one file. Small ones are read whole (one row per
+file) and parsed on the executors, so a folder of many documents is read in
+parallel; those that hold a whole league's or store's rows (S10, S13, S20) are
+cut into their elements by byte ranges.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry import schemas
 from quarry.functions import keys as K
+from quarry.sources.splitter import arrays_at, elements
 
 
 def _read_docs(spark: SparkSession, path: str) -> DataFrame | None:
@@ -111,35 +115,25 @@ def peek_manifests(spark: SparkSession, path: str) -> DataFrame:
 # ---------------------------------------------------------------------- S10
 def scan_roster(spark: SparkSession, path: str, version: int = schemas.SCHEMA_VERSION
                 ) -> DataFrame:
-    """Roster rows of one league document; absent, corrupt or written
-    by another schema version -> an empty roster."""
-    docs = _read_docs(spark, path)
-    if docs is None:
+    """Roster rows of one league document, cut by many tasks; absent,
+    corrupt or written by another schema version -> an empty roster."""
+    skeleton, cut = elements(spark, path, 2)
+    document = json.loads(skeleton) if skeleton else None
+    places = list(arrays_at(document, 2))
+    if not isinstance(document, dict) or document.get("schemaVersion") != version or ("characters",) not in places:
         return spark.createDataFrame([], schemas.ROSTER)
-    doc_t = T.StructType([T.StructField("schemaVersion", T.IntegerType()),
-                          T.StructField("characters", T.ArrayType(schemas.ROSTER))])
-    parsed = docs.select(F.from_json("text", doc_t).alias("d"),
-                         F.try_parse_json("text").isNotNull().alias("ok"))
-    rows = parsed.where(F.col("ok") & (F.col("d.schemaVersion") == version)) \
-        .select(F.explode("d.characters").alias("c"))
-    return rows.select("c.*")
+    rows = cut.where(F.col("array") == places.index(("characters",)))
+    return rows.select(F.from_json("text", schemas.ROSTER).alias("c")).select("c.*")
 
 
 # ---------------------------------------------------------------------- S13
 def scan_leagues(spark: SparkSession, path: str) -> DataFrame:
     """League rows (id, category_id, start_at, end_at) with their
-    position; a body that is not a JSON array is an error."""
-    docs = _read_docs(spark, path)
-    if docs is None:
-        raise FileNotFoundError(path)
-    v = F.try_parse_json(F.col("text"))
-    is_array = F.coalesce(_kind(v, "$").startswith("ARRAY"), F.lit(False))
-    # The checked text feeds the parse, so the check cannot be pruned away.
-    checked = docs.select(F.when(is_array, F.col("text")).otherwise(
-        F.raise_error(F.concat(F.lit("league body is not an array: "), F.col("file")))).alias("text"))
-    rows = checked.select(F.posexplode(F.from_json("text", T.ArrayType(schemas.LEAGUE_ROW)))
-                          .alias("pos", "r"))
-    return rows.select("r.*", "pos")
+    position, cut by many tasks; a body that is not a JSON array is an error."""
+    skeleton, cut = elements(spark, path, 1)
+    if skeleton is None or json.loads(skeleton) != []:
+        raise ValueError(f"league body is not an array: {path}")
+    return cut.select(F.from_json("text", schemas.LEAGUE_ROW).alias("r"), F.col("pos").cast("int").alias("pos")).select("r.*", "pos")
 
 
 # ---------------------------------------------------------------------- S20
@@ -156,15 +150,17 @@ def scan_catalogue(spark: SparkSession, path: str) -> DataFrame:
     document or one without a ``leagues`` array is empty. Entries of other
     schema versions are kept, and each entry's full JSON is kept verbatim in
     ``entry`` so unknown fields survive a rewrite."""
-    docs = _read_docs(spark, path)
     out_t = T.StructType([T.StructField("league", T.StringType()), T.StructField("snapshot_id", T.StringType()),
                           *SNAPSHOT_ENTRY.fields, T.StructField("entry", T.StringType())])
-    if docs is None:
+    skeleton, cut = elements(spark, path, 4)
+    document = json.loads(skeleton) if skeleton else None
+    # One entry per league: the arrays of snapshots are empty in the skeleton.
+    named = [(i, document["leagues"][at[1]].get("league")) for i, at in enumerate(arrays_at(document, 4))
+             if isinstance(document, dict) and len(at) == 3 and at[::2] == ("leagues", "snapshots") and isinstance(document["leagues"], list)]
+    if not named:
         return spark.createDataFrame([], out_t)
-    lg_t = "array<struct<league:string,snapshots:array<string>>>"
-    parsed = docs.select(F.from_json(F.get_json_object("text", "$.leagues"), lg_t).alias("lg"))
-    leagues = parsed.select(F.explode("lg").alias("l"))
-    entries = leagues.select(F.col("l.league").alias("league"), F.explode("l.snapshots").alias("entry"))
+    leagues = spark.createDataFrame([(i, n if n is None or isinstance(n, str) else json.dumps(n)) for i, n in named], "array long, league string")
+    entries = cut.join(leagues, "array").select("league", F.col("text").alias("entry"))
     return entries.select("league", F.from_json("entry", SNAPSHOT_ENTRY).alias("s"), "entry") \
         .select("league", F.col("s.snapshotId").alias("snapshot_id"), "s.*", "entry")
 
