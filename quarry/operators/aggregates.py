@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.scalars import percentage
+from quarry.operators.common import with_positions
 from quarry.schemas import OUTCOMES
 
 
@@ -52,8 +53,7 @@ def order_count(df: DataFrame) -> DataFrame:
 
 def count_positions(df: DataFrame, by: str = "kind") -> DataFrame:
     """O2 as a column: the row's place in its kind's order."""
-    w = Window.partitionBy(by).orderBy(F.desc("count"), F.asc("name"))
-    return df.withColumn("position", F.row_number().over(w) - 1)
+    return with_positions(df, by, [F.desc("count"), F.asc("name")])
 
 
 def with_percentage(df: DataFrame, total: Column | int, decimals: int = 2) -> DataFrame:

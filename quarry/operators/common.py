@@ -4,16 +4,21 @@
   aggregation map-side, so one hot key never lands in a single task).
 * ``with_global_ordinal``: a dense 0-based ordinal over a total order without
   funnelling the data through one partition.
+* ``with_positions``: such an ordinal within each group.
+* ``with_running_total``: the sum of a column over all rows before, likewise.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import checkpoint_root, ensure_checkpoint_dir, ship
 
 def _order_key(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
@@ -83,3 +88,46 @@ def with_global_ordinal(df: DataFrame, order: Sequence[Column | str], name: str
     out = ranged.join(F.broadcast(offsets), "__pid")
     return out.withColumn(name, (F.col("__off") + F.col("__local")).cast("long")) \
         .drop("__pid", "__mid", "__local", "__off")
+
+
+def with_positions(df: DataFrame, by: str, order: Sequence[Column | str], name: str = "position") -> DataFrame:
+    """Add ``name``, the row's 0-based place in its group's ``order`` (a total
+    order): the ordinal over all rows less that of the group's first row, so
+    a group of any size is spread over the range partitions."""
+    placed = with_global_ordinal(df, [by, *order], "__at")
+    first = placed.groupBy(F.col(by).alias("__by")).agg(F.min("__at").alias("__first"))
+    return (placed.join(first, F.col(by).eqNullSafe(F.col("__by")))
+            .withColumn(name, F.col("__at") - F.col("__first")).drop("__at", "__by", "__first"))
+
+
+def with_running_total(df: DataFrame, order: Sequence[Column | str], amount: str, name: str = "before",
+                       partitions: int | None = None) -> DataFrame:
+    """Add ``name``: the sum of ``amount`` (long, null as 0) over all rows
+    before in a total ``order``.
+
+    Rows are dealt by range and sorted; each task sums up its own, the result
+    is written once, and what the partitions before hold (one row each) is
+    added."""
+    spark = ship(df.sparkSession)
+    order_cols = _order_key(order)
+    n = partitions or spark.sparkContext.defaultParallelism
+    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+              .withColumn("__pid", F.spark_partition_id()))
+    schema = T.StructType([*ranged.schema.fields, T.StructField("__local", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0
+        for batch in batches:
+            own = batch.column(amount).cast(pa.int64()).fill_null(0).to_numpy()
+            sums = np.cumsum(own) + total
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums - own, pa.int64())], names=[*batch.schema.names, "__local"])
+            total = int(sums[-1]) if len(sums) else total
+
+    path = checkpoint_root(spark, "running-total", unique=True)
+    ranged.mapInArrow(run, schema).write.parquet(path)
+    summed = spark.read.schema(schema).parquet(path)
+    totals = summed.groupBy("__pid").agg(F.sum(F.coalesce(F.col(amount), F.lit(0))).alias("__n"))
+    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__pid", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
+    return (summed.join(F.broadcast(offsets), "__pid").withColumn(name, F.col("__off") + F.col("__local"))
+            .drop("__pid", "__off", "__local"))

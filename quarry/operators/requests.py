@@ -9,11 +9,16 @@ share a timestamp.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import checkpoint_root, ship
+
 # Markers of an edge challenge page and of an HTML body.
 CHALLENGE_MARKERS = ["just a moment", "/cdn-cgi/challenge-platform", "cf-challenge", "__cf_chl"]
 HTML_MARKERS = ["<!doctype html", "cloudflare", "just a moment"]
@@ -147,55 +152,91 @@ def windows_of(rules: Column, headroom: float = HEADROOM) -> Column:
 
 
 # ------------------------------------------------------------------ W6
+def _audited(longest: int, names: list[str]):
+    """Over requests sorted by (key, slice, time, seq), each slice with those
+    of the slice before as halo: a row per request of the slice and window. One
+    search over all groups of a batch finds the frames; the last group of a
+    batch waits for the next one."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def frames(rows: pa.Table) -> pa.RecordBatch:
+            at, part = rows.column("__at").to_numpy(), rows.column("__slice").to_numpy()
+            group = np.cumsum(_starts(rows))
+            # Time within the group's two slices, groups one behind the other.
+            place = group * (4 * longest) + (at - part * longest + longest)
+            windows = rows.column("__w").combine_chunks()
+            i = pc.list_parent_indices(windows).to_numpy()
+            flat = windows.flatten()
+            cap, period = flat.field("cap").to_numpy().astype(np.int64), flat.field("period_ms").to_numpy()
+            hits = np.searchsorted(place, place[i], "right") - np.searchsorted(place, place[i] - period, "right")
+            j = np.maximum(i - cap, 0)
+            violation = (i >= cap) & (group[j] == group[i]) & (at[j] + period > at[i])
+            kept = [rows.column(c).combine_chunks().take(pa.array(i)) for c in names]
+            return pa.RecordBatch.from_arrays(
+                [*kept, pa.array(cap, pa.int32()), pa.array(period, pa.int64()), pa.array(hits, pa.int64()), pa.array(violation),
+                 pa.array(at[j] + period, pa.int64(), mask=~violation)], names=[*names, "cap", "period_ms", "hits", "violation", "earliest_ms"])
+
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            last = int(np.flatnonzero(_starts(held))[-1]) if len(held) else 0
+            if last:
+                yield frames(held.slice(0, last))
+                held = held.slice(last)
+        if held is not None and len(held):
+            yield frames(held)
+
+    return run
+
+
+def _starts(rows: pa.Table) -> np.ndarray:
+    """True at rows whose key or slice differs from the row before."""
+    codes = rows.column("__key").combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+    part = rows.column("__slice").to_numpy()
+    return np.concatenate([[True], (codes[1:] != codes[:-1]) | (part[1:] != part[:-1])])[:len(codes)]
+
+
 def quota_audit(log: DataFrame, windows: Sequence[tuple[int, int]] | Column, by: str = "ip",
-                ts_ms: str = "ts_ms", seq: str = "seq", bucket_ms: int = 60_000) -> DataFrame:
+                ts_ms: str = "ts_ms", seq: str = "seq") -> DataFrame:
     """For each request and window (cap hits per period): ``hits`` =
     requests of the same key in (ts - period, ts] (peers included), and
     ``violation`` when the cap-th earlier request (order ts, seq) is less
     than a period old, with ``earliest_ms`` = when it should have been sent.
+    Columns: ``by``, ``seq``, ``ts_ms``, cap, period_ms and these three.
 
     ``windows`` is a fixed list or, per request, a column of
-    array<struct<cap, period_ms>> such as ``windows_of(rate_rules(headers))``;
-    the log is read once either way. ``seq`` is unique within a key.
-
-    Skew-safe: a request's rank and the number of requests up to any instant
-    are a count inside a short time bucket plus what the key had before the
-    bucket (one row per key and bucket), so a hot key spreads over its
-    buckets whatever the period; the cap-th earlier request is found by its
-    rank, which no two requests of a key share.
-    """
+    array<struct<cap, period_ms>> such as ``windows_of(rate_rules(headers))``.
+    Headers are parsed once, into a narrow written table. Requests without a
+    time are left out.
+
+    A key's requests are dealt by time slices as long as the longest period,
+    each with the slice before it as halo: no frame or cap reaches further
+    back, so a slice is audited by itself after one shuffle and one sort, and
+    a hot key spreads over its slices. A task holds one key's two slices."""
+    spark = ship(log.sparkSession)
     wins = windows if isinstance(windows, Column) else F.array(*[
         F.struct(F.lit(int(c)).alias("cap"), F.lit(int(p)).cast("long").alias("period_ms"))
         for c, p in sorted(set(windows))])
-    # Requests (no cap), and for each window the instant one period earlier.
-    own = F.struct(F.col(ts_ms).cast("long").alias("at"), F.lit(None).cast("int").alias("cap"),
-                   F.lit(None).cast("long").alias("period_ms"))
-    instants = F.transform("__w", lambda w: F.struct(
-        (F.col(ts_ms) - w["period_ms"]).cast("long").alias("at"), w["cap"].cast("int").alias("cap"),
-        w["period_ms"].cast("long").alias("period_ms")))
-    marks = (log.withColumn("__w", F.array_distinct(wins))
-             .withColumn("__m", F.explode(F.concat(F.array(own), instants))).select("*", "__m.*")
-             .withColumn("__b", F.floor(F.col("at") / F.lit(bucket_ms))).drop("__m", "__w"))
-    is_row = F.col("cap").isNull()
-    n_rows = F.sum(is_row.cast("long"))
-    up_to = Window.partitionBy(by, "__b").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
-    ranked = (Window.partitionBy(by, "__b").orderBy("at", (~is_row).cast("int"), seq)
-              .rowsBetween(Window.unboundedPreceding, 0))
-    counted = marks.withColumn("__upto", n_rows.over(up_to)).withColumn("__i", n_rows.over(ranked))
-    before = Window.partitionBy(by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (marks.groupBy(by, "__b").agg(n_rows.alias("__n"))
-             .withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n"))
-    placed = (counted.join(carry, [by, "__b"]).withColumn("__upto", F.col("__upto") + F.col("__off"))
-              .withColumn("__i", F.col("__i") + F.col("__off")).drop("__off", "__b"))
-    requests = placed.where(is_row).select(by, seq, "__i", F.col("at").alias("__prev"), F.col("__upto").alias("__now"))
-    past = placed.where(~is_row).drop("at", "__i").join(requests.drop("__prev"), [by, seq])
-    earlier = requests.select(by, F.col("__i").alias("__j"), "__prev")
-    found = past.withColumn("__j", F.col("__i") - F.col("cap")).join(earlier, [by, "__j"], "left")
-    earliest = F.col("__prev") + F.col("period_ms")
-    violation = F.coalesce(earliest > F.col(ts_ms), F.lit(False))
-    return (found.withColumn("hits", F.col("__now") - F.col("__upto")).withColumn("violation", violation)
-            .withColumn("earliest_ms", F.when(violation, earliest))
-            .drop("__upto", "__now", "__i", "__j", "__prev"))
+    kind = "array<struct<cap:int,period_ms:long>>"
+    own = log.select(F.col(by).alias("__by"), F.col(seq).alias("__seq"), F.col(ts_ms).cast("long").alias("__at"),
+                     F.array_distinct(wins).cast(kind).alias("__w")).where(F.col("__at").isNotNull())
+    path = checkpoint_root(spark, "quota-audit", unique=True)
+    own.write.parquet(path)
+    own = spark.read.schema(own.schema).parquet(path)
+    longest = own.agg(F.max(F.array_max(F.col("__w.period_ms"))).alias("p")).first().p or 1
+    at = F.floor(F.col("__at") / F.lit(longest))
+    both = F.explode(F.array(F.struct(at.alias("s"), F.col("__w").alias("w")),
+                             F.struct((at + 1).alias("s"), F.array().cast(kind).alias("w"))))
+    dealt = (own.withColumn("__c", both).select(F.col("__by").alias("__key"), F.col("__seq"), "__at", F.col("__c.s").alias("__slice"),
+                                                F.col("__c.w").alias("__w"))
+             .repartition("__key", "__slice").sortWithinPartitions("__key", "__slice", "__at", "__seq"))
+    types = own.schema
+    names = ["__key", "__seq", "__at"]
+    ddl = (f"__key {types['__by'].dataType.simpleString()}, __seq {types['__seq'].dataType.simpleString()}, __at long, "
+           "cap int, period_ms long, hits long, violation boolean, earliest_ms long")
+    found = dealt.mapInArrow(_audited(longest, names), ddl)
+    return found.withColumnsRenamed({"__key": by, "__seq": seq, "__at": ts_ms})
 
 
 # ------------------------------------------------------------------ W7

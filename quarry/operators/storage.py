@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import keys as K
+from quarry.operators.common import with_global_ordinal, with_running_total
 from quarry.session import ensure_checkpoint_dir
 from quarry.schemas import IN_FLIGHT_PHASES, LIVE_PHASES, SCHEMA_VERSION
 
@@ -159,21 +160,21 @@ def snapshot_age(details: DataFrame, meta: DataFrame) -> DataFrame:
 
 
 def protect_newest(df: DataFrame, n: int, by: str = "league") -> DataFrame:
-    """The newest ``n`` snapshots per league are never trimmed."""
+    """The newest ``n`` snapshots per league are never trimmed. Each
+    task keeps ``n`` rows of a league before the shuffle."""
     w = Window.partitionBy(by).orderBy(F.desc("age_ms"), F.asc("snapshot_id"))
-    return df.withColumn("protected", F.row_number().over(w) <= n)
+    newest = df.select(by, "snapshot_id", "age_ms").withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= n)
+    return (df.join(newest.select(by, "snapshot_id", F.lit(True).alias("protected")), [by, "snapshot_id"], "left")
+            .withColumn("protected", F.coalesce("protected", F.lit(False))))
 
 
 def trim_plan(snapshots: DataFrame, total_bytes: Column, budget: Column) -> DataFrame:
     """Oldest first across leagues (ties by league, snapshot), whole
     snapshots, trimming while the running total is above budget (checked
-    before each trim). The rows are snapshots, not objects, so the single
-    ordered frame stays small."""
+    before each trim). The total runs over range partitions."""
     cands = snapshots.where(~F.col("protected"))
-    w = (Window.orderBy(F.asc("age_ms"), F.asc("league"), F.asc("snapshot_id"))
-         .rowsBetween(Window.unboundedPreceding, -1))
-    before = F.coalesce(F.sum("bytes").over(w), F.lit(0))
-    planned = cands.withColumn("trimmed", (total_bytes - before) > budget)
+    summed = with_running_total(cands, ["age_ms", "league", "snapshot_id"], "bytes", "__before")
+    planned = summed.withColumn("trimmed", (total_bytes - F.col("__before")) > budget).drop("__before")
     kept = snapshots.where(F.col("protected")).withColumn("trimmed", F.lit(False))
     return planned.unionByName(kept)
 
@@ -201,12 +202,11 @@ def mark_trimmed(catalogue: DataFrame, trimmed: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------ O4 / A17
 def order_catalogue(catalogue: DataFrame) -> DataFrame:
-    """Newest first by ladderCapturedAt, leagues A-Z, the freshly
-    written row first on ties; ``position`` numbers the result. The
-    catalogue holds one row per snapshot, so one ordered frame is fine."""
-    w = Window.orderBy(F.desc("ladderCapturedAt"), F.asc("league"), F.desc("is_new"),
-                       F.asc("snapshot_id"))
-    return catalogue.withColumn("position", F.row_number().over(w) - 1)
+    """Newest first by ladderCapturedAt, leagues A-Z in locale order,
+    the freshly written row first on ties; ``position`` numbers the result
+    over range partitions."""
+    return with_global_ordinal(catalogue, [F.desc("ladderCapturedAt"), F.collate("league", "UNICODE").asc(), F.desc("is_new"),
+                                           F.asc("snapshot_id")], "position")
 
 
 def observed_write(df: DataFrame, path: str, name: str) -> dict:
