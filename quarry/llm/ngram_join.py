@@ -5,21 +5,24 @@ documents link when the Jaccard similarity of their sets reaches the
 threshold; classes are the components of the links.
 
 * Documents with equal sets are one node from the start.
-* Sets that link share one of their smallest hashes (as many as may be
-  missing, and one more). Nodes with such a hash in common belong together,
-  and groups with the same first node are put together as one: a tile, in
-  order of set size, in which only pairs whose sizes fit the
-  threshold are looked at. A large tile is cut into blocks by size.
+* Sets that link share one of their first hashes (as many as may be missing,
+  and one more) in any order of all hashes. Here hashes that a sample of the
+  documents has often come last, the others go by value; so a passage that many
+  documents share doesn't bring them together. Nodes with such a hash in common
+  belong together, and groups with the same first node are put together as one:
+  a tile, in bands of set size, in which only pairs whose sizes fit the
+  threshold are looked at. Tiles are dealt by ranges of size and cut into
+  blocks, so a large one is spread over tasks.
 * Every node carries a bitmap signature: the parity of its hashes per bit, the
   width growing with the set. Bits that differ count elements that are in one
   set only, which bounds the overlap from above, and most pairs end here.
 * What is left is verified exactly: the sorted arrays are intersected.
 
 Large tiles don't emit all their pairs. First each member is held against one
-leader that its bitmap is near to; then, with the classes known so far, pairs
-of members of different classes are compared, tile by tile, in blocks. So a
-group of thousands of near copies costs its members, not its pairs, and no
-link between two classes is left out.
+leader that its bitmap is near to; then, with the classes known so far, what is
+outside a tile's largest class is compared with the members of other classes,
+in blocks. So a group of thousands of near copies costs its members, not its
+pairs, and no link between two classes is left out.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import planned_parts, saved, small_side, text_chunks
@@ -42,6 +45,9 @@ WORDS, PERCENT = 5, 80
 SMALL_TILE = 64
 #: Members of a block: two blocks and their bitmaps are what a task holds.
 BLOCK = 1024
+#: Documents of the sample that tells the frequent hashes, and how many of them must have one. They decide the
+#: order of hashes, and so the work, never the result.
+SAMPLE, FREQUENT = 4_000, 10
 _FACTORS = mixed(np.arange(1, 65, dtype=np.uint64))
 
 
@@ -96,24 +102,72 @@ def may_link(differ: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, percent
     return (100 + percent) * differ <= (100 - percent) * (size_a + size_b)
 
 
-def signatures(docs: DataFrame, words: int, percent: int, text: str) -> DataFrame:
-    """(doc_id, row, n, node, prefix, bits) for each row of ``docs``."""
+def frequent_hashes(docs: DataFrame, words: int, text: str) -> np.ndarray:
+    """Sorted hashes that more than FREQUENT different sets of a sample of about
+    SAMPLE documents have. Sampled by a hash of the text, so copies count once."""
+    every = max(1, docs.count() // SAMPLE)
+    some = docs.select(docs[text].alias("text")).filter(F.pmod(F.xxhash64("text"), F.lit(every)) == 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_chunks(batches, "text", 2_000_000):
+            sets = {set_id(own): own for own in shingle_sets(batch.column("text"), words)}
+            for node, own in sets.items():
+                for at in range(0, len(own), 50_000):
+                    part = own[at:at + 50_000]
+                    yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.full(len(part), node))], names=["token", "node"])
+
+    pairs = some.mapInArrow(run, "token long, node long").distinct()
+    often = pairs.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > FREQUENT).select("token")
+    # At most the sample's shingles divided by FREQUENT.
+    return np.sort(np.array([r.token for r in often.collect()], np.int64))
+
+
+def prefix_of(own: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarray:
+    """The first hashes of a set, frequent ones last."""
+    if not len(own):
+        return own
+    at = np.minimum(np.searchsorted(frequent, own), max(0, len(frequent) - 1))
+    late = frequent[at] == own if len(frequent) else np.zeros(len(own), bool)
+    return np.concatenate([own[~late], own[late]])[:prefix_length(len(own), percent)]
+
+
+def signatures(docs: DataFrame, words: int, percent: int, text: str, frequent: np.ndarray) -> DataFrame:
+    """(doc_id, said, row, n, node, prefix, bits) for each row of ``docs``; said is a hash of the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches, "text", 2_000_000):
             sets = shingle_sets(batch.column("text"), words)
-            heads = [own[:prefix_length(len(own), percent)] if len(own) else own for own in sets]
+            heads = [prefix_of(own, percent, frequent) for own in sets]
             offsets = np.concatenate([[0], np.cumsum([len(h) for h in heads])]).astype(np.int32)
             values = np.concatenate(heads) if heads else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row"), pa.array([len(s) for s in sets], pa.int64()),
+                [batch.column("doc_id"), batch.column("said"), batch.column("row"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([set_id(s) for s in sets], pa.int64()),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int64())),
                  pa.array([bitmap(s) if len(s) else b"" for s in sets], pa.binary())],
-                names=["doc_id", "row", "n", "node", "prefix", "bits"])
+                names=["doc_id", "said", "row", "n", "node", "prefix", "bits"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return (docs.select("doc_id", F.monotonically_increasing_id().alias("row"), docs[text].alias("text"))
-            .mapInArrow(run, f"doc_id {kind}, row long, n long, node long, prefix array<long>, bits binary"))
+    return (docs.select("doc_id", F.xxhash64(docs[text]).alias("said"), F.monotonically_increasing_id().alias("row"), docs[text].alias("text"))
+            .mapInArrow(run, f"doc_id {kind}, said long, row long, n long, node long, prefix array<long>, bits binary"))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows (lead, n, node, part) in that order: ``block`` numbers the
+    tile's members in the task, BLOCK to a block, and the task."""
+    last, seen = None, 0
+    for batch in batches:
+        lead = batch.column("lead").to_numpy()
+        if not len(lead):
+            continue
+        new = np.concatenate([[lead[0] != last], lead[1:] != lead[:-1]])
+        at = np.arange(len(lead)) + seen
+        # Places count from the tile's first row in this task.
+        first = np.maximum.accumulate(np.where(new, np.arange(len(lead)), -1))
+        at = np.where(first >= 0, np.arange(len(lead)) - first, at)
+        seen, last = int(at[-1]) + 1, lead[-1]
+        block = (batch.column("part").to_numpy().astype(np.int64) << 32) + at // BLOCK
+        yield pa.RecordBatch.from_arrays([batch.column("lead"), batch.column("node"), batch.column("n"), pa.array(block)],
+                                         names=["lead", "node", "n", "block"])
 
 
 def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,15 +330,16 @@ def _facing_pairs(percent: int):
 def linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int, text: str) -> DataFrame:
     """The pairs (a, b), a written table, that link, verified on the texts."""
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = saved(nodes.select("node", "doc_id").join(ends, "node", "left_semi"), "jaccard-wanted")
+    wanted = saved(nodes.select("node", "doc_id", "said").join(ends, "node", "left_semi"), "jaccard-wanted")
     texts = saved(texts_of(wanted, docs, words, text), "jaccard-texts")
     return saved(verified(pairs, texts, words, percent).distinct(), "jaccard-links")
 
 
 def texts_of(wanted: DataFrame, docs: DataFrame, words: int, text: str) -> DataFrame:
-    """(node, text) for each of ``wanted`` (node, doc_id): the texts of that id
-    are read again and the one with the node's set is taken, deflated. Of
-    repeated rows a task gives one; a text given by two tasks does no harm."""
+    """(node, text) for each of ``wanted`` (node, doc_id, said): the texts with
+    that id and hash are read again and the one with the node's set is taken,
+    deflated, so rows that share an id don't meet. Of repeated rows a task gives
+    one; a text given by two tasks does no harm."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in text_chunks(batches, "text", 2_000_000):
@@ -298,7 +353,8 @@ def texts_of(wanted: DataFrame, docs: DataFrame, words: int, text: str) -> DataF
             yield pa.RecordBatch.from_arrays([found.column("node"), pa.array(packed, pa.binary())], names=["node", "text"])
 
     side = small_side(wanted.withColumnRenamed("doc_id", "__id"), wanted)
-    found = docs.select("doc_id", docs[text].alias("text")).join(side, F.col("doc_id").eqNullSafe(F.col("__id")))
+    found = (docs.select("doc_id", docs[text].alias("text"), F.xxhash64(docs[text]).alias("__said"))
+             .join(side, (F.col("__said") == F.col("said")) & F.col("doc_id").eqNullSafe(F.col("__id"))))
     return found.select("node", "text").mapInArrow(run, "node long, text binary")
 
 
@@ -331,7 +387,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     rows. Other columns are not read. 64-bit hashes stand for shingles and
     sets."""
     parts = planned_parts(docs)
-    rows = saved(signatures(docs, words, percent, text), "jaccard-signatures")
+    rows = saved(signatures(docs, words, percent, text, frequent_hashes(docs, words, text)), "jaccard-signatures")
     some = rows.filter(F.col("n") > 0)
     chosen = saved(some.groupBy("node").agg(F.min("row").alias("row"), F.min("doc_id").alias("least_id"),
                                                    F.min("n").alias("n")), "jaccard-nodes")
@@ -340,24 +396,35 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     posted = nodes.select(F.explode("prefix").alias("token"), "node")
     members = (posted.repartition(parts, "token").sortWithinPartitions("token", "node")
                .mapInArrow(_tiles, "lead long, node long").distinct().join(chosen.select("node", "n"), "node"))
-    by_size = Window.partitionBy("lead").orderBy("n", "node")
-    members = saved(members.withColumn("block", F.floor((F.row_number().over(by_size) - 1) / BLOCK)), "jaccard-tiles")
+    members = saved(members.repartitionByRange(parts, "lead", "n", "node").sortWithinPartitions("lead", "n", "node")
+                    .select("lead", "n", "node", F.spark_partition_id().alias("part"))
+                    .mapInArrow(_blocks, "lead long, node long, n long, block long"), "jaccard-tiles")
     bits = nodes.select("node", "bits")
     first = saved(members.join(bits, "node").select("lead", "block", "node", "n", "bits").repartition(parts, "lead", "block")
                   .sortWithinPartitions("lead", "block", "n", "node").mapInArrow(_pairs_of_tiles(percent, SMALL_TILE), "a long, b long")
                   .distinct(), "jaccard-candidates")
 
-    large = members.join(members.groupBy("lead").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > SMALL_TILE), "lead", "left_semi")
+    # Tiles whose pairs the first round has not all seen.
+    sizes = members.groupBy("lead").agg(F.count(F.lit(1)).alias("size"), F.min("block").alias("first"), F.max("block").alias("last"))
+    open_tiles = sizes.filter((F.col("size") > SMALL_TILE) | (F.col("first") != F.col("last"))).select("lead")
+    large = members.join(open_tiles, "lead", "left_semi")
     links = linked(first, nodes, docs, words, percent, text)
 
-    # Large tiles once more: pairs between the classes found so far.
+    # Those tiles once more: what is outside a tile's largest class against the members of other classes.
     found = connected_components(links, "jaccard-classes").select("node", F.col("component").alias("class"))
-    grouped = saved(large.join(found, "node", "left").withColumn("class", F.coalesce("class", "node")), "jaccard-grouped")
-    ranges = grouped.groupBy("lead", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    left, right = ranges.select("lead", F.col("block").alias("i"), F.col("high").alias("high_i")), ranges.select("lead", F.col("block").alias("j"), "low")
-    facing = (left.join(right, "lead").filter((F.col("i") <= F.col("j")) & (100 * F.col("high_i") >= percent * F.col("low"))).select("lead", "i", "j"))
+    grouped = large.join(found, "node", "left").withColumn("class", F.coalesce("class", "node"))
+    classes = saved(grouped.groupBy("lead", "class").agg(F.count(F.lit(1)).alias("size")), "jaccard-tile-classes")
+    main = classes.groupBy("lead").agg(F.max(F.struct("size", "class")).alias("main"), F.count(F.lit(1)).alias("classes"))
+    main = main.filter(F.col("classes") > 1).select("lead", F.col("main.class").alias("main"))
+    grouped = saved(grouped.join(main, "lead").withColumn("outside", F.col("class") != F.col("main")).drop("main"), "jaccard-grouped")
+    ranges = grouped.groupBy("lead", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("outside").alias("some"))
+    left = ranges.filter("some").select("lead", F.col("block").alias("i"), F.col("low").alias("low_i"), F.col("high").alias("high_i"))
+    right = ranges.select("lead", F.col("block").alias("j"), "low", "high", F.col("some").alias("some_j"))
+    # Of two blocks that both have members outside, one stands on the left.
+    facing = (left.join(right, "lead").filter((100 * F.col("high_i") >= percent * F.col("low")) & (100 * F.col("high") >= percent * F.col("low_i"))
+                                              & ((F.col("i") <= F.col("j")) | ~F.col("some_j"))).select("lead", "i", "j"))
     sided = (grouped.join(facing.withColumn("block", F.col("i")), ["lead", "block"]).withColumn("right", F.lit(False))
-             .unionByName(grouped.join(facing.filter(F.col("i") < F.col("j")).withColumn("block", F.col("j")), ["lead", "block"])
+             .unionByName(grouped.join(facing.filter(F.col("i") != F.col("j")).withColumn("block", F.col("j")), ["lead", "block"])
                           .withColumn("right", F.lit(True))))
     more = saved(sided.join(bits, "node").groupBy("lead", "i", "j").applyInArrow(_facing_pairs(percent), "a long, b long").distinct()
                  .join(first, ["a", "b"], "left_anti"), "jaccard-candidates")

@@ -50,8 +50,9 @@ def test_bitmap_bound_never_rules_out_a_link():
             assert N.may_link(np.array([differ]), len(x), len(y), 80)[0]
 
 
-@pytest.mark.parametrize("small, block", [(8, 4096), (2, 5)])
-def test_against_all_pairs(frame, monkeypatch, small, block):
+@pytest.mark.parametrize("small, block, frequent", [(8, 4096, 10), (2, 5, 3)])
+def test_against_all_pairs(frame, monkeypatch, small, block, frequent):
+    monkeypatch.setattr(N, "FREQUENT", frequent)
     monkeypatch.setattr(N, "SMALL_TILE", small)
     monkeypatch.setattr(N, "BLOCK", block)
     r = random.Random(6)
@@ -80,3 +81,18 @@ def test_repeated_rows_shared_ids_and_empty_table(frame):
     na, nb = len(shingles(a)), len(shingles(b))
     assert got == sorted([(4, na, 4), (4, na, 4), (4, nb, 4), (9, nb, 4), (0, na, 4), (2, 0, 2), (2, 0, 2)])
     assert N.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_many_rows_that_share_a_null_id_cost_no_pairs(frame):
+    r = random.Random(5)
+    base = text(r, 60)
+    rows = [(None, edited(r, base, 1) if k % 2 else text(r, 20)) for k in range(2000)] + [(None, base)] * 500
+    got = N.near_duplicates(frame("doc_id long, text string", rows)).collect()
+    assert len(got) == 2500 and all(x.component_id is None for x in got)
+
+
+def test_frequent_hashes_come_last_in_prefixes():
+    own = np.arange(10, dtype=np.int64)
+    assert N.prefix_of(own, 80, np.array([0, 2, 77], np.int64)).tolist() == [1, 3, 4]
+    assert N.prefix_of(own, 80, np.zeros(0, np.int64)).tolist() == [0, 1, 2]
+    assert N.prefix_of(own[:3], 80, np.arange(5, dtype=np.int64)).tolist() == [0]
