@@ -56,21 +56,21 @@ def link_edges(pages: DataFrame) -> DataFrame:
     return named.select(same_url(F.col("url")).alias("a"), same_url(resolved).alias("b")).dropna()
 
 
-def judged(urls: DataFrame, rules: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys``, host, path, rule, decided: the longest rule fitting each url,
-    null where none does. ``rules`` has host, path, verdict; of equal rules
+def judged(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """Per different url of ``urls`` (url): url, rule, decided, the longest rule
+    that fits it, if one does. ``rules`` has host, path, verdict; of equal rules
     with both verdicts allow wins. A host meets its rules by a join on its
-    suffixes, so rules may be many."""
-    row = urls.select(*keys, host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")).withColumn(
-        "__row", F.monotonically_increasing_id())
+    suffixes, so rules may be many; the url itself is the key, so nothing
+    depends on the order of rows."""
+    row = urls.select("url").distinct().select("url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     labels = F.split("host", r"\.")
-    suffixes = row.select("__row", "path", F.explode(F.transform(
+    suffixes = row.select("url", "path", F.explode(F.transform(
         F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))).alias("__host"))
     named = rules.select(F.col("host").alias("__host"), F.col("path").alias("__path"), "verdict")
-    best = (suffixes.join(named, "__host").filter(F.col("path").startswith(F.col("__path")))
-            .groupBy("__row").agg(F.max(F.struct((F.length("__host") + F.length("__path")).alias("n"), (F.col("verdict") == "allow").alias("allow"),
-                                                 F.concat("__host", "__path").alias("rule"), "verdict")).alias("best")))
-    return row.join(best, "__row", "left").select(*keys, "host", "path", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("decided"))
+    return (suffixes.join(named, "__host").filter(F.col("path").startswith(F.col("__path")))
+            .groupBy("url").agg(F.max(F.struct((F.length("__host") + F.length("__path")).alias("n"), (F.col("verdict") == "allow").alias("allow"),
+                                               F.concat("__host", "__path").alias("rule"), "verdict")).alias("best"))
+            .select("url", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("decided")))
 
 
 def url_filter(pages: DataFrame, rules: DataFrame, edges: DataFrame | None = None) -> DataFrame:
@@ -80,15 +80,18 @@ def url_filter(pages: DataFrame, rules: DataFrame, edges: DataFrame | None = Non
     ``://``, has an empty host and path, no alias and no rule: it is allowed.
     An empty host fits no rule. Null html has no links. Repeated rows are
     judged each for itself; an empty table gives no rows, no rules allow
-    everything. Other columns are not read."""
+    everything. Urls and html of any length are read whole. Other columns are
+    not read."""
     links = link_edges(pages.select("url", "html"))
     if edges is not None:
         links = links.unionByName(edges.select(same_url(F.col("a")).alias("a"), same_url(F.col("b")).alias("b")).dropna())
     members = connected_components(links, "url-aliases")
-    nodes = judged(members.withColumnRenamed("node", "url").withColumn("node", F.col("url")), rules, ["node", "component"])
-    verdicts = (nodes.filter(F.col("decided").isNotNull()).groupBy("component")
+    found = judged(members.select(F.col("node").alias("url")), rules)
+    verdicts = (members.join(found, F.col("node") == F.col("url")).groupBy("component")
                 .agg(F.min("decided").alias("inherited")))  # allow before block
     aliases = members.join(verdicts, "component").select("node", "inherited")
-    rows = judged(pages.select("page_id", "url").withColumn("__node", same_url(F.col("url"))), rules, ["page_id", "__node"])
+    own = judged(pages.select("url"), rules).withColumnRenamed("url", "__url")
+    rows = (pages.select("page_id", "url").join(own, F.col("url") == F.col("__url"), "left")
+            .withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url")), "__node": same_url(F.col("url"))}))
     return (rows.join(aliases, F.col("__node") == F.col("node"), "left")
             .select("page_id", "host", "path", "rule", F.coalesce("decided", "inherited", F.lit("allow")).alias("verdict")))

@@ -47,3 +47,39 @@ def test_components_of_chains_hubs_and_random_graphs(spark):
     want = components({x for e in real for x in e}, real)
     assert {x.node: x.component for x in connected_components(df, "test").collect()} == want
     assert connected_components(df.limit(0), "test").count() == 0
+
+
+def test_no_row_number_decides_a_verdict(frame):
+    found = U.url_filter(frame("page_id long, url string, html string", [(1, "http://a.net/", None)]), frame("host string, path string, verdict string", [("net", "/", "block")]))
+    assert "monotonically_increasing_id" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_generated_redirects_against_a_plain_walk(frame):
+    import random
+
+    r = random.Random(12)
+    rules = [("net", "/", "block"), ("b.net", "/x/", "allow"), ("com", "/y/", "block"), ("org", "/", "allow")]
+    urls = [f"http://{r.choice(['a.net', 'b.net', 'c.com', 'd.com', 'e.org', 'f.io', 'g.io', 'h.io', 'i.io'])}/{r.choice('xyz')}/{k}" for k in range(2000)]
+    edges = [(r.choice(urls), r.choice(urls)) for _ in range(900)]
+    near = {u: {u} for u in urls}
+    for a, b in edges:
+        near[a].add(b)
+        near[b].add(a)
+
+    def rule(url):
+        host, path = url[7:].split("/")[0], "/" + url[7:].split("/", 1)[1]
+        fits = [(len(h + p), v, h + p) for h, p, v in rules if ("." + host).endswith("." + h) and path.startswith(p)]
+        return max(fits) if fits else (0, None, None)
+    want = []
+    for k, u in enumerate(urls):
+        group, todo = {u}, [u]
+        while todo:
+            for v in near[todo.pop()] - group:
+                group.add(v)
+                todo.append(v)
+        _, verdict, named = rule(u)
+        inherited = {rule(v)[1] for v in group} - {None}
+        want.append((k, named, verdict or (min(inherited) if inherited else "allow")))
+    pages = frame("page_id long, url string, html string", [(k, u, None) for k, u in enumerate(urls)])
+    found = U.url_filter(pages, frame("host string, path string, verdict string", rules), frame("a string, b string", edges))
+    assert sorted((x.page_id, x.rule, x.verdict) for x in found.collect()) == want
