@@ -138,6 +138,25 @@ def merge_ladder(roster: DataFrame, entries: DataFrame, now: str,
     return merged, counts
 
 
+def upsert_rows(now: str):
+    """J4 over some buckets of a stored roster: ``(rows, changes) -> rows`` with
+    known identities refreshed and new ones appended; no row is shuffled."""
+    def merged(rows: DataFrame, changes: DataFrame) -> DataFrame:
+        names = F.broadcast(changes.select(*IDENTITY))
+        known = rows.join(names, list(IDENTITY), "left_semi").select(*IDENTITY, F.col("firstSeenAt").alias("__first"), F.lit(True).alias("__known"))
+        fresh = changes.join(F.broadcast(known), list(IDENTITY), "left").select(
+            *IDENTITY, "class", "level", "rank", F.when(F.col("__known"), F.col("__first")).otherwise(F.lit(now)).alias("firstSeenAt"),
+            F.lit(now).alias("lastSeenAt"), "__bucket")
+        return rows.join(names, list(IDENTITY), "left_anti").unionByName(fresh.select(*rows.columns))
+
+    return merged
+
+
+def latest_entries(entries: DataFrame, order: tuple[str, ...] = ("offset", "pos")) -> DataFrame:
+    """A capture reduced to one row per identity: the last entry wins."""
+    return latest_per_key(entries.select(*IDENTITY, "class", "level", "rank", *order), IDENTITY, list(order)).drop(*order)
+
+
 def order_roster(roster: DataFrame) -> DataFrame:
     """O3: rank ascending, then firstSeenAt, then the identity key, with
     locale-aware string comparison (F13: UNICODE collation)."""

@@ -114,3 +114,39 @@ def merge_results(state: DataFrame, results: DataFrame, keys: Sequence[str] = ID
         else:
             cols.append(F.col(c))
     return j.select(*cols)
+
+
+def _newer(rows: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(the rows that ``changes`` name, those of them with a change that is
+    newer by ``order``): keys and narrow columns only, no row is shuffled."""
+    hit = rows.join(F.broadcast(changes.select(*keys)), list(keys), "left_semi")
+    had = hit.select(*keys, "outcome", *[F.col(c).alias(f"__had_{c}") for c in order])
+    newer = F.col(f"__had_{order[0]}").isNull() | (F.struct(*[F.col(f"__had_{c}") for c in order]) < F.struct(*order))
+    won = (changes.select(*keys, *order, F.col("outcome").alias("__new")).join(F.broadcast(had), list(keys)).where(newer)
+           .select(*keys, F.col("outcome").alias("__old"), "__new"))
+    return hit, won
+
+
+def replace_lines(rows: DataFrame, changes: DataFrame, keys: Sequence[str] = IDENTITY,
+                  order: Sequence[str] = ("file", "seq")) -> DataFrame:
+    """J3 over some buckets of a stored state, whose lines keep the ``order``
+    of their last result: a newer result replaces the line, its ordinal stays;
+    older, repeated and unknown ones change nothing. ``changes`` has one row
+    per identity."""
+    keys = list(keys)
+    payload = [c for c in rows.columns if c in changes.columns and c not in (*keys, "__bucket")]
+    hit, won = _newer(rows, changes, keys, order)
+    kept = hit.select(*keys, *[c for c in rows.columns if c not in keys and c not in payload])
+    names = F.broadcast(won.select(*keys))
+    new = changes.select(*keys, *payload).join(names, keys, "left_semi").join(F.broadcast(kept), keys)
+    return rows.join(names, keys, "left_anti").unionByName(new.select(*rows.columns))
+
+
+def tally_deltas(rows: DataFrame, changes: DataFrame, keys: Sequence[str] = IDENTITY,
+                 order: Sequence[str] = ("file", "seq")) -> DataFrame:
+    """What ``replace_lines`` changes in the tally, as (outcome, delta):
+    old lines out, new lines in."""
+    _, won = _newer(rows, changes, list(keys), order)
+    signed = won.select(F.explode(F.array(F.struct(F.col("__old").alias("outcome"), F.lit(-1).cast("long").alias("d")),
+                                          F.struct(F.col("__new").alias("outcome"), F.lit(1).cast("long").alias("d")))).alias("x"))
+    return signed.groupBy("x.outcome").agg(F.sum("x.d").alias("delta"))
