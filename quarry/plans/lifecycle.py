@@ -101,6 +101,36 @@ def _one_per_file(df, path):
     return f"{path}/part-*"
 
 
+def _one_document(df, path, head, tail):
+    """Stage rows with a dense ``pos`` as one JSON document: lines in order
+    through the task that writes the file, one at a time."""
+    entry = F.to_json(F.struct(*[c for c in df.columns if c != "pos"]))
+    lines = df.select(F.col("pos").cast("long").alias("pos"), F.concat(F.when(F.col("pos") > 0, F.lit(",")).otherwise(F.lit("")), entry).alias("value"))
+    ends = df.sparkSession.createDataFrame([(-1, head), ((1 << 63) - 1, tail)], "pos long, value string")
+    lines.unionByName(ends).repartitionByRange(1, "pos").sortWithinPartitions("pos").select("value").write.text(path)
+
+
+@C.register("catalogue_document", C._INV_CTE + """
+SELECT league, snapshot_id, ladderCapturedAt, schemaVersion, CAST(s AS VARCHAR) AS kept FROM man""")
+def q_catalogue_document(spark, sf_dir):
+    """The index as one document, read by byte ranges; a field that the
+    scan doesn't know stays in its entry."""
+    m = AD.manifests(spark, sf_dir)
+    rows = m.select("league", F.col("snapshotId").alias("snapshotId"), "ladderCapturedAt", "schemaVersion",
+                    F.substring("snapshotId", 4, 10).alias("own"))
+    placed = with_global_ordinal(rows, ["league", "snapshotId"], "pos")
+    first = placed.groupBy("league").agg(F.min("pos").alias("pos")).withColumn("opens", F.lit(True))
+    entry = F.to_json(F.struct("snapshotId", "ladderCapturedAt", "schemaVersion", "own"))
+    opening = F.concat(F.when(F.col("pos") > 0, F.lit("]},")).otherwise(F.lit("")), F.lit('{"league":'),
+                       F.to_json(F.array("league")).substr(F.lit(2), F.length(F.to_json(F.array("league"))) - 2), F.lit(',"snapshots":['))
+    lines = placed.join(first, ["league", "pos"], "left").select("pos", F.concat(F.when(F.col("opens"), opening).otherwise(F.lit(",")), entry).alias("value"))
+    ends = spark.createDataFrame([(-1, '{"schemaVersion":6,"leagues":['), ((1 << 63) - 1, "]}]}")], "pos long, value string")
+    path = checkpoint_root(spark, "index-document", unique=True)
+    lines.unionByName(ends).repartitionByRange(1, "pos").sortWithinPartitions("pos").select("value").write.text(path)
+    found = D.scan_catalogue(spark, f"{path}/part-*")
+    return found.select("league", "snapshot_id", "ladderCapturedAt", "schemaVersion", F.get_json_object("entry", "$.own").alias("kept"))
+
+
 @C.register("manifest_documents", C._INV_CTE + """
 SELECT league, snapshot_id AS "snapshotId", phase, schemaVersion <> 6 AS hidden,
   phase IN ('ladder_capture', 'collecting', 'transforming') AND schemaVersion <> 6 AS "foreign"
@@ -165,11 +195,11 @@ def q_state_files(spark, sf_dir):
     worker result files scanned leniently and merged into it."""
     root = checkpoint_root(spark, "state-files", unique=True)
     state = SS.scan_state(spark, SS.write_state(C._seeded(spark, sf_dir), f"{root}/state", 4))
-    for name in ("w00", "w01"):
-        lines = AD.event_results(spark, sf_dir).where(F.col("file") == name)
-        shaped = lines.repartitionByRange(1, "seq").sortWithinPartitions("seq").drop("file", "seq")  # a worker writes one file
-        shaped.write.option("compression", "gzip").json(f"{root}/results/{name}")
-    results = SS.scan_results(spark, f"{root}/results/*/*.json.gz")
+    # A worker writes a file per range of its lines, named in their order.
+    lines = AD.event_results(spark, sf_dir).withColumns({"worker": F.col("file"), "range": F.lpad(F.floor(F.col("seq") / 5_000).cast("string"), 12, "0")})
+    (lines.repartition("worker", "range").sortWithinPartitions("worker", "range", "seq").drop("file", "seq")
+     .write.partitionBy("worker", "range").option("compression", "gzip").json(f"{root}/results"))
+    results = SS.scan_results(spark, f"{root}/results/*/*/*.json.gz")
     merged = ST.merge_results(state, results.select("account", "character", "outcome", "attempts", "fetchedAt", "file", "seq"))
     return merged.select("account", "character", "outcome", "attempts", "fetchedAt", "ordinal")
 
@@ -189,8 +219,8 @@ def q_tree_documents(spark, sf_dir):
     flag = F.when(F.col("p_size") % 2 == 0, "isKeystone").otherwise("is_keystone")
     body = F.concat(F.lit('"name":'), name, F.lit(',"stats":'), stats, F.lit(',"'), flag, F.lit('":'), (F.col("p_size") >= 48).cast("string"), F.lit("}"))
     rows = part.select(version.alias("v"), "p_partkey", body.alias("body"))
-    # A document per version: a dimension file, as small as the trees are.
-    docs = rows.groupBy("v").agg(
+    # Documents of a thousand hashes: a version has many.
+    docs = rows.groupBy("v", F.floor(F.col("p_partkey") / 1_000).alias("range")).agg(
         F.array_join(F.collect_list(F.concat(F.lit('{"hash":'), F.col("p_partkey").cast("string"), F.lit(","), F.col("body"))), ",").alias("arr"),
         F.array_join(F.collect_list(F.concat(F.lit('"'), F.col("p_partkey").cast("string"), F.lit('":{'), F.col("body"))), ",").alias("obj"))
     doc = F.when(F.col("v").cast("int") % 2 == 0, F.concat(F.lit('{"nodes":['), "arr", F.lit("]}"))) \
@@ -251,33 +281,29 @@ SELECT 'roster' AS source, count(*) AS rows, CAST(sum(rank) AS BIGINT) AS check_
 UNION ALL SELECT 'leagues', count(*), CAST(sum(n_nationkey) AS BIGINT) FROM nation
 UNION ALL SELECT 'meta', count(*), CAST(sum(s) AS BIGINT) FROM (
   SELECT DISTINCT lang, source, CAST(substr(source, 4) AS INTEGER) AS s FROM documents) WHERE s % 7 <> 6
-UNION ALL SELECT 'inventory', 4, 4 * 7
+UNION ALL SELECT 'inventory', count(*), CAST(sum(s) AS BIGINT) FROM (
+  SELECT DISTINCT lang, source, CAST(substr(source, 4) AS INTEGER) AS s FROM documents) WHERE s % 7 <> 6
 UNION ALL SELECT 'raw', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F'
 UNION ALL SELECT 'empty', 0, NULL""")
 def q_source_documents(spark, sf_dir):
     """Documents staged from the tables and read
     back by their scans."""
     root = checkpoint_root(spark, "documents", unique=True)
-    # The roster as production keeps it is a table; a league document is the import form.
-    roster = C._rosters(spark, sf_dir)[0]
-    doc = roster.agg(F.collect_list(F.struct(*roster.columns)).alias("characters")).select(
-        F.to_json(F.struct(F.lit(schemas.SCHEMA_VERSION).alias("schemaVersion"), "characters")).alias("value"))
-    doc.write.text(f"{root}/roster")
-    leagues = AD.league_rows(spark, sf_dir)
-    leagues.agg(F.to_json(F.sort_array(F.collect_list(F.struct("pos", *[c for c in leagues.columns if c != "pos"])))).alias("value")) \
-        .write.text(f"{root}/leagues")
+    # One document each, a line per entry; read back by byte ranges.
+    roster = with_global_ordinal(C._rosters(spark, sf_dir)[0], RO.roster_keys(), "pos")
+    _one_document(roster, f"{root}/roster", f'{{"schemaVersion":{schemas.SCHEMA_VERSION},"characters":[', "]}")
+    _one_document(AD.league_rows(spark, sf_dir), f"{root}/leagues", "[", "]")
     meta = AD.snapshot_meta(spark, sf_dir)
     meta.select(F.to_json(F.struct("completedAt", "updatedAt")).alias("value"), F.col("league").alias("l"), F.col("snapshot_id").alias("s")) \
         .write.partitionBy("l", "s").text(f"{root}/meta")
-    for i in range(4):
-        sinks._write_text(spark, f"{root}/bucket/a b/file-{i}%20.json", "1234567")
     raw = snapshot.staged_state(spark, sf_dir).where(F.col("outcome") == "ok").select(
         "ordinal", "rank", "account", "character", "class", "level", "fetchedAt", F.col("characterData").alias("items"), F.col("passiveTree").alias("passives"))
     raw.write.option("compression", "gzip").json(f"{root}/raw")
     got = [("roster", D.scan_roster(spark, f"{root}/roster/part-*"), F.col("rank")),
            ("leagues", D.scan_leagues(spark, f"{root}/leagues/part-*"), F.col("pos")),
            ("meta", D.scan_meta(spark, f"{root}/meta/*/*/part-*"), F.regexp_extract("file", r"/s=src(\d+)/", 1).cast("long")),
-           ("inventory", D.scan_inventory(spark, f"{root}/bucket"), F.col("size")),
+           ("inventory", D.scan_inventory(spark, f"{root}/meta").where(F.col("key").endswith(".txt")),
+            F.regexp_extract("key", r"^l=[^/]+/s=src(\d+)/", 1).cast("long")),
            ("raw", SS.scan_raw(spark, f"{root}/raw"), F.col("ordinal")), ("empty", SS.empty_chars(spark), F.col("ordinal"))]
     out = None
     for name, df, check in got:
