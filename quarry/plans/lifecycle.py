@@ -21,6 +21,7 @@ from quarry.sources import documents as D
 from quarry.sources import sinks
 from quarry.sources import state as SS
 from quarry.sources import tree as TR
+from quarry.streaming import pacing
 
 _COUNTS = {
     "characters": "SELECT count(*) FROM ch", "raw": "SELECT count(*) FROM ch",
@@ -393,3 +394,18 @@ def q_bucketed_ladder(spark, sf_dir):
     for first, now in ((True, C.NOW_1), (False, C.NOW_2)):
         BK.merge(spark, table, RO.latest_entries(AD.ladder_entries(spark, sf_dir, first)), RO.upsert_rows(now))
     return BK.read(spark, table)
+
+
+@C.register("streaming_caps", C._quota_oracle())
+def q_streaming_caps(spark, sf_dir):
+    """R5 = W6: the request log as a stream of files, every line under all the
+    windows of its headers. A last line, far behind, lets the others go."""
+    root = checkpoint_root(spark, "streaming-caps", unique=True)
+    log = AD.request_log(spark, sf_dir).select("ip", "seq", "ts", "ts_ms", "headers")
+    src = C.SM.stage_files(log, f"{root}/log", 2, ["ts"])
+    end = F.col("ts") + F.expr("interval 400 days")
+    log.orderBy(F.desc("ts")).limit(1).select(F.lit("end of log").alias("ip"), "seq", end.alias("ts"), F.unix_millis(end).alias("ts_ms"), "headers") \
+        .write.mode("append").parquet(src)
+    # No line is late, in whatever order the files come.
+    found = pacing.streaming_caps(spark, src, log.schema, f"{root}/out", 86_400_000, "200 days")
+    return found.where(F.col("ip") != "end of log").select("ip", "seq", "cap", "period_ms", "hits", "violation", "earliest_ms")
