@@ -200,19 +200,42 @@ class Encoder:
         rules = json.loads(tokenizer)
         self.folds = any(n.get("type") == "Lowercase" for n in (rules.get("normalizer") or {}).get("normalizers", []))
         self.splits = any(n.get("pattern", {}).get("Regex") == _WORD_SPLIT for n in (rules.get("pre_tokenizer") or {}).get("pretokenizers", []))
+        suffix = rules["model"].get("end_of_word_suffix")
+        self.marked: np.ndarray | None = None  # by id: whether it ends a word
+        if suffix and self.splits and not whole:
+            vocabulary = self.tokenizer.get_vocab()
+            self.marked = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.marked[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.starts, self.sizes, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def _learn(self, texts: list[str]) -> None:
-        """Put the ids of ``texts`` behind those in the pool."""
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, ids of each text), each text by itself."""
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
-        self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
-        self.sizes, self.pool = np.concatenate([self.sizes, sizes]), np.concatenate([self.pool, flat])
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
+
+    def _learn(self, texts: list[str]) -> None:
+        """Put the ids of ``texts`` behind those in the pool. Where a word's last
+        id is marked, words of letters alone are encoded many at a time."""
+        words = [i for i, t in enumerate(texts) if t.isalpha() and t.isascii()] if self.marked is not None else []
+        joined = [" ".join(texts[i] for i in words[at:at + 1_000]) for at in range(0, len(words), 1_000)]
+        flat, _ = self._encoded(joined)
+        ends = np.flatnonzero(self.marked[flat]) + 1 if len(words) else np.zeros(0, np.int64)
+        if len(ends) != len(words) or (len(ends) and ends[-1] != len(flat)):
+            words, flat, ends = [], flat[:0], ends[:0]
+        alone = np.ones(len(texts), bool)
+        alone[words] = False
+        rest, sizes = self._encoded([texts[i] for i in np.flatnonzero(alone).tolist()])
+        every, starts = np.empty(len(texts), np.int64), np.empty(len(texts), np.int64)
+        every[words], every[alone] = np.diff(ends, prepend=0), sizes
+        starts[words] = len(self.pool) + ends - every[words]
+        starts[alone] = len(self.pool) + len(flat) + np.cumsum(sizes) - sizes
+        self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, every])
+        self.pool = np.concatenate([self.pool, flat, rest])
 
     def _alike(self, texts: pa.StringArray) -> pa.StringArray:
         """``texts`` in lower case and with split marks, where all their letters are in composed form."""
