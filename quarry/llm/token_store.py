@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -182,6 +183,8 @@ class Segment:
 
 #: A split rule under which a run of these marks at the end of a word is split off anyway.
 _WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Letters in composed form that lower-casing keeps one letter.
+_LETTERS = re.compile("[A-Za-zªµºÀ-ÖØ-öø-ÿ]+")
 _TAIL = r"([A-Za-z])([.,!?;:]+)([ \t\n\r]|\z)"
 
 
@@ -221,7 +224,7 @@ class Encoder:
     def _learn(self, texts: list[str]) -> None:
         """Put the ids of ``texts`` behind those in the pool. Where a word's last
         id is marked, words of letters alone are encoded many at a time."""
-        words = [i for i, t in enumerate(texts) if t.isalpha() and t.isascii()] if self.marked is not None else []
+        words = [i for i, t in enumerate(texts) if _LETTERS.fullmatch(t)] if self.marked is not None else []
         joined = [" ".join(texts[i] for i in words[at:at + 1_000]) for at in range(0, len(words), 1_000)]
         flat, _ = self._encoded(joined)
         ends = np.flatnonzero(self.marked[flat]) + 1 if len(words) else np.zeros(0, np.int64)

@@ -71,6 +71,16 @@ def test_pieces_have_the_ids_of_the_whole_text():
 @settings(max_examples=80, deadline=None)
 @given(st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \t\n\r\x0b\x0c'sSİΣ゙̧́‍ ")), max_size=60))
 def test_any_text_has_the_ids_of_the_whole(text):
+    _same(text)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.text(st.sampled_from("abcXYZ ªµºÀÉÖØßäöüÿñçIİı.,'\n"), max_size=80))
+def test_latin_text_has_the_ids_of_the_whole(text):
+    _same(text)
+
+
+def _same(text):
     import pyarrow as pa
 
     ids, _ = _encoder(pa.array([text]))
