@@ -32,13 +32,15 @@ from quarry.llm.common import text_chunks
 
 FURNITURE, CONTENT, MIXED = 0, 1, 2
 #: Labelled pages that the model is trained on.
-TRAINING_PAGES = 1_000
+TRAINING_PAGES = 3_000
 #: Private sign that marks content runs in generated pages.
 MARK = ""
 
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style template iframe textarea title noframes noembed xmp".split())
+#: Of these, the one whose text is shown, as it stands.
+SHOWN_RAW = "xmp"
 #: Elements of SVG and MathML whose children are HTML again, and those that are not shown.
 HTML_INSIDE = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
 UNSEEN_FOREIGN = frozenset("desc metadata annotation annotation-xml".split())
@@ -58,6 +60,8 @@ ENDS = {
 ENDS_P = BLOCK - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "body", "html", "button", "video", "audio", "canvas", "legend", "select", "optgroup", "option"}
 #: HTML start tags that end an open svg or math element.
 ENDS_FOREIGN = ENDS_P | frozenset("b big br code em embed i img nobr p ruby s small span strong strike sub sup table tt u var".split())
+#: Elements whose runs tell each sign once for all of their parent's.
+ITEMS = frozenset("li dt dd td th".split())
 #: Words in class, id and role, by what they hint at.
 HINTS = {
     "content": "article content post entry main story body text page prose blog news single",
@@ -67,19 +71,18 @@ HINTS = {
     "side": "sidebar side aside widget widgets related recommended recommendations trending popular more complementary rail teaser",
     "notice": "cookie cookies consent gdpr notice notices alert popup modal newsletter subscribe subscription toast dialog overlay paywall warning message",
     "advert": "ad ads advert advertisement adverts advertising sponsor sponsored promo promotion promoted adsbygoogle commercial dfp banner",
-    "comment": "comment comments disqus reply replies discussion respond responses commentlist feedback review reviews",
-    "form": "form search login signin signup register contact subscribe input field",
+    "comment": "comment comments disqus reply replies discussion respond responses commentlist reviews",
+    "form": "form search login signin signup register subscribe",
     "social": "share sharing social follow like tweet author byline meta tags tag date",
 }
 _hint = {w: kind for kind, words in HINTS.items() for w in words.split()}
 
 _markup = re.compile(
-    r"<!--(?:.*?--!?>|.*\Z)|<[!?][^>]*(?:>|\Z)"
+    r"<!--(?:.*?--!?>|.*\Z)|<(?:[!?]|/(?=[^a-zA-Z]))[^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>=\"']|=\s*\"[^\"]*\"|=\s*'[^']*'|[=\"'])*+)(?:>|\Z)", re.DOTALL)
-_attr = re.compile(r"(?<![^\s\"'/])(class|id|role|hidden|style|aria-label)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|\Z)", re.IGNORECASE)
+_attr = re.compile(r"(?<![^\s\"'/])(class|id|role)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|\Z)", re.IGNORECASE)
 _raw_end = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE | re.ASCII) for name in RAW}
 _token = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-_unseen = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
 @dataclass
@@ -97,16 +100,12 @@ class Tree:
         return len(self.parent) - 1
 
 
-def _hints(attrs: str) -> tuple[list[str], bool]:
-    """(hint kinds of class, id, role; whether the element is not shown)."""
+def _hints(attrs: str) -> list[str]:
+    """Hint kinds of class, id, role."""
     kinds: set[str] = set()
     for m in _attr.finditer(attrs):
-        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if name == "hidden" or name == "style" and _unseen.search(value):
-            return [], True
-        if name in ("class", "id", "role"):
-            kinds.update(_hint[w] for w in map(str.lower, _token.findall(value)) if w in _hint)
-    return sorted(kinds), False
+        kinds.update(_hint[w] for w in map(str.lower, _token.findall(m[2] or m[3] or m[4] or "")) if w in _hint)
+    return sorted(kinds)
 
 
 def run_signs(text: str, linked: int, parent: str) -> list[str]:
@@ -134,6 +133,7 @@ def parse(page: str) -> Tree:
     run: list[str] = []
     linked = 0
     inline_signs: list[str] = []
+    shown: dict[int, set[str]] = {}
     at = 0
 
     def flush() -> None:
@@ -141,7 +141,12 @@ def parse(page: str) -> Tree:
         text = " ".join("".join(run).split())
         if text:
             node = stack[-1][1]
-            tree.add(node, run_signs(text, linked, _tag(tree, node)) + inline_signs, text)
+            signs = run_signs(text, linked, _tag(tree, node)) + inline_signs
+            if _tag(tree, node) in ITEMS:  # items of a list are alike: what an earlier one has shown is no news
+                known = shown.setdefault(tree.parent[node], set())
+                signs = [s for s in signs if s not in known]
+                known.update(signs)
+            tree.add(node, signs, text)
         run.clear()
         inline_signs.clear()
         linked = 0
@@ -207,7 +212,12 @@ def parse(page: str) -> Tree:
             end = _raw_end[name].search(page, at)
             if end is None and foreign:
                 continue
-            at = len(page) if end is None else end.start()
+            until = len(page) if end is None else end.start()
+            if name == SHOWN_RAW and not stack[-1][2]:
+                flush()
+                run.append(page[at:until])
+                flush()
+            at = until
             continue
         if name in ("body", "html", "head"):
             continue
@@ -219,12 +229,12 @@ def parse(page: str) -> Tree:
             names, stop = ENDS[name]
             while any(opened[x] for x in names) and (depth := find(names, stop)) is not None:
                 close(depth)
-        hints, unseen = _hints(m["attrs"]) if m["attrs"] else ([], False)
+        hints = _hints(m["attrs"]) if m["attrs"] else []
         if name in VOID:
             if name == "hr":
                 flush()
             continue
-        hidden = stack[-1][2] or unseen or foreign and name in UNSEEN_FOREIGN
+        hidden = stack[-1][2] or foreign and name in UNSEEN_FOREIGN
         inside = foreign and name not in HTML_INSIDE
         if name in BLOCK:
             flush()
@@ -325,6 +335,9 @@ def main_text(page: str | None, model: Model) -> str:
 class _Pages:
     """Generator of labelled pages; content runs begin with ``MARK``."""
 
+    #: Hint words that name content, too.
+    ODD = "top-quote more-text message share-tip tag-list news-alert form-guide search-tips review contact warning-text legal-text bottom-line popular-songs commercial-law notice-text"
+
     def __init__(self, seed: int):
         self.r = random.Random(seed)
 
@@ -397,13 +410,33 @@ class _Pages:
             text = text.replace(" ", self.one_of(" | ", "%% ", "!! ", " - ", " * "))
         if self.r.random() < 0.2:
             text += f" {self.link(1, 4)} {self.words(1, 5)}."
+        if self.r.random() < 0.15:
+            return self.linked()
+        if self.r.random() < 0.2:
+            return self.named(text)
         return self.one_of(f"<p>{text}</p>", f"<p>{text}</p>", f"<p>{text}</p>", f"<p><b>{text}<br>", f"<div>{text}</div>", f"<blockquote>{text}</blockquote>",
                            f"<ul><li>{text}</li><li>{MARK}{self.words(2, 12)}</li></ul>", f"<pre>{text}</pre>", f"<h2>{MARK}{self.words(2, 7)}</h2><p>{text}</p>",
                            f"<table><tr><td>{text}</td><td>{MARK}{self.words(1, 3)}</td></tr></table>", f"<section><p>{text}</p></section>",
                            f"<figure><figcaption>{text}</figcaption></figure>")
 
+    def linked(self) -> str:
+        """Content that is all or mostly links: references, lists of works, a linked heading."""
+        one = lambda low, high: f'<a href="/{self.words(1, 1)}">{MARK}{self.words(low, high).capitalize()}{self.maybe(0.3, ".")}</a>'
+        items = "".join(f"<li>{one(1, 8)}{self.maybe(0.4, f' {self.words(1, 8)}.')}</li>" for _ in range(self.r.randint(1, 8)))
+        return self.one_of(f"<p>{one(1, 14)}</p>", f"<p>{one(1, 14)}</p>", f"<ul>{items}</ul>", f"<ul>{items}</ul>", f"<ol>{items}</ol>", f"<h2>{one(2, 7)}</h2>", f"<div>{one(1, 9)}</div>",
+                           f"<table><tr><td>{one(1, 4)}</td><td>{MARK}{self.words(1, 5)}</td></tr></table>", f"<figure><figcaption>{one(2, 9)}</figcaption></figure>", f"<section>{items}</section>")
+
+    def named(self, text: str) -> str:
+        """Content in elements whose class says nothing, or hints at something else."""
+        name = self.one_of("lead", "quote", "code", "output", "highlight", "step", "note", "summary", "intro", "box", "figure", "left", *self.ODD.split())
+        body = self.one_of(text, f"<p>{text}</p>", f"<p>{text}</p><p>{MARK}{self.sentences(self.r.randint(1, 4))}</p>")
+        tag = self.one_of("div", "div", "section", "blockquote", "pre", "ul", "p", "span", "h2", "table")
+        inner = {"pre": text, "p": text, "span": text, "h2": MARK + self.words(1, 8), "ul": f"<li>{text}</li><li>{MARK}{self.words(1, 9)}</li>",
+                 "table": f"<tr><td>{text}</td><td>{MARK}{self.words(1, 4)}</td></tr>"}.get(tag, body)
+        return f'<{tag} class="{name}">{inner}</{tag}>'
+
     def article(self) -> str:
-        title = f"<h1>{MARK}{self.one_of(self.words(2, 10), self.sentences(1))}</h1>"
+        title = f"<h1>{MARK}{self.one_of(self.words(1, 3), self.words(2, 10), self.sentences(1))}</h1>"
         parts = [self.one_of(title, title, title, f"<header>{title}</header>", "")]
         for _ in range(self.r.randint(1, 14)):
             parts.append(self.paragraph())
@@ -414,6 +447,9 @@ class _Pages:
         if self.r.random() < 0.35:  # bare wrappers
             inner = self.within(inner, "div", "div", "section", "div.row")
         body = self.within(inner, *kinds)
+        if self.r.random() < 0.15:
+            tag = self.one_of("article", "article", "main", "div", "section")
+            body = f'<{tag} class="{self.one_of(*self.ODD.split())}">{inner}</{tag}>'
         return self.one_of(body, body, self.within(body, "main", "div#content", "div", "div.container"), inner)
 
     def page(self) -> str:
@@ -491,7 +527,7 @@ def train(spark: SparkSession, pages: int = TRAINING_PAGES, seed: int = 7) -> Mo
     flat = ((1 / 3,) * 3,) * 3
     edge = {kind: rows_of(kind, flat, 0.3) for kind in ("element", "run")}
     for name in {name for what, name, _ in seen if what == "edge" and "|" in name}:
-        edge[name] = rows_of(name, edge["run" if name.startswith("run|") else "element"], 2.0)
+        edge[name] = rows_of(name, edge["run" if name.startswith("run|") else "element"], 0.5)
     root = [seen.get(("root", "", str(y)), 0) for y in range(3)]
     return Model(sign, edge, tuple((x + 1) / (sum(root) + 3) for x in root))
 

@@ -40,6 +40,31 @@ def test_elements_without_end_tags_and_foreign_elements_lose_no_text(model, page
     got = H.main_text(page, model)
     assert got.replace(" A B ", " ") == want
 
+N = "<header><h1>Site</h1></header><nav><ul><li><a href=/a>Home</a></li><li><a href=/b>About us</a></li></ul></nav>"
+END = "<footer>&copy; 2020 Someone. All rights.</footer>"
+LINKS = "<ul><li><a href=/x>First link</a></li><li><a href=/y>Second link</a></li></ul>"
+FOUND = "First link Second link"
+
+
+@pytest.mark.parametrize("body, want", [
+    (f"<article>{P * 4}{LINKS}</article>", [TEXT] * 4 + [FOUND]),
+    (f"<article>{P}{LINKS}{P}{LINKS}{P}</article><section class=comments><div class=comment><p>I agree with it.</p></div></section>", [TEXT, FOUND, TEXT, FOUND, TEXT]),
+    (f"<article>{P * 6}<p><a href=/z>A wholly linked paragraph here</a></p>{P * 6}</article>", [TEXT] * 6 + ["A wholly linked paragraph here"] + [TEXT] * 6),
+    (f"<main><h1>A title</h1><h2><a href=/q>The section</a></h2>{P * 3}{LINKS}</main>", ["A title The section"] + [TEXT] * 3 + [FOUND]),
+    (f"<article>{P * 4}<pre class=input>x = 1</pre>{P}</article>", [TEXT] * 4 + ["x = 1", TEXT]),
+    (f"<article class=review>{P * 8}</article>", [TEXT] * 8), (f"<main><article class='review'>{P * 8}</article></main>", [TEXT] * 8),
+    (f"<article>{P * 3}<blockquote class=top-quote>{P}</blockquote>{P}</article>", [TEXT] * 5),
+    (f"<article>{P * 3}<section class=share-tips><h2>How to share</h2>{P}</section></article><aside><h3>More</h3>{LINKS}</aside>", [TEXT] * 3 + ["How to share", TEXT]),
+    (f"<div id=content><h1>Contact</h1><div class=contact>{P * 2}</div></div>", ["Contact", TEXT, TEXT]),
+    (f"<article>{P * 3}<aside class=related><h3>More</h3>{LINKS}</aside>{P}</article>", [TEXT] * 4),
+    (f"<article>{P}<p hidden>Hidden words are here.</p><p style='display:none'>More are here.</p>{P}</article>", [TEXT, "Hidden words are here. More are here.", TEXT]),
+    (f"<article>{P}<xmp><b>x</b> &amp;</xmp>{P}</article>", [TEXT, "<b>x</b> &amp;", TEXT]),
+    ("<article><p>One two three.</ ><p>Four five six.</></article>", ["One two three. Four five six."]),
+])
+def test_layouts_written_by_hand(model, body, want):
+    """Links, code, quotes and names that hint at something else, inside the article."""
+    assert H.main_text(N + body + END, model) == " ".join(want)
+
 
 def test_letters_that_grow_in_lower_case_shift_no_end_tag(model):
     for k in (1, 5, 12, 60):
