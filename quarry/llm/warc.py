@@ -9,7 +9,9 @@ the line separator is an empty gzip member, which readers skip.
 Reading: members and records are checked (gzip sums, version line, declared
 lengths, digests). After a failed check the reader searches for the next
 member or version line from which a whole record can be read, goes on there,
-and logs the bytes between as a quarantined gap.
+and logs the bytes between as a quarantined gap. What a damaged member still
+inflates to is searched for version lines in the same way: records whose block
+digest is right are recovered, before the damage and behind it.
 """
 
 from __future__ import annotations
@@ -29,13 +31,24 @@ from quarry.llm.common import text_chunks
 VERSION = b"WARC/1.1"
 MEMBER = b"\x1f\x8b\x08"
 _candidate = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
+_version = re.compile(rb"WARC/1\.[01]\r\n")
 _name = re.compile(rb"[!#$%&'*+.^_`|~0-9A-Za-z-]+")
 _named = re.compile(_name.pattern + rb":")
 _PIECE = 65_536
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
-#: Records per file: bounds the file that one reading task holds.
+#: Records and bytes per file: bound the file that one reading task holds (by one record more than the bytes).
 RECORDS_PER_FILE = 5_000
+BYTES_PER_FILE = 16_000_000
+
+
+#: Digests that can be checked.
+_DIGESTS = ("md5", "sha1", "sha256", "sha512")
+
+
+def _proved(said: str) -> bool:
+    """Whether a labelled digest, once it agrees, proves its data."""
+    return said.partition(":")[0].lower().replace("-", "") in _DIGESTS
 
 
 def _agrees(said: str, data: bytes) -> bool:
@@ -43,7 +56,7 @@ def _agrees(said: str, data: bytes) -> bool:
     an unknown algorithm can't be checked and counts as right."""
     name, _, value = said.partition(":")
     name = name.lower().replace("-", "")
-    if name not in ("md5", "sha1", "sha256", "sha512"):
+    if name not in _DIGESTS:
         return True
     digest = hashlib.new(name, data).digest()
     return value.rstrip("=").upper() == base64.b32encode(digest).decode().rstrip("=") or value.lower() == digest.hex()
@@ -86,8 +99,11 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return VERSION + b"\r\n" + "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, records_per_file: int = RECORDS_PER_FILE) -> None:
-    """Write ``pages`` (page_id, url, html) as archives under ``path``.
+def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, records_per_file: int = RECORDS_PER_FILE,
+                   bytes_per_file: int = BYTES_PER_FILE) -> None:
+    """Write ``pages`` (page_id, url, html) as archives under ``path``, files of
+    at most ``records_per_file`` records that end with the record which reaches
+    ``bytes_per_file``.
 
     Null html is an empty payload; null ids and urls are kept (no target
     line). Payloads of fewer than ``min_bytes`` bytes are never revisits.
@@ -103,14 +119,22 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, records_per_
             .select("page_id", "url", "original", "revisit", "body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[bytes] = []
+        size = 0
         for batch in text_chunks(batches, "body", 8_000_000):
             columns = (batch.column(c).to_pylist() for c in ("page_id", "url", "body", "original", "revisit"))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([member(record(*row)) for row in zip(*columns, strict=True)], pa.binary())], names=["value"])
+            for row in zip(*columns, strict=True):
+                held.append(member(record(*row)))
+                size += len(held[-1])
+                if size >= bytes_per_file or len(held) >= records_per_file:
+                    yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], names=["value"])
+                    held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], names=["value"])
 
     (rows.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
      .write.option("lineSep", member(b"").decode("latin-1")).option("encoding", "ISO-8859-1")
-     .option("maxRecordsPerFile", records_per_file).text(path))
+     .option("maxRecordsPerFile", 1).text(path))
 
 
 class Damaged(ValueError):
@@ -173,16 +197,52 @@ def _read(data: memoryview, start: int) -> tuple[list[tuple[dict[str, str], byte
     return found, end
 
 
+def _sound_part(data: memoryview, start: int) -> bytes:
+    """What the damaged gzip member at ``start`` inflates to before the first
+    error of its coding; all of it where only its sum is wrong."""
+    z, parts, at, step = zlib.decompressobj(31), [], start, _PIECE
+    while at < len(data) and not z.eof:
+        before = z.copy()
+        try:
+            parts.append(z.decompress(data[at:at + step]))
+            at += step
+        except zlib.error:
+            if step == 1:
+                break
+            z, step = before, step // 16 or 1
+    return b"".join(parts)
+
+
+def _inside(data: memoryview, start: int) -> list[tuple[dict[str, str], bytes]]:
+    """The records of a damaged member, as far as their block digests prove them."""
+    if data[start:start + 3] != MEMBER:
+        return []
+    content = _sound_part(data, start)
+    found, at = [], 0
+    while (line := _version.search(content, at)) is not None:
+        try:
+            headers, block, at = _parse(content, line.start())
+            if _proved(headers.get("warc-block-digest", "")):
+                found.append((headers, block))
+        except Damaged:
+            at = line.start() + 1
+    return found
+
+
 def salvage(content: bytes) -> Iterator[tuple]:
     """("record", start, end, headers, block) and ("gap", start, end, reason,
     None), in file order. Records in gzip members or plain; the bytes covered
-    by records, empty members and gaps are the whole file."""
+    by records, empty members and gaps are the whole file. A record out of a
+    damaged member has the empty range at the member's start, or at the start of
+    the gap that the member lies in: its bytes are the gap's."""
     data, at = memoryview(content), 0
     while at < len(content):
         try:
             found, end = _read(data, at)
         except Damaged as broken:
             begin, reason = at, str(broken)
+            for headers, block in _inside(data, at):
+                yield "record", begin, begin, headers, block
             while True:
                 following = _candidate.search(content, at + 1)
                 if following is None:
@@ -193,7 +253,8 @@ def salvage(content: bytes) -> Iterator[tuple]:
                     found, end = _read(data, at)
                     break
                 except Damaged:
-                    continue
+                    for headers, block in _inside(data, at):
+                        yield "record", begin, begin, headers, block
             yield "gap", begin, at, reason, None
         for headers, block in found:
             yield "record", at, end, headers, block

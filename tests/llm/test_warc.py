@@ -65,6 +65,48 @@ def test_salvage_recovers_what_is_sound_and_logs_the_rest():
     assert list(W.salvage(b"")) == [] and [x[0] for x in W.salvage(b"nothing")] == ["gap"]
 
 
+def test_sound_records_of_a_damaged_member_are_recovered():
+    r = random.Random(5)
+    words = [" ".join(r.choice(("one", "two", "three", "four", "é")) for _ in range(400)).encode() for _ in range(3)]
+    before, after = W.member(W.record(8, "u", b"before", None, False)), W.member(W.record(9, "u", b"after", None, False))
+    plain = b"".join(W.record(i, "u", w, None, False) for i, w in enumerate(words))
+    pages = lambda content: [W._page_id(x[3]["warc-record-id"]) for x in W.salvage(content) if x[0] == "record"]
+    # A wrong byte in the second record, the member's sum being that of the whole.
+    at = plain.index(words[1]) + 40
+    hurt = bytearray(W.member(plain[:at] + b"#" + plain[at + 1:]))
+    hurt[-8:-4] = W.member(plain)[-8:-4]
+    found = list(W.salvage(before + bytes(hurt) + after))
+    assert pages(before + bytes(hurt) + after) == [8, 0, 2, 9]
+    gap, = [x for x in found if x[0] == "gap"]
+    assert gap[1:3] == (len(before), len(before) + len(hurt)) and [x[1:3] for x in found[1:3]] == [(len(before),) * 2] * 2
+    # Cut short: the records before the cut.
+    whole = W.member(plain)
+    assert pages(whole[:-12] + after)[:2] == [0, 1] and pages(whole[:-12] + after)[-1] == 9
+    assert pages(whole[:-2]) == [0, 1, 2] and pages(whole) == [0, 1, 2]
+    # Any byte: what is found is right, the neighbours are never lost.
+    for place in range(10, len(whole), 37):
+        broken = bytearray(whole)
+        broken[place] ^= 0x55
+        got = [(W._page_id(x[3]["warc-record-id"]), x[4]) for x in W.salvage(before + bytes(broken) + after) if x[0] == "record"]
+        assert got[0][0] == 8 and got[-1][0] == 9
+        assert all(block.partition(b"\r\n\r\n")[2] in words for _, block in got[1:-1])
+    # A record without a digest that proves it stays in the gap.
+    bare = bytearray(W.member(_foreign("metadata", b"a: b") + W.record(1, "u", b"x", None, False)))
+    bare[-8] ^= 1
+    assert pages(bytes(bare)) == [1]
+
+
+def test_files_are_bounded_by_bytes(spark, frame):
+    path = scratch(spark, "warc-test")
+    r = random.Random(3)
+    rows = [(i, "u", "".join(chr(r.randrange(33, 0x3000)) for _ in range(3_000))) for i in range(60)]
+    W.write_archives(frame("page_id long, url string, html string", rows, clashing=()), path, bytes_per_file=20_000)
+    sizes = [x.n for x in spark.read.format("binaryFile").load(path).selectExpr("length AS n").collect()]
+    largest = max(len(W.member(W.record(i, u, t.encode(), None, False))) for i, u, t in rows)
+    assert len(sizes) > 10 and max(sizes) <= 20_000 + largest + 100
+    assert W.read_archives(spark, path).where("kind = 'record'").count() == len(rows)
+
+
 def test_query_keeps_pages_with_very_long_urls(spark, frame):
     from quarry.llm import queries
     folder = scratch(spark, "warc-test")
