@@ -209,12 +209,13 @@ def order_catalogue(catalogue: DataFrame) -> DataFrame:
                                            F.asc("snapshot_id")], "position")
 
 
-def observed_write(df: DataFrame, path: str, name: str) -> dict:
-    """Write ``df`` (Parquet) while collecting run counters with
-    ``observe`` in the same pass; returns the metrics (a few numbers)."""
+def observed_write(df: DataFrame, path: str, name: str, **counters: Column) -> dict:
+    """Write ``df`` (Parquet) while collecting run counters (``rows`` and
+    the given aggregates) with ``observe`` in the same pass; returns the
+    metrics (a few numbers)."""
     from pyspark.sql import Observation
     obs = Observation(name)
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+    df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in counters.items()]).write.mode("errorifexists").parquet(path)
     return obs.get
 
 

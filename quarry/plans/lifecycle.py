@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry import schemas
+from quarry.functions import keys as K
 from quarry.operators import aggregates as AG
 from quarry.operators import roster as RO
 from quarry.operators import state as ST
@@ -21,7 +22,7 @@ from quarry.sources import documents as D
 from quarry.sources import sinks
 from quarry.sources import state as SS
 from quarry.sources import tree as TR
-from quarry.streaming import pacing
+from quarry.streaming import keyed, pacing
 
 _COUNTS = {
     "characters": "SELECT count(*) FROM ch", "raw": "SELECT count(*) FROM ch",
@@ -325,7 +326,6 @@ FROM b""")
 def q_request_edge_cases(spark, sf_dir):
     """P21, F15, P19/F16 on hostile input: second values, repeated keys, huge
     Retry-After seconds, escapes that are not UTF-8."""
-    from quarry.functions import keys as K
     from quarry.operators import requests as RQ
     i, props = F.col("event_id"), F.col("props")
     pick = lambda *xs: F.element_at(F.array(*xs), (i % 8 + 1).cast("int"))
@@ -409,3 +409,163 @@ def q_streaming_caps(spark, sf_dir):
     # No line is late, in whatever order the files come.
     found = pacing.streaming_caps(spark, src, log.schema, f"{root}/out", 86_400_000, "200 days")
     return found.where(F.col("ip") != "end of log").select("ip", "seq", "cap", "period_ms", "hits", "violation", "earliest_ms")
+
+
+#: A user is forgotten after eight quiet hours.
+_QUIET_MS = 8 * 3_600_000
+
+
+@C.register("streaming_keyed_state", f"""
+SELECT user_id, event_id, event_type, value FROM (
+  SELECT *, epoch_ms(ts) AS ms FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+WHERE ms + {_QUIET_MS} >= (SELECT epoch_ms(max(ts)) FROM events)""")
+def q_streaming_keyed_state(spark, sf_dir):
+    """R4 with timers: the newest event per user, users forgotten that were
+    quiet at the end, the log compacted on the way and the stream started
+    twice. A last line, far behind, moves the watermark to the newest event."""
+    root = checkpoint_root(spark, "keyed-state", unique=True)
+    ev = AD.table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    src = C.SM.stage_files(ev, f"{root}/events", 4, ["ts", "event_id"])
+
+    def run():
+        # No line is late, in whatever order the files come.
+        return keyed.keyed_state(spark, src, ev.schema, f"{root}/out", ["user_id"], ["ts", "event_id"], "ts", _QUIET_MS, "400 days", compact_every=2)
+
+    run()
+    ev.orderBy(F.desc("ts")).limit(1).withColumns({"user_id": F.lit(-1).cast("long"), "ts": F.col("ts") + F.expr("interval 400 days")}) \
+        .select(*ev.columns).write.mode("append").parquet(src)
+    return keyed.read_keyed(spark, run(), ["user_id"]).where("user_id <> -1").select("user_id", "event_id", "event_type", "value")
+
+
+@C.register("economy_documents", C._ECON_CTE + f""",
+rep AS (SELECT league, bool_and(fetched) AS written FROM comp GROUP BY league),
+body AS (SELECT league, endpoint, type, max(seq) AS b FROM resp WHERE status = 200 GROUP BY ALL)
+SELECT league, endpoint, type, CASE WHEN written THEN CAST(b AS VARCHAR) ELSE 'last good' END AS body,
+  CASE WHEN written THEN '{C.NOW_2}' ELSE '{C.NOW_1}' END AS "fetchedAt"
+FROM comp JOIN rep USING (league) LEFT JOIN body USING (league, endpoint, type)""")
+def q_economy_documents(spark, sf_dir):
+    """Economy documents written over earlier ones; a league with a
+    failed category keeps the document it had."""
+    complete = C._completeness(spark, sf_dir)
+    path = checkpoint_root(spark, "economy", unique=True)
+    sinks.write_economy(complete.select("league", "endpoint", "type", F.lit("last good").alias("body")), path, fetched_at=C.NOW_1)
+    good = AD.economy_responses(spark, sf_dir).where(F.col("status") == 200).groupBy("league", "endpoint", "type") \
+        .agg(F.max("seq").cast("string").alias("body"))
+    sinks.write_economy(good, path, C.EC.economy_league_report(complete), C.NOW_2)
+    docs = spark.read.schema("fetchedAt string, categories map<string, map<string, string>>, league string").json(path)
+    by_endpoint = docs.select("league", "fetchedAt", F.explode("categories").alias("endpoint", "types"))
+    return by_endpoint.select("league", "endpoint", F.explode("types").alias("type", "body"), "fetchedAt")
+
+
+@C.register("final_publish", C._STATE_CTE + f""",
+t AS (SELECT count(*) AS total, count(*) FILTER (WHERE outcome = 'ok') AS ok,
+  count(*) FILTER (WHERE outcome IN ('pending', 'retryable', 'skipped')) AS skipped,
+  count(*) FILTER (WHERE outcome IN ('pending', 'retryable')) AS owed FROM merged)
+SELECT total, ok, skipped, ok AS characters, '{C.NOW_2}' AS "completedAt", 'published' AS phase, 'kept' AS own,
+  owed > 0 AS refused_while_pending, true AS inputs_deleted, true AS immutable FROM t""")
+def q_final_publish(spark, sf_dir):
+    """R2: what is left is skipped (P8), the snapshot is published once, its
+    manifest settled, its inputs deleted; a second publication is refused."""
+    root = checkpoint_root(spark, "final-publish", unique=True)
+    doc = F.to_json(F.struct(F.struct(F.col("account").alias("class")).alias("character"), F.array().cast("array<string>").alias("items")))
+    is_ok = F.col("outcome") == "ok"
+    results = AD.event_results(spark, sf_dir).withColumn("characterData", F.when(is_ok, doc)) \
+        .withColumn("passiveTree", F.when(is_ok, F.lit('{"hashes":[]}')))
+    SS.write_state(ST.merge_results(C._seeded(spark, sf_dir), results).select(*ST.STATE_COLUMNS), f"{root}/inputs/state")
+    state = SS.scan_state(spark, f"{root}/inputs/state")
+    claimed = AD.table(spark, sf_dir, "customer").count()
+    sinks._write_text(spark, f"{root}/manifest.json", '{"phase":"transforming","own":"kept"}')
+    tree = TR.parse_tree_lines(AD.tree_lines(spark, sf_dir))
+
+    def publish(lines):
+        return sinks.final_publish(snapshot.normalise(lines, tree), AG.tally_outcomes(lines), f"{root}/published", "Standard", C.NOW_1, C.NOW_2,
+                                   f"{root}/manifest.json", (f"{root}/inputs",), total_characters=claimed)
+
+    owed = AG.tally_outcomes(state).first()
+    refused = bool(owed["pending"] + owed["retryable"]) and not publish(state)["ok_to_publish"]
+    gate = publish(ST.mark_remaining_skipped(state))
+    if not gate["ok_to_publish"]:
+        raise RuntimeError(f"refused: {gate['errors']}")
+    try:
+        sinks.publish_snapshot(snapshot.from_tables(spark, sf_dir), AG.tally_outcomes(snapshot.identity_state(spark, sf_dir)),
+                               f"{root}/published", "Standard", C.NOW_1, mode="immutable")
+        immutable = False
+    except FileExistsError:
+        immutable = True
+    inputs, fs = sinks._fs(spark, f"{root}/inputs")
+    at = sinks.current(spark, f"{root}/published")
+    meta = spark.read.json(f"{at}/meta").select(F.col("totalCharacters").alias("total"), F.col("coverage.ok").alias("ok"),
+                                                F.col("skippedCount").alias("skipped"), "completedAt")
+    manifest = spark.read.option("wholetext", "true").text(f"{root}/manifest.json").select(
+        F.get_json_object("value", "$.phase").alias("phase"), F.get_json_object("value", "$.own").alias("own"))
+    rows = sinks.read_detail(spark, f"{at}/detail/characters", "characters").agg(F.count(F.lit(1)).alias("characters"))
+    return meta.crossJoin(manifest).crossJoin(rows).select(  # one row each
+        "*", F.lit(refused).alias("refused_while_pending"), F.lit(not fs.exists(inputs)).alias("inputs_deleted"), F.lit(immutable).alias("immutable"))
+
+
+@C.register("snapshot_keys", C._INV_CTE + """
+SELECT c.league, c.snapshot_id, c.category, count(*) AS keys, CAST(sum(c.size) AS BIGINT) AS bytes,
+  CASE c.category WHEN 'detail' THEN 'application/vnd.apache.parquet' WHEN 'raw' THEN 'application/json' WHEN 'chunk' THEN 'application/json' WHEN 'worker-result' THEN 'application/gzip'
+    WHEN 'snapshot-state' THEN 'application/gzip' ELSE '?' END AS content_type
+FROM cls c JOIN man m ON m.league = c.league AND m.snapshot_id = c.snapshot_id WHERE m.phase = 'aborted' GROUP BY ALL""")
+def q_snapshot_keys(spark, sf_dir):
+    """The keys behind aborted snapshots, with their content types."""
+    gone = AD.manifests(spark, sf_dir).where(F.col("phase") == "aborted").select("league", F.col("snapshotId").alias("snapshot_id"))
+    keys = SO.snapshot_keys(C._classified(spark, sf_dir), gone)
+    return keys.groupBy("league", "snapshot_id", "category", K.content_kind("key").alias("content_type")).agg(
+        F.count(F.lit(1)).alias("keys"), F.sum("size").alias("bytes"))
+
+
+@C.register("tree_versions", C._LEAGUES_CTE + """,
+v AS (SELECT n_name AS id, '3.' || n_regionkey AS version FROM nation WHERE n_regionkey <= 2 UNION ALL SELECT 'Standard', '3.0')
+SELECT act.id, v.version, (SELECT count(*) FROM act) > (SELECT count(*) FROM act JOIN v USING (id)) AS refused
+FROM act JOIN v USING (id)""")
+def q_tree_versions(spark, sf_dir):
+    """V6: leagues with their mapped tree version; one without is a hard error."""
+    active = C.EC.active_leagues(AD.league_rows(spark, sf_dir), C.NOW_ECONOMY).select("id")
+    n = AD.table(spark, sf_dir, "nation")
+    versions = n.where(F.col("n_regionkey") <= 2).select(F.col("n_name").alias("league"), F.concat(F.lit("3."), F.col("n_regionkey").cast("string")).alias("version")) \
+        .unionByName(spark.range(1).select(F.lit(C.EC.PERMANENT_LEAGUE).alias("league"), F.lit("3.0").alias("version")))
+    try:
+        C.QA.tree_versions(active, versions).write.mode("overwrite").parquet(checkpoint_root(spark, "tree-versions", unique=True))
+        refused = False
+    except Exception as error:  # noqa: BLE001 - only the hard error is expected
+        if "no tree version mapped" not in str(error):
+            raise
+        refused = True
+    mapped = active.join(C.QA.unmapped_leagues(active, versions), "id", "left_anti")
+    return C.QA.tree_versions(mapped, versions).select("id", "version", F.lit(refused).alias("refused"))
+
+
+@C.register("economy_backoff", """
+WITH e AS (SELECT event_id, CASE event_type WHEN 'error' THEN 503 WHEN 'click' THEN 429 WHEN 'view' THEN 404 ELSE 200 END AS status,
+  event_id // 5 % 7 AS attempt, CASE event_id % 5 WHEN 0 THEN '3' WHEN 1 THEN '120' WHEN 2 THEN 'soon' WHEN 3 THEN '0.5' END AS retry FROM events)
+SELECT event_id, CASE WHEN status = 429 AND TRY_CAST(retry AS DOUBLE) IS NOT NULL THEN CAST(least(TRY_CAST(retry AS DOUBLE) * 1000, 60000) AS BIGINT)
+  WHEN status = 429 OR status >= 500 THEN CAST(pow(2, attempt) * 1000 AS BIGINT) END AS wait_ms FROM e""")
+def q_economy_backoff(spark, sf_dir):
+    """how long each failed category fetch waits for its next attempt."""
+    e, i = AD.table(spark, sf_dir, "events"), F.col("event_id")
+    kind = F.col("event_type")
+    status = F.when(kind == "error", 503).when(kind == "click", 429).when(kind == "view", 404).otherwise(200)
+    retry = F.element_at(F.array(F.lit("3"), F.lit("120"), F.lit("soon"), F.lit("0.5"), F.lit(None).cast("string")), (i % 5 + 1).cast("int"))
+    return e.select("event_id", C.EC.economy_backoff_ms(status, F.floor(i / 5) % 7, retry).alias("wait_ms"))
+
+
+@C.register("run_counters", C._INV_CTE + C._STATE_CTE.replace("\nWITH ", ",\n", 1) + """
+SELECT 'merge' AS phase, 'resolved' AS counter, count(*) FILTER (WHERE outcome = 'ok') AS value FROM merged
+UNION ALL SELECT 'merge', 'failed', count(*) FILTER (WHERE outcome IN ('private', 'dead')) FROM merged
+UNION ALL SELECT 'merge', 'owed', count(*) FILTER (WHERE outcome IN ('pending', 'retryable')) FROM merged
+UNION ALL SELECT 'merge', 'rows', count(*) FROM merged
+UNION ALL SELECT 'sweep', 'swept', count(*) FROM orph UNION ALL SELECT 'sweep', 'freed', coalesce(CAST(sum(size) AS BIGINT), 0) FROM orph
+UNION ALL SELECT 'sweep', 'rows', count(*) FROM orph""")
+def q_run_counters(spark, sf_dir):
+    """Counters of a run, each observed in the pass that writes what they
+    count: characters resolved, failed and still owed; objects swept, bytes freed."""
+    root = checkpoint_root(spark, "run-counters", unique=True)
+    of = F.col("outcome")
+    merge = SO.observed_write(C._merged(spark, sf_dir), f"{root}/merged", "merge", resolved=F.count_if(of == "ok"),
+                              failed=F.count_if(of.isin("private", "dead")), owed=F.count_if(of.isin(*ST.PENDING_OUTCOMES)))
+    swept = SO.orphans(C._classified(spark, sf_dir), AD.manifests(spark, sf_dir))
+    sweep = SO.observed_write(swept, f"{root}/swept", "sweep", swept=F.count(F.lit(1)), freed=F.coalesce(F.sum("size"), F.lit(0)))
+    rows = [(phase, name, int(n)) for phase, found in (("merge", merge), ("sweep", sweep)) for name, n in found.items()]
+    return spark.createDataFrame(rows, "phase string, counter string, value long")
