@@ -21,7 +21,7 @@ import math
 import random
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -32,7 +32,7 @@ from quarry.llm.common import text_chunks
 
 FURNITURE, CONTENT, MIXED = 0, 1, 2
 #: Labelled pages that the model is trained on.
-TRAINING_PAGES = 3_000
+TRAINING_PAGES = 1_000
 #: Private sign that marks content runs in generated pages.
 MARK = ""
 
@@ -352,6 +352,10 @@ class _Pages:
     def one_of(self, *xs: str) -> str:
         return self.r.choice(xs)
 
+    def made(self, *makers: Callable[[], str], chance: float = 1.0) -> str:
+        """What one of the makers gives, or with the remaining chance nothing; the others aren't run."""
+        return self.r.choice(makers)() if chance == 1.0 or self.r.random() < chance else ""
+
     def maybe(self, chance: float, x: str) -> str:
         return x if self.r.random() < chance else ""
 
@@ -405,7 +409,7 @@ class _Pages:
         return self.within(inner, "header", "header", "div.header", "div#header", "div.masthead", "div@banner", "div.topbar")
 
     def paragraph(self) -> str:
-        text = MARK + self.one_of(self.sentences(self.r.randint(1, 8)), self.sentences(self.r.randint(1, 3)), self.words(3, 40), self.words(1, 6) + ".")
+        text = MARK + self.made(lambda: self.sentences(self.r.randint(1, 8)), lambda: self.sentences(self.r.randint(1, 3)), lambda: self.words(3, 40), lambda: self.words(1, 6) + ".")
         if self.r.random() < 0.1:
             text = text.replace(" ", self.one_of(" | ", "%% ", "!! ", " - ", " * "))
         if self.r.random() < 0.2:
@@ -440,8 +444,8 @@ class _Pages:
         parts = [self.one_of(title, title, title, f"<header>{title}</header>", "")]
         for _ in range(self.r.randint(1, 14)):
             parts.append(self.paragraph())
-            parts.append(self.maybe(0.05, self.one_of(self.advert(), self.side(), self.notice(), self.form())))
-        inner = "".join(parts) + self.maybe(0.12, self.comments())
+            parts.append(self.made(self.advert, self.side, self.notice, self.form, chance=0.05))
+        inner = "".join(parts) + self.made(self.comments, chance=0.12)
         kinds = ("article", "article", "article", "article.post", "main", "main", "div.content", "div#content", "div.post", "div.entry-content",
                  "section.article", "div#main", "div", "div", "div", "section")
         if self.r.random() < 0.35:  # bare wrappers
@@ -457,7 +461,7 @@ class _Pages:
         before = [f() for f, chance in ((self.notice, 0.25), (self.top, 0.5), (self.menu, 0.6), (self.form, 0.15), (self.advert, 0.4), (self.side, 0.15)) if r.random() < chance]
         after = [f() for f, chance in ((self.comments, 0.35), (self.side, 0.35), (self.advert, 0.25), (self.form, 0.15), (self.notice, 0.15), (self.menu, 0.15), (self.foot, 0.75)) if r.random() < chance]
         r.shuffle(before)
-        middle = self.one_of(self.article(), self.article(), self.article(), MARK + self.sentences(r.randint(1, 9)))
+        middle = self.made(self.article, self.article, self.article, lambda: MARK + self.sentences(r.randint(1, 9)))
         whole = "".join(before) + middle + "".join(after)
         return self.one_of(f"<!DOCTYPE html><html><head><title>{self.words(2, 6)}</title></head><body>{whole}</body></html>", f"<html><body>{self.within(whole, 'div', 'div#page', 'div.wrapper')}</body></html>")
 
