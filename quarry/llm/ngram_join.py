@@ -6,8 +6,8 @@ threshold; classes are the components of the links.
 
 * Documents with equal sets are one node from the start.
 * Sets that link share one of their first hashes (as many as may be missing,
-  and one more) in any order of all hashes. Here hashes that a sample of the
-  documents has often come last, the others go by value; so a passage that many
+  and one more) in any order of all hashes. Here hashes that many of the
+  documents have come last, the others go by value; so a passage that many
   documents share doesn't bring them together. Nodes with such a hash in common
   belong together, and groups with the same first node are put together as one:
   a tile, in bands of set size, in which only pairs whose sizes fit the
@@ -45,9 +45,11 @@ WORDS, PERCENT = 5, 80
 SMALL_TILE = 64
 #: Members of a block: two blocks and their bitmaps are what a task holds.
 BLOCK = 1024
-#: Documents of the sample that tells the frequent hashes, and how many of them must have one. They decide the
-#: order of hashes, and so the work, never the result.
-SAMPLE, FREQUENT = 4_000, 10
+#: A hash is frequent that more than FREQUENT documents in SHARE have. That decides the order of hashes, and so the
+#: work, never the result.
+SHARE, FREQUENT = 4_000, 10
+#: Counters that hashes are added up in before frequent ones are counted; a power of two.
+SLOTS = 1 << 18
 _FACTORS = mixed(np.arange(1, 65, dtype=np.uint64))
 
 
@@ -103,22 +105,37 @@ def may_link(differ: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, percent
 
 
 def frequent_hashes(docs: DataFrame, words: int, text: str) -> np.ndarray:
-    """Sorted hashes that more than FREQUENT different sets of a sample of about
-    SAMPLE documents have. Sampled by a hash of the text, so copies count once."""
-    every = max(1, docs.count() // SAMPLE)
-    some = docs.select(docs[text].alias("text")).filter(F.pmod(F.xxhash64("text"), F.lit(every)) == 0)
+    """Sorted hashes that more than FREQUENT documents have, or FREQUENT in
+    SHARE of a larger table, counted over all documents.
+
+    Most hashes stand in few documents, so they are not shuffled: a first pass
+    adds hashes up in SLOTS counters, and the second counts those hashes one by
+    one whose counter is beyond the threshold."""
+    least = max(FREQUENT, docs.count() * FREQUENT // SHARE)
+    texts = docs.select(docs[text].alias("text"))
+
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, np.int64)
+        for batch in text_chunks(batches, "text", 2_000_000):
+            tokens = np.concatenate([np.zeros(0, np.int64), *shingle_sets(batch.column("text"), words)])
+            counts += np.bincount(tokens & (SLOTS - 1), minlength=SLOTS)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used])], names=["slot", "n"])
+
+    full = (texts.mapInArrow(slots, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+            .filter(F.col("n") > least).select("slot").collect())  # at most SLOTS
+    counted = np.zeros(SLOTS, bool)
+    counted[[r.slot for r in full]] = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches, "text", 2_000_000):
-            sets = {set_id(own): own for own in shingle_sets(batch.column("text"), words)}
-            for node, own in sets.items():
-                for at in range(0, len(own), 50_000):
-                    part = own[at:at + 50_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.full(len(part), node))], names=["token", "node"])
-
-    pairs = some.mapInArrow(run, "token long, node long").distinct()
-    often = pairs.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > FREQUENT).select("token")
-    # At most the sample's shingles divided by FREQUENT.
+            tokens = np.concatenate([np.zeros(0, np.int64), *shingle_sets(batch.column("text"), words)])
+            tokens, n = np.unique(tokens[counted[tokens & (SLOTS - 1)]], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.int64()), pa.array(n, pa.int64())], names=["token", "n"])
+
+    often = (texts.mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+             .filter(F.col("n") > least).select("token"))
+    # At most the hashes of SHARE documents of mean size, divided by FREQUENT.
     return np.sort(np.array([r.token for r in often.collect()], np.int64))
 
 

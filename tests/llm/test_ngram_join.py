@@ -96,3 +96,12 @@ def test_frequent_hashes_come_last_in_prefixes():
     assert N.prefix_of(own, 80, np.array([0, 2, 77], np.int64)).tolist() == [1, 3, 4]
     assert N.prefix_of(own, 80, np.zeros(0, np.int64)).tolist() == [0, 1, 2]
     assert N.prefix_of(own[:3], 80, np.arange(5, dtype=np.int64)).tolist() == [0]
+
+
+def test_frequent_hashes_are_counted_over_all_documents(spark, monkeypatch):
+    monkeypatch.setattr(N, "SHARE", 100)
+    # 400 documents: beyond 40 of them is frequent.
+    texts = [f"w{i} x{i} y{i} z{i} v{i}" + (" a b c d e" if i < 41 else "") + (" f g h i j" if i < 40 else "") for i in range(400)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None, ""])], "doc_id long, text string").repartition(5)
+    found = N.frequent_hashes(docs, 5, "text")
+    assert found.tolist() == N.shingle_sets(pa.array(["a b c d e"]))[0].tolist()
