@@ -22,7 +22,8 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
+from itertools import chain, repeat
 from typing import Any
 
 import numpy as np
@@ -44,7 +45,7 @@ RANK_BITS = 512
 SEGMENT_TOKENS = 1 << 22
 #: Chunks that are packed at a time, a multiple of 8.
 _SLICE = 1 << 17
-#: Pieces of text whose ids a task keeps at a time.
+#: Pieces of text whose ids a Python worker keeps at a time.
 CACHED_PIECES = 600_000
 
 
@@ -258,13 +259,16 @@ class Encoder:
             pieces = pc.ascii_split_whitespace(self._alike(texts))
             bounds = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
             coded = pieces.flatten().dictionary_encode()
-            names = coded.dictionary.to_pylist()
+            names = coded.dictionary.to_numpy(zero_copy_only=False)
             if len(self.known) + len(names) > CACHED_PIECES:
                 self._forget()
-            new = [n for n in names if n not in self.known]
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+            at = np.fromiter(map(self.known.get, names.tolist(), repeat(-1)), np.int64, len(names))
+            unknown = np.flatnonzero(at < 0)
+            at[unknown] = np.arange(len(self.known), len(self.known) + len(unknown))
+            new = names[unknown].tolist()
+            self.known.update(zip(new, at[unknown].tolist(), strict=True))
             self._learn(new)
-            places = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))[coded.indices.to_numpy()]
+            places = at[coded.indices.to_numpy()]
         # One run of the pool for each piece, and for each text's end.
         end = [] if self.end is None else [self.end]
         pool, starts, sizes = np.append(self.pool, np.array(end, np.uint32)), np.append(self.starts, len(self.pool)), np.append(self.sizes, len(end))
@@ -275,6 +279,12 @@ class Encoder:
         return pool[where], np.diff(np.cumsum(lengths)[closing], prepend=0)
 
 
+@lru_cache(maxsize=1)
+def _encoder(tokenizer: str, end_id: int | None, whole: bool) -> Encoder:
+    """The worker's encoder: later tasks take its tokenizer and the pieces it knows over."""
+    return Encoder(tokenizer, end_id, whole)
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = None, whole: bool = False,
                  text: str = "text", segment_tokens: int = SEGMENT_TOKENS) -> None:
     """Write the ids of ``docs`` (doc_id, text) as a store under ``path``, in
@@ -297,7 +307,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
              .sortWithinPartitions(F.asc_nulls_first("doc_id"), "row").withColumn("part", F.spark_partition_id()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, seq, before = Encoder(tokenizer, end_id, whole), 0, 0, 0
+        encode, part, seq, before = _encoder(tokenizer, end_id, whole), 0, 0, 0
         listed: list[tuple[Any, int]] = []
         held: list[np.ndarray] = []
         n = 0

@@ -114,3 +114,14 @@ def test_empty_table_and_text_ids(spark, frame):
     path = scratch(spark, "tokens-test")
     token_store.write_tokens(frame("doc_id string, text string", [("b\n", "x"), ('a"', None)]), path, TOKENIZER)
     assert [r.doc_id for r in token_store.read_documents(spark, path, "string").orderBy("start", "n_tokens").collect()] == ['a"', "b\n"]
+
+
+def test_tasks_of_a_worker_share_what_is_known(monkeypatch):
+    monkeypatch.setattr(token_store, "CACHED_PIECES", 6)
+    texts = [["one two. three", None], ["two. one Four", ""], ["five six seven eight", "one two."], ["", None]]
+    encode = token_store._encoder(TOKENIZER, 2, False)
+    assert token_store._encoder(TOKENIZER, 2, False) is encode
+    for some in texts:
+        ids, sizes = encode(token_store.pa.array(some, "string"))
+        own, alone = Encoder(TOKENIZER, 2)(token_store.pa.array(some, "string"))
+        assert ids.tolist() == own.tolist() and sizes.tolist() == alone.tolist()
