@@ -18,12 +18,16 @@ from quarry.session import checkpoint_root
 WORD_RE = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes of rows that Spark packs into an Arrow batch; 10,000 documents, its bound by rows, are tens of MB on both sides.
+BATCH_BYTES = 4_000_000
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package to the executors, once per application, so that
-    their Python workers can import it wherever they run."""
+    their Python workers can import it wherever they run, and bound the batches
+    that they get by bytes."""
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         package = Path(__file__).resolve().parent.parent
@@ -33,6 +37,7 @@ def ship(spark: SparkSession) -> SparkSession:
                 z.write(file, file.relative_to(package.parent))
         spark.sparkContext.addPyFile(str(target))
         _shipped.add(app)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 

@@ -48,6 +48,8 @@ BLOCK = 1024
 #: A hash is frequent that more than FREQUENT documents in SHARE have. That decides the order of hashes, and so the
 #: work, never the result.
 SHARE, FREQUENT = 4_000, 10
+#: Bytes of text that are hashed at a time; a task's arrays are some fifty times as large.
+CHUNK = 500_000
 #: Counters that hashes are added up in before frequent ones are counted; a power of two.
 SLOTS = 1 << 18
 _FACTORS = mixed(np.arange(1, 65, dtype=np.uint64))
@@ -116,7 +118,7 @@ def frequent_hashes(docs: DataFrame, words: int, text: str) -> np.ndarray:
 
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, np.int64)
-        for batch in text_chunks(batches, "text", 2_000_000):
+        for batch in text_chunks(batches, "text", CHUNK):
             tokens = np.concatenate([np.zeros(0, np.int64), *shingle_sets(batch.column("text"), words)])
             counts += np.bincount(tokens & (SLOTS - 1), minlength=SLOTS)
         used = np.flatnonzero(counts)
@@ -128,7 +130,7 @@ def frequent_hashes(docs: DataFrame, words: int, text: str) -> np.ndarray:
     counted[[r.slot for r in full]] = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_chunks(batches, "text", 2_000_000):
+        for batch in text_chunks(batches, "text", CHUNK):
             tokens = np.concatenate([np.zeros(0, np.int64), *shingle_sets(batch.column("text"), words)])
             tokens, n = np.unique(tokens[counted[tokens & (SLOTS - 1)]], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.int64()), pa.array(n, pa.int64())], names=["token", "n"])
@@ -151,7 +153,7 @@ def prefix_of(own: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarray
 def signatures(docs: DataFrame, words: int, percent: int, text: str, frequent: np.ndarray) -> DataFrame:
     """(doc_id, said, row, n, node, prefix, bits) for each row of ``docs``; said is a hash of the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_chunks(batches, "text", 2_000_000):
+        for batch in text_chunks(batches, "text", CHUNK):
             sets = shingle_sets(batch.column("text"), words)
             heads = [prefix_of(own, percent, frequent) for own in sets]
             offsets = np.concatenate([[0], np.cumsum([len(h) for h in heads])]).astype(np.int32)
@@ -359,7 +361,7 @@ def texts_of(wanted: DataFrame, docs: DataFrame, words: int, text: str) -> DataF
     one; a text given by two tasks does no harm."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in text_chunks(batches, "text", 2_000_000):
+        for batch in text_chunks(batches, "text", CHUNK):
             own = [set_id(s) for s in shingle_sets(batch.column("text"), words)]
             keep = []
             for got, node in zip(own, batch.column("node").to_pylist(), strict=True):

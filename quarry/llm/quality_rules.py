@@ -142,7 +142,7 @@ def line_first_rules(docs: DataFrame, rules: Rules = Rules(), text: str = "text"
     ddl = f"{keys}, {_DDL if with_text else _DDL.rsplit(',', 1)[0]}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_chunks(batches, "__text", 4_000_000):
+        for batch in text_chunks(batches, "__text", 1_000_000):
             rows = [judge(t, rules) for t in batch.column("__text").to_pylist()]
             columns = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays(
