@@ -153,8 +153,16 @@ def streaming_quota(spark: SparkSession, source_dir: str, schema: T.StructType,
     return table, late
 
 
-def stage_files(df: DataFrame, path: str, files: int, sort_by: Sequence[str]) -> str:
+def stage_files(df: DataFrame, path: str, files: int, sort_by: Sequence[str], rows: int = 250_000) -> str:
     """Write a table as ``files`` immutable parquet files (the stream input),
-    range-partitioned on ``sort_by`` so files arrive in that order."""
-    df.repartitionByRange(files, *sort_by).write.mode("errorifexists").parquet(path)
+    range-partitioned on ``sort_by`` so files arrive in that order. Files that
+    would have more than ``rows`` rows are cut into several: a file of one row
+    group is read by one task."""
+    cut = max(1, -(-df.count() // (files * rows)))
+    df.repartitionByRange(files * cut, *sort_by).write.mode("errorifexists").parquet(path)
     return path
+
+
+def files_a_batch(spark: SparkSession, path: str, batches: int) -> int:
+    """With so many files a trigger, the files under ``path`` come in ``batches`` batches."""
+    return max(1, -(-len(spark.read.parquet(path).inputFiles()) // batches))
