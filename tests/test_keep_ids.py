@@ -6,6 +6,8 @@ import pytest
 
 from quarry.operators import common
 from quarry.operators import normalize as N
+from quarry.plans import adapters
+from tests.test_wide_documents import _tables
 
 IDS = [0, 1, 7, 8, 32767, 32768, 32769, 65536, -1, -32768, 10**12, 7, None]
 
@@ -38,3 +40,13 @@ def test_dedupe_in_place_keeps_the_same_rows_and_does_not_shuffle_them(spark):
     assert sorted(map(str, kept.collect())) == sorted(map(str, moved.collect()))
     plan = kept._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in plan and "ShuffledHashJoin" not in plan and "SortMergeJoin" not in plan
+
+
+def test_lines_of_other_orders_are_dropped_before_the_first_shuffle(spark, tmp_path):
+    sf = _tables(spark, tmp_path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with tables beyond it
+    try:
+        plan = adapters.snapshot_state(spark, sf)._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in next(line for line in plan.splitlines() if "LeftSemi" in line)
